@@ -1,0 +1,23 @@
+"""Canonical schemas. Fixed schemas instead of inference: no extra pass over
+the files and the types are pinned (ids LONG, ratings DOUBLE)."""
+
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
+# Items: one row per item, ``tags`` holds the values joined by a separator.
+ITEMS_SCHEMA = StructType(
+    [
+        StructField("item_id", LongType(), True),
+        StructField("title", StringType(), True),
+        StructField("tags", StringType(), True),
+    ]
+)
+
+# Ratings: one row per (user, item); a trailing timestamp column is ignored.
+RATINGS_SCHEMA = StructType(
+    [
+        StructField("user_id", LongType(), True),
+        StructField("item_id", LongType(), True),
+        StructField("rating", DoubleType(), True),
+        StructField("ts", LongType(), True),
+    ]
+)

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analyses this package rebuilds are batch jobs: they have no stream
+source or sink, watermark, event-time window or custom state. Nothing is
+provided here on purpose (see README, "Not built"); a continuously arriving
+ratings feed is handled by re-running the batch plans over the grown table.
+"""
