@@ -85,7 +85,7 @@ def _stats(spark, d, plan="aggregate_first"):
 
 
 def _split(spark, d, method="hash"):
-    return holdout(cf_ratings(spark, d), method=method)
+    return holdout(cf_ratings(spark, d), method=method, persist=True)
 
 
 def q_explode_values(spark, d):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,26 +55,24 @@ def rating_stats(
     )
 
 
-@dataclass(frozen=True)
-class Ordering:
-    keys: tuple[Column, ...]
-    needs_min_count: bool
-
-
-# The four list orderings and their tie-breaks.
+# The four list orderings and their tie-breaks, as
+# (column, direction) pairs, and whether the list needs rating_count > min.
 #   most_rated : rating_count desc, title asc            (no minimum count)
 #   least_rated: rating_count asc,  title asc            (rating_count > min)
 #   best       : avg_rating desc, rating_count desc, title asc  (> min)
 #   worst      : avg_rating asc,  rating_count desc, title asc  (> min)
 # item_id asc is appended to every ordering so equal titles rank stably.
-def _orderings() -> dict[str, Ordering]:
-    cnt, avg, title = F.col("rating_count"), F.col("avg_rating"), F.col("title")
-    return {
-        "most_rated": Ordering((cnt.desc(), title.asc()), False),
-        "least_rated": Ordering((cnt.asc(), title.asc()), True),
-        "best": Ordering((avg.desc(), cnt.desc(), title.asc()), True),
-        "worst": Ordering((avg.asc(), cnt.desc(), title.asc()), True),
-    }
+ORDERINGS: dict[str, tuple[tuple[tuple[str, str], ...], bool]] = {
+    "most_rated": ((("rating_count", "desc"), ("title", "asc")), False),
+    "least_rated": ((("rating_count", "asc"), ("title", "asc")), True),
+    "best": ((("avg_rating", "desc"), ("rating_count", "desc"), ("title", "asc")), True),
+    "worst": ((("avg_rating", "asc"), ("rating_count", "desc"), ("title", "asc")), True),
+}
+
+
+def _sort_keys(by: str) -> list[Column]:
+    keys = [F.col(c).desc() if d == "desc" else F.col(c).asc() for c, d in ORDERINGS[by][0]]
+    return keys + [F.col("item_id").asc()]
 
 
 LISTS = ("most_rated", "least_rated", "best", "worst")
@@ -100,14 +97,12 @@ def top_n(
     shuffle on ``value`` and a final one after it, so a value holding a third
     of all items ships at most n rows per map task.
     """
-    orderings = _orderings()
-    if by not in orderings:
-        raise ValueError(f"unknown ordering {by!r}; one of {sorted(orderings)}")
-    spec = orderings[by]
+    if by not in ORDERINGS:
+        raise ValueError(f"unknown ordering {by!r}; one of {sorted(ORDERINGS)}")
     df = stats
-    if spec.needs_min_count and min_count is not None:
+    if ORDERINGS[by][1] and min_count is not None:
         df = df.filter(F.col("rating_count") > F.lit(min_count))
-    w = Window.partitionBy("value").orderBy(*spec.keys, F.col("item_id").asc())
+    w = Window.partitionBy("value").orderBy(*_sort_keys(by))
     ranked = df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(n))
     return ranked.select(
         "value",
@@ -124,16 +119,48 @@ def top_lists(
     n: int = DEFAULT_N,
     min_count: int = DEFAULT_MIN_COUNT,
     lists: Sequence[str] = LISTS,
+    decimals: int = 3,
 ) -> DataFrame:
     """All lists in one DataFrame with a ``list_name`` column.
 
-    The four branches share the same ``stats`` sub-plan; Spark reuses its
-    exchange, so the rating aggregate is computed once per action.
+    One window instead of one per list: every stats row is repeated once per
+    list (``explode`` of a literal array), the per-list orderings are mapped
+    onto shared sort keys, and a single ``row_number`` over
+    (value, list_name) ranks them. One shuffle and one sort serve all lists,
+    still with the partial WindowGroupLimit before the shuffle. Rows equal
+    :func:`top_n` for each list.
     """
-    out = None
     for name in lists:
-        t = top_n(stats, name, n=n, min_count=min_count).select(
-            F.lit(name).alias("list_name"), "*"
-        )
-        out = t if out is None else out.unionByName(t)
-    return out
+        if name not in ORDERINGS:
+            raise ValueError(f"unknown ordering {name!r}")
+    cnt, avg = F.col("rating_count"), F.col("avg_rating")
+    lst = F.col("list_name")
+    needs_min = [name for name in lists if ORDERINGS[name][1]]
+    rows = stats.select("*", F.explode(F.array(*[F.lit(x) for x in lists])).alias("list_name"))
+    if min_count is not None and needs_min:
+        rows = rows.filter(~lst.isin(needs_min) | (cnt > F.lit(min_count)))
+    # Sort keys, ascending: k1 = primary, k2 = secondary, then title, item_id.
+    # most_rated: -count | least_rated: count | best: -avg, -count | worst: avg, -count
+    # The averages' NULL placement follows the per-list direction: NULLS LAST
+    # for a descending average, NULLS FIRST for an ascending one.
+    k1 = (
+        F.when(lst == "most_rated", -cnt.cast("double"))
+        .when(lst == "least_rated", cnt.cast("double"))
+        .when(lst == "best", -avg)
+        .otherwise(avg)
+    )
+    k1_null_rank = F.when((lst == "best") & avg.isNull(), F.lit(1)).otherwise(F.lit(0))
+    k2 = F.when(lst.isin("best", "worst"), -cnt).otherwise(F.lit(0))
+    w = Window.partitionBy("value", "list_name").orderBy(
+        k1_null_rank.asc(), k1.asc_nulls_first(), k2.asc(), F.col("title").asc(), F.col("item_id").asc()
+    )
+    ranked = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(n))
+    return ranked.select(
+        "list_name",
+        "value",
+        F.col("rank").cast("bigint").alias("rank"),
+        "item_id",
+        "title",
+        "rating_count",
+        F.round("avg_rating", decimals).alias("avg_rating"),
+    )

@@ -16,6 +16,7 @@ Three methods:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,10 +86,20 @@ def holdout(
     frac: float = 0.8,
     method: str = "hash",
     seed: int = 42,
+    persist: bool = False,
     **kw,
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) as complementary filters of one flagged frame."""
+    """(train, test) as complementary filters of one flagged frame.
+
+    ``persist=True`` keeps the flagged ratings in executor memory/disk for
+    pipelines that read train and test many times (similarity, scalar
+    subqueries, prediction). Cached blocks lost with an executor are
+    recomputed from lineage; the hash split makes that recomputation give
+    the same rows.
+    """
     flagged = split_flag(ratings, frac=frac, method=method, seed=seed, **kw)
+    if persist:
+        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     train = flagged.filter(F.col("is_train")).drop("is_train")
     test = flagged.filter(~F.col("is_train")).drop("is_train")
     return train, test

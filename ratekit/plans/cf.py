@@ -58,7 +58,7 @@ def cosine_knn(
     block_size: int = DEFAULT_BLOCK_SIZE,
     checkpoint: bool = True,
 ) -> CFResult:
-    train, test = holdout(ratings, frac=frac, method=split, seed=seed)
+    train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=True)
     sim = cosine_similarity(train, min_common=min_common, block_size=block_size)
     if checkpoint:
         sim = materialize(sim)
@@ -81,7 +81,7 @@ def centered_knn(
     block_size: int = DEFAULT_BLOCK_SIZE,
     checkpoint: bool = True,
 ) -> CFResult:
-    train, test = holdout(ratings, frac=frac, method=split, seed=seed)
+    train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=True)
     stats = user_stats(train)
     centered = centered_ratings(train, stats)
     sim = adjusted_cosine_similarity(

@@ -18,8 +18,29 @@ from pyspark.sql import functions as F
 from ratekit.functions.columns import half_star_rating
 
 
+# Columns (and types) read from each generated table. A declared schema
+# skips the footer-inference job and prunes the scan to these columns.
+COLUMNS = {
+    "part": "p_partkey BIGINT, p_name STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_quantity DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT",
+}
+
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one table; the DataFrame is memoised per session and path so
+    repeated plans share the file listing."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _READERS.get(key)
+    if df is None:
+        reader = spark.read
+        if name in COLUMNS:
+            reader = reader.schema(COLUMNS[name])
+        df = _READERS[key] = reader.parquet(path)
+    return df
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
