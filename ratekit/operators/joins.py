@@ -20,6 +20,11 @@ DEFAULT_BLOCK_SIZE = 4096
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """The session's configured shuffle partition count."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Persist ``df``, count it, and hint a broadcast only under ``max_rows``.
 
@@ -61,13 +66,15 @@ def blocked_join(
     ``heavy`` comes from :func:`heavy_keys`; ``None`` means a plain join.
     Salt columns must identify a row within its key on each side.
     """
-    if heavy is None:
-        return left.join(right, key, "inner")
-    heavy = heavy.persist()
-    n_heavy = heavy.count()
-    if n_heavy == 0:
-        # Common case: no key above the block size, plain shuffle join.
-        return left.join(right, key, "inner")
+    if heavy is not None:
+        heavy = heavy.persist()
+        n_heavy = heavy.count()  # cheap when the caller already persisted it
+    if heavy is None or n_heavy == 0:
+        # Common case: no key above the block size, plain shuffle join. The
+        # output can be far larger than the input, so both sides keep the
+        # configured partition count instead of an input-size-based one.
+        n = shuffle_partitions(left)
+        return left.repartition(n, key).join(right.repartition(n, key), key, "inner")
     hv = F.broadcast(heavy) if n_heavy <= max_broadcast_rows else heavy
     nl = F.coalesce(F.col("_nl"), F.lit(1))
     nr = F.coalesce(F.col("_nr"), F.lit(1))

@@ -39,6 +39,7 @@ def knn_candidates(
     train: DataFrame,
     sim_all: DataFrame,
     block_size: int = DEFAULT_BLOCK_SIZE,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """(user_id, target_item, rated_item, neighbor_rating, similarity,
     abs_similarity, common_users) for every usable neighbour rating.
@@ -70,6 +71,11 @@ def knn_candidates(
         "abs_similarity",
         "common_users",
     )
+    # Broadcast the similarity table only under a checked row bound; then the
+    # candidates are never shuffled by (target, rated) and the ranking window
+    # reuses the user partitioning of the join above. Beyond the bound both
+    # sides shuffle on (target, rated).
+    s = broadcast_if_small(s, max_broadcast_rows)
     return cand.join(s, ["target_item", "rated_item"], "inner")
 
 

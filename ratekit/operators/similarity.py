@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratekit.functions.columns import safe_ratio
-from ratekit.operators.joins import DEFAULT_BLOCK_SIZE, blocked_join, heavy_keys
+from ratekit.operators.joins import (
+    DEFAULT_BLOCK_SIZE,
+    blocked_join,
+    heavy_keys,
+    shuffle_partitions,
+)
 
 # Reference thresholds.
 MIN_COMMON_USERS = 5
@@ -61,16 +66,28 @@ def co_rating_pairs(
     heavy user; when a cap on ratings per user is known to be within the
     block size, no blocking is needed and the plain join is used.
     """
+    heavy = None
+    if max_user_ratings is None or max_user_ratings > block_size:
+        counts = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+        heavy = heavy_keys(counts, "user_id", "_n", "_n", block_size)
+        heavy = heavy.persist()
+        if heavy.count() == 0:
+            heavy = None
+    if heavy is None:
+        # Both sides read one exchange (hash on user): Spark reuses it, so
+        # the ratings are shuffled once for the self-join. The partition
+        # count is pinned to the session's shuffle partitions because the
+        # join output is quadratic in its input: AQE would otherwise
+        # coalesce by input size and starve the pair aggregation.
+        rated = rated.select("user_id", "item_id", value_col).repartition(
+            shuffle_partitions(rated), "user_id"
+        )
     left = rated.select(
         "user_id", F.col("item_id").alias("item_i"), F.col(value_col).alias("r_i")
     )
     right = rated.select(
         "user_id", F.col("item_id").alias("item_j"), F.col(value_col).alias("r_j")
     )
-    heavy = None
-    if max_user_ratings is None or max_user_ratings > block_size:
-        counts = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-        heavy = heavy_keys(counts, "user_id", "_n", "_n", block_size)
     pairs = blocked_join(left, right, "user_id", heavy, ["item_i"], ["item_j"])
     return pairs.filter(F.col("item_i") < F.col("item_j"))
 
@@ -139,14 +156,25 @@ def adjusted_cosine_similarity(
 
 
 def mirror(sim: DataFrame) -> DataFrame:
-    """Both directions of a half matrix, plus ``abs_similarity``."""
-    rev = sim.select(
-        F.col("item_j").alias("item_i"),
-        F.col("item_i").alias("item_j"),
+    """Both directions of a half matrix, plus ``abs_similarity``.
+
+    One pass: every pair row is exploded into (i, j) and (j, i). Unlike a
+    union of the table with its swapped copy, the (possibly unmaterialised)
+    similarity plan is evaluated once.
+    """
+    both = F.explode(
+        F.array(
+            F.struct(F.col("item_i").alias("a"), F.col("item_j").alias("b")),
+            F.struct(F.col("item_j").alias("a"), F.col("item_i").alias("b")),
+        )
+    ).alias("_d")
+    return sim.select(both, "similarity", "common_users").select(
+        F.col("_d.a").alias("item_i"),
+        F.col("_d.b").alias("item_j"),
         "similarity",
         "common_users",
+        F.abs("similarity").alias("abs_similarity"),
     )
-    return sim.unionByName(rev).withColumn("abs_similarity", F.abs("similarity"))
 
 
 def top_neighbours(sim_all: DataFrame, k: int = TOP_K) -> DataFrame:
