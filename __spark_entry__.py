@@ -422,7 +422,8 @@ _DEPS = {
 }
 
 
-def _with(*needed: str) -> str:
+def _with(*needed: str, overrides: dict[str, str] | None = None) -> str:
+    cte = {**_CTE, **(overrides or {})}
     order: list[str] = []
 
     def visit(n):
@@ -433,7 +434,7 @@ def _with(*needed: str) -> str:
 
     for n in needed:
         visit(n)
-    return "WITH " + ",\n".join(f"{n} AS ({_CTE[n]})" for n in order) + "\n"
+    return "WITH " + ",\n".join(f"{n} AS ({cte[n]})" for n in order) + "\n"
 
 
 def _r(col: str) -> str:
@@ -524,6 +525,12 @@ def _cf_report_sql() -> str:
     )
 
 
+_EXACT_FLAG = (
+    "SELECT user_id, item_id, rating, row_number() OVER (ORDER BY h, user_id, item_id) "
+    "<= round(0.8 * count(*) OVER ()) AS is_train FROM hashed"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     top = {f"top_{by}": _with("stats") + _top_sql(by) for by in _TOP_ORDER}
     pair_counts = (
@@ -546,9 +553,8 @@ def oracle_sql() -> dict[str, str]:
         "report_lines": _report_sql(),
         "csv_round_trip": _with("items") + "SELECT item_id, title, tags FROM items",
         "holdout_hash": _with("flagged") + "SELECT user_id, item_id, rating, is_train FROM flagged",
-        "holdout_exact": _with("hashed")
-        + "SELECT user_id, item_id, rating, row_number() OVER (ORDER BY h, user_id, item_id) "
-        "<= round(0.8 * count(*) OVER ()) AS is_train FROM hashed",
+        "holdout_exact": _with("flagged", overrides={"flagged": _EXACT_FLAG})
+        + "SELECT user_id, item_id, rating, is_train FROM flagged",
         "baseline": _with("tsum", "test")
         + "SELECT train_rows, (SELECT count(*) FROM test) AS test_rows, "
         f"round(train_mean, {DIGITS}) AS train_mean, "
@@ -576,5 +582,7 @@ def oracle_sql() -> dict[str, str]:
         "FROM scored_c",
         "evaluate_knn": _with("scored_k", "tsum") + _metrics_sql("scored_k"),
         "evaluate_centered": _with("scored_c", "tsum") + _metrics_sql("scored_c"),
+        "evaluate_knn_exact_split": _with("scored_k", "tsum", overrides={"flagged": _EXACT_FLAG})
+        + _metrics_sql("scored_k"),
         "cf_report_lines": _cf_report_sql(),
     }
