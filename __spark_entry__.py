@@ -198,6 +198,13 @@ def q_knn_neighbours(spark, d):
     return _round(knn_neighbours(test, train, mirror(cosine_similarity(train, MIN_COMMON)), k=K))
 
 
+def q_knn_neighbours_blocked(spark, d):
+    # Block size 8 splits every user into test x train blocks: the skew path.
+    train, test = _split(spark, d)
+    sim_all = mirror(cosine_similarity(train, MIN_COMMON))
+    return _round(knn_neighbours(test, train, sim_all, k=K, block_size=8))
+
+
 def q_predict_knn(spark, d):
     train, test = _split(spark, d)
     sim_all = mirror(cosine_similarity(train, MIN_COMMON))
@@ -267,6 +274,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "similarity_mirrored": q_similarity_mirrored,
         "top_neighbours": q_top_neighbours,
         "knn_neighbours": q_knn_neighbours,
+        "knn_neighbours_blocked": q_knn_neighbours_blocked,
         "predict_knn": q_predict_knn,
         "predict_centered": q_predict_centered,
         "evaluate_knn": q_evaluate_knn,
@@ -575,6 +583,9 @@ def oracle_sql() -> dict[str, str]:
         "knn_neighbours": _with("kn")
         + f"SELECT user_id, target_item, rated_item, neighbor_rating, {_r('similarity')}, {_r('abs_similarity')}, "
         "common_users, neighbor_rank FROM kn",
+        "knn_neighbours_blocked": _with("kn")
+        + f"SELECT user_id, target_item, rated_item, neighbor_rating, {_r('similarity')}, {_r('abs_similarity')}, "
+        "common_users, neighbor_rank FROM kn",
         "predict_knn": _with("scored_k")
         + f"SELECT user_id, item_id, true_rating, {_r('prediction')}, neighbor_count, is_fallback FROM scored_k",
         "predict_centered": _with("scored_c")

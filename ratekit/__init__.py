@@ -9,6 +9,12 @@ Two families of operators, both taking and returning DataFrames:
   blocked self-join, neighbour lists, kNN prediction and evaluation.
 """
 
-from ratekit.session import build_session, checkpoint_dir, materialize
+from ratekit.session import (
+    build_session,
+    checkpoint_dir,
+    materialize,
+    persist_tracked,
+    release_cached,
+)
 
-__all__ = ["build_session", "checkpoint_dir", "materialize"]
+__all__ = ["build_session", "checkpoint_dir", "materialize", "persist_tracked", "release_cached"]

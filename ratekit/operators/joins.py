@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratekit.session import persist_tracked
+
 DEFAULT_BLOCK_SIZE = 4096
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
@@ -31,7 +33,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     Above the bound the frame is returned unhinted and joins shuffle (AQE may
     still convert at runtime, behind its own byte threshold).
     """
-    df = df.persist()
+    df = persist_tracked(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -67,7 +69,7 @@ def blocked_join(
     Salt columns must identify a row within its key on each side.
     """
     if heavy is not None:
-        heavy = heavy.persist()
+        heavy = persist_tracked(heavy)
         n_heavy = heavy.count()  # cheap when the caller already persisted it
     if heavy is None or n_heavy == 0:
         # Common case: no key above the block size, plain shuffle join. The

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratekit.functions.columns import safe_ratio
+from ratekit.session import persist_tracked
 from ratekit.operators.joins import (
     DEFAULT_BLOCK_SIZE,
     blocked_join,
@@ -70,7 +71,7 @@ def co_rating_pairs(
     if max_user_ratings is None or max_user_ratings > block_size:
         counts = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
         heavy = heavy_keys(counts, "user_id", "_n", "_n", block_size)
-        heavy = heavy.persist()
+        heavy = persist_tracked(heavy)
         if heavy.count() == 0:
             heavy = None
     if heavy is None:

@@ -16,12 +16,11 @@ Three methods:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratekit.functions.columns import hash_bucket, hash_key32
-from ratekit.session import materialize
+from ratekit.session import materialize, persist_tracked
 
 _PREFIX_SHIFT = 12  # 32-bit hash >> 12 = 2^20 histogram cells
 
@@ -99,7 +98,7 @@ def holdout(
     """
     flagged = split_flag(ratings, frac=frac, method=method, seed=seed, **kw)
     if persist:
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+        flagged = persist_tracked(flagged)
     train = flagged.filter(F.col("is_train")).drop("is_train")
     test = flagged.filter(~F.col("is_train")).drop("is_train")
     return train, test

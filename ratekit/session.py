@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -84,6 +85,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_CACHED: dict[int, list[DataFrame]] = {}
+
+
+def persist_tracked(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """``persist`` that remembers the frame so :func:`release_cached` can drop it.
+
+    MEMORY_AND_DISK: blocks lost with an executor are recomputed from lineage.
+    """
+    out = df.persist(level)
+    _CACHED.setdefault(id(df.sparkSession._jsparkSession), []).append(out)
+    return out
+
+
+def release_cached(spark: SparkSession) -> int:
+    """Unpersist every frame the operators persisted in this session."""
+    frames = _CACHED.pop(id(spark._jsparkSession), [])
+    for df in frames:
+        df.unpersist(blocking=False)
+    return len(frames)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     import uuid

@@ -98,3 +98,21 @@ def test_mirror_single_pass(spark):
     sim = spark.createDataFrame([(1, 2, 0.5, 5), (1, 3, -0.25, 6)], "item_i long, item_j long, similarity double, common_users long")
     got = sorted(tuple(r) for r in mirror(sim).collect())
     assert got == [(1, 2, 0.5, 5, 0.5), (1, 3, -0.25, 6, 0.25), (2, 1, 0.5, 5, 0.5), (3, 1, -0.25, 6, 0.25)]
+
+
+def test_knn_blocked_equals_plain(spark):
+    from ratekit.operators import knn_neighbours
+
+    train, test = holdout(cf_ratings(spark, SF0001))
+    sim_all = mirror(cosine_similarity(train, min_common=5))
+    a = sorted(map(tuple, knn_neighbours(test, train, sim_all).collect()))
+    b = sorted(map(tuple, knn_neighbours(test, train, sim_all, block_size=2).collect()))
+    assert a == b and len(a) > 0
+
+
+def test_release_cached(spark):
+    from ratekit import release_cached
+
+    holdout(cf_ratings(spark, SF0001), persist=True)
+    assert release_cached(spark) >= 1
+    assert release_cached(spark) == 0
