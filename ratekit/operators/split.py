@@ -121,17 +121,26 @@ def train_summary(train: DataFrame) -> F.Column:
 def baseline(train: DataFrame, test: DataFrame) -> DataFrame:
     """One row: train_rows, test_rows, train_mean, baseline_rmse.
 
-    The baseline predicts the train mean for every test row.
+    The baseline predicts the train mean m for every test row. One aggregate
+    over both sides: mean((r - m)^2) over test equals
+    var_pop(test) + (mean(test) - m)^2, and Spark's ``var_pop`` merges
+    partial moments stably, so no second pass with m is needed.
     """
-    s = train_summary(train)
-    mean = s.getField("mean")
-    d = F.col("rating") - mean
-    return test.agg(
-        F.count(F.lit(1)).alias("test_rows"),
-        F.sqrt(F.avg(d * d)).alias("baseline_rmse"),
-    ).select(
-        s.getField("rows").alias("train_rows"),
+    tr = F.col("_train")
+    both = train.select("rating", F.lit(True).alias("_train")).unionByName(
+        test.select("rating", F.lit(False).alias("_train"))
+    )
+    agg = both.agg(
+        F.count_if(tr).alias("train_rows"),
+        F.avg(F.when(tr, F.col("rating"))).alias("train_mean"),
+        F.count_if(~tr).alias("test_rows"),
+        F.avg(F.when(~tr, F.col("rating"))).alias("_test_mean"),
+        F.var_pop(F.when(~tr, F.col("rating"))).alias("_test_var"),
+    )
+    gap = F.col("_test_mean") - F.col("train_mean")
+    return agg.select(
+        "train_rows",
         "test_rows",
-        mean.alias("train_mean"),
-        "baseline_rmse",
+        "train_mean",
+        F.sqrt(F.col("_test_var") + gap * gap).alias("baseline_rmse"),
     )
