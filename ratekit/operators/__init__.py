@@ -16,6 +16,7 @@ from ratekit.operators.similarity import (
     cosine_similarity,
     mirror,
     top_neighbours,
+    user_counts,
     user_stats,
 )
 from ratekit.operators.split import baseline, holdout, split_flag, train_summary
@@ -45,6 +46,7 @@ __all__ = [
     "top_n",
     "top_neighbours",
     "train_summary",
+    "user_counts",
     "user_stats",
     "value_counts",
 ]

@@ -28,6 +28,7 @@ from ratekit.operators.joins import (
     heavy_keys,
 )
 from ratekit.operators.similarity import TOP_K
+from ratekit.operators.similarity import user_counts as _user_counts
 
 # The rating range used for clipping.
 MIN_RATING = 0.5
@@ -40,6 +41,7 @@ def knn_candidates(
     sim_all: DataFrame,
     block_size: int = DEFAULT_BLOCK_SIZE,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    user_counts: DataFrame | None = None,
 ) -> DataFrame:
     """(user_id, target_item, rated_item, neighbor_rating, similarity,
     abs_similarity, common_users) for every usable neighbour rating.
@@ -54,13 +56,8 @@ def knn_candidates(
         F.col("item_id").alias("rated_item"),
         F.col("rating").alias("neighbor_rating"),
     )
-    counts = (
-        t.select("user_id", F.lit(1).alias("_t"), F.lit(0).alias("_r"))
-        .unionByName(r.select("user_id", F.lit(0).alias("_t"), F.lit(1).alias("_r")))
-        .groupBy("user_id")
-        .agg(F.sum("_t").alias("_t"), F.sum("_r").alias("_r"))
-    )
-    heavy = heavy_keys(counts, "user_id", "_t", "_r", block_size)
+    counts = user_counts if user_counts is not None else _user_counts(train, test)
+    heavy = heavy_keys(counts, "user_id", "n_test", "n_train", block_size)
     cand = blocked_join(t, r, "user_id", heavy, ["target_item"], ["rated_item"]).filter(
         F.col("target_item") != F.col("rated_item")
     )
@@ -85,12 +82,13 @@ def knn_neighbours(
     sim_all: DataFrame,
     k: int = TOP_K,
     block_size: int = DEFAULT_BLOCK_SIZE,
+    user_counts: DataFrame | None = None,
 ) -> DataFrame:
     """The ``k`` best candidates per test row, with ``neighbor_rank`` 1..k.
 
     Order: |similarity| desc, common users desc, rated item asc.
     """
-    cand = knn_candidates(test, train, sim_all, block_size=block_size)
+    cand = knn_candidates(test, train, sim_all, block_size=block_size, user_counts=user_counts)
     w = Window.partitionBy("user_id", "target_item").orderBy(
         F.col("abs_similarity").desc(), F.col("common_users").desc(), F.col("rated_item").asc()
     )
@@ -109,10 +107,11 @@ def predict_knn(
     train_mean: Column,
     k: int = TOP_K,
     block_size: int = DEFAULT_BLOCK_SIZE,
+    user_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Scored test rows: user_id, item_id, true_rating, prediction,
     neighbor_count, is_fallback."""
-    top = knn_neighbours(test, train, sim_all, k=k, block_size=block_size)
+    top = knn_neighbours(test, train, sim_all, k=k, block_size=block_size, user_counts=user_counts)
     # Same partitioning as the window: no extra shuffle for the aggregate.
     pred = top.groupBy("user_id", "target_item").agg(
         F.sum(F.col("similarity") * F.col("neighbor_rating")).alias("weighted_sum"),

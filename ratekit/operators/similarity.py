@@ -29,6 +29,20 @@ MAX_USER_RATINGS = 30
 SIM_DECIMALS = 10
 
 
+def user_counts(train: DataFrame, test: DataFrame) -> DataFrame:
+    """(user_id, n_train, n_test) in one partially aggregated pass.
+
+    The skew checks of the self-join and of the test x train join both read
+    it, so a pipeline counts once.
+    """
+    return (
+        train.select("user_id", F.lit(1).alias("_tr"), F.lit(0).alias("_te"))
+        .unionByName(test.select("user_id", F.lit(0).alias("_tr"), F.lit(1).alias("_te")))
+        .groupBy("user_id")
+        .agg(F.sum("_tr").cast("bigint").alias("n_train"), F.sum("_te").cast("bigint").alias("n_test"))
+    )
+
+
 def user_stats(train: DataFrame) -> DataFrame:
     """(user_id, train_rating_count, user_mean) over all training ratings."""
     return train.groupBy("user_id").agg(
@@ -59,6 +73,7 @@ def co_rating_pairs(
     value_col: str = "rating",
     block_size: int = DEFAULT_BLOCK_SIZE,
     max_user_ratings: int | None = None,
+    user_counts: DataFrame | None = None,
 ) -> DataFrame:
     """(user_id, item_i, r_i, item_j, r_j) for every user and item_i < item_j.
 
@@ -69,7 +84,10 @@ def co_rating_pairs(
     """
     heavy = None
     if max_user_ratings is None or max_user_ratings > block_size:
-        counts = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+        if user_counts is not None:  # (user_id, n_train) computed once by the caller
+            counts = user_counts.select("user_id", F.col("n_train").alias("_n"))
+        else:
+            counts = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
         heavy = heavy_keys(counts, "user_id", "_n", "_n", block_size)
         heavy = persist_tracked(heavy)
         if heavy.count() == 0:
@@ -114,12 +132,14 @@ def cosine_similarity(
     min_common: int = MIN_COMMON_USERS,
     block_size: int = DEFAULT_BLOCK_SIZE,
     decimals: int = SIM_DECIMALS,
+    user_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Half matrix (item_i < item_j) of raw-rating cosine similarity.
 
     Keeps pairs with ``common_users >= min_common`` and ``similarity > 0``.
+    ``user_counts`` (user_id, n_train, ...) may be passed to reuse counts.
     """
-    pairs = co_rating_pairs(train, "rating", block_size=block_size)
+    pairs = co_rating_pairs(train, "rating", block_size=block_size, user_counts=user_counts)
     s = _with_similarity(_pair_sums(pairs), decimals)
     return s.filter(
         (F.col("common_users") >= F.lit(min_common)) & (F.col("similarity") > F.lit(0.0))

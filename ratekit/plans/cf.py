@@ -30,10 +30,11 @@ from ratekit.operators.similarity import (
     cosine_similarity,
     mirror,
     top_neighbours,
+    user_counts,
     user_stats,
 )
 from ratekit.operators.split import holdout, train_summary
-from ratekit.session import materialize
+from ratekit.session import materialize, persist_tracked
 
 
 @dataclass
@@ -59,12 +60,14 @@ def cosine_knn(
     checkpoint: bool = True,
 ) -> CFResult:
     train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=True)
-    sim = cosine_similarity(train, min_common=min_common, block_size=block_size)
+    # Per-user counts once: both skew checks (self-join, test x train) read it.
+    counts = persist_tracked(user_counts(train, test))
+    sim = cosine_similarity(train, min_common=min_common, block_size=block_size, user_counts=counts)
     if checkpoint:
         sim = materialize(sim)
     sim_all = mirror(sim)
     mean = train_summary(train).getField("mean")
-    scored = predict_knn(test, train, sim_all, mean, k=k, block_size=block_size)
+    scored = predict_knn(test, train, sim_all, mean, k=k, block_size=block_size, user_counts=counts)
     return CFResult(train, test, sim, sim_all, scored, evaluate(scored, train))
 
 
@@ -82,8 +85,9 @@ def centered_knn(
     checkpoint: bool = True,
 ) -> CFResult:
     train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=True)
-    stats = user_stats(train)
-    centered = centered_ratings(train, stats)
+    stats = persist_tracked(user_stats(train))
+    # Read by the self-join (capped users) and by the prediction (all users).
+    centered = persist_tracked(centered_ratings(train, stats))
     sim = adjusted_cosine_similarity(
         centered, min_common=min_common, max_user_ratings=max_user_ratings, block_size=block_size
     )
