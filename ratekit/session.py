@@ -8,6 +8,7 @@ it is unset *and* the session runs in local mode (tests, laptops).
 from __future__ import annotations
 
 import tempfile
+import weakref
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -85,7 +86,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_CACHED: dict[int, list[DataFrame]] = {}
+_CACHED: weakref.WeakKeyDictionary[SparkSession, list[DataFrame]] = weakref.WeakKeyDictionary()
 
 
 def persist_tracked(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
@@ -94,13 +95,13 @@ def persist_tracked(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND
     MEMORY_AND_DISK: blocks lost with an executor are recomputed from lineage.
     """
     out = df.persist(level)
-    _CACHED.setdefault(id(df.sparkSession._jsparkSession), []).append(out)
+    _CACHED.setdefault(df.sparkSession, []).append(out)
     return out
 
 
 def release_cached(spark: SparkSession) -> int:
     """Unpersist every frame the operators persisted in this session."""
-    frames = _CACHED.pop(id(spark._jsparkSession), [])
+    frames = _CACHED.pop(spark, [])
     for df in frames:
         df.unpersist(blocking=False)
     return len(frames)

@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,20 +28,20 @@ COLUMNS = {
     "orders": "o_orderkey BIGINT, o_custkey BIGINT",
 }
 
-_READERS: dict[tuple[int, str], DataFrame] = {}
+_READERS: weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = weakref.WeakKeyDictionary()
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one table; the DataFrame is memoised per session and path so
     repeated plans share the file listing."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _READERS.get(key)
+    per_session = _READERS.setdefault(spark, {})
+    df = per_session.get(path)
     if df is None:
         reader = spark.read
         if name in COLUMNS:
             reader = reader.schema(COLUMNS[name])
-        df = _READERS[key] = reader.parquet(path)
+        df = per_session[path] = reader.parquet(path)
     return df
 
 
