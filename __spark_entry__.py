@@ -27,6 +27,7 @@ from ratekit.operators import (
     holdout,
     knn_neighbours,
     mirror,
+    neighbour_summary,
     predict_centered,
     predict_knn,
     rating_stats,
@@ -235,6 +236,20 @@ def q_evaluate_knn_exact_split(spark, d):
     return _round(r.metrics)
 
 
+def q_neighbour_summary(spark, d):
+    return neighbour_summary(top_neighbours(mirror(_adj(spark, d)), k=K))
+
+
+def q_cf_report_lines_centered(spark, d):
+    r = centered_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K, max_user_ratings=CAP)
+    return cf_report_lines(
+        r.metrics,
+        "Adjusted item-based collaborative filtering",
+        f"adjusted cosine, min_common_users={MIN_COMMON}, top_k={K}, max_user_ratings={CAP}",
+        neighbours=r.neighbours,
+    )
+
+
 def q_cf_report_lines(spark, d):
     r = cosine_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K)
     return cf_report_lines(
@@ -273,6 +288,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "adjusted_cosine": q_adjusted_cosine,
         "similarity_mirrored": q_similarity_mirrored,
         "top_neighbours": q_top_neighbours,
+        "neighbour_summary": q_neighbour_summary,
         "knn_neighbours": q_knn_neighbours,
         "knn_neighbours_blocked": q_knn_neighbours_blocked,
         "predict_knn": q_predict_knn,
@@ -281,6 +297,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "evaluate_centered": q_evaluate_centered,
         "evaluate_knn_exact_split": q_evaluate_knn_exact_split,
         "cf_report_lines": q_cf_report_lines,
+        "cf_report_lines_centered": q_cf_report_lines_centered,
     }
 
 
@@ -506,7 +523,9 @@ def _report_sql() -> str:
     )
 
 
-def _cf_report_sql() -> str:
+def _cf_report_sql(scored: str = "scored_k", model: str = "Item-based collaborative filtering",
+                   details: str = f"cosine similarity, min_common_users={MIN_COMMON}, top_k={K}",
+                   with_neighbours: bool = False) -> str:
     fixed = [
         (0, 0, "# Collaborative filtering results"),
         (0, 1, ""),
@@ -518,18 +537,26 @@ def _cf_report_sql() -> str:
     ]
     fixed_rows = ", ".join(f"({a}, {b}, {_sql_str(t)})" for a, b, t in fixed)
     f6 = lambda c: f"printf('%.6f', round({c}, 6))"
-    details = f"cosine similarity, min_common_users={MIN_COMMON}, top_k={K}"
+    nb_lines = ""
+    needed = [scored, "tsum"]
+    if with_neighbours:
+        needed.append("nb")
+        nb_lines = (
+            "UNION ALL SELECT 3, 4, '- Top-similarity table rows: ' || CAST(count(*) AS VARCHAR) || '.' FROM nb "
+            "UNION ALL SELECT 3, 5, '- Items with learned neighbors: ' || CAST(count(DISTINCT target_item) AS VARCHAR) || '.' FROM nb "
+        )
     return (
-        _with("scored_k", "tsum")
-        + f", m AS ({_metrics_sql('scored_k')}) "
+        _with(*needed)
+        + f", m AS ({_metrics_sql(scored)}) "
         f"SELECT CAST(col0 AS BIGINT) AS section, CAST(col1 AS BIGINT) AS line, col2 AS text FROM (VALUES {fixed_rows}) "
         "UNION ALL SELECT 1, 5, '| train rows | ' || CAST(train_rows AS VARCHAR) || ' |' FROM m "
         "UNION ALL SELECT 1, 6, '| test rows | ' || CAST(test_rows AS VARCHAR) || ' |' FROM m "
         f"UNION ALL SELECT 1, 7, '| mean rating in train | ' || {f6('train_mean')} || ' |' FROM m "
         f"UNION ALL SELECT 1, 8, '| baseline RMSE on test | ' || {f6('baseline_rmse')} || ' |' FROM m "
         f"UNION ALL SELECT 2, 5, '| Train mean baseline | ' || {f6('baseline_rmse')} || ' | prediction = ' || {f6('train_mean')} || ' |' FROM m "
-        f"UNION ALL SELECT 2, 6, '| Item-based collaborative filtering | ' || {f6('cf_rmse')} || ' | {details}, coverage=' || printf('%.2f', round(coverage * 100.0, 2)) || '% |' FROM m "
-        "UNION ALL SELECT 3, 3, '- Fallback predictions: ' || CAST(fallback_count AS VARCHAR) || ' of ' || CAST(test_rows AS VARCHAR) || ' test rows.' FROM m"
+        f"UNION ALL SELECT 2, 6, '| {model} | ' || {f6('cf_rmse')} || ' | {details}, coverage=' || printf('%.2f', round(coverage * 100.0, 2)) || '% |' FROM m "
+        "UNION ALL SELECT 3, 3, '- Fallback predictions: ' || CAST(fallback_count AS VARCHAR) || ' of ' || CAST(test_rows AS VARCHAR) || ' test rows.' FROM m "
+        + nb_lines
     )
 
 
@@ -596,4 +623,12 @@ def oracle_sql() -> dict[str, str]:
         "evaluate_knn_exact_split": _with("scored_k", "tsum", overrides={"flagged": _EXACT_FLAG})
         + _metrics_sql("scored_k"),
         "cf_report_lines": _cf_report_sql(),
+        "cf_report_lines_centered": _cf_report_sql(
+            "scored_c",
+            "Adjusted item-based collaborative filtering",
+            f"adjusted cosine, min_common_users={MIN_COMMON}, top_k={K}, max_user_ratings={CAP}",
+            with_neighbours=True,
+        ),
+        "neighbour_summary": _with("nb")
+        + "SELECT count(*) AS neighbour_rows, count(DISTINCT target_item) AS learned_items FROM nb",
     }

@@ -78,7 +78,9 @@ def _cf(args, spark) -> None:
         "random": f"Bernoulli rand(seed={args.seed}) < {args.frac}",
     }[args.split]
     if args.report:
-        write_report(cf_report_lines(r.metrics, model, details, split=split), args.report)
+        write_report(
+            cf_report_lines(r.metrics, model, details, split=split, neighbours=r.neighbours), args.report
+        )
         print(f"report written to {args.report}")
 
 

@@ -15,6 +15,7 @@ from ratekit.operators.similarity import (
     co_rating_pairs,
     cosine_similarity,
     mirror,
+    neighbour_summary,
     top_neighbours,
     user_counts,
     user_stats,
@@ -38,6 +39,7 @@ __all__ = [
     "knn_candidates",
     "knn_neighbours",
     "mirror",
+    "neighbour_summary",
     "predict_centered",
     "predict_knn",
     "rating_stats",

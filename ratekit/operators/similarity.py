@@ -220,3 +220,12 @@ def top_neighbours(sim_all: DataFrame, k: int = TOP_K) -> DataFrame:
             F.col("_rank").cast("bigint").alias("neighbor_rank"),
         )
     )
+
+
+def neighbour_summary(neighbours: DataFrame) -> DataFrame:
+    """One row: neighbour_rows, learned_items (targets with at least one
+    neighbour). Both are partially aggregated."""
+    return neighbours.agg(
+        F.count(F.lit(1)).alias("neighbour_rows"),
+        F.count_distinct("target_item").alias("learned_items"),
+    )

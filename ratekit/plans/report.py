@@ -99,8 +99,13 @@ def cf_report_lines(
     model: str,
     details: str,
     split: str = "deterministic hash of (user, item), 80 of 100 buckets",
+    neighbours: DataFrame | None = None,
 ) -> DataFrame:
-    """Split/baseline table, result table and notes from the one-row metrics."""
+    """Split/baseline table, result table and notes from the one-row metrics.
+
+    With the model-time ``neighbours`` table (adjusted model) the notes also
+    give its row count and the number of items with learned neighbours.
+    """
     spark = metrics.sparkSession
     fixed = [
         (0, 0, "# Collaborative filtering results"),
@@ -151,7 +156,28 @@ def cf_report_lines(
             "- Fallback predictions: %d of %d test rows.", F.col("fallback_count"), F.col("test_rows")
         ).alias("text"),
     )
-    return _fixed(spark, fixed).unionByName(rows).unionByName(notes)
+    out = _fixed(spark, fixed).unionByName(rows).unionByName(notes)
+    if neighbours is not None:
+        from ratekit.operators.similarity import neighbour_summary
+
+        nb = neighbour_summary(neighbours).select(
+            F.explode(
+                F.array(
+                    F.struct(
+                        F.lit(3).cast("bigint").alias("section"),
+                        F.lit(4).cast("bigint").alias("line"),
+                        F.format_string("- Top-similarity table rows: %d.", "neighbour_rows").alias("text"),
+                    ),
+                    F.struct(
+                        F.lit(3).cast("bigint").alias("section"),
+                        F.lit(5).cast("bigint").alias("line"),
+                        F.format_string("- Items with learned neighbors: %d.", "learned_items").alias("text"),
+                    ),
+                )
+            ).alias("l")
+        ).select("l.*")
+        out = out.unionByName(nb)
+    return out
 
 
 def write_report(lines: DataFrame, path: str) -> None:
