@@ -182,6 +182,14 @@ def q_cosine_similarity_blocked(spark, d):
     return _round(cosine_similarity(train, min_common=MIN_COMMON, block_size=8))
 
 
+def q_adjusted_cosine_uncapped(spark, d):
+    # No user cap: every user with two or more ratings teaches similarity;
+    # heavy users go through the blocked self-join.
+    train, _ = _split(spark, d)
+    c = centered_ratings(train, user_stats(train))
+    return _round(adjusted_cosine_similarity(c, min_common=MIN_COMMON, max_user_ratings=None))
+
+
 def q_adjusted_cosine(spark, d):
     return _round(_adj(spark, d))
 
@@ -286,6 +294,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cosine_similarity": q_cosine_similarity,
         "cosine_similarity_blocked": q_cosine_similarity_blocked,
         "adjusted_cosine": q_adjusted_cosine,
+        "adjusted_cosine_uncapped": q_adjusted_cosine_uncapped,
         "similarity_mirrored": q_similarity_mirrored,
         "top_neighbours": q_top_neighbours,
         "neighbour_summary": q_neighbour_summary,
@@ -602,6 +611,13 @@ def oracle_sql() -> dict[str, str]:
         "cosine_similarity": cos_sim,
         "cosine_similarity_blocked": cos_sim,
         "adjusted_cosine": _with("adj_sim") + f"SELECT item_i, item_j, {_r('similarity')}, common_users FROM adj_sim",
+        "adjusted_cosine_uncapped": _with(
+            "adj_sim",
+            overrides={
+                "teach": "SELECT user_id, item_id, centered_rating AS r FROM centered WHERE train_rating_count >= 2"
+            },
+        )
+        + f"SELECT item_i, item_j, {_r('similarity')}, common_users FROM adj_sim",
         "similarity_mirrored": _with("cos_all")
         + f"SELECT item_i, item_j, {_r('similarity')}, common_users, {_r('abs_similarity')} FROM cos_all",
         "top_neighbours": _with("nb")
