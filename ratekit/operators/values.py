@@ -21,7 +21,9 @@ def explode_values(
     would split into characters). NULL tag strings produce no row; an empty
     string produces one empty value, as a string split does.
     """
-    parts = F.split(F.col(tags_col), re.escape(sep))
+    # Java-regex literal quoting: the separator never acts as a pattern.
+    pattern = "\\Q" + sep + "\\E" if "\\E" not in sep else re.escape(sep)
+    parts = F.split(F.col(tags_col), pattern)
     return items.select(*keep, F.explode(parts).alias(out_col))
 
 
