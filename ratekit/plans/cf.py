@@ -10,6 +10,13 @@
 The similarity table (the quadratic part) is checkpointed into the shared
 checkpoint folder so later stages never re-run the self-join after an
 executor loss.
+
+``cache_inputs`` (default True) persists the split ratings, which the
+pipeline reads about eight times (counts, both self-join sides, scalar
+subqueries, candidates, scoring). Keep it when the ratings are derived by an
+expensive plan; turn it off when they are a plain columnar scan much larger
+than the cluster's memory and disk, where re-reading the files with the
+pushed-down split predicate is cheaper than caching them.
 """
 
 from __future__ import annotations
@@ -58,8 +65,9 @@ def cosine_knn(
     k: int = TOP_K,
     block_size: int = DEFAULT_BLOCK_SIZE,
     checkpoint: bool = True,
+    cache_inputs: bool = True,
 ) -> CFResult:
-    train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=True)
+    train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=cache_inputs)
     # Per-user counts once: both skew checks (self-join, test x train) read it.
     counts = persist_tracked(user_counts(train, test))
     sim = cosine_similarity(train, min_common=min_common, block_size=block_size, user_counts=counts)
@@ -83,8 +91,9 @@ def centered_knn(
     hi: float = MAX_RATING,
     block_size: int = DEFAULT_BLOCK_SIZE,
     checkpoint: bool = True,
+    cache_inputs: bool = True,
 ) -> CFResult:
-    train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=True)
+    train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=cache_inputs)
     stats = persist_tracked(user_stats(train))
     # Read by the self-join (capped users) and by the prediction (all users).
     centered = persist_tracked(centered_ratings(train, stats))
