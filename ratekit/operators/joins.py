@@ -23,8 +23,18 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def shuffle_partitions(df: DataFrame) -> int:
-    """The session's configured shuffle partition count."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Partition count for joins whose output is much larger than their input.
+
+    The session's ``spark.sql.shuffle.partitions``, capped at four tasks per
+    core of the cluster (``defaultParallelism``): on a cluster the configured
+    count applies, on a small machine with Spark's default of 200 it avoids
+    hundreds of near-empty tasks that AQE could not coalesce (an explicit
+    partition count is never coalesced).
+    """
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    return max(1, min(configured, 4 * cores))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
