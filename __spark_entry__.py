@@ -208,7 +208,8 @@ def q_knn_neighbours(spark, d):
 
 
 def q_knn_neighbours_blocked(spark, d):
-    # Block size 8 splits every user into test x train blocks: the skew path.
+    # Threshold 8: every user with more than 8 training ratings takes the
+    # item-driven path meant for heavy users (the skew path).
     train, test = _split(spark, d)
     sim_all = mirror(cosine_similarity(train, MIN_COMMON))
     return _round(knn_neighbours(test, train, sim_all, k=K, block_size=8))

@@ -23,12 +23,12 @@ from ratekit.functions.columns import clip, safe_ratio
 from ratekit.operators.joins import (
     DEFAULT_BLOCK_SIZE,
     DEFAULT_MAX_BROADCAST_ROWS,
-    blocked_join,
     broadcast_if_small,
-    heavy_keys,
+    shuffle_partitions,
 )
 from ratekit.operators.similarity import TOP_K
 from ratekit.operators.similarity import user_counts as _user_counts
+from ratekit.session import persist_tracked
 
 # The rating range used for clipping.
 MIN_RATING = 0.5
@@ -44,11 +44,23 @@ def knn_candidates(
     user_counts: DataFrame | None = None,
 ) -> DataFrame:
     """(user_id, target_item, rated_item, neighbor_rating, similarity,
-    abs_similarity, common_users) for every usable neighbour rating.
-
-    test x train on the user is the large intermediate (each test row meets
-    all of its user's training ratings); a user heavy on either side is split
-    into blocks by :func:`blocked_join`.
+    abs_similarity, common_users) for every usable neighbour rating: an item
+    the user rated in train that has a similarity to the test target.
+
+    Two exact ways to the same rows, chosen per user:
+
+    * user-driven (users with at most ``block_size`` training ratings): test
+      and train are hash-partitioned by user, every test row meets the
+      user's training ratings, then the similarity of each pair. Cost
+      test_u x train_u per user.
+    * item-driven (heavier users): every test row meets the similarity
+      partners of its target, then the user's rating of that partner by an
+      equi-join on (user, item). Cost test_u x partners(target), linear in
+      the user's size, so a user holding a third of all ratings is neither
+      quadratic nor one task.
+
+    The similarity table is broadcast only under a checked row bound; beyond
+    it both joins on it shuffle.
     """
     t = test.select("user_id", F.col("item_id").alias("target_item"))
     r = train.select(
@@ -56,24 +68,38 @@ def knn_candidates(
         F.col("item_id").alias("rated_item"),
         F.col("rating").alias("neighbor_rating"),
     )
-    counts = user_counts if user_counts is not None else _user_counts(train, test)
-    heavy = heavy_keys(counts, "user_id", "n_test", "n_train", block_size)
-    cand = blocked_join(t, r, "user_id", heavy, ["target_item"], ["rated_item"]).filter(
-        F.col("target_item") != F.col("rated_item")
+    s = broadcast_if_small(
+        sim_all.select(
+            F.col("item_i").alias("target_item"),
+            F.col("item_j").alias("rated_item"),
+            "similarity",
+            "abs_similarity",
+            "common_users",
+        ),
+        max_broadcast_rows,
     )
-    s = sim_all.select(
-        F.col("item_i").alias("target_item"),
-        F.col("item_j").alias("rated_item"),
-        "similarity",
-        "abs_similarity",
-        "common_users",
+    counts = user_counts if user_counts is not None else _user_counts(train, test)
+    heavy = persist_tracked(counts.filter(F.col("n_train") > F.lit(block_size)).select("user_id"))
+    n_heavy = heavy.count()
+    n = shuffle_partitions(t)
+
+    def user_driven(tt: DataFrame, rr: DataFrame) -> DataFrame:
+        # Exploding join: pinned partition count (see shuffle_partitions).
+        cand = tt.repartition(n, "user_id").join(rr.repartition(n, "user_id"), "user_id", "inner")
+        cand = cand.filter(F.col("target_item") != F.col("rated_item"))
+        return cand.join(s, ["target_item", "rated_item"], "inner")
+
+    if n_heavy == 0:
+        return user_driven(t, r)
+    hv = F.broadcast(heavy) if n_heavy <= max_broadcast_rows else heavy
+    light = user_driven(t.join(hv, "user_id", "left_anti"), r.join(hv, "user_id", "left_anti"))
+    # The similarity table has no self pairs, so target != rated holds here.
+    item_driven = (
+        t.join(hv, "user_id", "left_semi")
+        .join(s, "target_item", "inner")
+        .join(r.join(hv, "user_id", "left_semi"), ["user_id", "rated_item"], "inner")
     )
-    # Broadcast the similarity table only under a checked row bound; then the
-    # candidates are never shuffled by (target, rated) and the ranking window
-    # reuses the user partitioning of the join above. Beyond the bound both
-    # sides shuffle on (target, rated).
-    s = broadcast_if_small(s, max_broadcast_rows)
-    return cand.join(s, ["target_item", "rated_item"], "inner")
+    return light.unionByName(item_driven)
 
 
 def knn_neighbours(
