@@ -10,8 +10,16 @@ depend on summation order.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# The package lives next to this file; make it importable however the file
+# is loaded (by path, from another working directory).
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
