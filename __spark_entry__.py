@@ -30,7 +30,6 @@ from ratekit.operators import (
     centered_ratings,
     co_rating_pairs,
     cosine_similarity,
-    evaluate,
     explode_values,
     holdout,
     knn_neighbours,

@@ -3,7 +3,6 @@
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from ratekit.operators import explode_values, rating_stats, top_lists, top_n
 
