@@ -37,13 +37,19 @@ def shuffle_partitions(df: DataFrame) -> int:
     return max(1, min(configured, 4 * cores))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Persist ``df``, count it, and hint a broadcast only under ``max_rows``.
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, persist: bool = True
+) -> DataFrame:
+    """Count ``df`` and hint a broadcast only under ``max_rows``.
 
     Above the bound the frame is returned unhinted and joins shuffle (AQE may
-    still convert at runtime, behind its own byte threshold).
+    still convert at runtime, behind its own byte threshold). ``persist``
+    keeps an expensive plan from running twice (count, then join); pass False
+    when ``df`` is already materialised (a checkpoint), where re-reading is
+    cheaper than caching it again.
     """
-    df = persist_tracked(df)
+    if persist:
+        df = persist_tracked(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -42,6 +42,7 @@ def knn_candidates(
     block_size: int = DEFAULT_BLOCK_SIZE,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     user_counts: DataFrame | None = None,
+    materialized_inputs: bool = False,
 ) -> DataFrame:
     """(user_id, target_item, rated_item, neighbor_rating, similarity,
     abs_similarity, common_users) for every usable neighbour rating: an item
@@ -60,7 +61,8 @@ def knn_candidates(
       quadratic nor one task.
 
     The similarity table is broadcast only under a checked row bound; beyond
-    it both joins on it shuffle.
+    it both joins on it shuffle. ``materialized_inputs=True`` says
+    ``sim_all`` is read from a checkpoint, so it is not persisted again.
     """
     t = test.select("user_id", F.col("item_id").alias("target_item"))
     r = train.select(
@@ -77,6 +79,7 @@ def knn_candidates(
             "common_users",
         ),
         max_broadcast_rows,
+        persist=not materialized_inputs,
     )
     counts = user_counts if user_counts is not None else _user_counts(train, test)
     heavy = persist_tracked(counts.filter(F.col("n_train") > F.lit(block_size)).select("user_id"))
@@ -109,12 +112,20 @@ def knn_neighbours(
     k: int = TOP_K,
     block_size: int = DEFAULT_BLOCK_SIZE,
     user_counts: DataFrame | None = None,
+    materialized_inputs: bool = False,
 ) -> DataFrame:
     """The ``k`` best candidates per test row, with ``neighbor_rank`` 1..k.
 
     Order: |similarity| desc, common users desc, rated item asc.
     """
-    cand = knn_candidates(test, train, sim_all, block_size=block_size, user_counts=user_counts)
+    cand = knn_candidates(
+        test,
+        train,
+        sim_all,
+        block_size=block_size,
+        user_counts=user_counts,
+        materialized_inputs=materialized_inputs,
+    )
     w = Window.partitionBy("user_id", "target_item").orderBy(
         F.col("abs_similarity").desc(), F.col("common_users").desc(), F.col("rated_item").asc()
     )
@@ -134,10 +145,19 @@ def predict_knn(
     k: int = TOP_K,
     block_size: int = DEFAULT_BLOCK_SIZE,
     user_counts: DataFrame | None = None,
+    materialized_inputs: bool = False,
 ) -> DataFrame:
     """Scored test rows: user_id, item_id, true_rating, prediction,
     neighbor_count, is_fallback."""
-    top = knn_neighbours(test, train, sim_all, k=k, block_size=block_size, user_counts=user_counts)
+    top = knn_neighbours(
+        test,
+        train,
+        sim_all,
+        k=k,
+        block_size=block_size,
+        user_counts=user_counts,
+        materialized_inputs=materialized_inputs,
+    )
     # Same partitioning as the window: no extra shuffle for the aggregate.
     pred = top.groupBy("user_id", "target_item").agg(
         F.sum(F.col("similarity") * F.col("neighbor_rating")).alias("weighted_sum"),
@@ -167,6 +187,7 @@ def predict_centered(
     lo: float = MIN_RATING,
     hi: float = MAX_RATING,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    materialized_inputs: bool = False,
 ) -> DataFrame:
     """Scored test rows: user_id, item_id, true_rating, prediction, denom,
     neighbor_count, is_fallback.
@@ -175,11 +196,14 @@ def predict_centered(
     (prediction uses every training rating, not only the capped users), and
     ``neighbours`` is the top-k table of :func:`top_neighbours`. The
     neighbour table has at most items x k rows; it is broadcast only after
-    its row count is checked against ``max_broadcast_rows``.
+    its row count is checked against ``max_broadcast_rows``
+    (``materialized_inputs=True``: it is read from a checkpoint and not
+    persisted again).
     """
     nb = broadcast_if_small(
         neighbours.select("target_item", "neighbor_item", "similarity", "abs_similarity"),
         max_broadcast_rows,
+        persist=not materialized_inputs,
     )
     t = test.select(
         "user_id", F.col("item_id").alias("target_item"), F.col("rating").alias("true_rating")

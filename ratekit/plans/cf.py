@@ -75,7 +75,16 @@ def cosine_knn(
         sim = materialize(sim)
     sim_all = mirror(sim)
     mean = train_summary(train).getField("mean")
-    scored = predict_knn(test, train, sim_all, mean, k=k, block_size=block_size, user_counts=counts)
+    scored = predict_knn(
+        test,
+        train,
+        sim_all,
+        mean,
+        k=k,
+        block_size=block_size,
+        user_counts=counts,
+        materialized_inputs=checkpoint,
+    )
     return CFResult(train, test, sim, sim_all, scored, evaluate(scored, train))
 
 
@@ -107,7 +116,9 @@ def centered_knn(
     if checkpoint:
         nb = materialize(nb)
     mean = train_summary(train).getField("mean")
-    scored = predict_centered(test, centered, nb, stats, mean, lo=lo, hi=hi)
+    scored = predict_centered(
+        test, centered, nb, stats, mean, lo=lo, hi=hi, materialized_inputs=checkpoint
+    )
     return CFResult(
         train, test, sim, sim_all, scored, evaluate(scored, train), stats=stats, neighbours=nb
     )
