@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from ratekit.operators.ranking import DEFAULT_MIN_COUNT, DEFAULT_N, rating_stats, top_lists
 from ratekit.operators.values import explode_values, value_counts
+from ratekit.session import persist_tracked
 
 
 @dataclass
@@ -30,13 +31,15 @@ def value_analysis(
     min_count: int = DEFAULT_MIN_COUNT,
     sep: str = "|",
 ) -> ValueAnalysis:
-    """Everything lazily, stats defined once and shared by all lists.
+    """Stats defined once and shared by all lists.
 
-    Unlike one action per (list, value), the lists come out of one plan and
-    are collected once.
+    Unlike one action per (list, value), the lists come out of one plan. The
+    stats (one row per chosen value and rated item, bounded by the item
+    table) are persisted, so showing the lists and writing the report do not
+    aggregate all ratings again.
     """
     iv = explode_values(items, sep=sep)
-    stats = rating_stats(iv, ratings, values)
+    stats = persist_tracked(rating_stats(iv, ratings, values))
     return ValueAnalysis(
         item_values=iv,
         counts=value_counts(iv),
