@@ -12,12 +12,7 @@ from pyspark.sql import functions as F
 
 from ratekit.functions.columns import safe_ratio
 from ratekit.session import persist_tracked
-from ratekit.operators.joins import (
-    DEFAULT_BLOCK_SIZE,
-    blocked_join,
-    heavy_keys,
-    shuffle_partitions,
-)
+from ratekit.operators.joins import DEFAULT_BLOCK_SIZE, blocked_join, heavy_keys
 
 # Reference thresholds.
 MIN_COMMON_USERS = 5
@@ -92,15 +87,9 @@ def co_rating_pairs(
         heavy = persist_tracked(heavy)
         if heavy.count() == 0:
             heavy = None
-    if heavy is None:
-        # Both sides read one exchange (hash on user): Spark reuses it, so
-        # the ratings are shuffled once for the self-join. The partition
-        # count is pinned to the session's shuffle partitions because the
-        # join output is quadratic in its input: AQE would otherwise
-        # coalesce by input size and starve the pair aggregation.
-        rated = rated.select("user_id", "item_id", value_col).repartition(
-            shuffle_partitions(rated), "user_id"
-        )
+    # Without heavy users blocked_join hash-partitions both sides on user with
+    # a pinned partition count: the output is quadratic in the input, and
+    # AQE's input-size coalescing would otherwise starve the pair aggregation.
     left = rated.select(
         "user_id", F.col("item_id").alias("item_i"), F.col(value_col).alias("r_i")
     )
