@@ -136,3 +136,13 @@ def test_zero_norm_user_gives_no_pair_and_no_error(spark):
     assert (60, 70) not in s
     for v, _ in s.values():
         assert -1.0 - 1e-12 <= v <= 1.0 + 1e-12 and not math.isnan(v)
+
+
+def test_neighbour_summary(data):
+    from ratekit.operators import neighbour_summary
+
+    train, _ = data
+    c = centered_ratings(train, user_stats(train))
+    nb = top_neighbours(mirror(adjusted_cosine_similarity(c, 2, 30)), k=30)
+    row = neighbour_summary(nb).collect()[0]
+    assert (row.neighbour_rows, row.learned_items) == (6, 3)
