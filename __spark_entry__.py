@@ -51,6 +51,16 @@ from ratekit.plans.report import value_report_layout
 from ratekit.session import scratch_path
 from ratekit.sources import cf_ratings, item_ratings, items, read_items_csv, write_csv
 
+try:
+    # The training-data operators are an optional part: without their folder and
+    # the pipeline module the other queries stay as they are.
+    import corpus_pipeline
+    from ratekit.llm import queries as _llm
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "ratekit.llm"):
+        raise
+    corpus_pipeline = _llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 # The three values that stand in for the chosen genres.
 VALUES = ("red", "ring", "widget")
@@ -279,6 +289,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    out = _own_queries()
+    if _llm is not None:
+        out |= _llm.queries() | {"pipeline": corpus_pipeline.run}
+    return out
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "explode_values": q_explode_values,
         "value_counts": q_value_counts,
@@ -584,6 +601,15 @@ _EXACT_FLAG = (
 
 
 def oracle_sql() -> dict[str, str]:
+    out = _own_oracle_sql()
+    if _llm is not None:
+        out |= _llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
+
+
+def _own_oracle_sql() -> dict[str, str]:
     top = {f"top_{by}": _with("stats") + _top_sql(by) for by in _TOP_ORDER}
     pair_counts = (
         _with("train")
