@@ -28,6 +28,7 @@ LOWER[65:91] += 32
 _RNG = np.random.Generator(np.random.PCG64(20240817))
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_POWER = np.cumprod(np.full(32, _BASE), dtype=np.uint64)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -127,16 +128,14 @@ def words_of(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SPACE, kinds:
     at = np.cumsum(count) - count
     out = {}
     for kind in kinds:
+        k = int(kind[3:] or 0) if kind != "word" else 0
         if kind == "word":
             h = np.add.reduceat(val * power[pos], at)
         else:
-            k = int(kind[3:])
-            if kind.startswith("pre"):
-                part = np.where(pos < k, val * power[pos], np.uint64(0))
-            else:
-                back = np.repeat(count, count) - 1 - pos
-                part = np.where(back < k, val * power[back], np.uint64(0))
-            h = np.add.reduceat(part, at) + np.uint64(7919 * (k + 10 * kind.startswith("suf")))
+            h = np.full(len(start), 7919 * (k + 10 * kind.startswith("suf")), np.uint64)
+            for j in range(k):  # bytes beyond the word add nothing
+                byte = data[np.minimum(start + j, end - 1) if kind.startswith("pre") else np.maximum(end - 1 - j, start)]
+                h += np.where(count > j, _BYTE[LOWER[byte]] * _POWER[j], np.uint64(0))
         out[kind] = mix64(h)
     return Words(start, end, doc, first, out)
 

@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, quality
+from . import langid, quality, toxicity
 from .common import held_out, table
 
 
+def op2_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted", "spans"
+    )
+
+
 def op5_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -27,7 +35,7 @@ def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_quality_attention, op9_language_centroids)}
+    return {f.__name__: f for f in (op2_toxicity_crf, op5_quality_attention, op9_language_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
