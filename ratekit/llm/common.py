@@ -141,13 +141,18 @@ def words_of(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SPACE, kinds:
 
 
 def sample_ids(labels: DataFrame, by: str, per_value: int, seed: int = 17) -> DataFrame:
-    """The ``per_value`` rows of each value of ``by`` with the smallest hashed id.
+    """At most ``per_value`` rows of each value of ``by``, those with the smallest hashed id.
 
-    Bounded by values x ``per_value`` and the same in every run; Spark keeps the
-    first ``per_value`` rows of a group before the shuffle (WindowGroupLimit).
+    Bounded by values x ``per_value`` and the same in every run. Counts per value give
+    a hash threshold that lets about twice as many rows through, so a hot value does
+    not meet whole in one task; the rest are ranked.
     """
-    w = Window.partitionBy(by).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
-    return labels.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= per_value).drop("_rank")
+    unit = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    counts = labels.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    near = labels.join(counts, by).withColumn("_u", unit).filter(F.col("_u") * F.col("_n") <= 2.0 * per_value + 20)
+    w = Window.partitionBy(by).orderBy("_u", "doc_id")
+    near = near.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= per_value)
+    return near.drop("_rank", "_u", "_n")
 
 
 def labelled_sample(

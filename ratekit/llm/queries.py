@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, quality, toxicity
+from . import langid, minhash, quality, toxicity
 from .common import held_out, table
 
 
@@ -26,6 +26,10 @@ def op5_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs)
@@ -35,7 +39,7 @@ def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity_crf, op5_quality_attention, op9_language_centroids)}
+    return {f.__name__: f for f in (op2_toxicity_crf, op5_quality_attention, op7_minmax_hash, op9_language_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
