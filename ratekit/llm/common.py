@@ -185,6 +185,19 @@ def as_block(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return text_bytes(pa.array(texts, pa.string()))
 
 
+def text_chunks(texts: list[str], max_bytes: int = BLOCK_BYTES):
+    """Blocks of the texts in order, of about ``max_bytes`` each, so that token arrays stay small."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= max_bytes:
+            yield as_block(part)
+            part, size = [], 0
+    if part:
+        yield as_block(part)
+
+
 def logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40.0, 40.0)))
 

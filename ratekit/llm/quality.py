@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import BLOCK_BYTES, NON_WORD, as_block, blocks, labelled_sample, logistic, text_bytes, with_fields, words_of
+from .common import BLOCK_BYTES, NON_WORD, blocks, labelled_sample, logistic, text_bytes, text_chunks, with_fields, words_of
 
 PASSAGE = 64
 _SMALL = BLOCK_BYTES // 4
@@ -159,8 +159,10 @@ def fit(
     y = np.array([v for _, v in rows], float)
     if len(y) == 0 or y.min() == y.max():
         return None
-    x, first = passages(*as_block([t for t, _ in rows]))
-    return _train(x.astype(float), first, y, hidden, gate, epochs, 128, 7)
+    bags = [passages(data, offs) for data, offs in text_chunks([t for t, _ in rows])]
+    x = np.concatenate([b for b, _ in bags]).astype(float)
+    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(f) for _, f in bags]))])
+    return _train(x, first, y, hidden, gate, epochs, 128, 7)
 
 
 def annotate(documents: DataFrame, model: QualityModel | None, threshold: float = 0.3) -> DataFrame:

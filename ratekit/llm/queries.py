@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, minhash, quality, toxicity
+from . import langid, minhash, quality, toxicity, vectors
 from .common import held_out, table
 
 
+def op1_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op2_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -39,7 +43,7 @@ def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity_crf, op5_quality_attention, op7_minmax_hash, op9_language_centroids)}
+    return {f.__name__: f for f in (op1_metric_range_join, op2_toxicity_crf, op5_quality_attention, op7_minmax_hash, op9_language_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:

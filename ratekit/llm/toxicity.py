@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import BLOCK_BYTES, NON_WORD, as_block, blocks, labelled_sample, logistic, mix64, text_bytes, words_of
+from .common import BLOCK_BYTES, NON_WORD, Words, blocks, labelled_sample, logistic, mix64, text_bytes, text_chunks, words_of
 
 ROW = 64
 KINDS = ("word", "pre6", "pre5", "pre4", "suf3")
@@ -183,6 +183,15 @@ def label_tokens(w, y: np.ndarray, min_z: float) -> np.ndarray:
     return toxic & (y[w.doc] == 1)
 
 
+def _gathered(texts: list[str]) -> Words:
+    """Words of all texts, found block by block (byte spans are dropped)."""
+    got = [words_of(data, offs, NON_WORD, KINDS) for data, offs in text_chunks(texts)]
+    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(w.first) for w in got]))])
+    doc = np.repeat(np.arange(len(texts)), np.diff(first))
+    none = np.zeros(0, np.int64)
+    return Words(none, none, doc, first, {k: np.concatenate([w.hashes[k] for w in got]) for k in KINDS})
+
+
 def _distinct(w, n: int) -> np.ndarray:
     """False for texts that share the smallest or largest hashed word pair with an earlier one."""
     keep = np.ones(n, bool)
@@ -274,15 +283,13 @@ def fit(
     y = np.array([v for _, v in rows], np.int64)
     if len(y) == 0 or y.min() == y.max():
         return None
-    data, offs = as_block([t for t, _ in rows])
-    w, feats = _tokens(data, offs)
+    w = _gathered([t for t, _ in rows])
     keep = _distinct(w, len(y))
-    if not len(w.start) or y[keep].min() == y[keep].max():
+    if not len(w.doc) or y[keep].min() == y[keep].max():
         return None
     if not keep.all():  # copies would count as independent evidence
         rows, y = [r for r, k in zip(rows, keep) if k], y[keep]
-        data, offs = as_block([t for t, _ in rows])
-        w, feats = _tokens(data, offs)
+        w = _gathered([t for t, _ in rows])
     toxic = label_tokens(w, y, min_z)
     seg = (np.arange(len(w.doc)) - w.first[w.doc]) // segment
     starts = np.flatnonzero(np.concatenate([[True], (w.doc[1:] != w.doc[:-1]) | (seg[1:] != seg[:-1])]))
@@ -297,15 +304,11 @@ def fit(
     rows_ = np.concatenate([np.arange(starts[i], ends[i]) for i in take])
     head = np.zeros(len(rows_), bool)
     head[np.concatenate([[0], np.cumsum(ends[take] - starts[take])[:-1]])] = True
-    model = _train(feats[:, rows_], head, toxic[rows_], rounds, 1e-6)
+    feats = np.stack([(w.hashes[k][rows_] >> _SHIFT).astype(np.int64) for k in KINDS])
+    model = _train(feats, head, toxic[rows_], rounds, 1e-6)
     # calibration over the whole texts of the sample
-    parts_, at = [], 0
-    while at < len(rows):
-        to = min(len(rows), at + 100)
-        lo, hi = offs[at], offs[to]
-        parts_.append(_features(model, data[lo:hi], offs[at : to + 1] - lo)[2])
-        at = to
-    model.calib = _calibrate(np.concatenate(parts_), y)
+    x = [_features(model, data, offs)[2] for data, offs in text_chunks([t for t, _ in rows])]
+    model.calib = _calibrate(np.concatenate(x), y)
     return model
 
 
