@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, minhash, quality, toxicity, vectors
+from . import langid, minhash, mixing, quality, toxicity, vectors
 from .common import held_out, table
 
 
@@ -22,6 +22,10 @@ def op2_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -43,8 +47,8 @@ def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_metric_range_join, op2_toxicity_crf, op5_quality_attention, op7_minmax_hash, op9_language_centroids)}
+    return {f.__name__: f for f in (op1_metric_range_join, op2_toxicity_crf, op3_source_mix, op5_quality_attention, op7_minmax_hash, op9_language_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_source_mix": mixing.ORACLE_SQL}
