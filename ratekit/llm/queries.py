@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, minhash, mixing, quality, toxicity, vectors
+from . import bpe, langid, minhash, mixing, quality, toxicity, vectors
 from .common import held_out, table
 
 
@@ -26,6 +27,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -47,7 +52,7 @@ def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_metric_range_join, op2_toxicity_crf, op3_source_mix, op5_quality_attention, op7_minmax_hash, op9_language_centroids)}
+    return {f.__name__: f for f in (op1_metric_range_join, op2_toxicity_crf, op3_source_mix, op4_bpe_prefixes, op5_quality_attention, op7_minmax_hash, op9_language_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
