@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, minhash, mixing, quality, toxicity, vectors
+from . import bpe, digest, htmltext, langid, minhash, mixing, quality, toxicity, vectors
 from .common import held_out, table
 
 
@@ -43,6 +43,10 @@ def op7_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op8_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs)
@@ -51,8 +55,23 @@ def op9_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_metric_range_join, op2_toxicity_crf, op3_source_mix, op4_bpe_prefixes, op5_quality_attention, op7_minmax_hash, op9_language_centroids)}
+    found = (
+        op1_metric_range_join,
+        op2_toxicity_crf,
+        op3_source_mix,
+        op4_bpe_prefixes,
+        op5_quality_attention,
+        op7_minmax_hash,
+        op8_html_blocks,
+        op9_language_centroids,
+        op10_quartile_digest,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
