@@ -165,10 +165,12 @@ def _predict(model: LanguageModel | None, batch: pa.RecordBatch) -> dict:
     return {"lang_pred": lang, "score": score, "rejected": rejected}
 
 
-def annotate(documents: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """``documents`` with lang_pred, score and rejected appended (clashing columns are replaced)."""
-    new = [c.split()[0] for c in _OUT.split(", ")]
-    base = documents.select([c for c in documents.columns if c not in new])
+def annotate(documents: DataFrame, model: LanguageModel | None, prefix: str = "") -> DataFrame:
+    """``documents`` with lang_pred, score and rejected appended; ``prefix`` sets the new names
+    apart from columns that ``documents`` has (a clashing column is replaced)."""
+    out = ", ".join(prefix + c for c in _OUT.split(", "))
+    new = [c.split()[0] for c in out.split(", ")]
+    base = documents.select([c for c in documents.columns if c not in [*new, "_letter"]])
     src = base.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     names = base.columns
 
@@ -179,7 +181,7 @@ def annotate(documents: DataFrame, model: LanguageModel | None) -> DataFrame:
             cols += [pa.array(got["lang_pred"], pa.string()), pa.array(got["score"]), pa.array(got["rejected"])]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, *new])
 
-    return src.mapInArrow(predict, with_fields(base.schema, _OUT))
+    return src.mapInArrow(predict, with_fields(base.schema, out))
 
 
 def classify(documents: DataFrame, model: LanguageModel | None) -> DataFrame:

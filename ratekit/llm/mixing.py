@@ -100,6 +100,20 @@ def mix(documents: DataFrame) -> DataFrame:
     return joined.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+def mixed_documents(documents: DataFrame) -> DataFrame:
+    """Rows of ``documents`` as often as the mix takes them, whole texts only.
+
+    A document comes round(taken / size) times, so the one at a source's border comes
+    once more or not at all; rows that share a doc_id come equally often. Documents
+    without words are not taken.
+    """
+    copies = mix(documents).groupBy(F.col("doc_id").alias("_id")).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
+    copies = copies.select("_id", F.floor(F.try_divide("t", "s") + 0.5).cast("int").alias("_n")).filter("_n > 0")
+    joined = documents.join(copies, documents["doc_id"].eqNullSafe(F.col("_id")))
+    out = [documents[c] for c in documents.columns]
+    return joined.select(*out, F.explode(F.sequence(F.lit(1), "_n")).alias("_copy")).drop("_copy")
+
+
 ORACLE_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,

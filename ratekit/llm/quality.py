@@ -165,9 +165,11 @@ def fit(
     return _train(x, first, y, hidden, gate, epochs, 128, 7)
 
 
-def annotate(documents: DataFrame, model: QualityModel | None, threshold: float = 0.3) -> DataFrame:
-    """``documents`` with score and predicted appended (clashing columns are replaced)."""
-    base = documents.select([c for c in documents.columns if c not in ("score", "predicted")])
+def annotate(documents: DataFrame, model: QualityModel | None, threshold: float = 0.3, prefix: str = "") -> DataFrame:
+    """``documents`` with score and predicted appended; ``prefix`` sets the new names apart
+    from columns that ``documents`` has (a clashing column is replaced)."""
+    new = [f"{prefix}score", f"{prefix}predicted"]
+    base = documents.select([c for c in documents.columns if c not in new])
     names = base.columns
 
     def run(batches):
@@ -178,9 +180,9 @@ def annotate(documents: DataFrame, model: QualityModel | None, threshold: float
                 s = _forward(model, *passages(*text_bytes(b.column("text"))))[-1]
             cols = [b.column(c) for c in names]
             cols += [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, *new])
 
-    return base.mapInArrow(run, with_fields(base.schema, "score double, predicted int"))
+    return base.mapInArrow(run, with_fields(base.schema, f"{new[0]} double, {new[1]} int"))
 
 
 def score(documents: DataFrame, model: QualityModel | None, threshold: float = 0.3) -> DataFrame:
