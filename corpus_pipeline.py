@@ -1,30 +1,60 @@
-"""Corpus pipeline over ``documents``: each stage applies one operator of ``ratekit.llm``."""
+"""Corpus pipeline over ``documents``: each stage applies one operator of ``ratekit.llm``.
+
+A stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and
+fits its own model on them; all but the last return the columns of ``documents``.
+Null ids are documents of their own, extra columns pass through, and empty tables
+give empty results.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratekit.llm import langid, quality
+from ratekit.llm import bpe, langid, minhash, mixing, quality
 from ratekit.llm.common import table
 from ratekit.session import scratch_path
 
-# Classifiers, min-hash groups and token ids have no SQL form; see tests/llm.
+# Classifiers, min-hash groups and token ids have no SQL form; tests/llm compare
+# the run with a brute-force version.
 ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the model learns from ``docs`` itself."""
-    kept = langid.annotate(docs, langid.fit(docs)).filter("NOT rejected")
-    return kept.select(docs.columns)
+    judged = langid.annotate(docs, langid.fit(docs), prefix="_lang_")
+    return judged.filter("NOT _lang_rejected").select(docs.columns)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts as 1."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.annotate(docs, model).filter("predicted = 1").select(docs.columns)
+    return quality.annotate(docs, model, prefix="_quality_").filter("_quality_predicted = 1").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates."""
+    groups = minhash.near_duplicates(docs, width=5, percent=80)
+    return docs.join(groups.filter("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated as the source mix takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix, with their hashes."""
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 
-STAGES = [("language", language), ("quality", quality_filter)]
+STAGES = [
+    ("language", language),
+    ("quality", quality_filter),
+    ("near_duplicates", near_duplicates),
+    ("mix", mix),
+    ("encode", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
