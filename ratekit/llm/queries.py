@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, htmltext, langid, minhash, mixing, quality, toxicity, vectors
+from . import bpe, digest, htmltext, langid, licences, minhash, mixing, quality, toxicity, vectors
 from .common import held_out, table
 
 
@@ -39,6 +39,11 @@ def op5_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = licences.document_files(table(spark, sf_dir, "documents"))
+    return licences.scan(files).withColumnRenamed("id", "doc_id")
+
+
 def op7_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_source_mix,
         op4_bpe_prefixes,
         op5_quality_attention,
+        op6_licence_scan,
         op7_minmax_hash,
         op8_html_blocks,
         op9_language_centroids,
