@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 from .common import BLOCK_BYTES, NON_WORD, Words, blocks, labelled_sample, logistic, mix64, text_bytes, text_chunks, words_of
 
 ROW = 64
-KINDS = ("word", "pre6", "pre5", "pre4", "suf3")
+KINDS = ("word", "pre7", "pre6", "pre5", "pre4", "suf3")
 # kinds whose counts may label a token of the fitted sample
-LABEL_KINDS = ("word", "pre6", "pre5", "pre4")
+LABEL_KINDS = ("word", "pre7", "pre6", "pre5", "pre4")
 BITS = 18
 _SMALL = BLOCK_BYTES // 4
 _SHIFT = np.uint64(64 - BITS)
@@ -153,31 +153,33 @@ def _features(m: ToxicModel, data: np.ndarray, offs: np.ndarray):
     return w, p, np.stack([np.ones(n), np.log(q / (1 - q)), np.log1p(total)], axis=1)
 
 
-def label_tokens(w, y: np.ndarray, min_z: float) -> np.ndarray:
+def label_tokens(w, y: np.ndarray, sure: float, likely: float, odds: float) -> np.ndarray:
     """Tokens of toxic texts whose word or leading bytes are far more frequent in toxic texts.
 
-    Classes weigh as equally large; z is the difference of text counts over its standard
-    error. From the highest z down, a value with z >= 1.5 ``min_z`` counts as toxic, one
-    with z >= ``min_z`` only if at least two toxic texts hold no toxic value yet.
+    A value's evidence is n KL(a / n, share of toxic texts): a of the n texts that hold it
+    are toxic. From the highest evidence down, a value counts as toxic from ``sure`` on,
+    and from ``likely`` on only if at least two toxic texts hold no toxic value yet; its
+    share of the toxic texts must be ``odds`` times its share of the clean ones.
     """
-    ratio = max(1, int((y == 0).sum())) / max(1, int((y == 1).sum()))
-    found = []  # z, toxic texts, tokens
+    base = y.mean()
+    found = []  # evidence, toxic texts, tokens
     for kind in LABEL_KINDS:
         value, at = np.unique(w.hashes[kind], return_inverse=True)
         pair = np.unique(at.astype(np.int64) * len(y) + w.doc)
         k, d = pair // len(y), pair % len(y)
-        a = np.bincount(k[y[d] == 1], minlength=len(value)) * ratio
-        b = np.bincount(k[y[d] == 0], minlength=len(value)).astype(float)
-        z = (a - b) / np.sqrt(np.maximum(a * ratio + b, 1e-9))
-        ok = np.flatnonzero((z >= min_z) & (a >= 19 * b))
+        n = np.bincount(k, minlength=len(value)).astype(float)
+        a = np.bincount(k[y[d] == 1], minlength=len(value))
+        q = np.clip(a / n, 1e-12, 1 - 1e-12)
+        g = n * (q * np.log(q / base) + (1 - q) * np.log((1 - q) / (1 - base)))
+        ok = np.flatnonzero((g >= likely) & (a * (1 - base) >= odds * (n - a) * base))
         lo, hi = np.searchsorted(k, ok), np.searchsorted(k, ok, side="right")
         order = np.argsort(at, kind="stable")
         tl, th = np.searchsorted(at, ok, sorter=order), np.searchsorted(at, ok, side="right", sorter=order)
-        found += [(z[v], d[p:q], order[r:s]) for v, p, q, r, s in zip(ok, lo, hi, tl, th)]
+        found += [(g[v], d[p:q_], order[r:s]) for v, p, q_, r, s in zip(ok, lo, hi, tl, th)]
     toxic, covered = np.zeros(len(w.doc), bool), np.zeros(len(y), bool)
-    for z, docs, tokens in sorted(found, key=lambda f: -f[0]):
+    for g, docs, tokens in sorted(found, key=lambda f: -f[0]):
         mine = docs[y[docs] == 1]
-        if z >= 1.5 * min_z or (~covered[mine]).sum() >= 2:
+        if g >= sure or (~covered[mine]).sum() >= 2:
             toxic[tokens] = True
             covered[mine] = True
     return toxic & (y[w.doc] == 1)
@@ -271,7 +273,9 @@ def fit(
     segment: int = 48,
     max_segments: int = 8000,
     rounds: int = 40,
-    min_z: float = 3.0,
+    sure: float = 11.0,
+    likely: float = 6.0,
+    odds: float = 12.0,
 ) -> ToxicModel | None:
     """Model from at most ``per_class`` labelled texts a class outside the held-out fold.
 
@@ -290,7 +294,7 @@ def fit(
     if not keep.all():  # copies would count as independent evidence
         rows, y = [r for r, k in zip(rows, keep) if k], y[keep]
         w = _gathered([t for t, _ in rows])
-    toxic = label_tokens(w, y, min_z)
+    toxic = label_tokens(w, y, sure, likely, odds)
     seg = (np.arange(len(w.doc)) - w.first[w.doc]) // segment
     starts = np.flatnonzero(np.concatenate([[True], (w.doc[1:] != w.doc[:-1]) | (seg[1:] != seg[:-1])]))
     hit = np.add.reduceat(toxic, starts) > 0
