@@ -10,7 +10,8 @@ are compared on their full shingle sets.
 Groups of copies never become all pairs. Texts with equal sets are one class. Within
 a band's bucket every class is first compared with the bucket's smallest class; after
 that, only pairs that are still in different components need comparing, first
-with further pivots while there are many, at last all of them. No bucket is capped.
+with a member of the bucket's largest component while there are many, at last all
+of them whose sizes and parity sketches allow the similarity (an exact bound). No bucket is capped.
 
 Defined results: null, empty and blank texts have n_shingles 0 and link with
 nothing; fewer words than a shingle count as one shingle; repeated rows are one class;
@@ -31,6 +32,8 @@ from .common import BLOCK_BYTES, blocks, mix64, text_bytes, words_of
 from .components import components
 
 ROWS, BANDS = 6, 48
+WORDS = 16
+PARITY = [f"q{k}" for k in range(WORDS)]
 _SMALL = BLOCK_BYTES // 4
 _RNG = np.random.Generator(np.random.PCG64(7))
 _MUL = _RNG.integers(1, 1 << 63, ROWS * BANDS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -100,17 +103,31 @@ def sketch(documents: DataFrame, width: int) -> DataFrame:
     return src.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<bigint>")
 
 
+def parities(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """64 x ``WORDS`` cells of the hash space a text, each 1 bit: its number of shingles, odd or even.
+
+    Cells that differ hold at least one shingle of only one text, so the differing
+    bits of two texts never exceed the size of their sets' symmetric difference.
+    """
+    n, cells = len(first) - 1, 64 * WORDS
+    doc = np.repeat(np.arange(n, dtype=np.int64) * cells, np.diff(first))
+    odd = np.bincount(doc + (sets >> np.uint64(64 - 10)).astype(np.int64), minlength=n * cells) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, cells), axis=1).view(np.int64)
+
+
 def _sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, shingles) of the documents in ``ids`` (id)."""
+    """(id, shingles, parity words) of the documents in ``ids`` (id)."""
 
     def run(batches):
         for b in blocks(batches, "text", _SMALL):
             sets, first = shingle_sets(*text_bytes(b.column("text")), width)
             lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(sets.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), lists], names=["id", "shingles"])
+            words = [pa.array(w) for w in parities(sets, first).T]
+            yield pa.RecordBatch.from_arrays([b.column("id"), lists, *words], names=["id", "shingles", *PARITY])
 
     src = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return src.mapInArrow(run, "id long, shingles array<bigint>").dropDuplicates(["id"])
+    fields = ", ".join(f"{w} long" for w in PARITY)
+    return src.mapInArrow(run, f"id long, shingles array<bigint>, {fields}").dropDuplicates(["id"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -130,7 +147,7 @@ def _table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, pivots: int = 3) -> DataFrame:
+def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, pivots: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``documents`` (doc_id, text)."""
     rows = _table(sketch(documents, width), "minhash-rows")
     live = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -155,17 +172,26 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, piv
     label = materialize(components(links))
     wide = member.filter("size > 2").select("bucket", "id", "n_shingles")
     for turn in range(pivots + 1):
-        # buckets that still hold several components
+        # buckets that still hold several components, and how many pairs those make
         named = wide.join(label, "id", "left").withColumn("c", F.coalesce("component_id", "id")).drop("component_id")
-        mixed = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size"), F.min_by(F.struct("id", "n_shingles", "c"), F.xxhash64("id", F.lit(turn))).alias("pivot")).filter("lo <> hi")
-        named = materialize(named.join(mixed.select("bucket", "size", "pivot"), "bucket"))
-        total = named.agg(F.sum(F.col("size").cast("double")).alias("pairs"), F.count(F.lit(1)).alias("n")).first()
+        parts = named.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("id", "n_shingles", "c"), F.xxhash64("id", F.lit(turn))).alias("p"))
+        mixed = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).cast("double").alias("across"), F.max_by("p", "n").alias("pivot")).filter("parts > 1")
+        named = materialize(named.join(mixed.select("bucket", "across", "pivot"), "bucket"))
+        # a bucket's pairs are counted with one of its rows
+        first = F.col("id") == F.col("pivot.id")
+        total = named.agg(F.sum(F.when(first, F.col("across"))).alias("pairs"), F.count(F.lit(1)).alias("n")).first()
         if not total["n"]:
             break
-        last = turn == pivots or total["pairs"] <= 16 * total["n"]
+        last = turn == pivots or total["pairs"] <= 256 * total["n"]
         if last:
-            x, y = named.select("bucket", F.col("id").alias("a"), F.col("n_shingles").alias("n"), "c"), named.select("bucket", F.col("id").alias("b"), F.col("n_shingles").alias("m"), F.col("c").alias("d"))
-            pairs = x.join(y, "bucket").filter((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & fits(F.col("n"), F.col("m"))).select("a", "b")
+            bits = named.join(sets.select("id", *PARITY), "id")
+            x = bits.select("bucket", F.col("id").alias("a"), F.col("n_shingles").alias("n"), "c", *PARITY)
+            y = bits.select("bucket", F.col("id").alias("b"), F.col("n_shingles").alias("m"), F.col("c").alias("d"), *(F.col(w).alias(f"r{w}") for w in PARITY))
+            apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"r{w}"))) for w in PARITY), F.lit(0))
+            # similar sets differ in at most this share of their sizes
+            near = (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("m"))
+            on = (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & fits(F.col("n"), F.col("m")) & near
+            pairs = x.join(y, "bucket").filter(on).select("a", "b")
         else:
             p = F.col("pivot")
             pairs = named.filter((F.col("c") != p["c"]) & fits(F.col("n_shingles"), p["n_shingles"])).select(F.least("id", p["id"]).alias("a"), F.greatest("id", p["id"]).alias("b"))
