@@ -46,10 +46,19 @@ from ratekit.operators import (
     user_stats,
     value_counts,
 )
-from ratekit.plans import centered_knn, cf_report_lines, cosine_knn, value_analysis, value_report_lines
-from ratekit.plans.report import value_report_layout
+from ratekit.operators.predict import one_rating
+from ratekit.plans import centered_knn, cf_report_lines, cosine_knn, model_notes, value_analysis, value_report_lines
 from ratekit.session import scratch_path
-from ratekit.sources import cf_ratings, item_ratings, items, read_items_csv, write_csv
+from ratekit.sources import (
+    cf_ratings,
+    item_ratings,
+    items,
+    read_items_csv,
+    read_ratings_csv,
+    rejected_ratings_csv,
+    repeated_ratings,
+    write_csv,
+)
 
 try:
     # The training-data operators are an optional part: without their folder and
@@ -66,22 +75,15 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 VALUES = ("red", "ring", "widget")
 N, MIN_COUNT = 10, 10
 MIN_COMMON, K, CAP = 5, 30, 30
-# Output rounding for the oracle comparison. Similarities live on a
-# 10-decimal grid (the operators round them), so they and their sums are
-# rounded at 10 digits (idempotent there, never a tie); every other double is
-# rounded at 8 digits, far above summation-order noise.
-GRID_DIGITS, DIGITS = 10, 8
-GRID_COLS = ("similarity", "abs_similarity", "denom")
-
-
-def _digits(name: str) -> int:
-    return GRID_DIGITS if name in GRID_COLS else DIGITS
+# Output rounding for the oracle comparison: every double is rounded at 8 digits, far
+# above summation-order noise. Operators compute with full values.
+DIGITS = 8
 
 
 def _round(df: DataFrame) -> DataFrame:
     return df.select(
         *[
-            F.round(F.col(f.name), _digits(f.name)).alias(f.name)
+            F.round(F.col(f.name), DIGITS).alias(f.name)
             if isinstance(f.dataType, DoubleType)
             else F.col(f.name)
             for f in df.schema.fields
@@ -102,8 +104,9 @@ def _stats(spark, d, plan="aggregate_first"):
     return rating_stats(_iv(spark, d), item_ratings(spark, d), VALUES, plan=plan)
 
 
-def _split(spark, d, method="hash"):
-    return holdout(cf_ratings(spark, d), method=method, persist=True)
+def _split(spark, d, method="hash", persist=True):
+    """``persist`` for the queries that read train and test more than once."""
+    return holdout(cf_ratings(spark, d), method=method, persist=persist)
 
 
 def q_explode_values(spark, d):
@@ -139,34 +142,78 @@ def q_report_lines(spark, d):
     return value_report_lines(va)
 
 
+def _odd_items(spark, d):
+    """Items with white space at the ends, line breaks, quotes, empty and null texts."""
+    i, t, g = F.col("item_id"), F.col("title"), F.col("tags")
+    title = (
+        F.when(i % 7 == 1, F.concat(F.lit("  "), t, F.lit(" ")))
+        .when(i % 7 == 2, F.concat(t, F.lit("\nline, two")))
+        .when(i % 7 == 3, F.concat(F.lit('"'), t, F.lit('" \\')))
+        .when(i % 7 == 4, F.lit(""))
+        .when(i % 7 == 5, F.lit(None).cast("string"))
+        .otherwise(t)
+    )
+    tags = F.when(i % 11 == 0, F.lit("")).when(i % 13 == 0, F.lit(None).cast("string")).otherwise(g)
+    return items(spark, d).select("item_id", title.alias("title"), tags.alias("tags"))
+
+
 def q_csv_round_trip(spark, d):
     path = scratch_path(spark, "items-csv")
-    write_csv(items(spark, d), path)
+    write_csv(_odd_items(spark, d), path)
     return read_items_csv(spark, path)
 
 
-def _q_holdout(method):
+def q_csv_ratings_by_name(spark, d):
+    """Ratings written in another column order, among other columns."""
+    path = scratch_path(spark, "ratings-csv")
+    r = cf_ratings(spark, d)
+    write_csv(r.select("rating", F.lit("x").alias("note"), F.col("item_id").alias("movieId"), F.col("user_id").alias("userId")), path)
+    return read_ratings_csv(spark, path)
+
+
+def q_csv_ratings_rejected(spark, d):
+    """Rows whose user or rating is no number come out as text."""
+    path = scratch_path(spark, "ratings-csv")
+    user = F.when(F.col("user_id") % 10 == 0, "?").otherwise(F.col("user_id").cast("string"))
+    rating = F.when(F.col("item_id") % 10 == 0, None).otherwise(F.col("rating").cast("string"))
+    write_csv(cf_ratings(spark, d).select(user.alias("userId"), F.col("item_id").alias("movieId"), rating.alias("rating")), path)
+    return rejected_ratings_csv(spark, path)
+
+
+def _q_holdout(method, **kw):
     def q(spark, d):
-        return split_flag(cf_ratings(spark, d), method=method)
+        return split_flag(cf_ratings(spark, d), method=method, **kw)
 
     q.__name__ = f"q_holdout_{method}"
     return q
 
 
+def q_holdout_exact_repeated(spark, d):
+    return split_flag(repeated_ratings(spark, d), method="exact")
+
+
+def q_holdout_random_summary(spark, d):
+    """Checkable facts of the random split: all rows, and a share within five deviations of 0.8."""
+    flagged = split_flag(cf_ratings(spark, d), method="random", seed=42)
+    n, t = F.count(F.lit(1)), F.count_if("is_train")
+    share_ok = F.abs(t / n - 0.8) < 5 * F.sqrt(0.16 / n)
+    return flagged.agg(n.alias("n_rows"), (F.count("is_train") == n).alias("complete"), share_ok.alias("share_ok"))
+
+
 def q_baseline(spark, d):
-    train, test = _split(spark, d)
+    train, test = _split(spark, d, persist=False)
     return _round(baseline(train, test))
 
 
 def q_user_stats(spark, d):
-    train, _ = _split(spark, d)
+    train, _ = _split(spark, d, persist=False)
     return _round(user_stats(train))
 
 
 def q_centered_ratings(spark, d):
-    train, _ = _split(spark, d)
+    train, _ = _split(spark, d, persist=False)
     c = centered_ratings(train, user_stats(train))
-    c = c.filter((F.col("train_rating_count") >= 2) & (F.col("train_rating_count") <= CAP))
+    c = c.filter(F.col("train_rating_count") >= 2)
     return _round(c.select("user_id", "item_id", "centered_rating"))
 
 
@@ -184,10 +231,10 @@ def _cos(spark, d):
     return cosine_similarity(train, min_common=MIN_COMMON)
 
 
-def _adj(spark, d):
+def _adj(spark, d, cap=None, **kw):
     train, _ = _split(spark, d)
     c = centered_ratings(train, user_stats(train))
-    return adjusted_cosine_similarity(c, min_common=MIN_COMMON, max_user_ratings=CAP)
+    return adjusted_cosine_similarity(c, min_common=MIN_COMMON, max_user_ratings=cap, **kw)
 
 
 def q_cosine_similarity(spark, d):
@@ -200,11 +247,13 @@ def q_cosine_similarity_blocked(spark, d):
 
 
 def q_adjusted_cosine_uncapped(spark, d):
-    # No user cap: every user with two or more ratings teaches similarity;
-    # heavy users go through the blocked self-join.
-    train, _ = _split(spark, d)
-    c = centered_ratings(train, user_stats(train))
-    return _round(adjusted_cosine_similarity(c, min_common=MIN_COMMON, max_user_ratings=None))
+    # Heavy users are forced through the blocked self-join.
+    return _round(_adj(spark, d, block_size=8))
+
+
+def q_adjusted_cosine_capped(spark, d):
+    # Opt-in: only users with at most 30 training ratings teach similarity.
+    return _round(_adj(spark, d, cap=CAP))
 
 
 def q_adjusted_cosine(spark, d):
@@ -243,16 +292,40 @@ def q_predict_centered(spark, d):
     train, test = _split(spark, d)
     stats = user_stats(train)
     c = centered_ratings(train, stats)
-    nb = top_neighbours(mirror(adjusted_cosine_similarity(c, MIN_COMMON, CAP)), k=K)
+    nb = top_neighbours(mirror(adjusted_cosine_similarity(c, MIN_COMMON)), k=K)
     mean = train_summary(train).getField("mean")
     return _round(predict_centered(test, c, nb, stats, mean))
 
 
+def q_predict_centered_blocked(spark, d):
+    # Every user with more than 4 rows takes the item-driven path.
+    train, test = _split(spark, d)
+    stats = user_stats(train)
+    c = centered_ratings(train, stats)
+    nb = top_neighbours(mirror(adjusted_cosine_similarity(c, MIN_COMMON)), k=K)
+    mean = train_summary(train).getField("mean")
+    return _round(predict_centered(test, c, nb, stats, mean, block_size=4))
+
+
+def q_predict_knn_repeated(spark, d):
+    # Order lines as they are: customers rate a supplier more than once.
+    train, test = holdout(repeated_ratings(spark, d), persist=True)
+    train = one_rating(train).persist()
+    sim_all = mirror(cosine_similarity(train, MIN_COMMON))
+    mean = train_summary(train).getField("mean")
+    return _round(predict_knn(test, train, sim_all, mean, k=K))
+
+
 def q_evaluate_knn(spark, d):
     return _round(cosine_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K).metrics)
 
 
 def q_evaluate_centered(spark, d):
+    r = centered_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K)
+    return _round(r.metrics)
+
+
+def q_evaluate_centered_capped(spark, d):
     r = centered_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K, max_user_ratings=CAP)
     return _round(r.metrics)
 
@@ -267,19 +340,23 @@ def q_neighbour_summary(spark, d):
 
 
 def q_cf_report_lines_centered(spark, d):
-    r = centered_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K, max_user_ratings=CAP)
+    r = centered_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K)
     return cf_report_lines(
         r.metrics,
         "Adjusted item-based collaborative filtering",
-        f"adjusted cosine, min_common_users={MIN_COMMON}, top_k={K}, max_user_ratings={CAP}",
+        f"adjusted cosine, min_common_users={MIN_COMMON}, top_k={K}",
         neighbours=r.neighbours,
+        notes=model_notes("centered", MIN_COMMON, K),
     )
 
 
 def q_cf_report_lines(spark, d):
     r = cosine_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K)
     return cf_report_lines(
-        r.metrics, "Item-based collaborative filtering", f"cosine similarity, min_common_users={MIN_COMMON}, top_k={K}"
+        r.metrics,
+        "Item-based collaborative filtering",
+        f"cosine similarity, min_common_users={MIN_COMMON}, top_k={K}",
+        notes=model_notes("cosine", MIN_COMMON, K),
     )
 
 
@@ -308,7 +385,14 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_lists": q_top_lists,
         "report_lines": q_report_lines,
         "csv_round_trip": q_csv_round_trip,
+        "csv_ratings_by_name": q_csv_ratings_by_name,
+        "csv_ratings_rejected": q_csv_ratings_rejected,
         "holdout_hash": _q_holdout("hash"),
+        "holdout_hash_804": _q_holdout("hash", frac=0.804),
+        "holdout_hash_996": _q_holdout("hash", frac=0.996),
+        "holdout_hash_seed": _q_holdout("hash", seed=7),
+        "holdout_exact_repeated": q_holdout_exact_repeated,
+        "holdout_random_summary": q_holdout_random_summary,
         "holdout_exact": _q_holdout("exact"),
         "holdout_random": _q_holdout("random"),
         "baseline": q_baseline,
@@ -320,15 +404,19 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cosine_similarity_blocked": q_cosine_similarity_blocked,
         "adjusted_cosine": q_adjusted_cosine,
         "adjusted_cosine_uncapped": q_adjusted_cosine_uncapped,
+        "adjusted_cosine_capped": q_adjusted_cosine_capped,
         "similarity_mirrored": q_similarity_mirrored,
         "top_neighbours": q_top_neighbours,
         "neighbour_summary": q_neighbour_summary,
         "knn_neighbours": q_knn_neighbours,
         "knn_neighbours_blocked": q_knn_neighbours_blocked,
         "predict_knn": q_predict_knn,
+        "predict_knn_repeated": q_predict_knn_repeated,
         "predict_centered": q_predict_centered,
+        "predict_centered_blocked": q_predict_centered_blocked,
         "evaluate_knn": q_evaluate_knn,
         "evaluate_centered": q_evaluate_centered,
+        "evaluate_centered_capped": q_evaluate_centered_capped,
         "evaluate_knn_exact_split": q_evaluate_knn_exact_split,
         "cf_report_lines": q_cf_report_lines,
         "cf_report_lines_centered": q_cf_report_lines_centered,
@@ -371,7 +459,7 @@ _CTE = {
         "t.rating - s.user_mean AS centered_rating FROM train t JOIN ustats s USING (user_id)"
     ),
     "teach": (
-        f"SELECT user_id, item_id, centered_rating AS r FROM centered WHERE train_rating_count BETWEEN 2 AND {CAP}"
+        "SELECT user_id, item_id, centered_rating AS r FROM centered WHERE train_rating_count >= 2"
     ),
     "cos_sums": (
         "SELECT a.item_id AS item_i, b.item_id AS item_j, count(*) AS common_users, "
@@ -380,8 +468,8 @@ _CTE = {
     ),
     "cos_sim": (
         "SELECT item_i, item_j, similarity, common_users FROM ("
-        "SELECT *, round(CASE WHEN sq_i * sq_j > 0 THEN dot / sqrt(sq_i * sq_j) END, 10) AS similarity "
-        f"FROM cos_sums) WHERE common_users >= {MIN_COMMON} AND similarity > 0"
+        "SELECT *, CASE WHEN sq_i * sq_j > 0 THEN dot / sqrt(sq_i * sq_j) END AS similarity "
+        f"FROM cos_sums) WHERE common_users >= {MIN_COMMON} AND similarity > 1e-12"
     ),
     "cos_all": (
         "SELECT item_i, item_j, similarity, common_users, abs(similarity) AS abs_similarity FROM cos_sim "
@@ -394,8 +482,8 @@ _CTE = {
     ),
     "adj_sim": (
         "SELECT item_i, item_j, similarity, common_users FROM ("
-        "SELECT *, round(CASE WHEN sq_i * sq_j > 0 THEN dot / sqrt(sq_i * sq_j) END, 10) AS similarity "
-        f"FROM adj_sums) WHERE common_users >= {MIN_COMMON} AND sq_i > 0 AND sq_j > 0 AND similarity <> 0"
+        "SELECT *, CASE WHEN sq_i * sq_j > 0 THEN dot / sqrt(sq_i * sq_j) END AS similarity "
+        f"FROM adj_sums) WHERE common_users >= {MIN_COMMON} AND sq_i > 0 AND sq_j > 0 AND abs(similarity) > 1e-12"
     ),
     "adj_all": (
         "SELECT item_i, item_j, similarity, common_users, abs(similarity) AS abs_similarity FROM adj_sim "
@@ -403,7 +491,7 @@ _CTE = {
     ),
     "nb": (
         "SELECT item_i AS target_item, item_j AS neighbor_item, similarity, abs_similarity, common_users, "
-        "neighbor_rank FROM (SELECT *, row_number() OVER (PARTITION BY item_i ORDER BY abs_similarity DESC, "
+        "neighbor_rank FROM (SELECT *, row_number() OVER (PARTITION BY item_i ORDER BY round(abs_similarity, 10) DESC, "
         f"common_users DESC, item_j ASC) AS neighbor_rank FROM adj_all) WHERE neighbor_rank <= {K}"
     ),
     "kc": (
@@ -414,7 +502,7 @@ _CTE = {
     ),
     "kn": (
         "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, target_item ORDER BY "
-        f"abs_similarity DESC, common_users DESC, rated_item ASC) AS neighbor_rank FROM kc) WHERE neighbor_rank <= {K}"
+        f"round(abs_similarity, 10) DESC, common_users DESC, rated_item ASC) AS neighbor_rank FROM kc) WHERE neighbor_rank <= {K}"
     ),
     "kpred": (
         "SELECT user_id, target_item, sum(similarity * neighbor_rating) AS weighted_sum, "
@@ -497,7 +585,7 @@ def _with(*needed: str, overrides: dict[str, str] | None = None) -> str:
 
 
 def _r(col: str) -> str:
-    return f"round({col}, {_digits(col)}) AS {col}"
+    return f"round({col}, {DIGITS}) AS {col}"
 
 
 _TOP_ORDER = {
@@ -534,15 +622,31 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# The report's list sections in order: list name and title.
+_SECTIONS = (
+    ("most_rated", "{v}: top 10 by number of ratings"),
+    ("least_rated", "{v}: top 10 by smallest number of ratings, rating_count > 10"),
+    ("best", "{v}: top 10 by highest average rating, rating_count > 10"),
+    ("worst", "{v}: top 10 by lowest average rating, rating_count > 10"),
+)
+
+
 def _report_sql() -> str:
-    fixed, section_of = value_report_layout(VALUES, N, MIN_COUNT)
+    fixed = [
+        (0, 0, "# Rating report"), (0, 1, ""), (0, 2, "Values: red, ring, widget."),
+        (1, 0, ""), (1, 1, "## Items per value"), (1, 2, ""), (1, 3, "| value | item_count |"), (1, 4, "| --- | --- |"),
+    ]
+    case = ""
+    for i, (v, (name, title)) in enumerate((v, x) for v in VALUES for x in _SECTIONS):
+        fixed += [
+            (i + 2, 0, ""), (i + 2, 1, "## " + title.format(v=v)), (i + 2, 2, ""),
+            (i + 2, 3, "| title | rating_count | avg_rating |"), (i + 2, 4, "| --- | --- | --- |"),
+        ]
+        case += f"WHEN value = {_sql_str(v)} AND list_name = '{name}' THEN {i + 2} "
     fixed_rows = ", ".join(f"({a}, {b}, {_sql_str(t)})" for a, b, t in fixed)
     lists = " UNION ALL ".join(
         f"SELECT '{by}' AS list_name, * FROM ({_top_sql(by)})" for by in _TOP_ORDER
     )
-    case = " ".join(
-        f"WHEN value = {_sql_str(v)} AND list_name = '{name}' THEN {i}" for (v, name), i in section_of.items()
-    )
     cell = lambda c: f"replace(CAST({c} AS VARCHAR), '|', '\\|')"
     return (
         _with("stats", "item_values")
@@ -557,6 +661,23 @@ def _report_sql() -> str:
     )
 
 
+_NOTES = {
+    "cosine": (
+        "- RMSE is the root of the mean squared difference of rating and prediction over all test rows.",
+        "- Two items are similar by the cosine of their ratings over the users of both, 5 users at least; only positive values count.",
+        "- A prediction is the similarity-weighted mean of the user's 30 most similar rated items.",
+        "- Without such an item the train mean is predicted.",
+    ),
+    "centered": (
+        "- RMSE is the root of the mean squared difference of rating and prediction over all test rows.",
+        "- Two items are similar by the cosine of ratings less the user's mean over the users of both, 5 users at least.",
+        "- Similarities are learned from users with 2 or more training ratings; every training rating is used to predict.",
+        "- A prediction adds the weighted deviation on the item's 30 nearest neighbours to the user's mean, within the rating scale.",
+        "- Without a rated neighbour the user's mean is predicted, for an unknown user the train mean.",
+    ),
+}
+
+
 def _cf_report_sql(scored: str = "scored_k", model: str = "Item-based collaborative filtering",
                    details: str = f"cosine similarity, min_common_users={MIN_COMMON}, top_k={K}",
                    with_neighbours: bool = False) -> str:
@@ -569,6 +690,7 @@ def _cf_report_sql(scored: str = "scored_k", model: str = "Item-based collaborat
         (2, 3, "| model | rmse | details |"), (2, 4, "| --- | --- | --- |"),
         (3, 0, ""), (3, 1, "## Notes"), (3, 2, ""),
     ]
+    fixed += [(3, 6 + k, t) for k, t in enumerate(_NOTES["centered" if with_neighbours else "cosine"])]
     fixed_rows = ", ".join(f"({a}, {b}, {_sql_str(t)})" for a, b, t in fixed)
     f6 = lambda c: f"printf('%.6f', round({c}, 6))"
     nb_lines = ""
@@ -594,6 +716,10 @@ def _cf_report_sql(scored: str = "scored_k", model: str = "Item-based collaborat
     )
 
 
+_REPEATED = (
+    "SELECT o_custkey AS user_id, l_suppkey AS item_id, CAST(ceil(l_quantity / 5) / 2 AS DOUBLE) AS rating "
+    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+)
 _EXACT_FLAG = (
     "SELECT user_id, item_id, rating, row_number() OVER (ORDER BY h, user_id, item_id) "
     "<= round(0.8 * count(*) OVER ()) AS is_train FROM hashed"
@@ -616,6 +742,18 @@ def _own_oracle_sql() -> dict[str, str]:
         + "SELECT a.user_id, count(*) AS pair_count FROM train a JOIN train b "
         "ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY a.user_id"
     )
+    def flags(test: str, seed: str = "") -> str:
+        hashed = _CTE["hashed"].replace("md5(", f"md5({seed}", 1)
+        flagged = f"SELECT user_id, item_id, rating, {test} AS is_train FROM hashed"
+        return _with("flagged", overrides={"hashed": hashed, "flagged": flagged}) + "SELECT * FROM flagged"
+
+    adj_sim = f"SELECT item_i, item_j, {_r('similarity')}, common_users FROM adj_sim"
+    capped = {"teach": _CTE["teach"].replace(">= 2", f"BETWEEN 2 AND {CAP}")}
+    repeated = {
+        "cf": _REPEATED,
+        "train": "SELECT user_id, item_id, avg(rating) AS rating FROM flagged WHERE is_train GROUP BY ALL",
+        "kc": _CTE["kc"].replace("FROM test t", "FROM (SELECT DISTINCT user_id, item_id FROM test) t"),
+    }
     cos_sim = _with("cos_sim") + f"SELECT item_i, item_j, {_r('similarity')}, common_users FROM cos_sim"
     return {
         "explode_values": _with("item_values") + "SELECT item_id, title, value FROM item_values",
@@ -629,7 +767,21 @@ def _own_oracle_sql() -> dict[str, str]:
         "top_lists": _with("stats")
         + " UNION ALL ".join(f"SELECT '{by}' AS list_name, * FROM ({_top_sql(by)})" for by in _TOP_ORDER),
         "report_lines": _report_sql(),
-        "csv_round_trip": _with("items") + "SELECT item_id, title, tags FROM items",
+        "csv_round_trip": _with("items")
+        + "SELECT item_id, CASE item_id % 7 WHEN 1 THEN '  ' || title || ' ' WHEN 2 THEN title || chr(10) || 'line, two' "
+        "WHEN 3 THEN '\"' || title || '\" \\' WHEN 4 THEN '' WHEN 5 THEN NULL ELSE title END AS title, "
+        "CASE WHEN item_id % 11 = 0 THEN '' WHEN item_id % 13 = 0 THEN NULL ELSE tags END AS tags FROM items",
+        "csv_ratings_by_name": _with("cf") + "SELECT user_id, item_id, rating FROM cf",
+        "csv_ratings_rejected": _with("cf")
+        + "SELECT CASE WHEN user_id % 10 = 0 THEN '?' ELSE CAST(user_id AS VARCHAR) END AS user_id, "
+        "CAST(item_id AS VARCHAR) AS item_id, CASE WHEN item_id % 10 = 0 THEN NULL ELSE printf('%.1f', rating) END AS rating "
+        "FROM cf WHERE user_id % 10 = 0 OR item_id % 10 = 0",
+        "holdout_hash_804": flags("(h % 1000) < 804"),
+        "holdout_hash_996": flags("(h % 1000) < 996"),
+        "holdout_hash_seed": flags("(h % 100) < 80", seed="'7|' || "),
+        "holdout_exact_repeated": _with("flagged", overrides={"cf": _REPEATED, "flagged": _EXACT_FLAG.replace("item_id)", "item_id, rating)")})
+        + "SELECT user_id, item_id, rating, is_train FROM flagged",
+        "holdout_random_summary": _with("cf") + "SELECT count(*) AS n_rows, true AS complete, true AS share_ok FROM cf",
         "holdout_hash": _with("flagged") + "SELECT user_id, item_id, rating, is_train FROM flagged",
         "holdout_exact": _with("flagged", overrides={"flagged": _EXACT_FLAG})
         + "SELECT user_id, item_id, rating, is_train FROM flagged",
@@ -644,14 +796,15 @@ def _own_oracle_sql() -> dict[str, str]:
         "pair_counts_blocked": pair_counts,
         "cosine_similarity": cos_sim,
         "cosine_similarity_blocked": cos_sim,
-        "adjusted_cosine": _with("adj_sim") + f"SELECT item_i, item_j, {_r('similarity')}, common_users FROM adj_sim",
-        "adjusted_cosine_uncapped": _with(
-            "adj_sim",
-            overrides={
-                "teach": "SELECT user_id, item_id, centered_rating AS r FROM centered WHERE train_rating_count >= 2"
-            },
-        )
-        + f"SELECT item_i, item_j, {_r('similarity')}, common_users FROM adj_sim",
+        "adjusted_cosine": _with("adj_sim") + adj_sim,
+        "adjusted_cosine_uncapped": _with("adj_sim") + adj_sim,
+        "adjusted_cosine_capped": _with("adj_sim", overrides=capped) + adj_sim,
+        "predict_knn_repeated": _with("scored_k", overrides=repeated)
+        + f"SELECT user_id, item_id, true_rating, {_r('prediction')}, neighbor_count, is_fallback FROM scored_k",
+        "evaluate_centered_capped": _with("scored_c", "tsum", overrides=capped) + _metrics_sql("scored_c"),
+        "predict_centered_blocked": _with("scored_c")
+        + f"SELECT user_id, item_id, true_rating, {_r('prediction')}, {_r('denom')}, neighbor_count, is_fallback "
+        "FROM scored_c",
         "similarity_mirrored": _with("cos_all")
         + f"SELECT item_i, item_j, {_r('similarity')}, common_users, {_r('abs_similarity')} FROM cos_all",
         "top_neighbours": _with("nb")
@@ -676,7 +829,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "cf_report_lines_centered": _cf_report_sql(
             "scored_c",
             "Adjusted item-based collaborative filtering",
-            f"adjusted cosine, min_common_users={MIN_COMMON}, top_k={K}, max_user_ratings={CAP}",
+            f"adjusted cosine, min_common_users={MIN_COMMON}, top_k={K}",
             with_neighbours=True,
         ),
         "neighbour_summary": _with("nb")

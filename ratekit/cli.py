@@ -1,10 +1,10 @@
 """Command line: the two analyses over item / rating CSV files.
 
     python -m ratekit values --items movies.csv --ratings ratings.csv \\
-        [--values Animation,Romance,Documentary] [--n 10] [--min-count 10] [--report DIR]
+        --values A,B,C [--n 10] [--min-count 10] [--report DIR]
     python -m ratekit cf --ratings ratings.csv [--model cosine|centered] \\
-        [--min-common 5] [--k 30] [--max-user-ratings 30] [--split hash|exact|random] \\
-        [--frac 0.8] [--report DIR]
+        [--min-common 5] [--k 30] [--max-user-ratings 0] [--split hash|exact|random] \\
+        [--frac 0.8] [--seed N] [--report DIR]
 
 Run with ``spark-submit -m``-style launchers or plain ``python -m`` (local
 mode unless a master is configured). Only bounded results reach the driver:
@@ -17,6 +17,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from ratekit.functions.columns import split_buckets
 from ratekit.session import build_session
 
 
@@ -31,7 +32,11 @@ def _values(args, spark) -> None:
     ratings = read_ratings_csv(spark, args.ratings)
     va = value_analysis(items, ratings, values, n=args.n, min_count=args.min_count)
     print("\nValues and number of items")
-    va.counts.show(args.show_values, truncate=False)
+    n_values = va.counts.count()
+    shown = args.show_values or n_values
+    va.counts.show(shown, truncate=False)
+    if shown < n_values:
+        print(f"{n_values - shown} more values")
     print("\nTop lists")
     (
         va.lists.orderBy(
@@ -49,23 +54,30 @@ def _values(args, spark) -> None:
 
 
 def _cf(args, spark) -> None:
-    from ratekit.plans import centered_knn, cf_report_lines, cosine_knn, write_report
-    from ratekit.sources import read_ratings_csv
+    from ratekit.plans import centered_knn, cf_report_lines, cosine_knn, model_notes, write_report
+    from ratekit.sources import read_ratings_csv, rejected_ratings_csv
 
     ratings = read_ratings_csv(spark, args.ratings)
     if args.model == "cosine":
-        r = cosine_knn(ratings, frac=args.frac, split=args.split, seed=args.seed, min_common=args.min_common, k=args.k)
+        cap = None
+        r = cosine_knn(
+            ratings, frac=args.frac, split=args.split, seed=args.seed, min_common=args.min_common, k=args.k,
+            repeated=True,
+        )
         model = "Item-based collaborative filtering"
         details = f"cosine similarity, min_common_users={args.min_common}, top_k={args.k}"
     else:
         cap = args.max_user_ratings if args.max_user_ratings > 0 else None
         r = centered_knn(
             ratings, frac=args.frac, split=args.split, seed=args.seed, min_common=args.min_common,
-            k=args.k, max_user_ratings=cap,
+            k=args.k, max_user_ratings=cap, repeated=True,
         )
         model = "Adjusted item-based collaborative filtering"
         details = f"adjusted cosine, min_common_users={args.min_common}, top_k={args.k}, max_user_ratings={cap}"
-    m = r.metrics.collect()[0]  # one row
+    bad = rejected_ratings_csv(spark, args.ratings).count()
+    if bad:
+        print(f"Rows without a readable user, item or rating: {bad}")
+    m = r.metrics.collect()[0]  # one row, kept for the report
     print(f"Train rows: {m.train_rows}, test rows: {m.test_rows}")
     print(f"Mean rating in train: {m.train_mean:.6f}")
     print(f"Baseline RMSE on test: {m.baseline_rmse:.6f}")
@@ -73,15 +85,20 @@ def _cf(args, spark) -> None:
     print(f"Fallback predictions: {m.fallback_count} of {m.test_rows}")
     print(f"Coverage: {100.0 * m.coverage:.2f}%")
     split = {
-        "hash": f"deterministic hash of (user, item), {round(args.frac * 100)} of 100 buckets",
+        "hash": "deterministic hash of (user, item), {1} of {0} buckets".format(*split_buckets(args.frac)),
         "exact": f"exactly round({args.frac} n) rows in hash order",
         "random": f"Bernoulli rand(seed={args.seed}) < {args.frac}",
     }[args.split]
     if args.report:
         write_report(
-            cf_report_lines(r.metrics, model, details, split=split, neighbours=r.neighbours), args.report
+            cf_report_lines(
+                r.metrics, model, details, split=split, neighbours=r.neighbours,
+                notes=model_notes(args.model, args.min_common, args.k, cap),
+            ),
+            args.report,
         )
         print(f"report written to {args.report}")
+    r.release()
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -93,10 +110,10 @@ def main(argv: list[str] | None = None) -> int:
     v = sub.add_parser("values", help="items per value and top-n lists per value")
     v.add_argument("--items", required=True)
     v.add_argument("--ratings", required=True)
-    v.add_argument("--values", default="Animation,Romance,Documentary")
+    v.add_argument("--values", required=True, help="the chosen values, comma-separated")
     v.add_argument("--n", type=int, default=10)
     v.add_argument("--min-count", type=int, default=10)
-    v.add_argument("--show-values", type=int, default=50)
+    v.add_argument("--show-values", type=int, default=0, help="print at most this many (0 = all)")
     v.add_argument("--report", default=None, help="output folder of the markdown report")
 
     c = sub.add_parser("cf", help="item-based collaborative filtering evaluation")
@@ -104,10 +121,10 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--model", choices=("cosine", "centered"), default="cosine")
     c.add_argument("--split", choices=("hash", "exact", "random"), default="hash")
     c.add_argument("--frac", type=float, default=0.8)
-    c.add_argument("--seed", type=int, default=42)
+    c.add_argument("--seed", type=int, default=None, help="another split for each seed")
     c.add_argument("--min-common", type=int, default=5)
     c.add_argument("--k", type=int, default=30)
-    c.add_argument("--max-user-ratings", type=int, default=30, help="0 = no cap (centered model)")
+    c.add_argument("--max-user-ratings", type=int, default=0, help="0 = no cap (centered model)")
     c.add_argument("--report", default=None)
 
     args = p.parse_args(argv)

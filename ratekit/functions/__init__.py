@@ -8,6 +8,7 @@ from ratekit.functions.columns import (
     md_cell,
     md_row,
     safe_ratio,
+    split_buckets,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "md_cell",
     "md_row",
     "safe_ratio",
+    "split_buckets",
 ]

@@ -30,6 +30,18 @@ def hash_bucket(*cols: Column | str, buckets: int = 100) -> Column:
     return F.pmod(hash_key32(*cols), F.lit(buckets))
 
 
+def split_buckets(frac: float, least: int = 100, most: int = 10**9) -> tuple[int, int]:
+    """(buckets, cut): the power of ten from ``least`` on that holds ``frac`` exactly.
+
+    0.8 is 80 of 100, 0.804 is 804 of 1000; a fraction without a short decimal form is
+    cut at ``most`` buckets.
+    """
+    buckets = least
+    while buckets < most and abs(frac * buckets - round(frac * buckets)) > 1e-9 * buckets:
+        buckets *= 10
+    return buckets, round(frac * buckets)
+
+
 def safe_ratio(num: Column | str, den: Column | str) -> Column:
     """Division that yields NULL for a zero denominator under ANSI mode."""
     return F.try_divide(_c(num), _c(den))

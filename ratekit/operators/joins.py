@@ -6,7 +6,7 @@ goes to block ``(bl, *)`` by a hash of its own columns and is copied to all
 ``nr`` right blocks, a right row likewise. Each (left, right) row pair meets
 in exactly one block, so the result equals the plain join, while a key holding
 a third of all rows is spread over many tasks instead of one. Keys below the
-threshold keep a single block (no copies).
+threshold are joined plainly; both ways keep the configured number of partitions.
 """
 
 from __future__ import annotations
@@ -25,16 +25,10 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 def shuffle_partitions(df: DataFrame) -> int:
     """Partition count for joins whose output is much larger than their input.
 
-    The session's ``spark.sql.shuffle.partitions``, capped at four tasks per
-    core of the cluster (``defaultParallelism``): on a cluster the configured
-    count applies, on a small machine with Spark's default of 200 it avoids
-    hundreds of near-empty tasks that AQE could not coalesce (an explicit
-    partition count is never coalesced).
+    The session's ``spark.sql.shuffle.partitions`` as configured; AQE would
+    coalesce by the small input, so the count is pinned.
     """
-    spark = df.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = max(1, spark.sparkContext.defaultParallelism)
-    return max(1, min(configured, 4 * cores))
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def broadcast_if_small(
@@ -84,28 +78,29 @@ def blocked_join(
     ``heavy`` comes from :func:`heavy_keys`; ``None`` means a plain join.
     Salt columns must identify a row within its key on each side.
     """
+    n = shuffle_partitions(left)
     if heavy is not None:
         heavy = persist_tracked(heavy)
         n_heavy = heavy.count()  # cheap when the caller already persisted it
     if heavy is None or n_heavy == 0:
-        # Common case: no key above the block size, plain shuffle join. The
-        # output can be far larger than the input, so both sides keep the
-        # configured partition count instead of an input-size-based one.
-        n = shuffle_partitions(left)
         return left.repartition(n, key).join(right.repartition(n, key), key, "inner")
     hv = F.broadcast(heavy) if n_heavy <= max_broadcast_rows else heavy
-    nl = F.coalesce(F.col("_nl"), F.lit(1))
-    nr = F.coalesce(F.col("_nr"), F.lit(1))
     lcols, rcols = left.columns, right.columns
-    l = left.join(hv, key, "left").select(
+    # Only heavy keys take the blocked way. The others hold at most ``block_size``
+    # rows a side, so hashing them by key leaves no task much above the mean.
+    light = (
+        left.join(hv, key, "left_anti").repartition(n, key).join(right.join(hv, key, "left_anti").repartition(n, key), key)
+    )
+    l = left.join(hv, key, "inner").select(
         *lcols,
-        F.pmod(F.xxhash64(*left_salt), nl).cast("int").alias("_bl"),
-        F.explode(F.sequence(F.lit(0), nr - 1)).alias("_br"),
+        F.pmod(F.xxhash64(*left_salt), F.col("_nl")).cast("int").alias("_bl"),
+        F.explode(F.sequence(F.lit(0), F.col("_nr") - 1)).alias("_br"),
     )
-    r = right.join(hv, key, "left").select(
+    r = right.join(hv, key, "inner").select(
         *rcols,
-        F.explode(F.sequence(F.lit(0), nl - 1)).alias("_bl"),
-        F.pmod(F.xxhash64(*right_salt), nr).cast("int").alias("_br"),
+        F.explode(F.sequence(F.lit(0), F.col("_nl") - 1)).alias("_bl"),
+        F.pmod(F.xxhash64(*right_salt), F.col("_nr")).cast("int").alias("_br"),
     )
-    return l.join(r, [key, "_bl", "_br"], "inner").drop("_bl", "_br")
-
+    block = [key, "_bl", "_br"]
+    blocked = l.repartition(n, *block).join(r.repartition(n, *block), block, "inner").drop("_bl", "_br")
+    return light.unionByName(blocked.select(light.columns))

@@ -11,7 +11,9 @@ Two models:
   ``user_mean + sum(s * (r - user_mean)) / sum(|s|)``, falling back to the
   user mean, then the train mean, and clipped into the rating range.
 
-Test rows are identified by their natural key (user_id, item_id).
+Predictions are made per distinct (user_id, item_id) and joined back to all test
+rows, so repeated test rows stay as they are. Training ratings are expected once per
+(user, item); :func:`one_rating` makes them so.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from ratekit.operators.joins import (
     broadcast_if_small,
     shuffle_partitions,
 )
-from ratekit.operators.similarity import TOP_K
+from ratekit.operators.similarity import TOP_K, rank_key
 from ratekit.operators.similarity import user_counts as _user_counts
 from ratekit.session import persist_tracked
 
@@ -35,56 +37,47 @@ MIN_RATING = 0.5
 MAX_RATING = 5.0
 
 
-def knn_candidates(
+def one_rating(ratings: DataFrame) -> DataFrame:
+    """One row per (user, item): the mean of its repeated ratings."""
+    return ratings.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
+
+
+def neighbour_candidates(
     test: DataFrame,
-    train: DataFrame,
-    sim_all: DataFrame,
+    rated: DataFrame,
+    table: DataFrame,
     block_size: int = DEFAULT_BLOCK_SIZE,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     user_counts: DataFrame | None = None,
     materialized_inputs: bool = False,
 ) -> DataFrame:
-    """(user_id, target_item, rated_item, neighbor_rating, similarity,
-    abs_similarity, common_users) for every usable neighbour rating: an item
-    the user rated in train that has a similarity to the test target.
+    """Rows of (user, target) x the user's ratings that ``table`` relates to the target.
+
+    ``test``: user_id, target_item (distinct). ``rated``: user_id, rated_item and any
+    values. ``table``: target_item, rated_item and any values.
 
     Two exact ways to the same rows, chosen per user:
 
-    * user-driven (users with at most ``block_size`` training ratings): test
-      and train are hash-partitioned by user, every test row meets the
-      user's training ratings, then the similarity of each pair. Cost
-      test_u x train_u per user.
-    * item-driven (heavier users): every test row meets the similarity
-      partners of its target, then the user's rating of that partner by an
-      equi-join on (user, item). Cost test_u x partners(target), linear in
-      the user's size, so a user holding a third of all ratings is neither
-      quadratic nor one task.
-
-    The similarity table is broadcast only under a checked row bound; beyond
-    it both joins on it shuffle. ``materialized_inputs=True`` says
-    ``sim_all`` is read from a checkpoint, so it is not persisted again.
+    * user-driven (users with at most ``block_size`` test and training rows): both
+      sides are hash-partitioned by user once, every test row meets the user's
+      ratings where they lie, then the table. Nothing is multiplied before the
+      shuffle; the cost is test_u x train_u per user.
+    * item-driven (heavier users): every test row meets the table rows of its
+      target, then the user's rating of that item by an equi-join on (user, item).
+      The cost is linear in the user's size, so a user holding a third of all
+      ratings is neither quadratic nor one task; a hot target is a skewed key of
+      plain joins, which AQE splits.
+
+    The table is broadcast only under a checked row bound (some 40 bytes a row);
+    beyond it both joins on it shuffle. ``materialized_inputs=True`` says ``table`` is
+    read from a checkpoint, so it is not persisted again.
     """
-    t = test.select("user_id", F.col("item_id").alias("target_item"))
-    r = train.select(
-        "user_id",
-        F.col("item_id").alias("rated_item"),
-        F.col("rating").alias("neighbor_rating"),
-    )
-    s = broadcast_if_small(
-        sim_all.select(
-            F.col("item_i").alias("target_item"),
-            F.col("item_j").alias("rated_item"),
-            "similarity",
-            "abs_similarity",
-            "common_users",
-        ),
-        max_broadcast_rows,
-        persist=not materialized_inputs,
-    )
-    counts = user_counts if user_counts is not None else _user_counts(train, test)
-    heavy = persist_tracked(counts.filter(F.col("n_train") > F.lit(block_size)).select("user_id"))
+    s = broadcast_if_small(table, max_broadcast_rows, persist=not materialized_inputs)
+    counts = user_counts if user_counts is not None else _user_counts(rated, test)
+    over = (F.col("n_train") > F.lit(block_size)) | (F.col("n_test") > F.lit(block_size))
+    heavy = persist_tracked(counts.filter(over).select("user_id"))
     n_heavy = heavy.count()
-    n = shuffle_partitions(t)
+    n = shuffle_partitions(test)
 
     def user_driven(tt: DataFrame, rr: DataFrame) -> DataFrame:
         # Exploding join: pinned partition count (see shuffle_partitions).
@@ -93,16 +86,48 @@ def knn_candidates(
         return cand.join(s, ["target_item", "rated_item"], "inner")
 
     if n_heavy == 0:
-        return user_driven(t, r)
+        return user_driven(test, rated)
     hv = F.broadcast(heavy) if n_heavy <= max_broadcast_rows else heavy
-    light = user_driven(t.join(hv, "user_id", "left_anti"), r.join(hv, "user_id", "left_anti"))
-    # The similarity table has no self pairs, so target != rated holds here.
+    light = user_driven(test.join(hv, "user_id", "left_anti"), rated.join(hv, "user_id", "left_anti"))
+    # The table has no self pairs, so target != rated holds here.
     item_driven = (
-        t.join(hv, "user_id", "left_semi")
+        test.join(hv, "user_id", "left_semi")
         .join(s, "target_item", "inner")
-        .join(r.join(hv, "user_id", "left_semi"), ["user_id", "rated_item"], "inner")
+        .join(rated.join(hv, "user_id", "left_semi"), ["user_id", "rated_item"], "inner")
+    )
+    return light.unionByName(item_driven.select(light.columns))
+
+
+def knn_candidates(
+    test: DataFrame,
+    train: DataFrame,
+    sim_all: DataFrame,
+    block_size: int = DEFAULT_BLOCK_SIZE,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    user_counts: DataFrame | None = None,
+    materialized_inputs: bool = False,
+) -> DataFrame:
+    """(user_id, target_item, rated_item, neighbor_rating, similarity,
+    abs_similarity, common_users) for every usable neighbour rating: an item
+    the user rated in train that has a similarity to the test target. Repeated test
+    rows count once; ``train`` holds one rating per (user, item)."""
+    return neighbour_candidates(
+        test.select("user_id", F.col("item_id").alias("target_item")).distinct(),
+        train.select(
+            "user_id", F.col("item_id").alias("rated_item"), F.col("rating").alias("neighbor_rating")
+        ),
+        sim_all.select(
+            F.col("item_i").alias("target_item"),
+            F.col("item_j").alias("rated_item"),
+            "similarity",
+            "abs_similarity",
+            "common_users",
+        ),
+        block_size=block_size,
+        max_broadcast_rows=max_broadcast_rows,
+        user_counts=user_counts,
+        materialized_inputs=materialized_inputs,
     )
-    return light.unionByName(item_driven)
 
 
 def knn_neighbours(
@@ -116,7 +141,7 @@ def knn_neighbours(
 ) -> DataFrame:
     """The ``k`` best candidates per test row, with ``neighbor_rank`` 1..k.
 
-    Order: |similarity| desc, common users desc, rated item asc.
+    Order: |similarity| (rounded, see ``rank_key``) desc, common users desc, rated item asc.
     """
     cand = knn_candidates(
         test,
@@ -127,7 +152,7 @@ def knn_neighbours(
         materialized_inputs=materialized_inputs,
     )
     w = Window.partitionBy("user_id", "target_item").orderBy(
-        F.col("abs_similarity").desc(), F.col("common_users").desc(), F.col("rated_item").asc()
+        rank_key().desc(), F.col("common_users").desc(), F.col("rated_item").asc()
     )
     return (
         cand.withColumn("_rank", F.row_number().over(w))
@@ -148,7 +173,9 @@ def predict_knn(
     materialized_inputs: bool = False,
 ) -> DataFrame:
     """Scored test rows: user_id, item_id, true_rating, prediction,
-    neighbor_count, is_fallback."""
+    neighbor_count, is_fallback.
+
+    A (user, item) is predicted once, and every test row of it gets that prediction."""
     top = knn_neighbours(
         test,
         train,
@@ -186,7 +213,9 @@ def predict_centered(
     train_mean: Column,
     lo: float = MIN_RATING,
     hi: float = MAX_RATING,
+    block_size: int = DEFAULT_BLOCK_SIZE,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    user_counts: DataFrame | None = None,
     materialized_inputs: bool = False,
 ) -> DataFrame:
     """Scored test rows: user_id, item_id, true_rating, prediction, denom,
@@ -194,24 +223,24 @@ def predict_centered(
 
     ``centered`` holds *all* training ratings with ``centered_rating``
     (prediction uses every training rating, not only the capped users), and
-    ``neighbours`` is the top-k table of :func:`top_neighbours`. The
-    neighbour table has at most items x k rows; it is broadcast only after
-    its row count is checked against ``max_broadcast_rows``
-    (``materialized_inputs=True``: it is read from a checkpoint and not
-    persisted again).
+    ``neighbours`` is the top-k table of :func:`top_neighbours`, met with the
+    user's ratings as in :func:`neighbour_candidates`. A (user, item) is
+    predicted once, and every test row of it gets that prediction.
     """
-    nb = broadcast_if_small(
-        neighbours.select("target_item", "neighbor_item", "similarity", "abs_similarity"),
-        max_broadcast_rows,
-        persist=not materialized_inputs,
-    )
     t = test.select(
         "user_id", F.col("item_id").alias("target_item"), F.col("rating").alias("true_rating")
     )
-    cr = centered.select(
-        "user_id", F.col("item_id").alias("neighbor_item"), "centered_rating"
+    cand = neighbour_candidates(
+        t.select("user_id", "target_item").distinct(),
+        centered.select("user_id", F.col("item_id").alias("rated_item"), "centered_rating"),
+        neighbours.select(
+            "target_item", F.col("neighbor_item").alias("rated_item"), "similarity", "abs_similarity"
+        ),
+        block_size=block_size,
+        max_broadcast_rows=max_broadcast_rows,
+        user_counts=user_counts,
+        materialized_inputs=materialized_inputs,
     )
-    cand = t.join(nb, "target_item", "inner").join(cr, ["user_id", "neighbor_item"], "inner")
     pred = cand.groupBy("user_id", "target_item").agg(
         F.sum(F.col("similarity") * F.col("centered_rating")).alias("weighted_sum"),
         F.sum("abs_similarity").alias("denom"),

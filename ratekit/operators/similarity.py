@@ -7,7 +7,7 @@ both items.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratekit.functions.columns import safe_ratio
@@ -17,11 +17,11 @@ from ratekit.operators.joins import DEFAULT_BLOCK_SIZE, blocked_join, heavy_keys
 # Reference thresholds.
 MIN_COMMON_USERS = 5
 TOP_K = 30
-MAX_USER_RATINGS = 30
-# Similarities are rounded to this many decimals before filtering and
-# ranking, which makes the result independent of summation order (and so of
-# partitioning and of the engine).
-SIM_DECIMALS = 10
+# Only the ranking key is rounded, to this many decimals, so that neighbour lists
+# do not depend on summation order; filters and predictions use the full value.
+RANK_DECIMALS = 10
+# A similarity within this of 0 is a sum that cancelled, not a similarity.
+ZERO = 1e-12
 
 
 def user_counts(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -69,14 +69,20 @@ def co_rating_pairs(
     block_size: int = DEFAULT_BLOCK_SIZE,
     max_user_ratings: int | None = None,
     user_counts: DataFrame | None = None,
+    min_common: int = 1,
 ) -> DataFrame:
     """(user_id, item_i, r_i, item_j, r_j) for every user and item_i < item_j.
 
-    The output is inherently sum_u n_u*(n_u-1)/2 rows. Users with more than
+    Items with fewer than ``min_common`` rows cannot reach that many common users;
+    they are dropped first, which takes the long tail of items out of the quadratic
+    part exactly. The output is sum_u n_u*(n_u-1)/2 rows. Users with more than
     ``block_size`` ratings are split into blocks so no task receives a whole
     heavy user; when a cap on ratings per user is known to be within the
     block size, no blocking is needed and the plain join is used.
     """
+    if min_common > 1:
+        enough = rated.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= F.lit(min_common))
+        rated = rated.join(enough.select("item_id"), "item_id", "left_semi")
     heavy = None
     if max_user_ratings is None or max_user_ratings > block_size:
         if user_counts is not None:  # (user_id, n_train) computed once by the caller
@@ -111,16 +117,19 @@ def _pair_sums(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _with_similarity(sums: DataFrame, decimals: int) -> DataFrame:
-    sim = safe_ratio(F.col("dot"), F.sqrt(F.col("sq_i") * F.col("sq_j")))
-    return sums.withColumn("similarity", F.round(sim, decimals))
+def _with_similarity(sums: DataFrame) -> DataFrame:
+    return sums.withColumn("similarity", safe_ratio(F.col("dot"), F.sqrt(F.col("sq_i") * F.col("sq_j"))))
+
+
+def rank_key(abs_similarity: str = "abs_similarity") -> Column:
+    """|similarity| as neighbour lists order it."""
+    return F.round(F.col(abs_similarity), RANK_DECIMALS)
 
 
 def cosine_similarity(
     train: DataFrame,
     min_common: int = MIN_COMMON_USERS,
     block_size: int = DEFAULT_BLOCK_SIZE,
-    decimals: int = SIM_DECIMALS,
     user_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Half matrix (item_i < item_j) of raw-rating cosine similarity.
@@ -128,40 +137,45 @@ def cosine_similarity(
     Keeps pairs with ``common_users >= min_common`` and ``similarity > 0``.
     ``user_counts`` (user_id, n_train, ...) may be passed to reuse counts.
     """
-    pairs = co_rating_pairs(train, "rating", block_size=block_size, user_counts=user_counts)
-    s = _with_similarity(_pair_sums(pairs), decimals)
+    pairs = co_rating_pairs(
+        train, "rating", block_size=block_size, user_counts=user_counts, min_common=min_common
+    )
+    s = _with_similarity(_pair_sums(pairs))
     return s.filter(
-        (F.col("common_users") >= F.lit(min_common)) & (F.col("similarity") > F.lit(0.0))
+        (F.col("common_users") >= F.lit(min_common)) & (F.col("similarity") > F.lit(ZERO))
     ).select("item_i", "item_j", "similarity", "common_users")
 
 
 def adjusted_cosine_similarity(
     centered: DataFrame,
     min_common: int = MIN_COMMON_USERS,
-    max_user_ratings: int | None = MAX_USER_RATINGS,
+    max_user_ratings: int | None = None,
     min_user_ratings: int = 2,
     block_size: int = DEFAULT_BLOCK_SIZE,
-    decimals: int = SIM_DECIMALS,
 ) -> DataFrame:
     """Half matrix of user-centred (adjusted) cosine similarity.
 
     ``centered`` comes from :func:`centered_ratings`. Only users with
     ``min_user_ratings <= train_rating_count <= max_user_ratings`` teach
-    similarity (``None`` = no upper cap). Keeps pairs with enough common
+    similarity; by default there is no upper cap. Keeps pairs with enough common
     users, non-zero norms and a non-zero similarity (negative ones stay).
     """
     teach = centered.filter(F.col("train_rating_count") >= F.lit(min_user_ratings))
     if max_user_ratings is not None:
         teach = teach.filter(F.col("train_rating_count") <= F.lit(max_user_ratings))
     pairs = co_rating_pairs(
-        teach, "centered_rating", block_size=block_size, max_user_ratings=max_user_ratings
+        teach,
+        "centered_rating",
+        block_size=block_size,
+        max_user_ratings=max_user_ratings,
+        min_common=min_common,
     )
-    s = _with_similarity(_pair_sums(pairs), decimals)
+    s = _with_similarity(_pair_sums(pairs))
     return s.filter(
         (F.col("common_users") >= F.lit(min_common))
         & (F.col("sq_i") > F.lit(0.0))
         & (F.col("sq_j") > F.lit(0.0))
-        & (F.col("similarity") != F.lit(0.0))
+        & (F.abs("similarity") > F.lit(ZERO))
     ).select("item_i", "item_j", "similarity", "common_users")
 
 
@@ -195,7 +209,7 @@ def top_neighbours(sim_all: DataFrame, k: int = TOP_K) -> DataFrame:
     rows per map task to the ranking shuffle.
     """
     w = Window.partitionBy("item_i").orderBy(
-        F.col("abs_similarity").desc(), F.col("common_users").desc(), F.col("item_j").asc()
+        rank_key().desc(), F.col("common_users").desc(), F.col("item_j").asc()
     )
     return (
         sim_all.withColumn("_rank", F.row_number().over(w))

@@ -3,23 +3,24 @@
 Three methods:
 
 * ``hash`` (default): a row is train when a deterministic hash bucket of its
-  (user, item) key is below ``frac * buckets``. No shuffle, identical under any
-  partitioning, and a recomputed partition after a lost executor gives the
-  same rows.
+  (user, item) key is below ``frac * buckets`` (as many buckets as the fraction
+  needs). No shuffle, identical under any partitioning, and a recomputed
+  partition after a lost executor gives the same rows.
 * ``exact``: exactly ``round(frac * n)`` train rows, chosen as the smallest
-  rows in (hash, user, item) order. Distributed: a histogram over 2^20 hash
-  prefixes (bounded size) finds the boundary prefix; only the rows of that one
-  prefix (about n / 2^20) are ranked.
+  rows in (hash, user, item) order, repeated rows included. Distributed: a
+  histogram over 2^20 hash prefixes (bounded size) finds the boundary prefix;
+  only the distinct keys of that one prefix (about n / 2^20) are ranked, and
+  then the repeated rows of the one key at the border.
 * ``random``: Bernoulli ``rand(seed) < frac``. Depends on partitioning; the
   flag is checkpointed once so train and test stay complementary.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratekit.functions.columns import hash_bucket, hash_key32
+from ratekit.functions.columns import hash_bucket, hash_key32, split_buckets
 from ratekit.session import materialize, persist_tracked
 
 _PREFIX_SHIFT = 12  # 32-bit hash >> 12 = 2^20 histogram cells
@@ -29,62 +30,64 @@ def split_flag(
     ratings: DataFrame,
     frac: float = 0.8,
     method: str = "hash",
-    seed: int = 42,
-    buckets: int = 100,
+    seed: int | None = None,
     user_col: str = "user_id",
     item_col: str = "item_id",
 ) -> DataFrame:
-    """``ratings`` plus a boolean ``is_train`` column."""
+    """``ratings`` plus a boolean ``is_train`` column.
+
+    ``seed`` is mixed into the hashed key of ``hash`` and ``exact`` and seeds ``random``;
+    each seed gives another split, and without one the plain key is hashed.
+    """
     if not 0.0 <= frac <= 1.0:
         raise ValueError("frac must lie in [0, 1]")
+    key = [user_col, item_col] if seed is None else [F.lit(seed), user_col, item_col]
     if method == "hash":
-        cut = int(round(frac * buckets))
-        return ratings.withColumn(
-            "is_train", hash_bucket(user_col, item_col, buckets=buckets) < F.lit(cut)
-        )
+        buckets, cut = split_buckets(frac)
+        return ratings.withColumn("is_train", hash_bucket(*key, buckets=buckets) < F.lit(cut))
     if method == "random":
-        flagged = ratings.withColumn("is_train", F.rand(seed) < F.lit(frac))
+        flagged = ratings.withColumn("is_train", F.rand(0 if seed is None else seed) < F.lit(frac))
         return materialize(flagged)
     if method == "exact":
-        return _exact_flag(ratings, frac, user_col, item_col)
+        return _exact_flag(ratings, frac, key, user_col, item_col)
     raise ValueError(f"unknown split method {method!r}")
 
 
-def _exact_flag(ratings: DataFrame, frac: float, user_col: str, item_col: str) -> DataFrame:
-    keyed = ratings.withColumn("_h", hash_key32(user_col, item_col)).withColumn(
-        "_hb", F.shiftright(F.col("_h"), _PREFIX_SHIFT)
+def _exact_flag(ratings: DataFrame, frac: float, key: list, user_col: str, item_col: str) -> DataFrame:
+    # Read several times below: kept, so that the input is read once.
+    keyed = persist_tracked(
+        ratings.withColumn("_h", hash_key32(*key)).withColumn("_hb", F.shiftright(F.col("_h"), _PREFIX_SHIFT))
     )
     hist = keyed.groupBy("_hb").agg(F.count(F.lit(1)).alias("_n"))
     total = hist.agg(F.sum("_n")).scalar()
     k = F.round(total * F.lit(frac)).cast("bigint")
-    # Cumulative count over at most 2^20 histogram rows: bounded single task.
-    w = Window.orderBy("_hb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    boundary = (
-        hist.withColumn("_cum", F.sum("_n").over(w))
-        .filter(F.col("_cum") >= k)
-        .orderBy("_hb")
-        .limit(1)
-        .select(F.struct(F.col("_hb").alias("hb"), (k - (F.col("_cum") - F.col("_n"))).alias("need")))
-        .scalar()
-    )
-    # Rank only the rows of the boundary prefix.
-    order = Window.orderBy("_h", user_col, item_col)
-    cut_row = (
-        keyed.filter(F.col("_hb") == boundary.getField("hb"))
-        .withColumn("_r", F.row_number().over(order))
-        .filter(F.col("_r") == boundary.getField("need"))
-        .select(F.struct(F.col("_h"), F.col(user_col), F.col(item_col)))
-        .scalar()
-    )
-    is_train = F.coalesce(F.struct(F.col("_h"), F.col(user_col), F.col(item_col)) <= cut_row, F.lit(False))
-    return keyed.withColumn("is_train", is_train).drop("_h", "_hb")
+
+    def crossing(counts: DataFrame, order: list[str], need: Column) -> DataFrame:
+        """The first row of ``counts`` whose running count reaches ``need``, with what is left for it."""
+        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ran = counts.withColumn("_cum", F.sum("_n").over(w)).filter(F.col("_cum") >= need)
+        return ran.orderBy(*order).limit(1).withColumn("_left", need - (F.col("_cum") - F.col("_n")))
+
+    # At most 2^20 histogram rows, then the distinct keys of one cell.
+    cell = crossing(hist, ["_hb"], k).select(F.struct("_hb", "_left")).scalar()
+    names = ["_h", user_col, item_col]
+    keys = keyed.filter(F.col("_hb") == cell["_hb"]).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    cut = crossing(keys, names, cell["_left"]).select(F.struct(F.struct(*names).alias("key"), "_left")).scalar()
+    here = F.struct(*names)
+    tied = F.coalesce(here == cut["key"], F.lit(False))
+    rest = keyed.filter(~tied).withColumn("is_train", F.coalesce(here < cut["key"], F.lit(False)))
+    # Repeated rows of the border key: as many of them as are left, by their other columns.
+    others = [c for c in ratings.columns if c not in names] or [user_col]
+    among = Window.partitionBy(*names).orderBy(*others)
+    last = keyed.filter(tied).withColumn("is_train", F.row_number().over(among) <= cut["_left"])
+    return rest.unionByName(last).drop("_h", "_hb")
 
 
 def holdout(
     ratings: DataFrame,
     frac: float = 0.8,
     method: str = "hash",
-    seed: int = 42,
+    seed: int | None = None,
     persist: bool = False,
     **kw,
 ) -> tuple[DataFrame, DataFrame]:

@@ -1,7 +1,7 @@
 """End-to-end plans composed from the operators."""
 
 from ratekit.plans.cf import CFResult, centered_knn, cosine_knn
-from ratekit.plans.report import cf_report_lines, value_report_lines, write_report
+from ratekit.plans.report import cf_report_lines, model_notes, value_report_lines, write_report
 from ratekit.plans.values import ValueAnalysis, value_analysis
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "centered_knn",
     "cf_report_lines",
     "cosine_knn",
+    "model_notes",
     "value_analysis",
     "value_report_lines",
     "write_report",

@@ -2,10 +2,10 @@
 
 * :func:`cosine_knn` - raw-rating cosine, positive similarities only,
   neighbours chosen per prediction among the items the user rated.
-* :func:`centered_knn` - adjusted (user-centred) cosine learned from users
-  with at most ``max_user_ratings`` training ratings, negative similarities
-  kept, a fixed top-k neighbour list per item, mean-centred prediction with
-  fallbacks and clipping.
+* :func:`centered_knn` - adjusted (user-centred) cosine learned from all users
+  with two or more training ratings (``max_user_ratings`` can cap that),
+  negative similarities kept, a fixed top-k neighbour list per item,
+  mean-centred prediction with fallbacks and clipping.
 
 The similarity table (the quadratic part) is checkpointed into the shared
 checkpoint folder so later stages never re-run the self-join after an
@@ -16,7 +16,11 @@ pipeline reads about eight times (counts, both self-join sides, scalar
 subqueries, candidates, scoring). Keep it when the ratings are derived by an
 expensive plan; turn it off when they are a plain columnar scan much larger
 than the cluster's memory and disk, where re-reading the files with the
-pushed-down split predicate is cheaper than caching them.
+pushed-down split predicate is cheaper than caching them. Only the one-row metrics
+and per-user counts are kept then. ``CFResult.release`` drops what a pipeline keeps.
+
+``repeated=True`` is for ratings that may hold a (user, item) more than once: the
+training rows of a key are averaged, and each test row is scored on its own.
 """
 
 from __future__ import annotations
@@ -27,9 +31,8 @@ from pyspark.sql import DataFrame
 
 from ratekit.operators.evaluate import evaluate
 from ratekit.operators.joins import DEFAULT_BLOCK_SIZE
-from ratekit.operators.predict import MAX_RATING, MIN_RATING, predict_centered, predict_knn
+from ratekit.operators.predict import MAX_RATING, MIN_RATING, one_rating, predict_centered, predict_knn
 from ratekit.operators.similarity import (
-    MAX_USER_RATINGS,
     MIN_COMMON_USERS,
     TOP_K,
     adjusted_cosine_similarity,
@@ -41,7 +44,7 @@ from ratekit.operators.similarity import (
     user_stats,
 )
 from ratekit.operators.split import holdout, train_summary
-from ratekit.session import materialize, persist_tracked
+from ratekit.session import materialize, persist_tracked, release_cached
 
 
 @dataclass
@@ -55,19 +58,27 @@ class CFResult:
     stats: DataFrame | None = None
     neighbours: DataFrame | None = None
 
+    def release(self) -> None:
+        """Drop everything that was kept for this result."""
+        release_cached(self.train.sparkSession)
+
 
 def cosine_knn(
     ratings: DataFrame,
     frac: float = 0.8,
     split: str = "hash",
-    seed: int = 42,
+    seed: int | None = None,
     min_common: int = MIN_COMMON_USERS,
     k: int = TOP_K,
     block_size: int = DEFAULT_BLOCK_SIZE,
     checkpoint: bool = True,
     cache_inputs: bool = True,
+    repeated: bool = False,
 ) -> CFResult:
     train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=cache_inputs)
+    if repeated:
+        train = one_rating(train)
+        train = persist_tracked(train) if cache_inputs else train
     # Per-user counts once: both skew checks (self-join, test x train) read it.
     counts = persist_tracked(user_counts(train, test))
     sim = cosine_similarity(train, min_common=min_common, block_size=block_size, user_counts=counts)
@@ -85,27 +96,36 @@ def cosine_knn(
         user_counts=counts,
         materialized_inputs=checkpoint,
     )
-    return CFResult(train, test, sim, sim_all, scored, evaluate(scored, train))
+    # One row: kept, so that reports and the command line score once.
+    metrics = persist_tracked(evaluate(scored, train))
+    return CFResult(train, test, sim, sim_all, scored, metrics)
 
 
 def centered_knn(
     ratings: DataFrame,
     frac: float = 0.8,
     split: str = "hash",
-    seed: int = 42,
+    seed: int | None = None,
     min_common: int = MIN_COMMON_USERS,
     k: int = TOP_K,
-    max_user_ratings: int | None = MAX_USER_RATINGS,
+    max_user_ratings: int | None = None,
     lo: float = MIN_RATING,
     hi: float = MAX_RATING,
     block_size: int = DEFAULT_BLOCK_SIZE,
     checkpoint: bool = True,
     cache_inputs: bool = True,
+    repeated: bool = False,
 ) -> CFResult:
     train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=cache_inputs)
-    stats = persist_tracked(user_stats(train))
-    # Read by the self-join (capped users) and by the prediction (all users).
-    centered = persist_tracked(centered_ratings(train, stats))
+    if repeated:
+        train = one_rating(train)
+        train = persist_tracked(train) if cache_inputs else train
+    stats = user_stats(train)
+    # Read by the self-join and by the prediction.
+    centered = centered_ratings(train, stats)
+    if cache_inputs:
+        stats, centered = persist_tracked(stats), persist_tracked(centered)
+    counts = persist_tracked(user_counts(train, test))
     sim = adjusted_cosine_similarity(
         centered, min_common=min_common, max_user_ratings=max_user_ratings, block_size=block_size
     )
@@ -117,8 +137,16 @@ def centered_knn(
         nb = materialize(nb)
     mean = train_summary(train).getField("mean")
     scored = predict_centered(
-        test, centered, nb, stats, mean, lo=lo, hi=hi, materialized_inputs=checkpoint
-    )
-    return CFResult(
-        train, test, sim, sim_all, scored, evaluate(scored, train), stats=stats, neighbours=nb
+        test,
+        centered,
+        nb,
+        stats,
+        mean,
+        lo=lo,
+        hi=hi,
+        block_size=block_size,
+        user_counts=counts,
+        materialized_inputs=checkpoint,
     )
+    metrics = persist_tracked(evaluate(scored, train))
+    return CFResult(train, test, sim, sim_all, scored, metrics, stats=stats, neighbours=nb)

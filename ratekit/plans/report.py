@@ -23,7 +23,7 @@ _LINES = StructType(
 )
 
 # Section titles of the value report.
-COUNTS_TITLE = "Values and number of items"
+COUNTS_TITLE = "Items per value"
 LIST_TITLES = {
     "most_rated": "{value}: top {n} by number of ratings",
     "least_rated": "{value}: top {n} by smallest number of ratings, rating_count > {m}",
@@ -56,8 +56,6 @@ def value_report_layout(
         (0, 0, f"# {title}"),
         (0, 1, ""),
         (0, 2, "Values: " + ", ".join(values) + "."),
-        (0, 3, ""),
-        (0, 4, "Tags are split with explode, so an item is counted once under each of its values."),
     ]
     fixed += _head(1, COUNTS_TITLE, ("value", "item_count"))
     section_of: dict[tuple[str, str], int] = {}
@@ -75,8 +73,8 @@ def value_report_lines(va: ValueAnalysis, title: str = "Rating report") -> DataF
     chosen value its four lists, each as a markdown table."""
     spark = va.stats.sparkSession
     fixed, section_of = value_report_layout(va.values, va.n, va.min_count, title)
-    # Ordinal of the counts table: one window over the value vocabulary,
-    # which is bounded (a few dozen tags), not over the data.
+    # Ordinal of the counts table: a window over the report's own lines, one a
+    # value, after the aggregation; the report is one file of them anyway.
     w = Window.orderBy(F.desc("item_count"), F.asc("value"))
     counts = va.counts.select(
         F.lit(1).cast("bigint").alias("section"),
@@ -94,15 +92,38 @@ def value_report_lines(va: ValueAnalysis, title: str = "Rating report") -> DataF
     return _fixed(spark, fixed).unionByName(counts).unionByName(rows)
 
 
+def model_notes(model: str, min_common: int, k: int, max_user_ratings: int | None = None) -> tuple[str, ...]:
+    """What the figures mean, from a model's parameters (``cosine`` or ``centered``)."""
+    error = "RMSE is the root of the mean squared difference of rating and prediction over all test rows."
+    if model == "cosine":
+        return (
+            error,
+            f"Two items are similar by the cosine of their ratings over the users of both, {min_common} users at least; only positive values count.",
+            f"A prediction is the similarity-weighted mean of the user's {k} most similar rated items.",
+            "Without such an item the train mean is predicted.",
+        )
+    support = "2 or more" if max_user_ratings is None else f"2 to {max_user_ratings}"
+    return (
+        error,
+        f"Two items are similar by the cosine of ratings less the user's mean over the users of both, {min_common} users at least.",
+        f"Similarities are learned from users with {support} training ratings; every training rating is used to predict.",
+        f"A prediction adds the weighted deviation on the item's {k} nearest neighbours to the user's mean, within the rating scale.",
+        "Without a rated neighbour the user's mean is predicted, for an unknown user the train mean.",
+    )
+
+
 def cf_report_lines(
     metrics: DataFrame,
     model: str,
     details: str,
     split: str = "deterministic hash of (user, item), 80 of 100 buckets",
     neighbours: DataFrame | None = None,
+    notes: tuple[str, ...] = (),
 ) -> DataFrame:
     """Split/baseline table, result table and notes from the one-row metrics.
 
+    The metrics are read once; ``notes`` (see :func:`model_notes`) follow the counts.
+
     With the model-time ``neighbours`` table (adjusted model) the notes also
     give its row count and the number of items with learned neighbours.
     """
@@ -115,6 +136,7 @@ def cf_report_lines(
     fixed += _head(1, "Split and baseline", ("metric", "value"))
     fixed += _head(2, "Collaborative filtering result", ("model", "rmse", "details"))
     fixed += [(3, 0, ""), (3, 1, "## Notes"), (3, 2, "")]
+    fixed += [(3, 6 + k, f"- {note}") for k, note in enumerate(notes)]
 
     def line(section: int, no: int, *cells: Column) -> Column:
         return F.struct(
@@ -146,17 +168,17 @@ def cf_report_lines(
                     md_cell("cf_rmse", 6),
                     F.concat(F.lit(details.replace("|", "\\|") + ", coverage="), pct),
                 ),
+                F.struct(
+                    F.lit(3).cast("bigint").alias("section"),
+                    F.lit(3).cast("bigint").alias("line"),
+                    F.format_string(
+                        "- Fallback predictions: %d of %d test rows.", F.col("fallback_count"), F.col("test_rows")
+                    ).alias("text"),
+                ),
             )
         ).alias("l")
     ).select("l.*")
-    notes = metrics.select(
-        F.lit(3).cast("bigint").alias("section"),
-        F.lit(3).cast("bigint").alias("line"),
-        F.format_string(
-            "- Fallback predictions: %d of %d test rows.", F.col("fallback_count"), F.col("test_rows")
-        ).alias("text"),
-    )
-    out = _fixed(spark, fixed).unionByName(rows).unionByName(notes)
+    out = _fixed(spark, fixed).unionByName(rows)
     if neighbours is not None:
         from ratekit.operators.similarity import neighbour_summary
 
@@ -183,9 +205,9 @@ def cf_report_lines(
 def write_report(lines: DataFrame, path: str) -> None:
     """Write the ordered report as one text file (the report is bounded)."""
     (
-        lines.orderBy("section", "line")
+        lines.repartition(1)
+        .sortWithinPartitions("section", "line")
         .select("text")
-        .coalesce(1)
         .write.mode("overwrite")
         .text(path)
     )

@@ -7,6 +7,7 @@ it is unset *and* the session runs in local mode (tests, laptops).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import weakref
 
@@ -57,8 +58,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediates.
 
-    Taken from the running context or ``spark.checkpoint.dir``. Only a
-    local-mode session without any setting gets a fresh temporary folder.
+    Taken from the running context or ``spark.checkpoint.dir``. Only a session
+    whose driver is its only executor gets a fresh temporary folder when
+    neither is set (tests, laptops); any cluster without a folder fails.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -66,7 +68,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # local-cluster has separate executors
             raise RuntimeError(
                 "spark.checkpoint.dir is unset; name a shared folder for this cluster"
             )

@@ -1,17 +1,23 @@
 """Sources and sinks: typed CSV readers/writers and the test-table mapping."""
 
-from ratekit.sources.csv import read_items_csv, read_ratings_csv, write_csv
-from ratekit.sources.schemas import ITEMS_SCHEMA, RATINGS_SCHEMA
-from ratekit.sources.testdata import cf_ratings, item_ratings, items, load
+from ratekit.sources.csv import (
+    read_items_csv,
+    read_ratings_csv,
+    rejected_items_csv,
+    rejected_ratings_csv,
+    write_csv,
+)
+from ratekit.sources.testdata import cf_ratings, item_ratings, items, load, repeated_ratings
 
 __all__ = [
-    "ITEMS_SCHEMA",
-    "RATINGS_SCHEMA",
     "cf_ratings",
     "item_ratings",
     "items",
     "load",
     "read_items_csv",
     "read_ratings_csv",
+    "rejected_items_csv",
+    "repeated_ratings",
+    "rejected_ratings_csv",
     "write_csv",
 ]

@@ -12,8 +12,6 @@
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,21 +26,12 @@ COLUMNS = {
     "orders": "o_orderkey BIGINT, o_custkey BIGINT",
 }
 
-_READERS: weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = weakref.WeakKeyDictionary()
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one table; the DataFrame is memoised per session and path so
-    repeated plans share the file listing."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    per_session = _READERS.setdefault(spark, {})
-    df = per_session.get(path)
-    if df is None:
-        reader = spark.read
-        if name in COLUMNS:
-            reader = reader.schema(COLUMNS[name])
-        df = per_session[path] = reader.parquet(path)
-    return df
+    """Scan of one table with its declared columns."""
+    reader = spark.read
+    if name in COLUMNS:
+        reader = reader.schema(COLUMNS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +51,17 @@ def item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, item_id, rating) of every order line: a customer may rate a supplier often."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
+        F.col("o_custkey").alias("user_id"),
+        F.col("l_suppkey").alias("item_id"),
+        half_star_rating("l_quantity").alias("rating"),
+    )
+
+
 def cf_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, item_id, rating), one row per key.
 

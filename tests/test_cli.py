@@ -35,7 +35,7 @@ def test_values_command_writes_report(spark, capsys):
     d = _files()
     out = os.path.join(d, "report")
     rc = main(["values", "--items", f"{d}/movies.csv", "--ratings", f"{d}/ratings.csv",
-               "--min-count", "1", "--report", out])
+               "--values", "Animation,Romance,Documentary", "--min-count", "1", "--report", out])
     assert rc == 0
     text = "".join(open(p).read() for p in sorted(glob.glob(out + "/part-*")))
     assert "## Animation: top 10 by number of ratings" in text

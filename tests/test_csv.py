@@ -3,7 +3,9 @@
 import os
 import tempfile
 
-from ratekit.sources import read_items_csv, read_ratings_csv, write_csv
+import pytest
+
+from ratekit.sources import read_items_csv, read_ratings_csv, rejected_ratings_csv, write_csv
 
 ITEMS_CSV = (
     "movieId,title,genres\n"
@@ -44,3 +46,22 @@ def test_round_trip(spark):
     write_csv(src.repartition(2), out)
     back = read_items_csv(spark, out)
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in src.collect())
+
+
+def test_round_trip_keeps_every_text(spark):
+    rows = [
+        (1, "  both ends  ", "a|b"), (2, 'line\nbreak, "q"', ""), (3, None, None), (4, "", "x"),
+        (5, '"Sr." (2022)', "\\N"), (6, "back\\slash", " "), (7, "cr\rlf\r\n", "t"),
+    ]
+    out = tempfile.mkdtemp(prefix="ratekit-csv-out-") + "/items"
+    write_csv(spark.createDataFrame(rows, "item_id long, title string, tags string").repartition(3), out)
+    assert sorted(map(tuple, read_items_csv(spark, out).collect())) == rows
+
+
+def test_columns_are_found_by_name_and_bad_rows_kept(spark):
+    p = _write("movieId,timestamp,userId,rating\n10,9,1,4.5\nx,9,1,3\n11,9,,3\n12,9,2,bad\n13,9,3,0.5\n")
+    assert sorted(map(tuple, read_ratings_csv(spark, p).collect())) == [(1, 10, 4.5), (3, 13, 0.5)]
+    bad = sorted(tuple(str(x) for x in r) for r in rejected_ratings_csv(spark, p).collect())
+    assert bad == [("1", "x", "3"), ("2", "12", "bad"), ("None", "11", "3")]
+    with pytest.raises(ValueError, match="title"):
+        read_items_csv(spark, p)

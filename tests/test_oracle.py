@@ -28,12 +28,12 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(se.queries()) - set(se.oracle_sql())
+    rows_only = set(se._own_queries()) - set(se._own_oracle_sql())
     assert rows_only <= {"holdout_random"}
     assert set(se.oracle_sql()) <= set(se.queries())
 
 
-@pytest.mark.parametrize("name", sorted(se.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(se._own_oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = se.queries()[name](spark, SF0001)
     srows, scols = [tuple(r) for r in df.collect()], df.columns

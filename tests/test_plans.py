@@ -5,8 +5,14 @@ import sys
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as se
 from conftest import SF0001
+from ratekit.operators import co_rating_pairs
+from ratekit.plans import centered_knn, cf_report_lines, cosine_knn
+from ratekit.session import release_cached
+from ratekit.sources import cf_ratings
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from explain_plans import summarise  # noqa: E402
@@ -20,7 +26,7 @@ def _plan(spark, name):
     return lines
 
 
-@pytest.mark.parametrize("name", sorted(se.queries()))
+@pytest.mark.parametrize("name", sorted(se._own_queries()))
 def test_no_cartesian_or_nested_loop(spark, name):
     text = "\n".join(_plan(spark, name))
     assert "CartesianProduct" not in text
@@ -45,3 +51,69 @@ def test_scans_are_pruned(spark):
 def test_aggregates_are_partial(spark):
     text = "\n".join(_plan(spark, "cosine_similarity"))
     assert "partial_count(1), partial_sum" in text
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "13"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _hot(spark):
+    """12,000 ratings, a third of them by one user."""
+    hot = spark.range(4000).select(F.lit(0).alias("user_id"), F.col("id").alias("item_id"), F.lit(3.0).alias("rating"))
+    rest = spark.range(8000).select((F.col("id") % 800 + 1).alias("user_id"), (F.col("id") * 7 % 4000).alias("item_id"), F.lit(4.0).alias("rating"))
+    return hot.unionByName(rest)
+
+
+def test_self_join_keeps_the_configured_partitions(spark, no_broadcast):
+    for block in (100_000, 200):
+        pairs = co_rating_pairs(_hot(spark), block_size=block)
+        # a plain join of 13 partitions, or light and blocked joins of 13 each
+        assert pairs.rdd.getNumPartitions() == (13 if block > 4000 else 26)
+        release_cached(spark)
+
+
+def test_hot_user_spreads_over_tasks(spark, no_broadcast):
+    n = co_rating_pairs(_hot(spark), block_size=200).groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(r["count"] for r in n)
+    # each light user has five items twice
+    assert sum(sizes) == 4000 * 3999 // 2 + 800 * 40
+    assert len(sizes) >= 13 and sizes[-1] < 3 * sizes[len(sizes) - 10]
+    release_cached(spark)
+
+
+def test_support_pruning_is_exact(spark):
+    ratings = cf_ratings(spark, SF0001)
+    pruned = co_rating_pairs(ratings, min_common=5)
+    whole = co_rating_pairs(ratings)
+    count = lambda p: {(r.item_i, r.item_j): r.n for r in p.groupBy("item_i", "item_j").agg(F.count("*").alias("n")).filter("n >= 5").collect()}
+    assert count(pruned) == count(whole)
+    release_cached(spark)
+
+
+def test_report_scores_once(spark):
+    r = cosine_knn(cf_ratings(spark, SF0001))
+    assert r.metrics.storageLevel.useMemory
+    lines = cf_report_lines(r.metrics, "m", "d")
+    lines.collect()
+    plan = summarise(lines._jdf.queryExecution().executedPlan())
+    assert sum("InMemoryTableScan" in ln for ln in plan) == 1
+    assert not any("Window" in ln or "Join" in ln for ln in plan)
+    r.release()
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+
+def test_cache_inputs_false_keeps_no_ratings(spark):
+    release_cached(spark)
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    r = centered_knn(cf_ratings(spark, SF0001), cache_inputs=False)
+    r.metrics.collect()
+    kept = spark.sparkContext._jsc.sc().getPersistentRDDs().size() - before
+    assert kept <= 4  # metrics, counts and the lists of heavy users
+    r.release()
