@@ -140,16 +140,17 @@ def words_of(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SPACE, kinds:
     return Words(start, end, doc, first, out)
 
 
-def sample_ids(labels: DataFrame, by: str, per_value: int, seed: int = 17) -> DataFrame:
+def sample_ids(labels: DataFrame, by: str, per_value: int, seed: int = 17, few: bool = False) -> DataFrame:
     """At most ``per_value`` rows of each value of ``by``, those with the smallest hashed id.
 
     Bounded by values x ``per_value`` and the same in every run. Counts per value give
     a hash threshold that lets about twice as many rows through, so a hot value does
-    not meet whole in one task; the rest are ranked.
+    not meet whole in one task; the rest are ranked. ``few``: ``by`` has a known small
+    number of values, so that their counts can be broadcast.
     """
     unit = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     counts = labels.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    near = labels.join(counts, by).withColumn("_u", unit).filter(F.col("_u") * F.col("_n") <= 2.0 * per_value + 20)
+    near = labels.join(F.broadcast(counts) if few else counts, by).withColumn("_u", unit).filter(F.col("_u") * F.col("_n") <= 2.0 * per_value + 20)
     w = Window.partitionBy(by).orderBy("_u", "doc_id")
     near = near.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= per_value)
     return near.drop("_rank", "_u", "_n")
@@ -171,7 +172,7 @@ def labelled_sample(
         .agg(F.max("_y").alias("_y"))
     )
     docs = documents.select("doc_id", "text").filter(F.octet_length("text") <= max_bytes)
-    ids = sample_ids(lab, "_y", per_class)
+    ids = sample_ids(lab, "_y", per_class, few=True)
     # at most 2 x per_class ids: a proven bound
     rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "_y")
     got = {}
