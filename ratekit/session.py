@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 import weakref
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -88,6 +89,8 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# The scratch folder of each running context.
+_SCRATCH: weakref.WeakKeyDictionary[SparkContext, str] = weakref.WeakKeyDictionary()
 _CACHED: weakref.WeakKeyDictionary[SparkSession, list[DataFrame]] = weakref.WeakKeyDictionary()
 
 
@@ -110,7 +113,17 @@ def release_cached(spark: SparkSession) -> int:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    import uuid
+    """A fresh sub-folder of the shared checkpoint folder for written tables.
 
-    return f"{checkpoint_dir(spark)}/ratekit-{name}-{uuid.uuid4().hex}"
+    All of a session's tables lie under one folder, which the file system removes
+    when the session's JVM ends.
+    """
+    top = _SCRATCH.get(spark.sparkContext)
+    if top is None:
+        top = f"{checkpoint_dir(spark)}/ratekit-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(top)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _SCRATCH[spark.sparkContext] = top
+    return f"{top}/{name}-{uuid.uuid4().hex}"
