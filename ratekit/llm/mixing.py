@@ -74,14 +74,20 @@ def targets(sizes: DataFrame) -> DataFrame:
     return s.select("source", "source_size", F.least(full.cast("double"), level * F.col("w")).alias("target"))
 
 
+def _table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def mix(documents: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row of ``documents``."""
-    spark = documents.sparkSession
     rows = documents.select("doc_id", "source", n_words("text").alias("size"), sampling_key("doc_id", quality_weight("text")).alias("key"))
-    path = scratch_path(spark, "mix-rows")
+    # Narrow rows first: the range sort samples its input and would read the texts twice.
+    rows = _table(rows, "mix-rows")
     ordered = ["key", "doc_id", "size"]
-    rows.repartitionByRange("source", *ordered).withColumn("part", F.spark_partition_id()).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = _table(rows.repartitionByRange("source", *ordered).withColumn("part", F.spark_partition_id()), "mix-order")
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("words"))
     sizes = parts.groupBy("source").agg(F.sum("words").alias("source_size"))
     run = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
