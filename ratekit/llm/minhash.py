@@ -211,3 +211,22 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, piv
         F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "id", "doc_id")).alias("component_id"),
     )
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT doc_id, unnest(CASE WHEN len(words) >= 4
+    THEN list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS gram FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS id, doc_id AS other FROM documents UNION SELECT r.id, e.y FROM r JOIN e ON e.x = r.other),
+m AS (SELECT id, min(other) AS component_id FROM r GROUP BY id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN m ON m.id = d.doc_id
+"""

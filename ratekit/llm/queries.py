@@ -81,4 +81,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mix": mixing.ORACLE_SQL}
+    return {
+        "op1_metric_range_join": vectors.ORACLE_SQL,
+        "op3_source_mix": mixing.ORACLE_SQL,
+        "op7_minmax_hash": minhash.ORACLE_SQL,
+    }

@@ -189,3 +189,18 @@ def near_vectors(
     keyed = rows.select("vec_id", F.when(F.col("ok"), F.col("k1")).alias("k1"), F.when(F.col("ok"), F.col("k2")).alias("k2"))
     out = keyed.join(info, ["k1", "k2"], "left").select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
+ORACLE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS norm
+  FROM embeddings WHERE label IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+r AS (SELECT vec_id AS id, vec_id AS other FROM embeddings UNION SELECT r.id, l.y FROM r JOIN l ON l.x = r.other),
+m AS (SELECT id, min(other) AS component_id FROM r GROUP BY id),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT t.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, m.component_id, t.vec_id = m.component_id AS kept
+FROM embeddings t LEFT JOIN n ON n.x = t.vec_id JOIN m ON m.id = t.vec_id
+"""
