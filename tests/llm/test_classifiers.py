@@ -3,11 +3,12 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ratekit.llm import langid, quality, queries, toxicity
-from ratekit.llm.common import as_block, words_of
+from ratekit.llm.common import as_block, blocks, words_of
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, extra string, score double"
@@ -175,3 +176,12 @@ def test_toxicity_is_right_on_unseen_rows(spark, labels):
     n, right = j.agg(F.count("*"), F.sum((F.col("toxic") == F.col("predicted")).cast("int"))).first()
     assert n > 80 and right / n > 0.95
     assert got.filter("(score >= 0.7) <> (predicted = 1) OR score < 0 OR score > 1").count() == 0
+
+
+def test_blocks_keep_every_row_in_order():
+    texts = ["x" * n for n in (0, 5, 900, 3, 0, 2500, 1, 1, 1)] * 7
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    for size, rows in ((1000, 100), (10**6, 4), (1, 1)):
+        parts = list(blocks(iter([batch, batch.slice(0, 0)]), "text", size, rows))
+        assert [i for p in parts for i in p.column("id").to_pylist()] == list(range(len(texts)))
+        assert all(p.num_rows <= rows and (p.num_rows == 1 or sum(map(len, p.column("text").to_pylist())) <= size) for p in parts)
