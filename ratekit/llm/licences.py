@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratekit.session import scratch_path
+
 # Cue words of licence headers and short header texts of common licences.
 CUE = r"(?i)licen[sc]e|copyright|spdx|all rights reserved|public domain|creative commons"
 FILE_NAME = r"(?i)^(un)?(licen[sc]e|copying)([._-].*)?$"
@@ -57,6 +59,13 @@ def _directory(path: Column) -> Column:
     return F.nullif(F.regexp_replace(path, r"/*[^/]*$", ""), F.lit(""))
 
 
+def _table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _own(files: DataFrame, least: float) -> DataFrame:
     """id, licence, score, kind of the files with a matching candidate."""
     spark = files.sparkSession
@@ -66,8 +75,13 @@ def _own(files: DataFrame, least: float) -> DataFrame:
     whole = F.when(named, F.array("text")).otherwise(F.array().cast("array<string>"))
     found = cued.select("id", "path", named.alias("named"), F.explode(F.array_distinct(F.concat(sentences, whole))).alias("header"))
     found = found.select("id", "named", F.concat_ws(" ", F.array_sort(_tokens(F.col("header")))).alias("words")).filter("words <> ''")
-    headers = found.groupBy("words").agg(F.count(F.lit(1)).alias("n"))
-    tf = headers.select("words", "n", F.explode(F.split("words", " ")).alias("token")).groupBy("words", "n", "token").agg(F.count(F.lit(1)).alias("tf"))
+    # Read several times below: the texts are scanned once.
+    found = _table(found, "licence-headers")
+    # Candidates go by a 128-bit hash of their words: a whole licence file is no join key.
+    key = ["k1", "k2"]
+    keyed = found.select("id", "named", "words", *(F.xxhash64(F.lit(n), "words").alias(k) for n, k in enumerate(key)))
+    headers = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.first("words").alias("words"))
+    tf = headers.select(*key, "n", F.explode(F.split("words", " ")).alias("token")).groupBy(*key, "n", "token").agg(F.count(F.lit(1)).alias("tf"))
     total = headers.agg(F.sum("n").alias("total")).scalar()
     df = tf.groupBy("token").agg(F.sum("n").alias("df"))
     weight = F.ln((1.0 + F.coalesce(total, F.lit(0))) / (1.0 + F.coalesce(F.col("df"), F.lit(0)))) + 1.0
@@ -80,12 +94,12 @@ def _own(files: DataFrame, least: float) -> DataFrame:
     t = t.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy("template"))))
     t = t.select("token", "template", "licence", (F.col("v") / F.col("norm")).alias("tv"))
     h = tf.join(idf, "token").withColumn("v", F.col("tf") * F.col("w"))
-    norms = h.groupBy("words").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    dots = h.join(F.broadcast(t), "token").groupBy("words", "template", "licence").agg(F.sum(F.col("v") * F.col("tv")).alias("dot"))
-    scored = dots.join(norms, "words").select("words", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).filter(F.col("score") >= least)
+    norms = h.groupBy(key).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    dots = h.join(F.broadcast(t), "token").groupBy(*key, "template", "licence").agg(F.sum(F.col("v") * F.col("tv")).alias("dot"))
+    scored = dots.join(norms, key).select(*key, "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).filter(F.col("score") >= least)
     # the smallest struct: highest score, then first licence
-    best = scored.groupBy("words").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
-    hits = found.join(best, "words").select("id", "named", F.struct(F.col("b.s"), F.col("b.licence")).alias("b"))
+    best = scored.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
+    hits = keyed.select("id", "named", *key).join(best, key).select("id", "named", F.struct(F.col("b.s"), F.col("b.licence")).alias("b"))
     one = hits.groupBy("id").agg(F.min("b").alias("b"), F.max("named").alias("named"))
     kind = F.when(F.col("named"), "file").otherwise("header")
     return one.select("id", F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"), kind.alias("kind"))
@@ -98,7 +112,7 @@ def scan(files: DataFrame, least: float = 0.6) -> DataFrame:
     """
     files = files.select("id", "path", "text")
     rows = files.select("id", "path")
-    own = _own(files, least)
+    own = _table(_own(files, least), "licence-files")
     decided = rows.join(own, "id", "left")
     folder = _directory(F.col("path"))
     stated = decided.filter("kind = 'file'").select(folder.alias("folder"), "score", "licence").filter("folder IS NOT NULL")
