@@ -30,12 +30,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import BLOCK_BYTES, blocks
+from .common import BLOCK_BYTES, arrow_map, blocks
 
 # Fixed value: the piece pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Bounds of a worker's kept results; a full store starts anew.
-KEEP_PIECES, KEEP_PAIRS, KEEP_LENGTH = 300_000, 1_000_000, 48
+#: Bounds of a worker's kept results (pieces: of each of two generations; a full store of pairs starts anew).
+KEEP_PIECES, KEEP_PAIRS, KEEP_LENGTH = 100_000, 200_000, 48
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,18 +52,27 @@ def byte_letters() -> dict[str, int]:
 
 
 class Pieces(dict):
-    """Ids of pieces, found on first use; long pieces are not kept."""
+    """Ids of pieces, found on first use; long pieces are not kept.
+
+    A full store becomes the older generation; pieces met again move back, so the
+    frequent ones stay while the others go.
+    """
 
     def __init__(self, find):
         super().__init__()
         self.find = find
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.find(piece)
-        if len(piece) <= KEEP_LENGTH:
-            if len(self) >= KEEP_PIECES:
-                self.clear()
-            self[piece] = ids
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.find(piece)
+            if len(piece) > KEEP_LENGTH:
+                return ids
+        if len(self) >= KEEP_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
 
@@ -95,7 +104,7 @@ class Encoder:
             if len(s) == 1 or self.merged(self.bytes_of[i]) == [i]:
                 self.auto.add_word(s, (len(s), i))
         self.auto.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.pieces = Pieces(self.piece)
         self.find = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
@@ -113,12 +122,13 @@ class Encoder:
         return seq
 
     def compatible(self, a: int, b: int) -> bool:
-        ok = self.pairs.get((a, b))
+        key = a << 20 | b
+        ok = self.pairs.get(key)
         if ok is None:
             ok = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
             if len(self.pairs) >= KEEP_PAIRS:
                 self.pairs.clear()
-            self.pairs[a, b] = ok
+            self.pairs[key] = ok
         return ok
 
     def piece(self, text: str) -> tuple[int, ...]:
@@ -191,4 +201,4 @@ def encode_documents(documents: DataFrame, vocabulary: str, with_ids: bool = Fal
             cols += [pa.array(all_ids, pa.list_(pa.int32()))] if with_ids else []
             yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in fields.split(", ")])
 
-    return src.mapInArrow(run, fields)
+    return arrow_map(src, run, fields)

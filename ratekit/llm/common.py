@@ -12,8 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Bytes of text that a task works on at once (a longer text is one block).
+#: Bytes and rows of text that a task works on at once (a longer text is one block).
 BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 2000
+#: Rows that Spark hands to Python at once, where the session keeps Spark's own default.
+BATCH_ROWS, _DEFAULT_ROWS = 2000, "10000"
 
 # Fixed value: ASCII white space 0x20 and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
@@ -68,8 +71,20 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[o[0] : o[-1]], o - o[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = BLOCK_BYTES):
-    """Slices of the batches of about ``max_bytes`` text each, one row at least."""
+def arrow_map(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` in smaller batches than Spark's default of 10,000 rows.
+
+    Texts are large: the JVM and the Python worker each hold a whole batch. A size
+    that the session sets itself is left alone.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key) == _DEFAULT_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
+def blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = BLOCK_BYTES, max_rows: int = BLOCK_ROWS):
+    """Slices of the batches of about ``max_bytes`` text and ``max_rows`` rows at most, one row at least."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -78,9 +93,10 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = BLOC
         at = 0
         while at < n:
             to = int(np.searchsorted(offs, offs[at] + max_bytes, side="right")) - 1
-            to = min(max(to, at + 1), n)
+            to = min(max(to, at + 1), at + max_rows, n)
             yield batch.slice(at, to - at)
             at = to
+        pa.default_memory_pool().release_unused()
 
 
 @dataclass

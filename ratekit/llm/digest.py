@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ratekit.session import scratch_path
 
-from .common import BLOCK_BYTES, blocks, text_bytes
+from .common import BLOCK_BYTES, arrow_map, blocks, text_bytes
 
 BUCKETS = 128
 #: Difference from which texts count as unlike.
@@ -153,7 +153,7 @@ def edited_likeness(documents: DataFrame) -> DataFrame:
             yield batch(doc_id=[held[0]], text=[held[1]], tie=[held[2]], part=[part], edge=[1])
 
     path = scratch_path(spark, "digests")
-    ordered.mapInArrow(stream, fields).write.parquet(path)
+    arrow_map(ordered, stream, fields).write.parquet(path)
     done = spark.read.parquet(path)
     names = ["doc_id", *(f.split()[0] for f in _FIELDS.split(", "))]
     # borders: one first and one last text a partition, in the order of the first ones
@@ -171,4 +171,4 @@ def edited_likeness(documents: DataFrame) -> DataFrame:
                 got = _rows([i], [a, c])
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in schema if f.name in names], names=names)
 
-    return done.filter("edge IS NULL").select(names).unionByName(borders.mapInArrow(finish, f"doc_id long, {_FIELDS}"))
+    return done.filter("edge IS NULL").select(names).unionByName(arrow_map(borders, finish, f"doc_id long, {_FIELDS}"))

@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import BLOCK_BYTES, blocks
+from .common import BLOCK_BYTES, arrow_map, blocks
 
 # Fixed values, own choice: tag and attribute words of the rules, and stop words.
 RAW = frozenset("script style noscript template iframe svg canvas object video audio title textarea math".split())
@@ -236,4 +236,4 @@ def extract(pages: DataFrame) -> DataFrame:
             cols = [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=["page_id", "url", "text", "n_chars"])
 
-    return src.mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars long")
+    return arrow_map(src, run, f"page_id {id_type}, url string, text string, n_chars long")

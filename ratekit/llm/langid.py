@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, LOWER, NON_WORD, as_block, blocks, fold, sample_ids, text_bytes, with_fields
+from .common import BLOCK_BYTES, LOWER, NON_WORD, arrow_map, as_block, blocks, fold, sample_ids, text_bytes, with_fields
 
 BUCKETS = 4096
 MIN_GRAMS = 120
 _SMALL = BLOCK_BYTES // 4
+_ROWS = 256  # a text takes a row of BUCKETS counters
 # Fixed odd multipliers of the n-gram hash.
 _MULT = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 
@@ -82,13 +83,13 @@ def document_frequencies(docs: DataFrame, column: str = "text") -> tuple[np.ndar
 
     def count(batches):
         df, n = np.zeros(BUCKETS, np.int64), 0
-        for b in blocks(batches, column, _SMALL):
+        for b in blocks(batches, column, _SMALL, _ROWS):
             c = gram_counts(*text_bytes(b.column(column)))
             df += (c > 0).sum(axis=0)
             n += len(c)
         yield pa.RecordBatch.from_pydict({"bucket": np.arange(BUCKETS + 1), "n": np.append(df, n)})
 
-    got = docs.select(column).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    got = arrow_map(docs.select(column), count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(BUCKETS + 1, np.int64)
     for r in got:
         total[r["bucket"]] = r["n"]
@@ -175,13 +176,13 @@ def annotate(documents: DataFrame, model: LanguageModel | None, prefix: str = ""
     names = base.columns
 
     def predict(batches):
-        for b in blocks(batches, "text", _SMALL):
+        for b in blocks(batches, "text", _SMALL, _ROWS):
             got = _predict(model, b)
             cols = [b.column(c) for c in names]
             cols += [pa.array(got["lang_pred"], pa.string()), pa.array(got["score"]), pa.array(got["rejected"])]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, *new])
 
-    return src.mapInArrow(predict, with_fields(base.schema, out))
+    return arrow_map(src, predict, with_fields(base.schema, out))
 
 
 def classify(documents: DataFrame, model: LanguageModel | None) -> DataFrame:

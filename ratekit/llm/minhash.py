@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ratekit.session import materialize, scratch_path
 
-from .common import BLOCK_BYTES, blocks, mix64, text_bytes, words_of
+from .common import BLOCK_BYTES, arrow_map, blocks, mix64, text_bytes, words_of
 from .components import components
 
 ROWS, BANDS = 6, 48
@@ -100,7 +100,7 @@ def sketch(documents: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "k1", "k2", "bands"])
 
     src = documents.select(F.col("doc_id").cast("long"), "text")
-    return src.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<bigint>")
+    return arrow_map(src, run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<bigint>")
 
 
 def parities(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -127,7 +127,7 @@ def _sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     src = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
     fields = ", ".join(f"{w} long" for w in PARITY)
-    return src.mapInArrow(run, f"id long, shingles array<bigint>, {fields}").dropDuplicates(["id"])
+    return arrow_map(src, run, f"id long, shingles array<bigint>, {fields}").dropDuplicates(["id"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import BLOCK_BYTES, NON_WORD, blocks, labelled_sample, logistic, text_bytes, text_chunks, with_fields, words_of
+from .common import BLOCK_BYTES, NON_WORD, arrow_map, blocks, labelled_sample, logistic, text_bytes, text_chunks, with_fields, words_of
 
 PASSAGE = 64
 _SMALL = BLOCK_BYTES // 4
@@ -182,7 +182,7 @@ def annotate(documents: DataFrame, model: QualityModel | None, threshold: float
             cols += [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, *new])
 
-    return base.mapInArrow(run, with_fields(base.schema, f"{new[0]} double, {new[1]} int"))
+    return arrow_map(base, run, with_fields(base.schema, f"{new[0]} double, {new[1]} int"))
 
 
 def score(documents: DataFrame, model: QualityModel | None, threshold: float = 0.3) -> DataFrame:

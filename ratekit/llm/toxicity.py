@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import BLOCK_BYTES, NON_WORD, Words, blocks, labelled_sample, logistic, mix64, text_bytes, text_chunks, words_of
+from .common import BLOCK_BYTES, NON_WORD, Words, arrow_map, blocks, labelled_sample, logistic, mix64, text_bytes, text_chunks, words_of
 
 ROW = 64
 KINDS = ("word", "pre7", "pre6", "pre5", "pre4", "suf3")
@@ -353,4 +353,4 @@ def score(documents: DataFrame, model: ToxicModel | None, threshold: float = 0.7
 
     src = documents.select("doc_id", "text")
     id_type = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {id_type}, score double, predicted int, spans {SPANS}")
+    return arrow_map(src, run, f"doc_id {id_type}, score double, predicted int, spans {SPANS}")

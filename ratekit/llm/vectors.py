@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ratekit.session import scratch_path
 
+from .common import arrow_map
 from .components import components
 
 _EPS = 1e-9
@@ -102,7 +103,7 @@ def _cells(classes: DataFrame, pivots: dict, angle: float) -> DataFrame:
                 )
 
     kind = classes.schema["embedding"].dataType.simpleString()
-    return classes.mapInArrow(run, f"label long, dim int, cell int, role int, id long, m long, embedding {kind}")
+    return arrow_map(classes, run, f"label long, dim int, cell int, role int, id long, m long, embedding {kind}")
 
 
 def _join_block(threshold: float):
