@@ -125,9 +125,11 @@ def _sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             words = [pa.array(w) for w in parities(sets, first).T]
             yield pa.RecordBatch.from_arrays([b.column("id"), lists, *words], names=["id", "shingles", *PARITY])
 
+    # One text an id, chosen where the join has put them, before the larger sets exist.
     src = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
+    src = src.dropDuplicates(["id"])
     fields = ", ".join(f"{w} long" for w in PARITY)
-    return arrow_map(src, run, f"id long, shingles array<bigint>, {fields}").dropDuplicates(["id"])
+    return arrow_map(src, run, f"id long, shingles array<bigint>, {fields}")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
