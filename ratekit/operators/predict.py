@@ -222,7 +222,7 @@ def predict_centered(
     neighbor_count, is_fallback.
 
     ``centered`` holds *all* training ratings with ``centered_rating``
-    (prediction uses every training rating, not only the capped users), and
+    (every training rating predicts, whoever teaches), and
     ``neighbours`` is the top-k table of :func:`top_neighbours`, met with the
     user's ratings as in :func:`neighbour_candidates`. A (user, item) is
     predicted once, and every test row of it gets that prediction.
