@@ -7,10 +7,11 @@ compared with the templates by cosine through an equi-join on tokens; the best
 template from ``least`` on is a candidate's licence, the best candidate's is the
 file's. Equal candidates are compared once. A file without a licence inherits
 that of the licence file in its nearest ancestor directory: directories are
-joined to their ancestors by path, files to their directory.
+joined to their ancestors by path, files to their directory. The top of the tree ('')
+is the last ancestor of every path.
 
 Defined results: null or empty texts have no header and may only inherit; a null path
-has no directory; equal scores take the licence that sorts first; rows with equal
+has no directory; paths with and without a leading slash have the same top; equal scores take the licence that sorts first; rows with equal
 ids are one file (its path and candidates together); an empty table gives no rows.
 Extra columns are ignored.
 """
@@ -55,8 +56,8 @@ def _tokens(text: Column) -> Column:
 
 
 def _directory(path: Column) -> Column:
-    """The path without its last part; null at the top."""
-    return F.nullif(F.regexp_replace(path, r"/*[^/]*$", ""), F.lit(""))
+    """The path without its last part; '' at the top, null for a null path."""
+    return F.regexp_replace(path, r"/*[^/]*$", "")
 
 
 def _table(df: DataFrame, name: str) -> DataFrame:
@@ -118,12 +119,15 @@ def scan(files: DataFrame, least: float = 0.6) -> DataFrame:
     stated = decided.filter("kind = 'file'").select(folder.alias("folder"), "score", "licence").filter("folder IS NOT NULL")
     stated = stated.groupBy("folder").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
     stated = stated.select("folder", F.col("b.licence").alias("given"), (-F.col("b.s")).alias("given_score"))
-    # every directory and the ancestors of it, itself included
-    need = decided.filter("licence IS NULL").select(folder.alias("folder")).filter("folder IS NOT NULL").distinct()
+    # every directory and the ancestors of it, itself included; the top, an ancestor of all, is one row at most and no join key
+    need = decided.filter("licence IS NULL").select(folder.alias("folder")).filter("folder <> ''").distinct()
     parts = F.split("folder", "/")
-    above = need.select(F.col("folder").alias("below"), F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).alias("folder"))
-    near = above.join(stated, "folder").groupBy("below").agg(F.max_by(F.struct("given", "given_score", F.col("folder").alias("origin")), F.length("folder")).alias("g"))
-    out = decided.join(near, folder == F.col("below"), "left")
+    above = need.select(F.col("folder").alias("below"), F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).alias("folder")).filter("folder <> ''")
+    given = F.struct("given", "given_score", F.col("folder").alias("origin"))
+    near = above.join(stated.filter("folder <> ''"), "folder").groupBy("below").agg(F.max_by(given, F.length("folder")).alias("g"))
+    top = stated.filter("folder = ''").agg(F.first(given).alias("top"))  # always one row
+    out = decided.join(near, folder == F.col("below"), "left").crossJoin(F.broadcast(top))
+    out = out.withColumn("g", F.when(F.col("path").isNotNull(), F.coalesce("g", "top")))
     mine = F.col("licence").isNotNull()
     return out.select(
         "id",
