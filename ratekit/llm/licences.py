@@ -1,10 +1,15 @@
 """Licence scan: TF-IDF cosine of headers and licence files to templates, then inheritance.
 
-Headers are the sentences of a text that hold a licence cue; of a licence file (by its
-base name) the whole text is one more candidate. Candidates are token count vectors,
-weighted by an inverse document frequency counted over all candidates of the corpus, and
-compared with the templates by cosine through an equi-join on tokens; the best
-template from ``least`` on is a candidate's licence, the best candidate's is the
+Candidates are the lines and sentences of a text that hold a licence cue, the passages of
+the unwrapped text (cut at blank lines and sentence ends) that hold a cue or three of the
+templates' rarer tokens, and of a licence file (by its base name) the whole text. They
+are token count vectors, weighted by an inverse document frequency counted over the
+lines, sentences and licence files of the corpus, and compared with the templates by
+cosine through an equi-join on tokens. Whole texts, and a file's passages put together,
+are compared with the full licence texts by trigrams of tokens. From ``least`` on
+a template is met. A full text goes before headers, and any header before a mere
+"All rights reserved"; a template with a version that the candidate does not name gives way to one
+of its family with it; an SPDX line must be equal. The best candidate's licence is the
 file's. Equal candidates are compared once. A file without a licence inherits
 that of the licence file in its nearest ancestor directory: directories are
 joined to their ancestors by path, files to their directory. The top of the tree ('')
@@ -18,6 +23,10 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,10 +54,64 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-only"),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-only"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-only"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License."),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("Zlib", "SPDX-License-Identifier: Zlib"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "SPDX-License-Identifier: BSL-1.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("EPL-2.0", "SPDX-License-Identifier: EPL-2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "SPDX-License-Identifier: Unlicense"),
+    ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
     ("All-rights-reserved", "All rights reserved."),
     ("All-rights-reserved", "Copyright. All rights reserved."),
 )
 _TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+TEXTS = Path(__file__).parent / "licence_texts"
+# A wrapped text is cut at blank lines (of a comment too) and sentence ends, not at "v. 2.0".
+PASSAGE_END = r"\n(?:[^\w\n]*\n)+|(?<=[.!?])(?<!\b[vV]\.)\s+"
+# Words that are no sign of a licence; the templates' others are its rarer tokens.
+COMMON = frozenset(
+    "a all and any anyone are as at be by can except file files following for free freely from in including international is it later "
+    "library made may not of obtaining on or other person persons program published public purpose rights so source subject that the their this to under "
+    "use version whom with without work you your code copy copies form forms met option fee charge deal do either above appear applications contents "
+    "materials sell merge limitation available".split()
+)
+RARE = tuple(sorted({w for _, t in TEMPLATES for w in re.findall(_TOKEN, t.lower()) if w not in COMMON and not w[0].isdigit()}))
+RARE_LEAST = 3
+FULL, HEADER, NOTICE = 0, 1, 2
 
 
 def _tokens(text: Column) -> Column:
@@ -67,41 +130,98 @@ def _table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _rare(text: Column) -> Column:
+    """Number of different rarer tokens of the templates in ``text``."""
+    words = F.split(F.lower(text), r"[^a-z0-9.-]+|[.-](?=[^a-z0-9]|$)")
+    return F.size(F.array_intersect(words, F.array(*map(F.lit, RARE))))
+
+
+def _trigrams(text: Column) -> Column:
+    """Three tokens from each token on; fewer at the end."""
+    words = _tokens(text)
+    # zipped, as a lambda over positions would cut the text anew at each
+    rest = [F.slice(words, k, F.greatest(F.size(words), F.lit(1))) for k in (1, 2, 3)]
+    return F.transform(F.arrays_zip(*(r.alias(n) for r, n in zip(rest, "abc"))), lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"]))
+
+
+def _full(passages: DataFrame, least: float) -> DataFrame:
+    """id, named, family, late, b of the candidates that hold a licence's whole text: cosine of token trigrams."""
+    spark = passages.sparkSession
+    # the licence texts are a fixed list: a proven bound
+    full = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(TEXTS.glob("*.txt"))]
+    t = spark.createDataFrame(full, "licence string, text string").select("licence", F.explode(_trigrams(F.col("text"))).alias("gram"))
+    t = t.groupBy("licence", "gram").agg(F.count(F.lit(1)).alias("tf"))
+    idf = t.groupBy("gram").agg((F.log(F.lit(1.0 + len(full)) / (1.0 + F.count(F.lit(1)))) + 1.0).alias("w"))
+    t = t.join(idf, "gram").withColumn("v", F.col("tf") * F.col("w"))
+    t = t.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy("licence"))))
+    t = t.groupBy("gram").agg(F.first("w").alias("w"), F.collect_list(F.struct("licence", (F.col("v") / F.col("norm")).alias("tv"))).alias("ts"))
+    key = ["k1", "k2"]
+    keyed = passages.select("id", "named", "text", *(F.xxhash64(F.lit(n), "text").alias(k) for n, k in enumerate(key)))
+    h = keyed.groupBy(key).agg(F.first("text").alias("text")).select(*key, F.explode(_trigrams(F.col("text"))).alias("gram"))
+    h = h.groupBy(*key, "gram").agg(F.count(F.lit(1)).alias("tf")).join(F.broadcast(t), "gram", "left")
+    h = h.withColumn("v", F.col("tf") * F.coalesce("w", F.lit(math.log(1.0 + len(full)) + 1.0)))
+    norms = h.groupBy(key).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    dots = h.filter("ts IS NOT NULL").select(*key, "v", F.inline("ts")).groupBy(*key, "licence").agg(F.sum(F.col("v") * F.col("tv")).alias("dot"))
+    scored = dots.join(norms, key).select(*key, "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).filter(F.col("score") >= least)
+    best = scored.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("m"))
+    b = F.struct(F.lit(FULL).alias("rank"), F.col("m.s").alias("s"), F.col("m.licence").alias("licence"))
+    return keyed.join(best, key).select("id", "named", F.lit("").alias("family"), F.lit(False).alias("late"), b.alias("b"))
+
+
 def _own(files: DataFrame, least: float) -> DataFrame:
     """id, licence, score, kind of the files with a matching candidate."""
     spark = files.sparkSession
     named = F.coalesce(F.regexp_extract("path", r"[^/]*$", 0).rlike(FILE_NAME), F.lit(False))
-    cued = files.filter(F.col("text").rlike(CUE) | (named & F.col("text").isNotNull()))
+    cued = files.withColumn("rare", _rare(F.col("text"))).filter(F.col("text").rlike(CUE) | (F.col("rare") >= RARE_LEAST) | (named & F.col("text").isNotNull()))
     sentences = F.filter(F.split("text", r"\n|(?<=[.!?])\s+"), lambda s: s.rlike(CUE))
+    passages = F.filter(F.split("text", PASSAGE_END), lambda s: s.rlike(CUE) | (_rare(s) >= RARE_LEAST))
     whole = F.when(named, F.array("text")).otherwise(F.array().cast("array<string>"))
-    found = cued.select("id", "path", named.alias("named"), F.explode(F.array_distinct(F.concat(sentences, whole))).alias("header"))
-    found = found.select("id", "named", F.concat_ws(" ", F.array_sort(_tokens(F.col("header")))).alias("words")).filter("words <> ''")
+    cued = cued.select("id", "text", "rare", named.alias("named"), F.array_distinct(F.concat(sentences, whole)).alias("lines"), F.array_distinct(passages).alias("passages"))
     # Read several times below: the texts are scanned once.
+    cued = _table(cued, "licence-candidates")
+    # Passages that are no line of their own are compared too, but counted for no weight.
+    both = F.concat(
+        F.transform("lines", lambda x: F.struct(x.alias("header"), F.lit(True).alias("counted"))),
+        F.transform(F.array_except("passages", "lines"), lambda x: F.struct(x.alias("header"), F.lit(False).alias("counted"))),
+    )
+    found = cued.select("id", "named", F.inline(both))
+    found = found.select("id", "named", "counted", F.concat_ws(" ", F.array_sort(_tokens(F.col("header")))).alias("words")).filter("words <> ''")
     found = _table(found, "licence-headers")
     # Candidates go by a 128-bit hash of their words: a whole licence file is no join key.
     key = ["k1", "k2"]
-    keyed = found.select("id", "named", "words", *(F.xxhash64(F.lit(n), "words").alias(k) for n, k in enumerate(key)))
-    headers = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.first("words").alias("words"))
+    keyed = found.select("id", "named", "counted", "words", *(F.xxhash64(F.lit(n), "words").alias(k) for n, k in enumerate(key)))
+    headers = keyed.groupBy(key).agg(F.sum(F.col("counted").cast("long")).alias("n"), F.first("words").alias("words"))
     tf = headers.select(*key, "n", F.explode(F.split("words", " ")).alias("token")).groupBy(*key, "n", "token").agg(F.count(F.lit(1)).alias("tf"))
     total = headers.agg(F.sum("n").alias("total")).scalar()
     df = tf.groupBy("token").agg(F.sum("n").alias("df"))
     weight = F.ln((1.0 + F.coalesce(total, F.lit(0))) / (1.0 + F.coalesce(F.col("df"), F.lit(0)))) + 1.0
-    # the templates are a fixed list: a proven bound
-    temp = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(TEMPLATES)], "template int, licence string, words string")
-    temp = temp.select("template", "licence", F.explode(_tokens(F.col("words"))).alias("token")).groupBy("template", "licence", "token").agg(F.count(F.lit(1)).alias("tf"))
+    # the templates are a fixed list: a proven bound; an SPDX line is its identifier
+    temp = spark.createDataFrame([(k, a, t, t.startswith("SPDX")) for k, (a, t) in enumerate(TEMPLATES)], "template int, licence string, words string, spdx boolean")
+    temp = temp.select("template", "licence", "spdx", F.explode(_tokens(F.col("words"))).alias("token")).groupBy("template", "licence", "spdx", "token").agg(F.count(F.lit(1)).alias("tf"))
     idf = df.withColumn("w", weight).select("token", "w")
     unseen = F.ln(1.0 + F.coalesce(total, F.lit(0))) + 1.0
     t = temp.join(idf, "token", "left").withColumn("v", F.col("tf") * F.coalesce("w", unseen))
-    t = t.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy("template"))))
-    t = t.select("token", "template", "licence", (F.col("v") / F.col("norm")).alias("tv"))
+    # what a template says about the version: numbers, or all of an SPDX line
+    t = t.withColumn("exact", (F.col("spdx") | F.col("token").rlike("^[0-9]")).cast("int"))
+    by = Window.partitionBy("template")
+    t = t.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(by))).withColumn("asked", F.sum("exact").over(by))
+    t = t.select("token", "template", "licence", "spdx", "exact", "asked", (F.col("v") / F.col("norm")).alias("tv"))
     h = tf.join(idf, "token").withColumn("v", F.col("tf") * F.col("w"))
     norms = h.groupBy(key).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    dots = h.join(F.broadcast(t), "token").groupBy(*key, "template", "licence").agg(F.sum(F.col("v") * F.col("tv")).alias("dot"))
-    scored = dots.join(norms, key).select(*key, "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).filter(F.col("score") >= least)
-    # the smallest struct: highest score, then first licence
-    best = scored.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
-    hits = keyed.select("id", "named", *key).join(best, key).select("id", "named", F.struct(F.col("b.s"), F.col("b.licence")).alias("b"))
-    one = hits.groupBy("id").agg(F.min("b").alias("b"), F.max("named").alias("named"))
+    dots = h.join(F.broadcast(t), "token").groupBy(*key, "template", "licence", "spdx", "asked").agg(F.sum(F.col("v") * F.col("tv")).alias("dot"), F.sum("exact").alias("met"))
+    dots = dots.withColumn("late", F.col("met") < F.col("asked")).filter("NOT (spdx AND late)")
+    scored = dots.join(norms, key).select(*key, "licence", "late", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).filter(F.col("score") >= least)
+    # the smallest struct: highest score, then first licence; of a family, one whose version is met
+    rank = F.when(F.col("licence") == "All-rights-reserved", NOTICE).otherwise(HEADER)
+    scored = scored.withColumn("family", F.regexp_replace("licence", r"-[0-9.]+$", "")).withColumn("b", F.struct(rank.alias("rank"), (-F.col("score")).alias("s"), "licence"))
+    best = scored.groupBy(*key, "family", "late").agg(F.min("b").alias("b"))
+    hits = keyed.select("id", "named", *key).join(best, key).select("id", "named", "family", "late", "b")
+    # whole texts: a licence file's, and the passages of any file put together
+    parts = F.when(F.col("named"), F.array("text", F.array_join("passages", "\n"))).otherwise(F.array(F.array_join("passages", "\n")))
+    texts = cued.filter(F.col("rare") >= RARE_LEAST).select("id", "named", F.explode(F.array_distinct(parts)).alias("text"))
+    hits = hits.unionByName(_full(texts, least))
+    one = hits.groupBy("id", "family").agg(F.min(F.struct("late", "b")).alias("m"), F.max("named").alias("named"))
+    one = one.groupBy("id").agg(F.min("m.b").alias("b"), F.max("named").alias("named"))
     kind = F.when(F.col("named"), "file").otherwise("header")
     return one.select("id", F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"), kind.alias("kind"))
 

@@ -26,3 +26,38 @@ def test_the_top_passes_its_licence_on(spark, top):
 
 def test_a_tree_without_a_top_licence_gives_none(spark):
     assert _licences(spark, [(1, "/a/LICENSE", MIT), (2, "/b/t.py", "x"), (3, "t.py", "x")])[2] == (None, None, None)
+
+
+# -- wrapped headers and full texts --------------------------------------------
+
+
+def _gnu(kind, subject, version):
+    return (
+        f"/*\n * This {subject} is free software; you can redistribute it and/or modify\n * it under the terms of the GNU {kind}General Public\n * License as published by the Free Software\n"
+        f" * Foundation; either version\n * {version} of the License, or (at your option) any later version.\n */\nint main;\n"
+    )
+
+
+def _comment(text):
+    return "\n".join("# " + x for x in text.split("\n")) + "\nimport os\n"
+
+
+def test_wrapped_headers_keep_their_version(spark):
+    bsd = (licences.TEXTS / "BSD-3-Clause.txt").read_text()
+    wants = {
+        _gnu("", "program", 2): "GPL-2.0", _gnu("", "program", 3): "GPL-3.0", _gnu("Lesser ", "library", "2.1"): "LGPL-2.1", _gnu("Lesser ", "library", 3): "LGPL-3.0",
+        _gnu("Affero ", "program", 3): "AGPL-3.0", "// under the GNU General Public License\n// version 3.\n": "GPL-3.0",
+        "# Copyright 2020 Some One. All rights reserved.\n#\n# Redistribution and use in source and binary forms, with or\n# without modification, are permitted provided that the following\n# conditions are met:\n": "BSD-3-Clause",
+        _comment(bsd): "BSD-3-Clause", _comment((licences.TEXTS / "BSD-2-Clause.txt").read_text()): "BSD-2-Clause", "SPDX-License-Identifier: Unheard-Of-1.0": None,
+        "x\n\nAll rights reserved.\n": "All-rights-reserved", "Licensed soup recipes of the many people of the village, version 3.": None,
+    }
+    got = _licences(spark, [(i, f"/p/{i}.c", t) for i, t in enumerate(wants)])
+    assert [got[i][0] for i in range(len(wants))] == list(wants.values())
+
+
+def test_full_texts_have_their_names(spark):
+    names = sorted(p.stem for p in licences.TEXTS.glob("*.txt"))
+    rows = [(i, f"/{n}/{f}", "Copyright 2020 A. Person\n\n" + (licences.TEXTS / f"{n}.txt").read_text()) for i, n in enumerate(names) for f in ["COPYING"]]
+    got = _licences(spark, rows + [(-1, "/x/LICENSE", "The cook and the people of the village say that it is the time of the year to eat. " * 40)])
+    assert {n: got[i][:2] for i, n in enumerate(names)} == {n: (n, "file") for n in names}
+    assert got[-1][0] is None
