@@ -3,7 +3,9 @@
 Markup is read once into blocks: runs of text between block-level tags (a single
 line break is white space, two are a border). Pass one decides a block from where it
 stands and what it holds: blocks in menus, headers, footers, sidebars, forms, notices,
-adverts, comments and other page furniture, and blocks that are mostly links, are
+adverts, comments and other page furniture (by tag, or by a whole class, id or role name that
+says nothing else; an article or main element below a name of that kind stands for
+itself), and blocks that are mostly links, are
 boilerplate; blocks of an article or main element are content; without such
 an element, long blocks dense in stop words are content, and long ones without stop words
 boilerplate. Short and middling blocks stay open. Pass two gives each open block the
@@ -43,6 +45,14 @@ FURNITURE_WORDS = frozenset(
     "toolbar comment comments reply replies disqus share sharing social related recommended subscribe subscription "
     "newsletter popup modal overlay widget login signup search pagination pager complementary contentinfo".split()
 )
+# Parts that leave a name of furniture words one: "reader-comments", not "has-sidebar" or "related-work".
+QUALIFIERS = frozenset(
+    "area bar block body bottom box button buttons container content desktop fixed form global inner item items left link links list "
+    "mobile outer page post primary reader right secondary section site sticky text title top user widget wrap wrapper".split()
+)
+COMMENT_WORDS = frozenset("comment comments reply replies disqus".split())
+DOUBTFUL_WORDS = frozenset("notice notices alert header banner".split())  # article text by these alone
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 STOP_WORDS = frozenset(
     # English, German, French, Spanish
     "the of and to in is that it was for on are as with his they at be this have from or by not but what all were we when "
@@ -53,9 +63,11 @@ STOP_WORDS = frozenset(
 )
 LINK_SHARE, SHORT, LONG, DENSE, SPARSE = 0.5, 70, 200, 0.15, 0.05
 CONTENT, BOILERPLATE, OPEN = 1, 0, -1
+NAMED, TAGGED = 1, 2  # furniture by a name or by its tag
+PLAIN, LIFTED = 1, 2  # main, or main below a furniture name
 
 _TOKEN = re.compile(r"<!--(?:.*?-->|.*)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|$)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>?|</[^>]*+>?", re.S)
-_ATTR = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_ATTR = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -66,29 +78,54 @@ class Block:
     links: int = 0
     furniture: bool = False
     main: bool = False
+    lifted: bool = False
     heading: bool = False
     text: str = ""
 
 
-def _furniture(tag: str, attrs: str, in_main: bool) -> bool:
-    if tag in FURNITURE_TAGS or (tag == "header" and not in_main):
-        return True
-    if tag in MAIN_TAGS or tag in ("html", "body") or "=" not in attrs:
-        return False
-    for value in _ATTR.findall(attrs):
-        words = _WORD.findall(value.lower())
-        if tag != "header" or not in_main:
-            if any(w in FURNITURE_WORDS for w in words):
+def _named(tag: str, attrs: str, in_main: bool) -> bool:
+    """Whether a whole class, id or role token names furniture."""
+    for kind, value in _ATTR.findall(attrs):
+        is_id = kind.lower() == "id"
+        if is_id and tag in HEADINGS:
+            continue
+        for token in value.lower().strip("\"'").split():
+            words = _WORD.findall(token)
+            known = FURNITURE_WORDS.intersection(words)
+            if tag == "header" and in_main:
+                known -= {"header"}
+            if is_id and in_main and tag == "section":  # ids of sections are anchors
+                known &= COMMENT_WORDS
+            if in_main and len(words) == 1:
+                known -= DOUBTFUL_WORDS
+            if known and all(w in FURNITURE_WORDS or w in QUALIFIERS for w in words):
                 return True
-        elif any(w in FURNITURE_WORDS and w != "header" for w in words):
-            return True
     return False
 
 
+def _furniture(tag: str, attrs: str, in_main: bool) -> int:
+    """TAGGED, NAMED or 0."""
+    if tag in FURNITURE_TAGS or (tag == "header" and not in_main):
+        return TAGGED
+    if tag in MAIN_TAGS or tag in ("html", "body") or "=" not in attrs:
+        return 0
+    return NAMED if _named(tag, attrs, in_main) else 0
+
+
+def _below(tag: str, attrs: str, above: tuple[str, int, int]) -> tuple[str, int, int]:
+    """tag, furniture and main of what stands in an element: main of its own lifts a name above it."""
+    _, furniture, main = above
+    if tag in MAIN_TAGS:
+        if furniture == NAMED and not main and not _named(tag, attrs, False):
+            return tag, 0, LIFTED
+        return tag, furniture, main or PLAIN
+    return tag, max(furniture, _furniture(tag, attrs, main > 0)), main
+
+
 def read_blocks(page: str) -> list[Block]:
     """The page's non-empty blocks in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture below here, main below here
+    stack: list[tuple[str, int, int]] = []  # tag, furniture below here, main below here
     anchors, breaks = 0, 0
     current = Block()
 
@@ -98,8 +135,8 @@ def read_blocks(page: str) -> list[Block]:
             current.text = " ".join("".join(current.runs).split())
             if current.text:
                 out.append(current)
-        top = stack[-1] if stack else ("", False, False)
-        current = Block(furniture=top[1], main=top[2], heading=heading)
+        top = stack[-1] if stack else ("", 0, 0)
+        current = Block(furniture=top[1] > 0, main=top[2] > 0, lifted=top[2] == LIFTED, heading=heading)
 
     def say(s: str) -> None:
         nonlocal breaks
@@ -130,7 +167,7 @@ def read_blocks(page: str) -> list[Block]:
                 continue
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    if tag in BLOCK_TAGS or any(f != (stack[k - 1][1] if k else False) for _, f, _ in stack[k:]):
+                    if tag in BLOCK_TAGS or any(f != (stack[k - 1][1] if k else 0) for _, f, _ in stack[k:]):
                         del stack[k:]
                         border()
                     else:
@@ -154,34 +191,36 @@ def read_blocks(page: str) -> list[Block]:
             continue
         if tag == "a":
             anchors += 1
-        below = stack[-1] if stack else ("", False, False)
-        main = below[2] or tag in MAIN_TAGS
-        furniture = below[1] or _furniture(tag, attrs, below[2])
+        above = stack[-1] if stack else ("", 0, 0)
+        below = _below(tag, attrs, above)
         if tag in VOID_TAGS:
             if tag in BLOCK_TAGS:
                 border()
             continue
-        if tag in BLOCK_TAGS or furniture != below[1]:
+        if tag in BLOCK_TAGS or below[1] != above[1]:
             if tag == "p" or tag == "li":  # closes an open one of its kind
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
                         del stack[k:]
-                        below = stack[-1] if stack else ("", False, False)
-                        main, furniture = below[2], below[1] or _furniture(tag, attrs, below[2])
+                        below = _below(tag, attrs, stack[-1] if stack else ("", 0, 0))
                         break
                     if stack[k][0] in BLOCK_TAGS:
                         break
-            stack.append((tag, furniture, main))
+            stack.append(below)
             anchors = 0 if tag in BLOCK_TAGS and tag != "li" else anchors
-            border(heading=tag in ("h1", "h2", "h3", "h4", "h5", "h6"))
+            border(heading=tag in HEADINGS)
         elif tag not in ("a",):
-            stack.append((tag, furniture, main))
+            stack.append(below)
     border()
     return out
 
 
 def first_pass(found: list[Block]) -> list[int]:
     """Label of each block, or OPEN."""
+    # an article below a furniture name counts where no other stands
+    plain = any(b.main and not b.furniture and not b.lifted for b in found)
+    for b in found:
+        b.main = b.main and not (plain and b.lifted)
     has_main = any(b.main and not b.furniture for b in found)
     labels = []
     for b in found:
