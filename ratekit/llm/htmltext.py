@@ -5,13 +5,17 @@ line break is white space, two are a border). Pass one decides a block from wher
 stands and what it holds: blocks in menus, headers, footers, sidebars, forms, notices,
 adverts, comments and other page furniture (by tag, or by a whole class, id or role name that
 says nothing else; an article or main element below a name of that kind stands for
-itself), and blocks that are mostly links, are
-boilerplate; blocks of an article or main element are content; without such
-an element, long blocks dense in stop words are content, and long ones without stop words
-boilerplate. Short and middling blocks stay open. Pass two gives each open block the
-label of its nearest decided neighbour; between two different ones at the same
-distance a heading takes the following block's label and any other block the
-preceding one's. Blocks of a page without any decided block are content.
+itself), and blocks outside an article that are mostly links, are
+boilerplate; blocks of an article or main element are content, open if mostly links; of
+other blocks, long ones dense in stop words are content, and long ones without stop words
+boilerplate; from an article on, middling dense ones stay open too. Short and other
+middling blocks stay open. Pass two gives each open block the label of its nearest decided
+neighbour; between two different ones at the same distance a heading takes the
+following block's label and any other block the preceding one's. On a page with an
+article, neighbours are those of articles' text or of one run outside, and a heading above
+the first article may take the article's label; without a decided neighbour there, article
+text is content and the rest boilerplate. Blocks of a page without any decided block are
+content.
 
 Defined results: null and empty html give an empty text; an unfinished comment, script or
 tag reaches to the end; text outside any tag is a block; repeated rows give equal
@@ -23,6 +27,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -222,27 +227,28 @@ def first_pass(found: list[Block]) -> list[int]:
     for b in found:
         b.main = b.main and not (plain and b.lifted)
     has_main = any(b.main and not b.furniture for b in found)
-    labels = []
+    labels, seen = [], False
     for b in found:
         size = len(b.text)
-        if b.furniture or (b.links > LINK_SHARE * len(b.text.replace(" ", "")) and not (b.main and b.heading)):
+        seen = seen or (b.main and not b.furniture)
+        linked = b.links > LINK_SHARE * len(b.text.replace(" ", ""))
+        if b.furniture or (linked and not b.main):
             labels.append(BOILERPLATE)
-        elif has_main:
-            labels.append(CONTENT if b.main else BOILERPLATE)
+        elif b.main:
+            labels.append(OPEN if linked and not b.heading else CONTENT)
         elif size < SHORT or b.heading:
             labels.append(OPEN)
         else:
             words = _LETTERS.findall(b.text.lower())
             dense = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            labels.append(CONTENT if dense >= DENSE else BOILERPLATE if size >= LONG and dense < SPARSE else OPEN)
+            sure = size >= (LONG if has_main and seen else SHORT)
+            labels.append(CONTENT if dense >= DENSE and sure else BOILERPLATE if size >= LONG and dense < SPARSE else OPEN)
     return labels
 
 
-def second_pass(found: list[Block], labels: list[int]) -> list[int]:
-    """Open blocks take the label of the nearest decided neighbour."""
+def _nearest(found: list[Block], labels: list[int]) -> list[int]:
+    """Labels, the open ones from the nearest decided neighbour; all open if there is none."""
     n = len(labels)
-    if all(x == OPEN for x in labels):
-        return [CONTENT] * n
     before: list[int] = []
     last = -n - 1
     for k in range(n):
@@ -251,13 +257,33 @@ def second_pass(found: list[Block], labels: list[int]) -> list[int]:
     out, ahead = labels[:], 2 * n + 1
     for k in range(n - 1, -1, -1):
         ahead = k if labels[k] != OPEN else ahead
-        if labels[k] == OPEN:
+        if labels[k] == OPEN and (ahead < n or before[k] >= 0):
             back, forth = k - before[k], ahead - k
             after = forth < back or (forth == back and found[k].heading)
             out[k] = labels[ahead] if after and ahead < n else labels[before[k]] if before[k] >= 0 else labels[ahead]
     return out
 
 
+def second_pass(found: list[Block], labels: list[int]) -> list[int]:
+    """Open blocks take the label of the nearest decided neighbour, in an article of its text, outside of the run between articles."""
+    if all(x == OPEN for x in labels):
+        return [CONTENT] * len(labels)
+    mains = [k for k, b in enumerate(found) if b.main and not b.furniture]
+    if not mains:
+        return _nearest(found, labels)
+    out = labels[:]
+    # headings above the first article may be its title
+    whole = _nearest(found, labels[: mains[0]] + [CONTENT])
+    for k in range(mains[0]):
+        if found[k].heading:
+            out[k] = whole[k]
+    outside = [list(run) for main, run in groupby(range(len(found)), lambda k: found[k].main) if not main]
+    for part, default in ((mains, CONTENT), *((run, BOILERPLATE) for run in outside)):
+        for k, x in zip(part, _nearest([found[k] for k in part], [out[k] for k in part])):
+            out[k] = default if x == OPEN else x
+    return out
+
+
 def main_text(page: str | None) -> str:
     found = read_blocks(page or "")
     labels = second_pass(found, first_pass(found)) if found else []

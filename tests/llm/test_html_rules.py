@@ -28,3 +28,27 @@ def test_article_parts_with_furniture_words_stay(part):
 @pytest.mark.parametrize("name", ["sidebar", "site-header", "cookie-banner", "comments-area", "ad"])
 def test_furniture_names_still_go(name):
     assert htmltext.main_text(f"<div class='{name}'><p>{LONG}</p></div><div><p>{LONG}</p></div>") == LONG
+
+
+@pytest.mark.parametrize(
+    "links",
+    ["<ul><li><a href=1>A. Person: a reference</a></li><li><a href=2>another</a></li></ul>", "<p>See <a href=1>the long title of another text</a></p>"],
+)
+def test_links_of_an_article_stay(links):
+    words = [x for x in ("A. Person: a reference\nanother", "See the long title of another text") if x[:5] in links.replace("<a href=1>", "")][0]
+    assert htmltext.main_text(f"<nav>Menu</nav><article><p>One.</p>{links}</article><footer>f</footer>") == "One.\n" + words
+    assert htmltext.main_text(f"<nav>Menu</nav><article>{links}<div class=share>x</div></article>") == words
+    assert htmltext.main_text(f"<div>{links}</div><article><p>One.</p></article>") == "One."
+
+
+def test_title_and_lead_above_an_article_stay():
+    page = f"<nav>Menu</nav><div><h1>Title</h1><p>{LONG}</p></div><article><p>One.</p></article><div>Imprint</div>"
+    assert htmltext.main_text(page) == f"Title\n{LONG}\nOne."
+    assert htmltext.main_text("<nav>Menu</nav><h1>Title</h1><article><p>One.</p></article><div>Imprint</div>") == "Title\nOne."
+
+
+def test_a_main_text_beside_teaser_cards_stays():
+    cards = "<article><h3><a href=1>Card</a></h3></article>"
+    long = f"{LONG} {LONG}"
+    assert htmltext.main_text(f"{cards}<div><h2>Head</h2><p>{long}</p><p>Short.</p><p>{long}</p></div><footer>f</footer>") == f"Card\nHead\n{long}\nShort.\n{long}"
+    assert htmltext.main_text(f"<div><p>{LONG}</p><p>{LONG}</p></div>{cards}") == f"{LONG}\n{LONG}\nCard"
