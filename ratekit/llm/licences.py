@@ -263,10 +263,16 @@ def document_files(documents: DataFrame, folder: int = 64) -> DataFrame:
     """Documents as files of a tree by source and id, since the table has no paths.
 
     /source/k/j/: k counts 8 x ``folder`` ids, j counts ``folder`` ids; the first document of
-    a folder stands for its LICENSE file, the others are <doc_id>.txt.
+    a folder stands for a licence file, the others are <doc_id>.txt. It lies one folder up,
+    in /source/k/, where it is the first of a k, and in /source/ where it is the first of
+    eight k, so that nearer and farther licences compete.
     """
     i = F.col("doc_id")
-    name = F.when(i % folder == 0, "LICENSE").otherwise(F.concat(i.cast("string"), F.lit(".txt")))
-    parts = (F.coalesce("source", F.lit("unknown")), F.floor(i / (8 * folder)).cast("string"), F.floor(i / folder).cast("string"), name)
+    first = i % folder == 0
+    name = F.when(i % (64 * folder) == 0, F.concat(F.lit("LICENSE-"), i.cast("string"))).when(first, "LICENSE").otherwise(F.concat(i.cast("string"), F.lit(".txt")))
+    k = F.when(i % (64 * folder) != 0, F.floor(i / (8 * folder)).cast("string"))
+    j = F.when(i % (8 * folder) != 0, F.floor(i / folder).cast("string"))
+    parts = (F.coalesce("source", F.lit("unknown")), k, j, name)
+    # concat_ws leaves out the levels above which a file lies
     path = F.when(i.isNotNull(), F.concat(F.lit("/"), F.concat_ws("/", *parts)))
     return documents.select(i.alias("id"), path.alias("path"), "text")

@@ -61,3 +61,19 @@ def test_full_texts_have_their_names(spark):
     got = _licences(spark, rows + [(-1, "/x/LICENSE", "The cook and the people of the village say that it is the time of the year to eat. " * 40)])
     assert {n: got[i][:2] for i, n in enumerate(names)} == {n: (n, "file") for n in names}
     assert got[-1][0] is None
+
+
+# -- the layout of the documents -------------------------------------------------
+
+
+def test_nearer_and_farther_licences_compete_in_the_layout(spark):
+    apache = "Licensed under the Apache License, Version 2.0."
+    texts = {0: MIT, 512: GPL, 576: apache}
+    ids = [*texts, 1, 513, 577, 640, 641, 1025]
+    df = spark.createDataFrame([(i, texts.get(i, "x"), "web") for i in ids] + [(514, "x", None), (None, "x", "web")], "doc_id long, text string, source string")
+    files = licences.document_files(df)
+    paths = {r["id"]: r["path"] for r in files.collect()}
+    assert [paths[i] for i in (0, 512, 576, 1)] == ["/web/LICENSE-0", "/web/1/LICENSE", "/web/1/9/LICENSE", "/web/0/0/1.txt"]
+    got = {r["id"]: (r["licence"], r["origin"]) for r in licences.scan(files).collect()}
+    assert got[577] == ("Apache-2.0", "/web/1/9") and got[513] == got[641] == ("GPL-3.0", "/web/1")
+    assert got[1] == got[1025] == ("MIT", "/web") and got[514] == got[None] == (None, None)
