@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, htmltext, langid, licences, minhash, mixing, piece_bpe, quality, toxicity, vectors
+from . import bpe, digest, htmltext, langid, licences, minhash, mixing, piece_bpe, quality, runs, toxicity, vectors
 from .common import held_out, table
 
 
@@ -64,6 +64,10 @@ def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.document_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
 def op13_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return piece_bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -81,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_html_blocks,
         op9_language_centroids,
         op10_quartile_digest,
+        op12_word_runs,
         op13_piece_bpe,
     )
     return {f.__name__: f for f in found}
