@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, htmltext, langid, licences, minhash, mixing, piece_bpe, quality, runs, toxicity, vectors
+from . import bpe, digest, htmltext, langid, lexical, licences, minhash, mixing, piece_bpe, quality, runs, toxicity, vectors
 from .common import held_out, table
 
 
@@ -64,6 +64,10 @@ def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op11_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.document_runs(table(spark, sf_dir, "documents"), planted=True)
 
@@ -85,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_html_blocks,
         op9_language_centroids,
         op10_quartile_digest,
+        op11_pair_maxscore,
         op12_word_runs,
         op13_piece_bpe,
     )
@@ -96,4 +101,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_metric_range_join": vectors.ORACLE_SQL,
         "op3_source_mix": mixing.ORACLE_SQL,
         "op7_minmax_hash": minhash.ORACLE_SQL,
+        "op11_pair_maxscore": lexical.ORACLE_SQL,
     }
