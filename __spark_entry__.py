@@ -46,9 +46,9 @@ from ratekit.operators import (
     user_stats,
     value_counts,
 )
-from ratekit.operators.predict import one_rating
+from ratekit.operators.predict import one_rating, prediction_ids
 from ratekit.plans import centered_knn, cf_report_lines, cosine_knn, model_notes, value_analysis, value_report_lines
-from ratekit.session import scratch_path
+from ratekit.session import persist_tracked, scratch_path
 from ratekit.sources import (
     cf_ratings,
     item_ratings,
@@ -274,13 +274,27 @@ def q_knn_neighbours(spark, d):
 
 
 def q_knn_neighbours_blocked(spark, d):
-    # Threshold 8: every user with more than 8 training ratings takes the
-    # item-driven path meant for heavy users (the skew path).
+    # Threshold 8: users with more than 8 test or training ratings are split into blocks.
     train, test = _split(spark, d)
     sim_all = mirror(cosine_similarity(train, MIN_COMMON))
     return _round(knn_neighbours(test, train, sim_all, k=K, block_size=8))
 
 
+def q_knn_neighbours_bitmap(spark, d):
+    # Broadcast bound 0: pairs are formed by the targets' partner bitmaps.
+    train, test = _split(spark, d)
+    sim_all = mirror(cosine_similarity(train, MIN_COMMON))
+    return _round(knn_neighbours(test, train, sim_all, k=K, max_broadcast_rows=0))
+
+
+def q_predict_knn_bitmap(spark, d):
+    # As above, and users with more than 8 test or training ratings are split into blocks.
+    train, test = _split(spark, d)
+    sim_all = mirror(cosine_similarity(train, MIN_COMMON))
+    mean = train_summary(train).getField("mean")
+    return _round(predict_knn(test, train, sim_all, mean, k=K, block_size=8, max_broadcast_rows=0))
+
+
 def q_predict_knn(spark, d):
     train, test = _split(spark, d)
     sim_all = mirror(cosine_similarity(train, MIN_COMMON))
@@ -298,19 +312,19 @@ def q_predict_centered(spark, d):
 
 
 def q_predict_centered_blocked(spark, d):
-    # Every user with more than 4 rows takes the item-driven path.
+    # The packed lists are not broadcast: test rows are shuffled to them.
     train, test = _split(spark, d)
     stats = user_stats(train)
     c = centered_ratings(train, stats)
     nb = top_neighbours(mirror(adjusted_cosine_similarity(c, MIN_COMMON)), k=K)
     mean = train_summary(train).getField("mean")
-    return _round(predict_centered(test, c, nb, stats, mean, block_size=4))
+    return _round(predict_centered(test, c, nb, stats, mean, max_broadcast_rows=0))
 
 
 def q_predict_knn_repeated(spark, d):
-    # Order lines as they are: customers rate a supplier more than once.
+    # Order lines as they are: customers rate a supplier more than once. Every test row has its number.
     train, test = holdout(repeated_ratings(spark, d), persist=True)
-    train = one_rating(train).persist()
+    train, test = persist_tracked(one_rating(train)), prediction_ids(test)
     sim_all = mirror(cosine_similarity(train, MIN_COMMON))
     mean = train_summary(train).getField("mean")
     return _round(predict_knn(test, train, sim_all, mean, k=K))
@@ -410,7 +424,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "neighbour_summary": q_neighbour_summary,
         "knn_neighbours": q_knn_neighbours,
         "knn_neighbours_blocked": q_knn_neighbours_blocked,
+        "knn_neighbours_bitmap": q_knn_neighbours_bitmap,
         "predict_knn": q_predict_knn,
+        "predict_knn_bitmap": q_predict_knn_bitmap,
         "predict_knn_repeated": q_predict_knn_repeated,
         "predict_centered": q_predict_centered,
         "predict_centered_blocked": q_predict_centered_blocked,
@@ -754,6 +770,15 @@ def _own_oracle_sql() -> dict[str, str]:
         "train": "SELECT user_id, item_id, avg(rating) AS rating FROM flagged WHERE is_train GROUP BY ALL",
         "kc": _CTE["kc"].replace("FROM test t", "FROM (SELECT DISTINCT user_id, item_id FROM test) t"),
     }
+    knn = (
+        _with("kn")
+        + f"SELECT user_id, target_item, rated_item, neighbor_rating, {_r('similarity')}, {_r('abs_similarity')}, "
+        "common_users, neighbor_rank FROM kn"
+    )
+    predicted = (
+        _with("scored_k")
+        + f"SELECT user_id, item_id, true_rating, {_r('prediction')}, neighbor_count, is_fallback FROM scored_k"
+    )
     cos_sim = _with("cos_sim") + f"SELECT item_i, item_j, {_r('similarity')}, common_users FROM cos_sim"
     return {
         "explode_values": _with("item_values") + "SELECT item_id, title, value FROM item_values",
@@ -800,7 +825,8 @@ def _own_oracle_sql() -> dict[str, str]:
         "adjusted_cosine_uncapped": _with("adj_sim") + adj_sim,
         "adjusted_cosine_capped": _with("adj_sim", overrides=capped) + adj_sim,
         "predict_knn_repeated": _with("scored_k", overrides=repeated)
-        + f"SELECT user_id, item_id, true_rating, {_r('prediction')}, neighbor_count, is_fallback FROM scored_k",
+        + "SELECT row_number() OVER (ORDER BY user_id, item_id, true_rating) AS prediction_id, user_id, item_id, "
+        f"true_rating, {_r('prediction')}, neighbor_count, is_fallback FROM scored_k",
         "evaluate_centered_capped": _with("scored_c", "tsum", overrides=capped) + _metrics_sql("scored_c"),
         "predict_centered_blocked": _with("scored_c")
         + f"SELECT user_id, item_id, true_rating, {_r('prediction')}, {_r('denom')}, neighbor_count, is_fallback "
@@ -810,14 +836,11 @@ def _own_oracle_sql() -> dict[str, str]:
         "top_neighbours": _with("nb")
         + f"SELECT target_item, neighbor_item, {_r('similarity')}, {_r('abs_similarity')}, common_users, "
         "neighbor_rank FROM nb",
-        "knn_neighbours": _with("kn")
-        + f"SELECT user_id, target_item, rated_item, neighbor_rating, {_r('similarity')}, {_r('abs_similarity')}, "
-        "common_users, neighbor_rank FROM kn",
-        "knn_neighbours_blocked": _with("kn")
-        + f"SELECT user_id, target_item, rated_item, neighbor_rating, {_r('similarity')}, {_r('abs_similarity')}, "
-        "common_users, neighbor_rank FROM kn",
-        "predict_knn": _with("scored_k")
-        + f"SELECT user_id, item_id, true_rating, {_r('prediction')}, neighbor_count, is_fallback FROM scored_k",
+        "knn_neighbours": knn,
+        "knn_neighbours_blocked": knn,
+        "knn_neighbours_bitmap": knn,
+        "predict_knn": predicted,
+        "predict_knn_bitmap": predicted,
         "predict_centered": _with("scored_c")
         + f"SELECT user_id, item_id, true_rating, {_r('prediction')}, {_r('denom')}, neighbor_count, is_fallback "
         "FROM scored_c",

@@ -72,25 +72,32 @@ def blocked_join(
     left_salt: Sequence[str],
     right_salt: Sequence[str],
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    right_placed: bool = False,
 ) -> DataFrame:
     """Inner join on ``key`` with heavy keys split into blocks (see module doc).
 
     ``heavy`` comes from :func:`heavy_keys`; ``None`` means a plain join.
-    Salt columns must identify a row within its key on each side.
+    Salt columns must identify a row within its key on each side. ``right_placed``
+    says that the right side is stored by ``key``: it stays where it is, and the left
+    side is shuffled to it.
     """
+
+    def plain(lt: DataFrame, rt: DataFrame) -> DataFrame:
+        if right_placed:
+            return lt.join(rt, key, "inner")
+        return lt.repartition(n, key).join(rt.repartition(n, key), key, "inner")
+
     n = shuffle_partitions(left)
     if heavy is not None:
         heavy = persist_tracked(heavy)
         n_heavy = heavy.count()  # cheap when the caller already persisted it
     if heavy is None or n_heavy == 0:
-        return left.repartition(n, key).join(right.repartition(n, key), key, "inner")
+        return plain(left, right)
     hv = F.broadcast(heavy) if n_heavy <= max_broadcast_rows else heavy
     lcols, rcols = left.columns, right.columns
     # Only heavy keys take the blocked way. The others hold at most ``block_size``
     # rows a side, so hashing them by key leaves no task much above the mean.
-    light = (
-        left.join(hv, key, "left_anti").repartition(n, key).join(right.join(hv, key, "left_anti").repartition(n, key), key)
-    )
+    light = plain(left.join(hv, key, "left_anti"), right.join(hv, key, "left_anti"))
     l = left.join(hv, key, "inner").select(
         *lcols,
         F.pmod(F.xxhash64(*left_salt), F.col("_nl")).cast("int").alias("_bl"),

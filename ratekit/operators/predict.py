@@ -25,9 +25,11 @@ from ratekit.functions.columns import clip, safe_ratio
 from ratekit.operators.joins import (
     DEFAULT_BLOCK_SIZE,
     DEFAULT_MAX_BROADCAST_ROWS,
+    blocked_join,
     broadcast_if_small,
-    shuffle_partitions,
+    heavy_keys,
 )
+from ratekit.operators.ordinals import numbered_copies, row_numbers
 from ratekit.operators.similarity import TOP_K, rank_key
 from ratekit.operators.similarity import user_counts as _user_counts
 from ratekit.session import persist_tracked
@@ -35,6 +37,17 @@ from ratekit.session import persist_tracked
 # The rating range used for clipping.
 MIN_RATING = 0.5
 MAX_RATING = 5.0
+PREDICTION_ID = "prediction_id"
+
+
+def prediction_ids(test: DataFrame) -> DataFrame:
+    """``test`` with a number 1, 2, ... for every row, in the order of its columns.
+
+    The same in every run and under any partitioning; equal rows take consecutive
+    numbers. Both models carry the number to the scored row.
+    """
+    cols = test.columns
+    return row_numbers(numbered_copies(test, "_copy"), [*cols, "_copy"], PREDICTION_ID).select(PREDICTION_ID, *cols)
 
 
 def one_rating(ratings: DataFrame) -> DataFrame:
@@ -42,6 +55,52 @@ def one_rating(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
 
 
+def partner_bitmaps(table: DataFrame, key: str, member: str) -> tuple[DataFrame, DataFrame]:
+    """Which members a key is related to, as one row a key.
+
+    Returns (``member``, _no), the members numbered from 0, and (``key``, _words), an array of longs
+    in which bit _no % 64 of word _no / 64 is set for every related member. A key takes at
+    most members / 8 bytes, and its bits are gathered word by word with partial sums.
+    """
+    numbers = row_numbers(table.select(member).distinct(), [member], "_no", start=0)
+    bit = F.expr("shiftleft(1L, CAST(_no % 64 AS INT))")
+    word = F.expr("CAST(_no DIV 64 AS INT)")
+    bits = table.select(key, member).join(numbers, member).groupBy(key, word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    # Words without a bit are filled in, so that a word's place in the array is its number.
+    upto = bits.groupBy(key).agg(F.max("_word").alias("_last"))
+    none = upto.select(key, F.explode(F.sequence(F.lit(0), "_last")).alias("_word"), F.lit(0).cast("bigint").alias("_bits"))
+    whole = bits.unionByName(none).groupBy(key, "_word").agg(F.bit_or("_bits").alias("_bits"))
+    listed = F.sort_array(F.collect_list(F.struct("_word", "_bits")))
+    return numbers, whole.groupBy(key).agg(F.transform(listed, lambda x: x["_bits"]).alias("_words"))
+
+
+def is_partner() -> Column:
+    """Whether bit _no of _words is set."""
+    word = F.get("_words", F.expr("CAST(_no DIV 64 AS INT)"))
+    return F.coalesce(F.getbit(word, F.expr("CAST(_no % 64 AS INT)")) == F.lit(1), F.lit(False))
+
+
+def related_pairs(
+    test: DataFrame,
+    rated: DataFrame,
+    table: DataFrame,
+    heavy: DataFrame | None = None,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Rows of (user, target) x the user's ratings of items that ``table`` relates to the target.
+
+    Every test row carries its target's bitmap of partners to the user's ratings, and a pair is
+    formed only where the bit of the rated item is set. Nothing unrelated leaves
+    the join. Items without any partner, and targets without one, go before the shuffle.
+    ``heavy`` (user_id, _nl, _nr): users whose rows are split into blocks.
+    """
+    numbers, words = partner_bitmaps(table, "target_item", "rated_item")
+    t = test.join(broadcast_if_small(words, max_broadcast_rows), "target_item")
+    r = rated.join(broadcast_if_small(numbers, max_broadcast_rows), "rated_item")
+    met = blocked_join(t, r, "user_id", heavy, ["target_item"], ["rated_item"])
+    return met.filter(is_partner()).drop("_no", "_words")
+
+
 def neighbour_candidates(
     test: DataFrame,
     rated: DataFrame,
@@ -50,52 +109,56 @@ def neighbour_candidates(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     user_counts: DataFrame | None = None,
     materialized_inputs: bool = False,
+    by_user: bool = False,
 ) -> DataFrame:
     """Rows of (user, target) x the user's ratings that ``table`` relates to the target.
 
     ``test``: user_id, target_item (distinct). ``rated``: user_id, rated_item and any
-    values. ``table``: target_item, rated_item and any values.
-
-    Two exact ways to the same rows, chosen per user:
-
-    * user-driven (users with at most ``block_size`` test and training rows): both
-      sides are hash-partitioned by user once, every test row meets the user's
-      ratings where they lie, then the table. Nothing is multiplied before the
-      shuffle; the cost is test_u x train_u per user.
-    * item-driven (heavier users): every test row meets the table rows of its
-      target, then the user's rating of that item by an equi-join on (user, item).
-      The cost is linear in the user's size, so a user holding a third of all
-      ratings is neither quadratic nor one task; a hot target is a skewed key of
-      plain joins, which AQE splits.
-
-    The table is broadcast only under a checked row bound (some 40 bytes a row);
-    beyond it both joins on it shuffle. ``materialized_inputs=True`` says ``table`` is
-    read from a checkpoint, so it is not persisted again.
+    values. ``table``: target_item, rated_item and any values, no self pairs.
+
+    Every test row meets the user's ratings where they lie; users with more than
+    ``block_size`` test or training rows are split into blocks. What is kept of these
+    meetings is decided on the spot, in one of two ways to the same rows:
+
+    * a table of at most ``max_broadcast_rows`` rows (some 40 bytes each) is broadcast
+      and joined there;
+    * beyond that the test rows carry their target's partners as a bitmap (see
+      :func:`related_pairs`), and only related pairs are shuffled to the table.
+
+    ``materialized_inputs=True`` says ``table`` is read from a checkpoint, so it is not
+    persisted again. ``by_user`` says that ``rated`` is stored by user.
     """
-    s = broadcast_if_small(table, max_broadcast_rows, persist=not materialized_inputs)
+    table = table if materialized_inputs else persist_tracked(table)
+    small = table.count() <= max_broadcast_rows
     counts = user_counts if user_counts is not None else _user_counts(rated, test)
-    over = (F.col("n_train") > F.lit(block_size)) | (F.col("n_test") > F.lit(block_size))
-    heavy = persist_tracked(counts.filter(over).select("user_id"))
-    n_heavy = heavy.count()
-    n = shuffle_partitions(test)
-
-    def user_driven(tt: DataFrame, rr: DataFrame) -> DataFrame:
-        # Exploding join: pinned partition count (see shuffle_partitions).
-        cand = tt.repartition(n, "user_id").join(rr.repartition(n, "user_id"), "user_id", "inner")
-        cand = cand.filter(F.col("target_item") != F.col("rated_item"))
-        return cand.join(s, ["target_item", "rated_item"], "inner")
-
-    if n_heavy == 0:
-        return user_driven(test, rated)
-    hv = F.broadcast(heavy) if n_heavy <= max_broadcast_rows else heavy
-    light = user_driven(test.join(hv, "user_id", "left_anti"), rated.join(hv, "user_id", "left_anti"))
-    # The table has no self pairs, so target != rated holds here.
-    item_driven = (
-        test.join(hv, "user_id", "left_semi")
-        .join(s, "target_item", "inner")
-        .join(rated.join(hv, "user_id", "left_semi"), ["user_id", "rated_item"], "inner")
-    )
-    return light.unionByName(item_driven.select(light.columns))
+    heavy = persist_tracked(heavy_keys(counts, "user_id", "n_test", "n_train", block_size))
+    heavy = heavy if heavy.count() else None
+    if small:
+        met = blocked_join(test, rated, "user_id", heavy, ["target_item"], ["rated_item"], right_placed=by_user)
+        return met.join(F.broadcast(table), ["target_item", "rated_item"])
+    return related_pairs(test, rated, table, heavy, max_broadcast_rows).join(table, ["target_item", "rated_item"])
+
+
+def listed_candidates(
+    test: DataFrame,
+    rated: DataFrame,
+    table: DataFrame,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    materialized_inputs: bool = False,
+) -> DataFrame:
+    """Rows of (user, target) x the user's ratings on the target's list of neighbours.
+
+    ``table``: target_item, rated_item and any values, at most k rows a target. The list is packed into one
+    row a target, so a test row meets one row and takes at most k entries, each
+    looked up by (user, item). Nothing is multiplied by the user's ratings, so
+    a user of any size is neither quadratic nor one task. Packed lists are broadcast under
+    ``max_broadcast_rows`` targets; beyond that test rows are shuffled to them once.
+    """
+    entry = F.struct(*[c for c in table.columns if c != "target_item"])
+    packed = table.groupBy("target_item").agg(F.collect_list(entry).alias("_list"))
+    lists = broadcast_if_small(packed, max_broadcast_rows, persist=not materialized_inputs)
+    entries = test.join(lists, "target_item").select(*test.columns, F.explode("_list").alias("_e")).select(*test.columns, "_e.*")
+    return entries.join(rated, ["user_id", "rated_item"])
 
 
 def knn_candidates(
@@ -106,6 +169,7 @@ def knn_candidates(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     user_counts: DataFrame | None = None,
     materialized_inputs: bool = False,
+    by_user: bool = False,
 ) -> DataFrame:
     """(user_id, target_item, rated_item, neighbor_rating, similarity,
     abs_similarity, common_users) for every usable neighbour rating: an item
@@ -127,6 +191,7 @@ def knn_candidates(
         max_broadcast_rows=max_broadcast_rows,
         user_counts=user_counts,
         materialized_inputs=materialized_inputs,
+        by_user=by_user,
     )
 
 
@@ -138,6 +203,8 @@ def knn_neighbours(
     block_size: int = DEFAULT_BLOCK_SIZE,
     user_counts: DataFrame | None = None,
     materialized_inputs: bool = False,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    by_user: bool = False,
 ) -> DataFrame:
     """The ``k`` best candidates per test row, with ``neighbor_rank`` 1..k.
 
@@ -148,8 +215,10 @@ def knn_neighbours(
         train,
         sim_all,
         block_size=block_size,
+        max_broadcast_rows=max_broadcast_rows,
         user_counts=user_counts,
         materialized_inputs=materialized_inputs,
+        by_user=by_user,
     )
     w = Window.partitionBy("user_id", "target_item").orderBy(
         rank_key().desc(), F.col("common_users").desc(), F.col("rated_item").asc()
@@ -171,19 +240,24 @@ def predict_knn(
     block_size: int = DEFAULT_BLOCK_SIZE,
     user_counts: DataFrame | None = None,
     materialized_inputs: bool = False,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    by_user: bool = False,
 ) -> DataFrame:
     """Scored test rows: user_id, item_id, true_rating, prediction,
-    neighbor_count, is_fallback.
+    neighbor_count, is_fallback, after the test rows' ``prediction_id`` where they have one.
 
-    A (user, item) is predicted once, and every test row of it gets that prediction."""
+    A (user, item) is predicted once, and every test row of it gets that prediction.
+    :func:`prediction_ids` numbers the test rows, so that repeated ones can be told apart."""
     top = knn_neighbours(
         test,
         train,
         sim_all,
         k=k,
         block_size=block_size,
+        max_broadcast_rows=max_broadcast_rows,
         user_counts=user_counts,
         materialized_inputs=materialized_inputs,
+        by_user=by_user,
     )
     # Same partitioning as the window: no extra shuffle for the aggregate.
     pred = top.groupBy("user_id", "target_item").agg(
@@ -191,11 +265,13 @@ def predict_knn(
         F.sum("abs_similarity").alias("denom"),
         F.count(F.lit(1)).alias("neighbor_count"),
     )
-    t = test.select("user_id", "item_id", F.col("rating").alias("true_rating"))
+    ids = [c for c in test.columns if c == PREDICTION_ID]
+    t = test.select(*ids, "user_id", "item_id", F.col("rating").alias("true_rating"))
     p = pred.withColumnRenamed("target_item", "item_id")
     scored = t.join(p, ["user_id", "item_id"], "left")
     nc = F.coalesce(F.col("neighbor_count"), F.lit(0)).cast("bigint")
     return scored.select(
+        *ids,
         "user_id",
         "item_id",
         "true_rating",
@@ -213,9 +289,7 @@ def predict_centered(
     train_mean: Column,
     lo: float = MIN_RATING,
     hi: float = MAX_RATING,
-    block_size: int = DEFAULT_BLOCK_SIZE,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    user_counts: DataFrame | None = None,
     materialized_inputs: bool = False,
 ) -> DataFrame:
     """Scored test rows: user_id, item_id, true_rating, prediction, denom,
@@ -224,21 +298,21 @@ def predict_centered(
     ``centered`` holds *all* training ratings with ``centered_rating``
     (every training rating predicts, whoever teaches), and
     ``neighbours`` is the top-k table of :func:`top_neighbours`, met with the
-    user's ratings as in :func:`neighbour_candidates`. A (user, item) is
-    predicted once, and every test row of it gets that prediction.
+    user's ratings as in :func:`listed_candidates`. A (user, item) is
+    predicted once, and every test row of it gets that prediction, after its
+    ``prediction_id`` where it has one.
     """
+    ids = [c for c in test.columns if c == PREDICTION_ID]
     t = test.select(
-        "user_id", F.col("item_id").alias("target_item"), F.col("rating").alias("true_rating")
+        *ids, "user_id", F.col("item_id").alias("target_item"), F.col("rating").alias("true_rating")
     )
-    cand = neighbour_candidates(
+    cand = listed_candidates(
         t.select("user_id", "target_item").distinct(),
         centered.select("user_id", F.col("item_id").alias("rated_item"), "centered_rating"),
         neighbours.select(
             "target_item", F.col("neighbor_item").alias("rated_item"), "similarity", "abs_similarity"
         ),
-        block_size=block_size,
         max_broadcast_rows=max_broadcast_rows,
-        user_counts=user_counts,
         materialized_inputs=materialized_inputs,
     )
     pred = cand.groupBy("user_id", "target_item").agg(
@@ -254,6 +328,7 @@ def predict_centered(
         pred, ["user_id", "target_item"], "left"
     )
     return scored.select(
+        *ids,
         "user_id",
         F.col("target_item").alias("item_id"),
         "true_rating",

@@ -7,12 +7,20 @@ both items.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratekit.functions.columns import safe_ratio
 from ratekit.session import persist_tracked
-from ratekit.operators.joins import DEFAULT_BLOCK_SIZE, blocked_join, heavy_keys
+from ratekit.operators.joins import (
+    DEFAULT_BLOCK_SIZE,
+    DEFAULT_MAX_BROADCAST_ROWS,
+    blocked_join,
+    heavy_keys,
+    shuffle_partitions,
+)
 
 # Reference thresholds.
 MIN_COMMON_USERS = 5
@@ -106,10 +114,113 @@ def co_rating_pairs(
     return pairs.filter(F.col("item_i") < F.col("item_j"))
 
 
-def _pair_sums(pairs: DataFrame) -> DataFrame:
-    # Partial aggregation runs in the join stage: pair rows are streamed into
-    # the hash map and never materialised.
-    return pairs.groupBy("item_i", "item_j").agg(
+def block_count(df: DataFrame, largest: int, block_size: int) -> int:
+    """Item blocks for :func:`pair_sums`: four times as many block pairs as partitions, and enough
+    of them that the largest user has about ``block_size`` ratings a block."""
+    return max(math.ceil(math.sqrt(8 * shuffle_partitions(df))), math.ceil(largest / block_size), 1)
+
+
+def packed_ratings(rated: DataFrame, value_col: str, n_blocks: int, by_user: bool = False) -> DataFrame:
+    """(user_id, block, entries): a user's ratings of one item block as an array of (item, r)."""
+    block = F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)).cast("int")
+    entry = F.struct(F.col("item_id").alias("item"), F.col(value_col).alias("r"))
+    src = rated.select("user_id", block.alias("block"), entry.alias("_e"))
+    if not by_user:
+        src = src.repartition(shuffle_partitions(rated), "user_id")
+    # Partitioned by user: packing and the join of a user's blocks need no other shuffle.
+    return src.groupBy("user_id", "block").agg(F.collect_list("_e").alias("entries"))
+
+
+def _block_pairs(packed: DataFrame) -> DataFrame:
+    """(bi, bj, vi, vj) for every user and every two of the user's blocks, bi <= bj."""
+    left = packed.select("user_id", F.col("block").alias("bi"), F.col("entries").alias("vi"))
+    right = packed.select("user_id", F.col("block").alias("bj"), F.col("entries").alias("vj"))
+    return left.join(right, "user_id").filter(F.col("bi") <= F.col("bj")).drop("user_id")
+
+
+def _spread_block_pairs(packed: DataFrame, n_blocks: int, n: int) -> DataFrame:
+    """The same for users whose ratings should not meet in one task: every block is sent
+    to all block pairs it belongs to, where the two sides of a user meet."""
+    other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_x")
+    sent = packed.select("user_id", "block", "entries", other)
+    mine, x = F.col("block"), F.col("_x")
+    first = mine <= x
+    sides = sent.select(
+        "user_id",
+        F.least(mine, x).alias("bi"),
+        F.greatest(mine, x).alias("bj"),
+        F.when(first, F.col("entries")).alias("vi"),
+        F.when(mine >= x, F.col("entries")).alias("vj"),
+    )
+    met = sides.repartition(n, "user_id", "bi", "bj").groupBy("user_id", "bi", "bj")
+    return (
+        met.agg(F.first("vi", ignorenulls=True).alias("vi"), F.first("vj", ignorenulls=True).alias("vj"))
+        .filter("vi IS NOT NULL AND vj IS NOT NULL")
+        .drop("user_id")
+    )
+
+
+def pair_sums(
+    rated: DataFrame,
+    value_col: str = "rating",
+    block_size: int = DEFAULT_BLOCK_SIZE,
+    max_user_ratings: int | None = None,
+    user_counts: DataFrame | None = None,
+    by_user: bool = False,
+    n_blocks: int | None = None,
+) -> DataFrame:
+    """(item_i, item_j, common_users, dot, sq_i, sq_j) of all pairs item_i < item_j with a common user.
+
+    A blocked Gram product. Items are dealt into blocks, every user's ratings of a block are packed
+    into one row, and a user's packed rows meet two by two. These block pairs, not the rating
+    pairs, are shuffled, to the task of their two blocks; the pairs are formed and summed there, and no
+    sum leaves it. So ratings are read and shuffled once, and a rating travels once for
+    each block of its user, while a shuffle of partial sums would carry nearly every pair from
+    every task.
+
+    Users with more than ``block_size`` ratings do not meet in one task: their blocks, of about
+    ``block_size`` ratings at most, are sent to their block pairs directly. ``by_user`` says that ``rated``
+    is stored by user (see ``ratekit.sources.store``), so not even the first shuffle is made.
+    """
+    n = shuffle_partitions(rated)
+    heavy, largest = None, 0
+    if max_user_ratings is None or max_user_ratings > block_size:
+        if user_counts is not None:  # (user_id, n_train) computed once by the caller
+            counts = user_counts.select("user_id", F.col("n_train").alias("_n"))
+        else:
+            counts = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+        heavy = persist_tracked(counts.filter(F.col("_n") > F.lit(block_size)))
+        n_heavy, largest = heavy.agg(F.count(F.lit(1)), F.coalesce(F.max("_n"), F.lit(0))).first()
+        heavy = None if n_heavy == 0 else heavy.select("user_id")
+    blocks = n_blocks or block_count(rated, largest, block_size)
+    if heavy is None:
+        cells = _block_pairs(packed_ratings(rated, value_col, blocks, by_user))
+    else:
+        hv = F.broadcast(heavy) if n_heavy <= DEFAULT_MAX_BROADCAST_ROWS else heavy
+        light = packed_ratings(rated.join(hv, "user_id", "left_anti"), value_col, blocks, by_user)
+        block = F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("block")
+        entry = F.struct(F.col("item_id").alias("item"), F.col(value_col).alias("r")).alias("_e")
+        packed = rated.join(hv, "user_id", "left_semi").select("user_id", block, entry)
+        packed = packed.groupBy("user_id", "block").agg(F.collect_list("_e").alias("entries"))
+        cells = _block_pairs(light).unionByName(_spread_block_pairs(packed, blocks, n))
+    met = cells.repartition(n, "bi", "bj").select("bi", "bj", F.explode("vi").alias("a"), "vj")
+    met = met.select("bi", "bj", "a", F.explode("vj").alias("b"))
+    # Within one block every two entries meet twice and each meets itself: one order is kept.
+    a, b, rising = F.col("a"), F.col("b"), F.col("a.item") < F.col("b.item")
+    met = met.filter((F.col("bi") < F.col("bj")) | rising).select(
+        "bi",
+        "bj",
+        F.least(a.item, b.item).alias("item_i"),
+        F.greatest(a.item, b.item).alias("item_j"),
+        F.when(rising, a.r).otherwise(b.r).alias("r_i"),
+        F.when(rising, b.r).otherwise(a.r).alias("r_j"),
+    )
+    # Partitioned by block pair: partial and final sums run in one stage.
+    return _sums(met, "bi", "bj").drop("bi", "bj")
+
+
+def _sums(pairs: DataFrame, *within: str) -> DataFrame:
+    return pairs.groupBy(*within, "item_i", "item_j").agg(
         F.count(F.lit(1)).alias("common_users"),
         F.sum(F.col("r_i") * F.col("r_j")).alias("dot"),
         F.sum(F.col("r_i") * F.col("r_i")).alias("sq_i"),
@@ -131,16 +242,14 @@ def cosine_similarity(
     min_common: int = MIN_COMMON_USERS,
     block_size: int = DEFAULT_BLOCK_SIZE,
     user_counts: DataFrame | None = None,
+    by_user: bool = False,
 ) -> DataFrame:
     """Half matrix (item_i < item_j) of raw-rating cosine similarity.
 
     Keeps pairs with ``common_users >= min_common`` and ``similarity > 0``.
     ``user_counts`` (user_id, n_train, ...) may be passed to reuse counts.
     """
-    pairs = co_rating_pairs(
-        train, "rating", block_size=block_size, user_counts=user_counts, min_common=min_common
-    )
-    s = _with_similarity(_pair_sums(pairs))
+    s = _with_similarity(pair_sums(train, "rating", block_size=block_size, user_counts=user_counts, by_user=by_user))
     return s.filter(
         (F.col("common_users") >= F.lit(min_common)) & (F.col("similarity") > F.lit(ZERO))
     ).select("item_i", "item_j", "similarity", "common_users")
@@ -152,6 +261,8 @@ def adjusted_cosine_similarity(
     max_user_ratings: int | None = None,
     min_user_ratings: int = 2,
     block_size: int = DEFAULT_BLOCK_SIZE,
+    user_counts: DataFrame | None = None,
+    by_user: bool = False,
 ) -> DataFrame:
     """Half matrix of user-centred (adjusted) cosine similarity.
 
@@ -163,14 +274,16 @@ def adjusted_cosine_similarity(
     teach = centered.filter(F.col("train_rating_count") >= F.lit(min_user_ratings))
     if max_user_ratings is not None:
         teach = teach.filter(F.col("train_rating_count") <= F.lit(max_user_ratings))
-    pairs = co_rating_pairs(
-        teach,
-        "centered_rating",
-        block_size=block_size,
-        max_user_ratings=max_user_ratings,
-        min_common=min_common,
+    s = _with_similarity(
+        pair_sums(
+            teach,
+            "centered_rating",
+            block_size=block_size,
+            max_user_ratings=max_user_ratings,
+            user_counts=user_counts,
+            by_user=by_user,
+        )
     )
-    s = _with_similarity(_pair_sums(pairs))
     return s.filter(
         (F.col("common_users") >= F.lit(min_common))
         & (F.col("sq_i") > F.lit(0.0))

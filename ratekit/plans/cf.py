@@ -127,7 +127,11 @@ def centered_knn(
         stats, centered = persist_tracked(stats), persist_tracked(centered)
     counts = persist_tracked(user_counts(train, test))
     sim = adjusted_cosine_similarity(
-        centered, min_common=min_common, max_user_ratings=max_user_ratings, block_size=block_size
+        centered,
+        min_common=min_common,
+        max_user_ratings=max_user_ratings,
+        block_size=block_size,
+        user_counts=counts,
     )
     if checkpoint:
         sim = materialize(sim)
@@ -144,8 +148,6 @@ def centered_knn(
         mean,
         lo=lo,
         hi=hi,
-        block_size=block_size,
-        user_counts=counts,
         materialized_inputs=checkpoint,
     )
     metrics = persist_tracked(evaluate(scored, train))
