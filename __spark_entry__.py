@@ -29,6 +29,7 @@ from ratekit.operators import (
     baseline,
     centered_ratings,
     co_rating_pairs,
+    compact,
     cosine_similarity,
     explode_values,
     holdout,
@@ -37,17 +38,31 @@ from ratekit.operators import (
     neighbour_summary,
     predict_centered,
     predict_knn,
+    prediction_ids,
+    put_batch,
     rating_stats,
+    rating_stats_of,
+    read_state,
     split_flag,
     top_lists,
     top_n,
     top_neighbours,
     train_summary,
     user_stats,
+    user_stats_of,
     value_counts,
 )
-from ratekit.operators.predict import one_rating, prediction_ids
-from ratekit.plans import centered_knn, cf_report_lines, cosine_knn, model_notes, value_analysis, value_report_lines
+from ratekit.operators.predict import one_rating
+from ratekit.plans import (
+    centered_knn,
+    cf_report_lines,
+    cosine_knn,
+    list_tables,
+    model_notes,
+    value_analysis,
+    value_report_lines,
+    value_table,
+)
 from ratekit.session import persist_tracked, scratch_path
 from ratekit.sources import (
     cf_ratings,
@@ -142,6 +157,43 @@ def q_report_lines(spark, d):
     return value_report_lines(va)
 
 
+def q_value_table(spark, d):
+    """The printed table of values: its order is the column line."""
+    return value_table(value_counts(_iv(spark, d)))
+
+
+def q_value_table_limited(spark, d):
+    """Its first 10 lines, as a limited display prints them."""
+    return value_table(value_counts(_iv(spark, d)), limit=10)
+
+
+def q_list_tables(spark, d):
+    """The printed lists: their order is section, rank."""
+    va = value_analysis(items(spark, d), item_ratings(spark, d), VALUES, n=N, min_count=MIN_COUNT)
+    return _round(list_tables(va))
+
+
+def _in_batches(spark, ratings, key, by, n=3):
+    """State by ``key`` of the whole table, put batch by batch; the last batch is put twice."""
+    path = scratch_path(spark, f"state-{key}")
+    for batch in [*range(n), n - 1]:
+        put_batch(ratings.filter(F.pmod(F.xxhash64(by), F.lit(n)) == batch), path, batch, key=key)
+    whole = scratch_path(spark, f"state-{key}-compacted")
+    compact(spark, path, whole, key=key)
+    return read_state(spark, whole, key=key)
+
+
+def q_rating_stats_merged(spark, d):
+    """The statistics of all ratings from states of three batches."""
+    state = _in_batches(spark, item_ratings(spark, d), "item_id", "rating")
+    return _round(rating_stats_of(_iv(spark, d), state, VALUES))
+
+
+def q_user_stats_merged(spark, d):
+    train, _ = _split(spark, d)
+    return _round(user_stats_of(_in_batches(spark, train, "user_id", "item_id")))
+
+
 def _odd_items(spark, d):
     """Items with white space at the ends, line breaks, quotes, empty and null texts."""
     i, t, g = F.col("item_id"), F.col("title"), F.col("tags")
@@ -200,6 +252,11 @@ def q_holdout_random_summary(spark, d):
     return flagged.agg(n.alias("n_rows"), (F.count("is_train") == n).alias("complete"), share_ok.alias("share_ok"))
 
 
+def q_holdout_random_repeated(spark, d):
+    """Order lines as they are: equal rows are drawn one by one."""
+    return split_flag(repeated_ratings(spark, d), method="random", seed=42)
+
+
 def q_baseline(spark, d):
     train, test = _split(spark, d, persist=False)
     return _round(baseline(train, test))
@@ -334,6 +391,15 @@ def q_evaluate_knn(spark, d):
     return _round(cosine_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K).metrics)
 
 
+def q_evaluate_knn_stored(spark, d):
+    # Ratings stored by user: no join shuffles them.
+    return _round(cosine_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K, stored=True).metrics)
+
+
+def q_evaluate_centered_stored(spark, d):
+    return _round(centered_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K, stored=True).metrics)
+
+
 def q_evaluate_centered(spark, d):
     r = centered_knn(cf_ratings(spark, d), min_common=MIN_COMMON, k=K)
     return _round(r.metrics)
@@ -398,6 +464,11 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_worst": _q_top("worst"),
         "top_lists": q_top_lists,
         "report_lines": q_report_lines,
+        "value_table": q_value_table,
+        "value_table_limited": q_value_table_limited,
+        "list_tables": q_list_tables,
+        "rating_stats_merged": q_rating_stats_merged,
+        "user_stats_merged": q_user_stats_merged,
         "csv_round_trip": q_csv_round_trip,
         "csv_ratings_by_name": q_csv_ratings_by_name,
         "csv_ratings_rejected": q_csv_ratings_rejected,
@@ -409,6 +480,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "holdout_random_summary": q_holdout_random_summary,
         "holdout_exact": _q_holdout("exact"),
         "holdout_random": _q_holdout("random"),
+        "holdout_random_repeated": q_holdout_random_repeated,
         "baseline": q_baseline,
         "user_stats": q_user_stats,
         "centered_ratings": q_centered_ratings,
@@ -431,7 +503,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "predict_centered": q_predict_centered,
         "predict_centered_blocked": q_predict_centered_blocked,
         "evaluate_knn": q_evaluate_knn,
+        "evaluate_knn_stored": q_evaluate_knn_stored,
         "evaluate_centered": q_evaluate_centered,
+        "evaluate_centered_stored": q_evaluate_centered_stored,
         "evaluate_centered_capped": q_evaluate_centered_capped,
         "evaluate_knn_exact_split": q_evaluate_knn_exact_split,
         "cf_report_lines": q_cf_report_lines,
@@ -763,6 +837,18 @@ def _own_oracle_sql() -> dict[str, str]:
         flagged = f"SELECT user_id, item_id, rating, {test} AS is_train FROM hashed"
         return _with("flagged", overrides={"hashed": hashed, "flagged": flagged}) + "SELECT * FROM flagged"
 
+    def drawn(seed: str) -> str:
+        # 0.8 of 2^32; every row is drawn by itself and its number among equal rows.
+        return (
+            "SELECT user_id, item_id, rating, ('0x' || substr(md5(concat_ws('|', " + seed + "user_id, item_id, rating, copy)), 1, 8))::BIGINT "
+            "< 3435973837 AS is_train FROM (SELECT *, row_number() OVER (PARTITION BY user_id, item_id, rating) AS copy FROM cf)"
+        )
+
+    value_lines = (
+        _with("item_values")
+        + "SELECT row_number() OVER (ORDER BY count(DISTINCT item_id) DESC, value) AS line, value, "
+        "count(DISTINCT item_id) AS item_count FROM item_values GROUP BY value"
+    )
     adj_sim = f"SELECT item_i, item_j, {_r('similarity')}, common_users FROM adj_sim"
     capped = {"teach": _CTE["teach"].replace(">= 2", f"BETWEEN 2 AND {CAP}")}
     repeated = {
@@ -792,6 +878,19 @@ def _own_oracle_sql() -> dict[str, str]:
         "top_lists": _with("stats")
         + " UNION ALL ".join(f"SELECT '{by}' AS list_name, * FROM ({_top_sql(by)})" for by in _TOP_ORDER),
         "report_lines": _report_sql(),
+        "value_table": value_lines,
+        "value_table_limited": value_lines + " QUALIFY line <= 10",
+        "list_tables": _with("stats")
+        + "SELECT CAST(4 * (CASE value "
+        + " ".join(f"WHEN '{v}' THEN {k}" for k, v in enumerate(VALUES))
+        + " END) + (CASE list_name "
+        + " ".join(f"WHEN '{x}' THEN {k}" for k, (x, _) in enumerate(_SECTIONS))
+        + ' END) AS BIGINT) AS section, "rank", value, list_name, item_id, title, rating_count, avg_rating FROM ('
+        + " UNION ALL ".join(f"SELECT '{by}' AS list_name, * FROM ({_top_sql(by)})" for by in _TOP_ORDER)
+        + ")",
+        "rating_stats_merged": _with("stats")
+        + f"SELECT value, item_id, title, rating_count, {_r('avg_rating')} FROM stats",
+        "user_stats_merged": _with("ustats") + f"SELECT user_id, train_rating_count, {_r('user_mean')} FROM ustats",
         "csv_round_trip": _with("items")
         + "SELECT item_id, CASE item_id % 7 WHEN 1 THEN '  ' || title || ' ' WHEN 2 THEN title || chr(10) || 'line, two' "
         "WHEN 3 THEN '\"' || title || '\" \\' WHEN 4 THEN '' WHEN 5 THEN NULL ELSE title END AS title, "
@@ -807,6 +906,8 @@ def _own_oracle_sql() -> dict[str, str]:
         "holdout_exact_repeated": _with("flagged", overrides={"cf": _REPEATED, "flagged": _EXACT_FLAG.replace("item_id)", "item_id, rating)")})
         + "SELECT user_id, item_id, rating, is_train FROM flagged",
         "holdout_random_summary": _with("cf") + "SELECT count(*) AS n_rows, true AS complete, true AS share_ok FROM cf",
+        "holdout_random": _with("cf") + drawn(""),
+        "holdout_random_repeated": _with("cf", overrides={"cf": _REPEATED}) + drawn("42, "),
         "holdout_hash": _with("flagged") + "SELECT user_id, item_id, rating, is_train FROM flagged",
         "holdout_exact": _with("flagged", overrides={"flagged": _EXACT_FLAG})
         + "SELECT user_id, item_id, rating, is_train FROM flagged",
@@ -846,6 +947,8 @@ def _own_oracle_sql() -> dict[str, str]:
         "FROM scored_c",
         "evaluate_knn": _with("scored_k", "tsum") + _metrics_sql("scored_k"),
         "evaluate_centered": _with("scored_c", "tsum") + _metrics_sql("scored_c"),
+        "evaluate_knn_stored": _with("scored_k", "tsum") + _metrics_sql("scored_k"),
+        "evaluate_centered_stored": _with("scored_c", "tsum") + _metrics_sql("scored_c"),
         "evaluate_knn_exact_split": _with("scored_k", "tsum", overrides={"flagged": _EXACT_FLAG})
         + _metrics_sql("scored_k"),
         "cf_report_lines": _cf_report_sql(),

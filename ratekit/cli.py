@@ -22,9 +22,7 @@ from ratekit.session import build_session
 
 
 def _values(args, spark) -> None:
-    from pyspark.sql import functions as F
-
-    from ratekit.plans import value_analysis, value_report_lines, write_report
+    from ratekit.plans import print_list_tables, print_value_table, value_analysis, value_report_lines, write_report
     from ratekit.sources import read_items_csv, read_ratings_csv
 
     values = [v for v in args.values.split(",") if v]
@@ -32,25 +30,13 @@ def _values(args, spark) -> None:
     ratings = read_ratings_csv(spark, args.ratings)
     va = value_analysis(items, ratings, values, n=args.n, min_count=args.min_count)
     print("\nValues and number of items")
-    n_values = va.counts.count()
-    shown = args.show_values or n_values
-    va.counts.show(shown, truncate=False)
-    if shown < n_values:
-        print(f"{n_values - shown} more values")
+    print_value_table(va, args.show_values or None)
     print("\nTop lists")
-    (
-        va.lists.orderBy(
-            F.array_position(F.array(*[F.lit(v) for v in values]), F.col("value")),
-            F.array_position(
-                F.array(*[F.lit(x) for x in ("most_rated", "least_rated", "best", "worst")]),
-                F.col("list_name"),
-            ),
-            "rank",
-        ).show(len(values) * 4 * args.n, truncate=False)
-    )
+    print_list_tables(va)
     if args.report:
         write_report(value_report_lines(va), args.report)
         print(f"report written to {args.report}")
+    va.release()
 
 
 def _cf(args, spark) -> None:
@@ -87,7 +73,7 @@ def _cf(args, spark) -> None:
     split = {
         "hash": "deterministic hash of (user, item), {1} of {0} buckets".format(*split_buckets(args.frac)),
         "exact": f"exactly round({args.frac} n) rows in hash order",
-        "random": f"Bernoulli rand(seed={args.seed}) < {args.frac}",
+        "random": f"a draw for every row (seed {args.seed}), share {args.frac}",
     }[args.split]
     if args.report:
         write_report(

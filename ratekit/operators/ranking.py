@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratekit.functions.columns import safe_ratio
+from ratekit.operators.state import batch_state, mean_rating
 
 
 def rating_stats(
@@ -38,20 +38,22 @@ def rating_stats(
         )
     if plan != "aggregate_first":
         raise ValueError(f"unknown plan {plan!r}")
-    per_item = ratings.groupBy("item_id").agg(
-        F.count("rating").alias("rating_count"),
-        F.sum("rating").alias("rating_sum"),
-    )
+    return rating_stats_of(iv, batch_state(ratings, "item_id"))
+
+
+def rating_stats_of(item_values: DataFrame, state: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
+    """:func:`rating_stats` from a state by item (:mod:`ratekit.operators.state`) instead of the ratings."""
+    iv = item_values if values is None else item_values.filter(F.col("value").isin(list(values)))
     # The join-first plan multiplies ratings by how often an item carries the
     # same (value, title); keep that multiplicity so both plans agree exactly.
     iv = iv.groupBy("value", "item_id", "title").agg(F.count(F.lit(1)).alias("mult"))
-    j = iv.join(per_item, "item_id", "inner")
+    j = iv.join(state, "item_id", "inner")
     return j.select(
         "value",
         "item_id",
         "title",
         (F.col("rating_count") * F.col("mult")).alias("rating_count"),
-        safe_ratio(F.col("rating_sum"), F.col("rating_count")).alias("avg_rating"),
+        mean_rating().alias("avg_rating"),
     )
 
 

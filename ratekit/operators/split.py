@@ -11,8 +11,11 @@ Three methods:
   histogram over 2^20 hash prefixes (bounded size) finds the boundary prefix;
   only the distinct keys of that one prefix (about n / 2^20) are ranked, and
   then the repeated rows of the one key at the border.
-* ``random``: Bernoulli ``rand(seed) < frac``. Depends on partitioning; the
-  flag is checkpointed once so train and test stay complementary.
+* ``random``: a Bernoulli draw for every row, repeated rows drawn one by one. The
+  draw is a counter hash: of the seed, the row and its number among equal rows
+  (:func:`ratekit.operators.ordinals.numbered_copies`), 32 bits wide. So it depends neither on
+  partitioning nor on the run, and train and test stay complementary without a
+  copy of the table. Columns must be groupable.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratekit.functions.columns import hash_bucket, hash_key32, split_buckets
-from ratekit.session import materialize, persist_tracked
+from ratekit.operators.ordinals import numbered_copies
+from ratekit.session import persist_tracked
 
 _PREFIX_SHIFT = 12  # 32-bit hash >> 12 = 2^20 histogram cells
 
@@ -36,8 +40,8 @@ def split_flag(
 ) -> DataFrame:
     """``ratings`` plus a boolean ``is_train`` column.
 
-    ``seed`` is mixed into the hashed key of ``hash`` and ``exact`` and seeds ``random``;
-    each seed gives another split, and without one the plain key is hashed.
+    ``seed`` is mixed into the hashed key; each seed gives another split, and without one
+    the plain key is hashed.
     """
     if not 0.0 <= frac <= 1.0:
         raise ValueError("frac must lie in [0, 1]")
@@ -46,8 +50,9 @@ def split_flag(
         buckets, cut = split_buckets(frac)
         return ratings.withColumn("is_train", hash_bucket(*key, buckets=buckets) < F.lit(cut))
     if method == "random":
-        flagged = ratings.withColumn("is_train", F.rand(0 if seed is None else seed) < F.lit(frac))
-        return materialize(flagged)
+        numbered = numbered_copies(ratings, "_copy")
+        draw = hash_key32(*([] if seed is None else [F.lit(seed)]), *numbered.columns)
+        return numbered.withColumn("is_train", draw < F.lit(round(frac * 2**32))).drop("_copy")
     if method == "exact":
         return _exact_flag(ratings, frac, key, user_col, item_col)
     raise ValueError(f"unknown split method {method!r}")

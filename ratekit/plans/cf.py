@@ -17,7 +17,10 @@ subqueries, candidates, scoring). Keep it when the ratings are derived by an
 expensive plan; turn it off when they are a plain columnar scan much larger
 than the cluster's memory and disk, where re-reading the files with the
 pushed-down split predicate is cheaper than caching them. Only the one-row metrics
-and per-user counts are kept then. ``CFResult.release`` drops what a pipeline keeps.
+and per-user counts are kept then. ``CFResult.release`` drops what its pipeline keeps.
+
+``stored=True`` writes train and test once as tables bucketed by user instead of caching them:
+self-join, centring and candidates then read them where they lie, without a shuffle of ratings.
 
 ``repeated=True`` is for ratings that may hold a (user, item) more than once: the
 training rows of a key are averaged, and each test row is scored on its own.
@@ -25,7 +28,8 @@ training rows of a key are averaged, and each test row is scored on its own.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import wraps
 
 from pyspark.sql import DataFrame
 
@@ -44,7 +48,8 @@ from ratekit.operators.similarity import (
     user_stats,
 )
 from ratekit.operators.split import holdout, train_summary
-from ratekit.session import materialize, persist_tracked, release_cached
+from ratekit.session import Kept, keeping, materialize, persist_tracked
+from ratekit.sources.store import store_by_user
 
 
 @dataclass
@@ -57,12 +62,43 @@ class CFResult:
     metrics: DataFrame
     stats: DataFrame | None = None
     neighbours: DataFrame | None = None
+    kept: Kept | None = field(default=None, repr=False)
 
     def release(self) -> None:
-        """Drop everything that was kept for this result."""
-        release_cached(self.train.sparkSession)
+        """Drop everything that was kept for this result, and nothing of others."""
+        if self.kept is not None:
+            self.kept.release()
+
+
+def _owning(model):
+    """What a model keeps while it is built belongs to its result."""
+
+    @wraps(model)
+    def run(ratings: DataFrame, *args, **kw) -> CFResult:
+        with keeping(ratings.sparkSession) as kept:
+            result = model(ratings, *args, **kw)
+        result.kept = kept
+        return result
 
+    return run
 
+
+def _sides(
+    ratings: DataFrame, frac: float, split: str, seed: int | None, cache: bool, repeated: bool, stored: bool
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test), stored by user or cached."""
+    if stored:
+        train, test = holdout(ratings, frac=frac, method=split, seed=seed)
+        train = one_rating(train) if repeated else train
+        return store_by_user(train), store_by_user(test)
+    train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=cache)
+    if repeated:
+        train = one_rating(train)
+        train = persist_tracked(train) if cache else train
+    return train, test
+
+
+@_owning
 def cosine_knn(
     ratings: DataFrame,
     frac: float = 0.8,
@@ -74,14 +110,12 @@ def cosine_knn(
     checkpoint: bool = True,
     cache_inputs: bool = True,
     repeated: bool = False,
+    stored: bool = False,
 ) -> CFResult:
-    train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=cache_inputs)
-    if repeated:
-        train = one_rating(train)
-        train = persist_tracked(train) if cache_inputs else train
+    train, test = _sides(ratings, frac, split, seed, cache_inputs, repeated, stored)
     # Per-user counts once: both skew checks (self-join, test x train) read it.
     counts = persist_tracked(user_counts(train, test))
-    sim = cosine_similarity(train, min_common=min_common, block_size=block_size, user_counts=counts)
+    sim = cosine_similarity(train, min_common=min_common, block_size=block_size, user_counts=counts, by_user=stored)
     if checkpoint:
         sim = materialize(sim)
     sim_all = mirror(sim)
@@ -95,12 +129,14 @@ def cosine_knn(
         block_size=block_size,
         user_counts=counts,
         materialized_inputs=checkpoint,
+        by_user=stored,
     )
     # One row: kept, so that reports and the command line score once.
     metrics = persist_tracked(evaluate(scored, train))
     return CFResult(train, test, sim, sim_all, scored, metrics)
 
 
+@_owning
 def centered_knn(
     ratings: DataFrame,
     frac: float = 0.8,
@@ -115,15 +151,13 @@ def centered_knn(
     checkpoint: bool = True,
     cache_inputs: bool = True,
     repeated: bool = False,
+    stored: bool = False,
 ) -> CFResult:
-    train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=cache_inputs)
-    if repeated:
-        train = one_rating(train)
-        train = persist_tracked(train) if cache_inputs else train
+    train, test = _sides(ratings, frac, split, seed, cache_inputs, repeated, stored)
     stats = user_stats(train)
     # Read by the self-join and by the prediction.
     centered = centered_ratings(train, stats)
-    if cache_inputs:
+    if cache_inputs and not stored:
         stats, centered = persist_tracked(stats), persist_tracked(centered)
     counts = persist_tracked(user_counts(train, test))
     sim = adjusted_cosine_similarity(
@@ -132,6 +166,7 @@ def centered_knn(
         max_user_ratings=max_user_ratings,
         block_size=block_size,
         user_counts=counts,
+        by_user=stored,
     )
     if checkpoint:
         sim = materialize(sim)

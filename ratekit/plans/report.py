@@ -7,11 +7,12 @@ rows are produced where the data lives; only the finished, bounded report
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ratekit.functions.columns import md_cell, md_row
+from ratekit.plans.display import value_table
 from ratekit.plans.values import ValueAnalysis
 
 _LINES = StructType(
@@ -73,12 +74,9 @@ def value_report_lines(va: ValueAnalysis, title: str = "Rating report") -> DataF
     chosen value its four lists, each as a markdown table."""
     spark = va.stats.sparkSession
     fixed, section_of = value_report_layout(va.values, va.n, va.min_count, title)
-    # Ordinal of the counts table: a window over the report's own lines, one a
-    # value, after the aggregation; the report is one file of them anyway.
-    w = Window.orderBy(F.desc("item_count"), F.asc("value"))
-    counts = va.counts.select(
+    counts = value_table(va.counts).select(
         F.lit(1).cast("bigint").alias("section"),
-        (F.lit(4) + F.row_number().over(w)).cast("bigint").alias("line"),
+        (F.lit(4) + F.col("line")).cast("bigint").alias("line"),
         md_row(md_cell("value"), md_cell("item_count")).alias("text"),
     )
     sec = F.create_map(

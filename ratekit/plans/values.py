@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from ratekit.operators.ranking import DEFAULT_MIN_COUNT, DEFAULT_N, rating_stats, top_lists
 from ratekit.operators.values import explode_values, value_counts
-from ratekit.session import persist_tracked
+from ratekit.session import Kept, keeping, persist_tracked
 
 
 @dataclass
@@ -21,6 +21,12 @@ class ValueAnalysis:
     values: tuple[str, ...]
     n: int
     min_count: int
+    kept: Kept | None = field(default=None, repr=False)
+
+    def release(self) -> None:
+        """Drop what this analysis keeps."""
+        if self.kept is not None:
+            self.kept.release()
 
 
 def value_analysis(
@@ -39,7 +45,8 @@ def value_analysis(
     aggregate all ratings again.
     """
     iv = explode_values(items, sep=sep)
-    stats = persist_tracked(rating_stats(iv, ratings, values))
+    with keeping(items.sparkSession) as kept:
+        stats = persist_tracked(rating_stats(iv, ratings, values))
     return ValueAnalysis(
         item_values=iv,
         counts=value_counts(iv),
@@ -48,4 +55,5 @@ def value_analysis(
         values=tuple(values),
         n=n,
         min_count=min_count,
+        kept=kept,
     )

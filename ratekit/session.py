@@ -11,6 +11,10 @@ import re
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark import SparkContext, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -94,18 +98,62 @@ _SCRATCH: weakref.WeakKeyDictionary[SparkContext, str] = weakref.WeakKeyDictiona
 _CACHED: weakref.WeakKeyDictionary[SparkSession, list[DataFrame]] = weakref.WeakKeyDictionary()
 
 
+@dataclass
+class Kept:
+    """What one result keeps: cached frames and stored tables."""
+
+    spark: SparkSession
+    frames: list[DataFrame] = field(default_factory=list)
+    tables: list[str] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Drops them, and nothing that other results keep."""
+        known = _CACHED.get(self.spark, [])
+        for df in self.frames:
+            df.unpersist(blocking=False)
+            known[:] = [x for x in known if x is not df]
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.frames, self.tables = [], []
+
+
+_KEEPER: ContextVar[Kept | None] = ContextVar("ratekit_keeper", default=None)
+
+
+@contextmanager
+def keeping(spark: SparkSession) -> Iterator[Kept]:
+    """Everything that is persisted or stored within belongs to the yielded :class:`Kept`."""
+    kept = Kept(spark)
+    token = _KEEPER.set(kept)
+    try:
+        yield kept
+    finally:
+        _KEEPER.reset(token)
+
+
 def persist_tracked(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """``persist`` that remembers the frame so :func:`release_cached` can drop it.
+    """``persist`` that remembers the frame, so that its result's :class:`Kept` or
+    :func:`release_cached` can drop it.
 
     MEMORY_AND_DISK: blocks lost with an executor are recomputed from lineage.
     """
     out = df.persist(level)
     _CACHED.setdefault(df.sparkSession, []).append(out)
+    keeper = _KEEPER.get()
+    if keeper is not None:
+        keeper.frames.append(out)
     return out
 
 
+def keep_table(spark: SparkSession, name: str) -> None:
+    """The stored table ``name`` goes with the result that is being made."""
+    keeper = _KEEPER.get()
+    if keeper is not None:
+        keeper.tables.append(name)
+
+
 def release_cached(spark: SparkSession) -> int:
-    """Unpersist every frame the operators persisted in this session."""
+    """Unpersist every frame the operators persisted in this session, whatever result uses it."""
     frames = _CACHED.pop(spark, [])
     for df in frames:
         df.unpersist(blocking=False)

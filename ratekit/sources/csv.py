@@ -54,20 +54,35 @@ def _bad(columns: dict[str, tuple[str, ...]]) -> Column:
     return bad
 
 
-def _read(spark: SparkSession, path: str, columns: dict[str, tuple[str, ...]], multi_line: bool, rejected: bool) -> DataFrame:
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether some line holds an odd number of quotes, so that a quoted value goes on in the next.
+
+    Lines are read in splits by all tasks, and the search ends with the first hit.
+    """
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def _read(
+    spark: SparkSession, path: str, columns: dict[str, tuple[str, ...]], multi_line: bool | None, rejected: bool
+) -> DataFrame:
+    if multi_line is None:
+        multi_line = has_line_breaks(spark, path)
     df = _texts(spark, path, columns, multi_line)
     if rejected:
         return df.filter(_bad(columns))
     return df.filter(~_bad(columns)).select([_cast(name).alias(name) for name in columns])
 
 
-def read_items_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """(item_id, title, tags). ``multi_line`` allows line breaks inside quotes; a file is
-    then read by one task, so turn it off for large files without such titles."""
+def read_items_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """(item_id, title, tags). Files without line breaks inside quotes are read in splits; with them
+    a file is one task's. By default a pass over the lines decides (see
+    :func:`has_line_breaks`); ``multi_line`` states it and saves the pass."""
     return _read(spark, path, ITEM_COLUMNS, multi_line, False)
 
 
-def rejected_items_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def rejected_items_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """The rows without a readable id, as text."""
     return _read(spark, path, ITEM_COLUMNS, multi_line, True)
 

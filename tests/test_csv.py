@@ -65,3 +65,19 @@ def test_columns_are_found_by_name_and_bad_rows_kept(spark):
     assert bad == [("1", "x", "3"), ("2", "12", "bad"), ("None", "11", "3")]
     with pytest.raises(ValueError, match="title"):
         read_items_csv(spark, p)
+
+
+def test_line_breaks_inside_quotes_are_found(spark):
+    import os
+    import tempfile
+
+    from ratekit.sources import has_line_breaks, read_items_csv
+
+    d = tempfile.mkdtemp(prefix="ratekit-csv-")
+    head = "movieId,title,genres\n"
+    for name, text, broken in (("plain", '1,"A ""b"", c",X\n2,D,Y\n', False), ("broken", '1,"A\nB",X\n2,D,Y\n', True)):
+        path = os.path.join(d, f"{name}.csv")
+        with open(path, "w") as f:
+            f.write(head + text)
+        assert has_line_breaks(spark, path) is broken
+        assert [r["tags"] for r in read_items_csv(spark, path).orderBy("item_id").collect()] == ["X", "Y"]

@@ -9,10 +9,23 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 from conftest import SF0001
-from ratekit.operators import co_rating_pairs
+from ratekit.operators import (
+    centered_ratings,
+    co_rating_pairs,
+    cosine_similarity,
+    holdout,
+    knn_candidates,
+    mirror,
+    pair_sums,
+    top_neighbours,
+    user_stats,
+)
+from ratekit.operators.joins import blocked_join
+from ratekit.operators.predict import listed_candidates, related_pairs
+from ratekit.operators.similarity import _block_pairs, packed_ratings
 from ratekit.plans import centered_knn, cf_report_lines, cosine_knn
 from ratekit.session import release_cached
-from ratekit.sources import cf_ratings
+from ratekit.sources import cf_ratings, store_by_user
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from explain_plans import summarise  # noqa: E402
@@ -117,3 +130,117 @@ def test_cache_inputs_false_keeps_no_ratings(spark):
     kept = spark.sparkContext._jsc.sc().getPersistentRDDs().size() - before
     assert kept <= 4  # metrics, counts and the lists of heavy users
     r.release()
+
+
+def _lines(df):
+    df.collect()
+    return [ln.strip() for ln in summarise(df._jdf.queryExecution().executedPlan())]
+
+
+def test_stored_ratings_are_not_shuffled_again(spark, no_broadcast):
+    train, test = (store_by_user(x) for x in holdout(cf_ratings(spark, SF0001)))
+    stats = user_stats(train)
+    centered = centered_ratings(train, stats)
+    scored = test.join(stats, "user_id", "left")
+    packed = _block_pairs(packed_ratings(train, "rating", 4, by_user=True))
+    met = blocked_join(test.withColumnRenamed("item_id", "target_item"), train, "user_id", None, ["target_item"], ["item_id"], right_placed=True)
+    for df in (stats, centered, scored, packed, met):
+        assert not [ln for ln in _lines(df) if "Exchange" in ln]
+
+
+def test_pair_sums_stay_in_the_task_that_forms_them(spark, no_broadcast):
+    train, _ = holdout(cf_ratings(spark, SF0001))
+    lines = _lines(pair_sums(train))
+    sums = next(k for k, ln in enumerate(lines) if ln.startswith("HashAggregate") and "partial_sum" in ln)
+    # output first: no exchange above the partial sums, and the ratings are read once
+    assert not [ln for ln in lines[:sums] if "Exchange" in ln]
+    exchanges = [ln for ln in lines[sums:] if "Exchange" in ln]
+    assert any("bi" in ln for ln in exchanges)
+    assert sum("ReusedExchange" in ln for ln in lines) == 1
+
+
+def test_pair_sums_equal_the_self_join(spark):
+    r = _hot(spark).filter("item_id < 400")
+    want = co_rating_pairs(r).groupBy("item_i", "item_j").agg(
+        F.count("*").alias("common_users"), F.sum(F.col("r_i") * F.col("r_j")).alias("dot"),
+        F.sum(F.col("r_i") * F.col("r_i")).alias("sq_i"), F.sum(F.col("r_j") * F.col("r_j")).alias("sq_j"),
+    )
+    want = sorted(map(tuple, want.collect()))
+    for kw in ({}, {"block_size": 50}, {"n_blocks": 1}, {"n_blocks": 17}, {"block_size": 7, "n_blocks": 3}):
+        assert sorted(map(tuple, pair_sums(r, **kw).collect())) == want
+    release_cached(spark)
+
+
+def test_heavy_user_is_dealt_over_block_pairs(spark, no_broadcast):
+    sums = pair_sums(_hot(spark), block_size=200)
+    sizes = sorted(r["count"] for r in sums.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 13 and sizes[-1] < 3 * sizes[0]
+    release_cached(spark)
+
+
+def test_only_related_pairs_leave_the_join(spark):
+    train, test = holdout(cf_ratings(spark, SF0001), persist=True)
+    sim = mirror(cosine_similarity(train)).persist()
+    table = sim.filter(F.pmod(F.xxhash64("item_i", "item_j"), F.lit(3)) == 0).select(F.col("item_i").alias("target_item"), F.col("item_j").alias("rated_item"), "similarity")
+    t = test.select("user_id", F.col("item_id").alias("target_item")).distinct()
+    r = train.select("user_id", F.col("item_id").alias("rated_item"), "rating")
+    every = t.join(r, "user_id")
+    want = every.join(table, ["target_item", "rated_item"], "left_semi").select("user_id", "target_item", "rated_item")
+    met = related_pairs(t, r, table).select("user_id", "target_item", "rated_item")
+    assert sorted(map(tuple, met.collect())) == sorted(map(tuple, want.collect()))
+    assert 0 < met.count() < every.count()
+    release_cached(spark)
+
+
+def test_partners_far_apart_and_odd_ids(spark):
+    """Item ids that are no small numbers, members beyond the first words, heavy users in blocks."""
+    rated = [(u, f"i{k}", 1.0) for u in (1, 2) for k in range(300)] + [(3, "i299", 2.0), (3, None, 2.0), (None, "i1", 2.0)]
+    table = [("t", f"i{k}", 0.5) for k in (0, 63, 64, 130, 299, 301)] + [("i5", "i299", 0.1)]
+    test = [(1, "t"), (2, "i5"), (3, "t"), (3, "none"), (None, "t"), (4, "t")]
+    t = spark.createDataFrame(test, "user_id long, target_item string")
+    r = spark.createDataFrame(rated, "user_id long, rated_item string, r double")
+    s = spark.createDataFrame(table, "target_item string, rated_item string, s double")
+    want = sorted((u, a, i) for u, a in test for v, i, _ in rated for b, j, _ in table if u is not None and u == v and a == b and i == j)
+    cols = ["user_id", "target_item", "rated_item"]
+    from ratekit.operators.predict import neighbour_candidates
+
+    for kw in ({}, {"max_broadcast_rows": 0}, {"max_broadcast_rows": 0, "block_size": 20}, {"block_size": 20}):
+        assert sorted(map(tuple, neighbour_candidates(t, r, s, **kw).select(*cols).collect())) == want
+    assert sorted(map(tuple, listed_candidates(t, r, s, max_broadcast_rows=0).select(*cols).collect())) == want
+    release_cached(spark)
+
+
+def test_lists_are_looked_up_entry_by_entry(spark):
+    """No test row meets more rows than its target's list holds."""
+    train, test = holdout(cf_ratings(spark, SF0001), persist=True)
+    lists = top_neighbours(mirror(cosine_similarity(train)), k=5).select("target_item", F.col("neighbor_item").alias("rated_item"), "similarity")
+    t = test.select("user_id", F.col("item_id").alias("target_item")).distinct()
+    r = train.select("user_id", F.col("item_id").alias("rated_item"), "rating")
+    joined = listed_candidates(t, r, lists, max_broadcast_rows=0)
+    text = "\n".join(_lines(joined))
+    assert "rated_item" in text and "Generate" in text
+    want = t.join(lists, "target_item").join(r, ["user_id", "rated_item"])
+    assert sorted(map(tuple, joined.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    release_cached(spark)
+
+
+@pytest.mark.parametrize("name", ["report_lines", "value_table", "predict_knn_repeated"])
+def test_no_window_over_a_single_partition(spark, name):
+    text = "\n".join(_plan(spark, name))
+    assert "SinglePartition" not in text or "Window" not in text
+
+
+def test_release_drops_only_its_own(spark):
+    release_cached(spark)
+    held = lambda: spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    a = cosine_knn(cf_ratings(spark, SF0001))
+    a.metrics.collect()
+    mine = held()
+    b = centered_knn(cf_ratings(spark, SF0001), stored=True)
+    b.metrics.collect()
+    tables = len(spark.catalog.listTables())
+    assert held() > mine and tables >= 2
+    b.release()
+    assert held() == mine and len(spark.catalog.listTables()) == tables - 2
+    a.release()
+    assert not held()
