@@ -9,11 +9,15 @@ cosine through an equi-join on tokens. Whole texts, and a file's passages put to
 are compared with the full licence texts by trigrams of tokens. From ``least`` on
 a template is met. A full text goes before headers, and any header before a mere
 "All rights reserved"; a template with a version that the candidate does not name gives way to one
-of its family with it; an SPDX line must be equal. The best candidate's licence is the
+of its family with it; an SPDX line must be equal, and an SPDX expression (with AND, OR or WITH) is
+the file's licence as it stands. The best candidate's licence is the
 file's. Equal candidates are compared once. A file without a licence inherits
 that of the licence file in its nearest ancestor directory: directories are
 joined to their ancestors by path, files to their directory. The top of the tree ('')
-is the last ancestor of every path.
+is the last ancestor of every path. A licence file that no template meets has no
+known licence, and stops the search: what lies below inherits no known licence from it. Of several
+licence files in one directory the best match counts. Paths are compared without "./" and
+repeated slashes.
 
 Defined results: null or empty texts have no header and may only inherit; a null path
 has no directory; paths with and without a leading slash have the same top; equal scores take the licence that sorts first; rows with equal
@@ -111,7 +115,8 @@ COMMON = frozenset(
 )
 RARE = tuple(sorted({w for _, t in TEMPLATES for w in re.findall(_TOKEN, t.lower()) if w not in COMMON and not w[0].isdigit()}))
 RARE_LEAST = 3
-FULL, HEADER, NOTICE = 0, 1, 2
+SPDX = r"SPDX-License-Identifier:\s*(\(*[A-Za-z0-9.+-]+\)*(?:\s+(?:AND|OR|WITH)\s+\(*[A-Za-z0-9.+-]+\)*)+)"
+EXPRESSION, FULL, HEADER, NOTICE = -1, 0, 1, 2
 
 
 def _tokens(text: Column) -> Column:
@@ -120,7 +125,12 @@ def _tokens(text: Column) -> Column:
 
 def _directory(path: Column) -> Column:
     """The path without its last part; '' at the top, null for a null path."""
-    return F.regexp_replace(path, r"/*[^/]*$", "")
+    plain = F.regexp_replace(F.regexp_replace(path, r"/(?:\.?/)+", "/"), r"^\./", "")
+    return F.regexp_replace(plain, r"/*[^/]*$", "")
+
+
+def _is_licence_file() -> Column:
+    return F.coalesce(F.regexp_extract("path", r"[^/]*$", 0).rlike(FILE_NAME), F.lit(False))
 
 
 def _table(df: DataFrame, name: str) -> DataFrame:
@@ -171,7 +181,7 @@ def _full(passages: DataFrame, least: float) -> DataFrame:
 def _own(files: DataFrame, least: float) -> DataFrame:
     """id, licence, score, kind of the files with a matching candidate."""
     spark = files.sparkSession
-    named = F.coalesce(F.regexp_extract("path", r"[^/]*$", 0).rlike(FILE_NAME), F.lit(False))
+    named = _is_licence_file()
     cued = files.withColumn("rare", _rare(F.col("text"))).filter(F.col("text").rlike(CUE) | (F.col("rare") >= RARE_LEAST) | (named & F.col("text").isNotNull()))
     sentences = F.filter(F.split("text", r"\n|(?<=[.!?])\s+"), lambda s: s.rlike(CUE))
     passages = F.filter(F.split("text", PASSAGE_END), lambda s: s.rlike(CUE) | (_rare(s) >= RARE_LEAST))
@@ -220,6 +230,11 @@ def _own(files: DataFrame, least: float) -> DataFrame:
     parts = F.when(F.col("named"), F.array("text", F.array_join("passages", "\n"))).otherwise(F.array(F.array_join("passages", "\n")))
     texts = cued.filter(F.col("rare") >= RARE_LEAST).select("id", "named", F.explode(F.array_distinct(parts)).alias("text"))
     hits = hits.unionByName(_full(texts, least))
+    stated = F.explode(F.regexp_extract_all("text", F.lit(SPDX), 1)).alias("said")
+    said = F.regexp_replace("said", r"\s+", " ")
+    b = F.struct(F.lit(EXPRESSION).alias("rank"), F.lit(-1.0).alias("s"), said.alias("licence"))
+    expressions = cued.select("id", "named", stated).select("id", "named", F.lit("").alias("family"), F.lit(False).alias("late"), b.alias("b"))
+    hits = hits.unionByName(expressions)
     one = hits.groupBy("id", "family").agg(F.min(F.struct("late", "b")).alias("m"), F.max("named").alias("named"))
     one = one.groupBy("id").agg(F.min("m.b").alias("b"), F.max("named").alias("named"))
     kind = F.when(F.col("named"), "file").otherwise("header")
@@ -234,13 +249,15 @@ def scan(files: DataFrame, least: float = 0.6) -> DataFrame:
     files = files.select("id", "path", "text")
     rows = files.select("id", "path")
     own = _table(_own(files, least), "licence-files")
-    decided = rows.join(own, "id", "left")
+    decided = rows.join(own, "id", "left").withColumn("kind", F.coalesce("kind", F.when(_is_licence_file(), "file")))
     folder = _directory(F.col("path"))
     stated = decided.filter("kind = 'file'").select(folder.alias("folder"), "score", "licence").filter("folder IS NOT NULL")
-    stated = stated.groupBy("folder").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
-    stated = stated.select("folder", F.col("b.licence").alias("given"), (-F.col("b.s")).alias("given_score"))
+    # a licence file without a known licence counts where no other lies beside it
+    stated = stated.groupBy("folder").agg(F.min(F.struct(F.coalesce(-F.col("score"), F.lit(1.0)).alias("s"), "licence")).alias("b"))
+    score = F.when(F.col("b.licence").isNotNull(), -F.col("b.s"))
+    stated = stated.select("folder", F.col("b.licence").alias("given"), score.alias("given_score"))
     # every directory and the ancestors of it, itself included; the top, an ancestor of all, is one row at most and no join key
-    need = decided.filter("licence IS NULL").select(folder.alias("folder")).filter("folder <> ''").distinct()
+    need = decided.filter("kind IS NULL").select(folder.alias("folder")).filter("folder <> ''").distinct()
     parts = F.split("folder", "/")
     above = need.select(F.col("folder").alias("below"), F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).alias("folder")).filter("folder <> ''")
     given = F.struct("given", "given_score", F.col("folder").alias("origin"))
@@ -248,7 +265,7 @@ def scan(files: DataFrame, least: float = 0.6) -> DataFrame:
     top = stated.filter("folder = ''").agg(F.first(given).alias("top"))  # always one row
     out = decided.join(near, folder == F.col("below"), "left").crossJoin(F.broadcast(top))
     out = out.withColumn("g", F.when(F.col("path").isNotNull(), F.coalesce("g", "top")))
-    mine = F.col("licence").isNotNull()
+    mine = F.col("kind").isNotNull()
     return out.select(
         "id",
         "path",
@@ -263,13 +280,14 @@ def document_files(documents: DataFrame, folder: int = 64) -> DataFrame:
     """Documents as files of a tree by source and id, since the table has no paths.
 
     /source/k/j/: k counts 8 x ``folder`` ids, j counts ``folder`` ids; the first document of
-    a folder stands for a licence file, the others are <doc_id>.txt. It lies one folder up,
+    a folder stands for a licence file if it has a cue word, the others are <doc_id>.txt. It lies one folder up,
     in /source/k/, where it is the first of a k, and in /source/ where it is the first of
     eight k, so that nearer and farther licences compete.
     """
     i = F.col("doc_id")
-    first = i % folder == 0
-    name = F.when(i % (64 * folder) == 0, F.concat(F.lit("LICENSE-"), i.cast("string"))).when(first, "LICENSE").otherwise(F.concat(i.cast("string"), F.lit(".txt")))
+    cue = F.coalesce(F.col("text").rlike(CUE), F.lit(False))
+    first = (i % folder == 0) & cue
+    name = F.when((i % (64 * folder) == 0) & cue, F.concat(F.lit("LICENSE-"), i.cast("string"))).when(first, "LICENSE").otherwise(F.concat(i.cast("string"), F.lit(".txt")))
     k = F.when(i % (64 * folder) != 0, F.floor(i / (8 * folder)).cast("string"))
     j = F.when(i % (8 * folder) != 0, F.floor(i / folder).cast("string"))
     parts = (F.coalesce("source", F.lit("unknown")), k, j, name)

@@ -74,6 +74,7 @@ def test_nearer_and_farther_licences_compete_in_the_layout(spark):
     files = licences.document_files(df)
     paths = {r["id"]: r["path"] for r in files.collect()}
     assert [paths[i] for i in (0, 512, 576, 1)] == ["/web/LICENSE-0", "/web/1/LICENSE", "/web/1/9/LICENSE", "/web/0/0/1.txt"]
+    assert [paths[i] for i in (640, 1025)] == ["/web/1/10/640.txt", "/web/2/16/1025.txt"]  # 640 has no cue word
     got = {r["id"]: (r["licence"], r["origin"]) for r in licences.scan(files).collect()}
     assert got[577] == ("Apache-2.0", "/web/1/9") and got[513] == got[641] == ("GPL-3.0", "/web/1")
     assert got[1] == got[1025] == ("MIT", "/web") and got[514] == got[None] == (None, None)

@@ -150,49 +150,106 @@ def test_full_stores_start_anew(monkeypatch):
 # -- licences --------------------------------------------------------------
 
 
-def _scan(rows, least=0.6):
-    """TF-IDF cosine by plain dictionaries, then the nearest ancestor."""
-    token = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
-    found = []
+_WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+
+
+def _tokens(text):
+    return _WORD.findall(text.lower())
+
+
+def _rare_count(text):
+    words = set(re.split(r"[^a-z0-9.-]+|[.-](?=[^a-z0-9]|$)", text.lower()))
+    return len(words & set(licences.RARE))
+
+
+def _cosine(a, b):
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    return round(sum(x * b[t] for t, x in a.items() if t in b) / norm(a) / norm(b), 9)
+
+
+def _full_names(text, least):
+    """(rank, -cosine, licence) of the licence texts met by trigrams."""
+    grams = lambda t: Counter(" ".join(w[k : k + 3]) for w in [_tokens(t)] for k in range(len(w)))
+    full = {p.stem: grams(p.read_text(encoding="utf-8")) for p in licences.TEXTS.glob("*.txt")}
+    df = Counter(g for c in full.values() for g in c)
+    vec = lambda c: {g: n * (math.log((1 + len(full)) / (1 + df[g])) + 1) for g, n in c.items()}
+    mine = vec(grams(text))
+    if not mine:
+        return []
+    found = [(0, -_cosine(mine, vec(c)), name) for name, c in full.items()]
+    return sorted(x for x in found if -x[1] >= least)[:1]
+
+
+def _own_licences(rows, least):
+    """Best (rank, -score, licence) and kind of every id: lines, passages, whole texts, expressions."""
+    cue = re.compile(licences.CUE, re.ASCII)
+    found, hits = [], {}
     for i, path, text in rows:
         named = bool(re.match(licences.FILE_NAME, (path or "").rsplit("/", 1)[-1]))
         if text is None:
             continue
-        heads = [s for s in re.split(r"\n|(?<=[.!?])\s+", text) if re.search(licences.CUE, s)]
-        for h in dict.fromkeys(heads + ([text] if named else [])):
-            words = tuple(sorted(token.findall(h.lower())))
-            if words:
-                found.append((i, named, words))
-    n, df = len(found), Counter()
-    for _, _, w in found:
-        df.update(set(w))
-    idf = lambda t: math.log((1 + n) / (1 + df[t])) + 1
-    vec = lambda w: {t: c * idf(t) for t, c in Counter(w).items()}
-    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
-    temp = [(name, vec(token.findall(t.lower()))) for name, t in licences.TEMPLATES]
-    own = {}
-    for i, named, w in found:
-        v = vec(w)
-        for name, t in temp:
-            s = round(sum(v[k] * t[k] for k in v if k in t) / norm(v) / norm(t), 9)
-            if s >= least:
-                own[i] = min(own.get(i, (0, "", "")), (-s, name, "file" if named else "header"))
-    given = {}
-    for i, path, _ in rows:
-        if i in own and own[i][2] == "file" and "/" in path and (d := path.rsplit("/", 1)[0]):
-            given[d] = min(given.get(d, (0, "")), own[i][:2])
-    out = {}
+        lines = [s for s in re.split(r"\n|(?<=[.!?])[ \t\n\x0b\f\r]+", text) if cue.search(s)]
+        lines = list(dict.fromkeys(lines + ([text] if named else [])))
+        passages = re.split(licences.PASSAGE_END, text, flags=re.ASCII)
+        passages = list(dict.fromkeys(s for s in passages if cue.search(s) or _rare_count(s) >= licences.RARE_LEAST))
+        for h, counted in [(x, True) for x in lines] + [(x, False) for x in passages if x not in lines]:
+            if _tokens(h):
+                found.append((i, named, counted, tuple(sorted(_tokens(h)))))
+        if _rare_count(text) >= licences.RARE_LEAST:
+            for part in {"\n".join(passages)} | ({text} if named else set()):
+                for b in _full_names(part, least):
+                    hits.setdefault((i, ""), []).append((False, b, named))
+        for said in re.findall(licences.SPDX, text, re.ASCII):
+            hits.setdefault((i, ""), []).append((False, (-1, -1.0, re.sub(r"\s+", " ", said)), named))
+    n, df = sum(c for _, _, c, _ in found), Counter()
+    for _, _, counted, w in found:
+        df.update(set(w) if counted else ())
+    vec = lambda w: {t: c * (math.log((1 + n) / (1 + df[t])) + 1) for t, c in Counter(w).items()}
+    temp = [(name, t.startswith("SPDX"), vec(_tokens(t))) for name, t in licences.TEMPLATES]
+    met = {}
+    for i, named, _, w in found:
+        if w not in met:
+            v, met[w] = vec(w), []
+            for name, spdx, t in temp:
+                s = _cosine(v, t)
+                late = any(x not in v for x in t if spdx or x[0].isdigit())
+                if s >= least and not (spdx and late):
+                    rank = 2 if name == "All-rights-reserved" else 1
+                    met[w].append((re.sub(r"-[0-9.]+$", "", name), late, (rank, -s, name)))
+        for family, late, b in met[w]:
+            hits.setdefault((i, family), []).append((late, b, named))
+    best = {}
+    for (i, _), h in hits.items():
+        best.setdefault(i, []).append((min(x[:2] for x in h)[1], any(x[2] for x in h)))
+    return {i: (min(b for b, _ in x), "file" if any(k for _, k in x) else "header") for i, x in best.items()}
+
+
+def _folder(path):
+    plain = re.sub(r"^\./", "", re.sub(r"/(?:\.?/)+", "/", path))
+    return re.sub(r"/*[^/]*$", "", plain)
+
+
+def _scan(rows, least=0.6):
+    """TF-IDF cosine by plain dictionaries, then the nearest ancestor, the top last."""
+    own, given, out = _own_licences(rows, least), {}, {}
     for i, path, _ in rows:
+        named = bool(re.match(licences.FILE_NAME, (path or "").rsplit("/", 1)[-1]))
         if i in own:
-            out[i] = (own[i][1], -own[i][0], own[i][2], None)
-            continue
-        out[i] = (None, None, None, None)
-        d = path.rsplit("/", 1)[0] if path and "/" in path else ""
-        while d:
+            (_, s, name), kind = own[i]
+            out[i] = (name, -s, kind, None)
+        else:
+            out[i] = (None, None, "file" if named else None, None)
+        if out[i][2] == "file" and path is not None:
+            mine = (1.0, "") if out[i][0] is None else (-out[i][1], out[i][0])
+            given[_folder(path)] = min(given.get(_folder(path), mine), mine)
+    for i, path, _ in rows:
+        if out[i][2] is None and path is not None:
+            d = _folder(path)
+            while d not in given and d:
+                d = d.rsplit("/", 1)[0] if "/" in d else ""
             if d in given:
-                out[i] = (given[d][1], -given[d][0], "inherited", d)
-                break
-            d = d.rsplit("/", 1)[0] if "/" in d else ""
+                s, name = given[d]
+                out[i] = (name, -s, "inherited", d) if name else (None, None, "inherited", d)
     return out
 
 
@@ -204,12 +261,20 @@ def test_licences_equal_brute_force(spark):
         (8, "top.py", "x"), (9, None, "This work is licensed under the GNU General Public License, version 3."), (10, None, None),
         (11, "/a/b/license.md", "nothing of the kind"), (12, "/ab/t.py", "x"), (13, "/a/b/w.py", "copyright law was discussed at length by the many people there"),
         (14, "/LICENSE", mit), (15, "/q/u.py", "All rights reserved."),
+        (16, "/d/COPYING", (licences.TEXTS / "GPL-2.0.txt").read_text()), (17, "/d//./e.c", "x"), (18, "./f/LICENSE", gpl), (19, "f/g/h.c", None),
+        (20, "/d/i.c", "// SPDX-License-Identifier: (GPL-2.0 OR BSD-3-Clause)\n"), (21, "/d/j.c", "SPDX-License-Identifier: Apache-2.0 OR  MIT"),
+        (22, "/d/k.c", "/* under the GNU General\n * Public License, version 2 */"), (23, "/f/LICENSE", None), (24, "/f/l.c", "x"),
+        (25, "/m/LICENSE", mit), (26, "/m/LICENSE.more", gpl), (27, "/m/n.c", "x"), (28, "/m/COPYING", "unheard of terms"),
     ]
     df = spark.createDataFrame([(*r, 1) for r in rows], "id long, path string, text string, score int")
     got = {r["id"]: (r["licence"], r["score"], r["kind"], r["origin"]) for r in licences.scan(df).collect()}
     want = _scan(rows)
     assert got == {i: (a, s and pytest.approx(s, abs=1e-8), k, o) for i, (a, s, k, o) in want.items()}
-    assert got[4][0] == got[5][0] == "GPL-3.0" and got[2][0] == "MIT" and got[12] == (None, None, None, None)
+    assert got[4][0] == got[5][0] == "GPL-3.0" and got[12][:1] + got[12][2:] == ("MIT", "inherited", "")
+    # a licence file that is not recognised stops the search
+    assert got[11] == (None, None, "file", None) and got[2] == got[13] == (None, None, "inherited", "/a/b")
+    assert got[17][0] == "GPL-2.0" and got[19][:1] + got[19][2:] == ("GPL-3.0", "inherited", "f")
+    assert got[20][0] == "(GPL-2.0 OR BSD-3-Clause)" and got[21][0] == "Apache-2.0 OR MIT" and got[24][3] == "/f"
     assert licences.scan(df.limit(0)).count() == 0
     assert licences.scan(df.unionByName(df)).count() == 2 * len(rows)
 
