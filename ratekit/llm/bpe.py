@@ -7,7 +7,10 @@ last token: of the tokens that end there (found by a suffix-link automaton over
 the vocabulary) the only one that is compatible with the last token of the prefix
 before it. The pass stores that token for every prefix; following the tokens back from
 the end gives the exact ids. A pair is compatible if merging its bytes gives
-the pair back; results of these tests are kept, as are the ids of short pieces.
+the pair back. Both tokens grow by merges of rising rank; the test walks the symbols that
+touch, from the two bytes at the border to the whole tokens, in the order of these ranks and
+asks whether a merge across the border would come first. Results of these tests are
+kept, as are the ids of short pieces.
 
 Text is first cut at the special token's string and then into pieces by the
 tokenizer's pattern, as the vocabulary file prescribes. Decoding joins the
@@ -35,7 +38,8 @@ from .common import BLOCK_BYTES, arrow_map, blocks
 # Fixed value: the piece pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bounds of a worker's kept results (pieces: of each of two generations; a full store of pairs starts anew).
-KEEP_PIECES, KEEP_PAIRS, KEEP_LENGTH = 100_000, 200_000, 48
+KEEP_PIECES, KEEP_PAIRS, KEEP_LENGTH = 200_000, 1_000_000, 48
+NEVER = 1 << 60
 
 
 def byte_letters() -> dict[str, int]:
@@ -98,6 +102,16 @@ class Encoder:
             self.merge[vocab[a], vocab[b]] = (rank, vocab[a + b])
         self.single = [vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
         reached = {new for _, new in self.merge.values()} | set(self.single)
+        # the merge that makes each token; the walk needs one a token, after those of its parts
+        self.made: dict[int, tuple[int, int, int]] = {}
+        self.walks, single = True, set(self.single)
+        for (a, b), (rank, new) in self.merge.items():
+            late = any(self.made.get(x, (-1,))[0] > rank or (x not in self.made and x not in single) for x in (a, b))
+            self.walks = self.walks and new not in self.made and not late
+            self.made[new] = (rank, a, b)
+        self.rank_of = {a << 20 | b: rank for (a, b), (rank, _) in self.merge.items()}
+        self.ends: dict[int, tuple] = {}
+        self.starts: dict[int, tuple] = {}
         self.auto = ahocorasick.Automaton()
         for i in reached:
             s = self.bytes_of[i].decode("latin-1")
@@ -121,32 +135,69 @@ class Encoder:
             seq[k : k + 2] = [merge[seq[k], seq[k + 1]][1]]
         return seq
 
+    def _spine(self, token: int, side: int, kept: dict[int, tuple]) -> tuple:
+        """(symbol, rank at which it grows) at the end (side 2) or start (side 1) of a token, from byte to token."""
+        out = kept.get(token)
+        if out is None:
+            out, grows, x = [], NEVER, token
+            while x in self.made:
+                out.append((x, grows))
+                grows, x = self.made[x][0], self.made[x][side]
+            out.append((x, grows))
+            out = kept[token] = tuple(reversed(out))
+        return out
+
     def compatible(self, a: int, b: int) -> bool:
-        key = a << 20 | b
-        ok = self.pairs.get(key)
-        if ok is None:
-            ok = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-            if len(self.pairs) >= KEEP_PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = ok
-        return ok
+        """Whether merging the bytes of both tokens gives the two back."""
+        if not self.walks:
+            return self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+        left, right, rank_of = self._spine(a, 2, self.ends), self._spine(b, 1, self.starts), self.rank_of
+        i = j = 0
+        while True:
+            x, x_grows = left[i]
+            y, y_grows = right[j]
+            rank = rank_of.get(x << 20 | y, NEVER)
+            # of equal merges the leftmost goes first
+            if rank < x_grows and rank <= y_grows and rank < NEVER:
+                return False
+            if x_grows <= y_grows:
+                if x_grows == NEVER:
+                    return True
+                i += 1
+            else:
+                j += 1
 
     def piece(self, text: str) -> tuple[int, ...]:
         """Ids of one piece: the last token of every prefix, then back from the end."""
         data = text.encode().decode("latin-1")
-        last: list[int] = [-1] * (len(data) + 1)
-        back: list[int] = [0] * (len(data) + 1)
+        size_all = len(data)
+        last: list[int] = [-1] * (size_all + 1)
+        back: list[int] = [0] * (size_all + 1)
+        pairs = self.pairs
         for end, (size, token) in self.auto.iter(data):
             at = end + 1
-            if last[at] < 0:
-                before = at - size
-                if not before or (last[before] >= 0 and self.compatible(last[before], token)):
-                    last[at], back[at] = token, before
-        out, at = [], len(data)
+            if last[at] >= 0:
+                continue
+            before = at - size
+            if before:
+                prior = last[before]
+                if prior < 0:
+                    continue
+                key = prior << 20 | token
+                ok = pairs.get(key)
+                if ok is None:
+                    if len(pairs) >= KEEP_PAIRS:
+                        pairs.clear()
+                    ok = pairs[key] = self.compatible(prior, token)
+                if not ok:
+                    continue
+            last[at], back[at] = token, before
+        out, at = [], size_all
         while at:
             out.append(last[at])
             at = back[at]
-        return tuple(reversed(out))
+        out.reverse()
+        return tuple(out)
 
     def _ids(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.pieces.__getitem__, self.find(text))))
