@@ -52,6 +52,7 @@ from ratekit.operators import (
     user_stats_of,
     value_counts,
 )
+from ratekit.operators.overlap import formed_pairs
 from ratekit.operators.predict import one_rating
 from ratekit.plans import (
     centered_knn,
@@ -72,6 +73,7 @@ from ratekit.sources import (
     read_ratings_csv,
     rejected_ratings_csv,
     repeated_ratings,
+    tail_ratings,
     write_csv,
 )
 
@@ -303,6 +305,28 @@ def q_cosine_similarity_blocked(spark, d):
     return _round(cosine_similarity(train, min_common=MIN_COMMON, block_size=8))
 
 
+def q_cosine_similarity_overlap(spark, d):
+    # Pairs are formed from the items' prefixes only.
+    train, _ = _split(spark, d)
+    return _round(cosine_similarity(train, min_common=MIN_COMMON, method="overlap"))
+
+
+def q_adjusted_cosine_overlap(spark, d):
+    train, _ = _split(spark, d)
+    c = centered_ratings(train, user_stats(train))
+    return _round(adjusted_cosine_similarity(c, min_common=MIN_COMMON, method="overlap"))
+
+
+def q_cosine_similarity_tail(spark, d):
+    # Customers x parts: most parts have few ratings, and few pairs reach two common users.
+    return _round(cosine_similarity(tail_ratings(spark, d), min_common=2, method="overlap"))
+
+
+def q_formed_pairs(spark, d):
+    # How many pairs the ratings of customers x parts form, and how many their prefixes form.
+    return formed_pairs(tail_ratings(spark, d), min_common=MIN_COMMON)
+
+
 def q_adjusted_cosine_uncapped(spark, d):
     # Heavy users are forced through the blocked self-join.
     return _round(_adj(spark, d, block_size=8))
@@ -488,6 +512,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_counts_blocked": _q_pair_counts(8),
         "cosine_similarity": q_cosine_similarity,
         "cosine_similarity_blocked": q_cosine_similarity_blocked,
+        "cosine_similarity_overlap": q_cosine_similarity_overlap,
+        "cosine_similarity_tail": q_cosine_similarity_tail,
+        "formed_pairs": q_formed_pairs,
+        "adjusted_cosine_overlap": q_adjusted_cosine_overlap,
         "adjusted_cosine": q_adjusted_cosine,
         "adjusted_cosine_uncapped": q_adjusted_cosine_uncapped,
         "adjusted_cosine_capped": q_adjusted_cosine_capped,
@@ -865,6 +893,7 @@ def _own_oracle_sql() -> dict[str, str]:
         _with("scored_k")
         + f"SELECT user_id, item_id, true_rating, {_r('prediction')}, neighbor_count, is_fallback FROM scored_k"
     )
+    tail = {"cf": _CTE["cf"].replace("l_suppkey", "l_partkey")}
     cos_sim = _with("cos_sim") + f"SELECT item_i, item_j, {_r('similarity')}, common_users FROM cos_sim"
     return {
         "explode_values": _with("item_values") + "SELECT item_id, title, value FROM item_values",
@@ -922,6 +951,18 @@ def _own_oracle_sql() -> dict[str, str]:
         "pair_counts_blocked": pair_counts,
         "cosine_similarity": cos_sim,
         "cosine_similarity_blocked": cos_sim,
+        "cosine_similarity_overlap": cos_sim,
+        "cosine_similarity_tail": _with("cos_sums", overrides={**tail, "train": "SELECT * FROM cf"})
+        + "SELECT item_i, item_j, round(similarity, 8) AS similarity, common_users FROM (SELECT *, "
+        "CASE WHEN sq_i * sq_j > 0 THEN dot / sqrt(sq_i * sq_j) END AS similarity FROM cos_sums) "
+        "WHERE common_users >= 2 AND similarity > 1e-12",
+        "formed_pairs": _with("cf", overrides=tail)
+        + ", sized AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS size FROM cf), "
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY size DESC, user_id DESC) AS place FROM sized) "
+        "SELECT CAST((SELECT sum(n * (n - 1) // 2) FROM (SELECT count(*) AS n FROM cf GROUP BY user_id)) AS BIGINT) AS all_pairs, "
+        "CAST(coalesce((SELECT sum(n * (n - 1) // 2) FROM (SELECT count(*) AS n FROM placed "
+        f"WHERE place >= {MIN_COMMON} GROUP BY user_id)), 0) AS BIGINT) AS prefix_pairs",
+        "adjusted_cosine_overlap": _with("adj_sim") + adj_sim,
         "adjusted_cosine": _with("adj_sim") + adj_sim,
         "adjusted_cosine_uncapped": _with("adj_sim") + adj_sim,
         "adjusted_cosine_capped": _with("adj_sim", overrides=capped) + adj_sim,

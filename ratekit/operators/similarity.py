@@ -21,6 +21,7 @@ from ratekit.operators.joins import (
     heavy_keys,
     shuffle_partitions,
 )
+from ratekit.operators.overlap import overlap_pair_sums
 
 # Reference thresholds.
 MIN_COMMON_USERS = 5
@@ -243,13 +244,22 @@ def cosine_similarity(
     block_size: int = DEFAULT_BLOCK_SIZE,
     user_counts: DataFrame | None = None,
     by_user: bool = False,
+    method: str = "gram",
 ) -> DataFrame:
     """Half matrix (item_i < item_j) of raw-rating cosine similarity.
 
     Keeps pairs with ``common_users >= min_common`` and ``similarity > 0``.
-    ``user_counts`` (user_id, n_train, ...) may be passed to reuse counts.
+    ``user_counts`` (user_id, n_train, ...) may be passed to reuse counts. ``method``: ``gram``
+    forms all pairs (:func:`pair_sums`), ``overlap`` those that can reach ``min_common``, for long-tailed
+    items (:mod:`ratekit.operators.overlap`).
     """
-    s = _with_similarity(pair_sums(train, "rating", block_size=block_size, user_counts=user_counts, by_user=by_user))
+    if method == "overlap":
+        sums = overlap_pair_sums(train, "rating", min_common, block_size=block_size, user_counts=user_counts)
+    elif method == "gram":
+        sums = pair_sums(train, "rating", block_size=block_size, user_counts=user_counts, by_user=by_user)
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    s = _with_similarity(sums)
     return s.filter(
         (F.col("common_users") >= F.lit(min_common)) & (F.col("similarity") > F.lit(ZERO))
     ).select("item_i", "item_j", "similarity", "common_users")
@@ -263,19 +273,23 @@ def adjusted_cosine_similarity(
     block_size: int = DEFAULT_BLOCK_SIZE,
     user_counts: DataFrame | None = None,
     by_user: bool = False,
+    method: str = "gram",
 ) -> DataFrame:
     """Half matrix of user-centred (adjusted) cosine similarity.
 
     ``centered`` comes from :func:`centered_ratings`. Only users with
     ``min_user_ratings <= train_rating_count <= max_user_ratings`` teach
     similarity; by default there is no upper cap. Keeps pairs with enough common
-    users, non-zero norms and a non-zero similarity (negative ones stay).
+    users, non-zero norms and a non-zero similarity (negative ones stay). ``method`` as in
+    :func:`cosine_similarity`.
     """
     teach = centered.filter(F.col("train_rating_count") >= F.lit(min_user_ratings))
     if max_user_ratings is not None:
         teach = teach.filter(F.col("train_rating_count") <= F.lit(max_user_ratings))
-    s = _with_similarity(
-        pair_sums(
+    if method == "overlap":
+        sums = overlap_pair_sums(teach, "centered_rating", min_common, block_size=block_size)
+    elif method == "gram":
+        sums = pair_sums(
             teach,
             "centered_rating",
             block_size=block_size,
@@ -283,7 +297,9 @@ def adjusted_cosine_similarity(
             user_counts=user_counts,
             by_user=by_user,
         )
-    )
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    s = _with_similarity(sums)
     return s.filter(
         (F.col("common_users") >= F.lit(min_common))
         & (F.col("sq_i") > F.lit(0.0))

@@ -9,7 +9,7 @@ from ratekit.sources.csv import (
     write_csv,
 )
 from ratekit.sources.store import store_by_user
-from ratekit.sources.testdata import cf_ratings, item_ratings, items, load, repeated_ratings
+from ratekit.sources.testdata import cf_ratings, item_ratings, items, load, repeated_ratings, tail_ratings
 
 __all__ = [
     "cf_ratings",
@@ -23,5 +23,6 @@ __all__ = [
     "repeated_ratings",
     "rejected_ratings_csv",
     "store_by_user",
+    "tail_ratings",
     "write_csv",
 ]

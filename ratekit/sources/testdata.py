@@ -62,6 +62,15 @@ def repeated_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tail_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, item_id, rating), one row per key, of customers and parts: most parts have few ratings."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    key = (F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
+    return j.groupBy(*key).agg(half_star_rating(F.max("l_quantity")).alias("rating"))
+
+
 def cf_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, item_id, rating), one row per key.
 
