@@ -6,18 +6,21 @@ stands and what it holds: blocks in menus, headers, footers, sidebars, forms, no
 adverts, comments and other page furniture (by tag, or by a whole class, id or role name that
 says nothing else; an article or main element below a name of that kind stands for
 itself), and blocks outside an article that are mostly links, are
-boilerplate; blocks of an article or main element are content, open if mostly links; of
-other blocks, long ones dense in stop words are content, and long ones without stop words
-boilerplate; from an article on, middling dense ones stay open too. Short and other
-middling blocks stay open. Pass two gives each open block the label of its nearest decided
-neighbour; between two different ones at the same distance a heading takes the
+boilerplate. A name or a form is not believed where it holds over ``WRAPPER_SHARE`` of the text and no article
+stands elsewhere: such an element is the page's wrapper, and its blocks are decided by what they hold (names
+of comments are always believed). Blocks of an article or main element are content, open if mostly links; of
+other blocks, long ones dense in stop words, or in ends of sentences of any language, are content, and long ones
+with neither boilerplate; from an article on, middling dense ones stay open too. Short and other
+middling blocks stay open. Pass two gives each open block the label of its nearest neighbour that is
+decided by what it holds; between two different ones at the same distance a heading takes the
 following block's label and any other block the preceding one's. On a page with an
 article, neighbours are those of articles' text or of one run outside, and a heading above
 the first article may take the article's label; without a decided neighbour there, article
-text is content and the rest boilerplate. Blocks of a page without any decided block are
-content.
+text is content and the rest boilerplate. Without an article and without such a neighbour
+open blocks are content.
 
-Defined results: null and empty html give an empty text; an unfinished comment, script or
+Defined results: null and empty html give an empty text; elements that are hidden (by the attributes hidden and
+aria-hidden or by their style) have none; an unfinished comment, script or
 tag reaches to the end; text outside any tag is a block; repeated rows give equal
 results. Extra columns are ignored.
 """
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame
 from .common import BLOCK_BYTES, arrow_map, blocks
 
 # Fixed values, own choice: tag and attribute words of the rules, and stop words.
-RAW = frozenset("script style noscript template iframe svg canvas object video audio title textarea math".split())
+RAW = frozenset("script style noscript template iframe svg canvas object video audio title textarea".split())
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog button select option fieldset label head".split())
 MAIN_TAGS = frozenset(("article", "main"))
 BLOCK_TAGS = frozenset(
@@ -48,15 +51,22 @@ FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement adbox sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
     "notices alert sidebar aside menu menubar nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar "
     "toolbar comment comments reply replies disqus share sharing social related recommended subscribe subscription "
-    "newsletter popup modal overlay widget login signup search pagination pager complementary contentinfo".split()
+    "newsletter popup modal overlay widget login signup search pagination pager complementary contentinfo responses respond "
+    "commentlist onetrust cookiebot".split()
 )
 # Parts that leave a name of furniture words one: "reader-comments", not "has-sidebar" or "related-work".
 QUALIFIERS = frozenset(
     "area bar block body bottom box button buttons container content desktop fixed form global inner item items left link links list "
-    "mobile outer page post primary reader right secondary section site sticky text title top user widget wrap wrapper".split()
+    "mobile outer page post primary reader right secondary section site sticky text title top user widget wrap wrapper "
+    "posts articles stories news sdk thread count policy message inline unit slot google".split()
 )
-COMMENT_WORDS = frozenset("comment comments reply replies disqus".split())
-DOUBTFUL_WORDS = frozenset("notice notices alert header banner".split())  # article text by these alone
+# A name with one of these parts is an advert's, unless another part denies it.
+AD_WORDS = frozenset("ad ads advert adverts advertisement sponsored".split())
+DENIALS = frozenset("no non not free without has with hide".split())
+COMMENT_WORDS = frozenset("comment comments reply replies disqus responses respond commentlist".split())
+DOUBTFUL_WORDS = frozenset("header banner".split())  # article text by these alone
+# Asides and footers of an article with such a name are part of it.
+NOTE_WORDS = frozenset("quote pullquote pull footnote footnotes note notes endnotes references".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 STOP_WORDS = frozenset(
     # English, German, French, Spanish
@@ -67,20 +77,28 @@ STOP_WORDS = frozenset(
     "el los las y del se por con para su al lo como más pero sus este ha una que no".split()
 )
 LINK_SHARE, SHORT, LONG, DENSE, SPARSE = 0.5, 70, 200, 0.15, 0.05
+#: Characters for each end of a sentence at most, and the share of the text that a wrapper holds.
+SENTENCE, WRAPPER_SHARE = 300, 0.7
 CONTENT, BOILERPLATE, OPEN = 1, 0, -1
-NAMED, TAGGED = 1, 2  # furniture by a name or by its tag
+# Furniture by a name or a form's tag (may be a wrapper), by a name of comments, by its tag, hidden.
+NAMED, FORM, COMMENTS, TAGGED, HIDDEN = 1, 2, 3, 4, 5
 PLAIN, LIFTED = 1, 2  # main, or main below a furniture name
 
 _TOKEN = re.compile(r"<!--(?:.*?-->|.*)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|$)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>?|</[^>]*+>?", re.S)
 _ATTR = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
+_SENTENCE_END = re.compile(r"[.!?…؟।](?=[\s\"'”’»)]|$)|[。！？]")
+_QUOTED = re.compile(r"\"[^\"]*\"?|'[^']*'?")
+_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])", re.I)
+_UNSEEN = re.compile(r"(?<![\w-])(?:style\s*=\s*[\"']?[^\"']*(?:display\s*:\s*none|visibility\s*:\s*hidden)|aria-hidden\s*=\s*[\"']?true)", re.I)
 
 
 @dataclass
 class Block:
     runs: list[str] = field(default_factory=list)
     links: int = 0
+    scopes: tuple[int, ...] = ()  # the furniture elements it stands in
     furniture: bool = False
     main: bool = False
     lifted: bool = False
@@ -88,8 +106,8 @@ class Block:
     text: str = ""
 
 
-def _named(tag: str, attrs: str, in_main: bool) -> bool:
-    """Whether a whole class, id or role token names furniture."""
+def _named(tag: str, attrs: str, in_main: bool) -> int:
+    """NAMED or COMMENTS where a whole class, id or role token names furniture, else 0."""
     for kind, value in _ATTR.findall(attrs):
         is_id = kind.lower() == "id"
         if is_id and tag in HEADINGS:
@@ -103,34 +121,54 @@ def _named(tag: str, attrs: str, in_main: bool) -> bool:
                 known &= COMMENT_WORDS
             if in_main and len(words) == 1:
                 known -= DOUBTFUL_WORDS
+            if AD_WORDS.intersection(words) and not DENIALS.intersection(words):
+                return NAMED
             if known and all(w in FURNITURE_WORDS or w in QUALIFIERS for w in words):
-                return True
-    return False
+                return COMMENTS if known & COMMENT_WORDS else NAMED
+    return 0
+
+
+def _is_note(attrs: str) -> bool:
+    return any(NOTE_WORDS.intersection(_WORD.findall(v.lower())) for _, v in _ATTR.findall(attrs))
+
+
+def _is_hidden(attrs: str) -> bool:
+    return bool(_HIDDEN.search(_QUOTED.sub("", attrs)) or _UNSEEN.search(attrs))
 
 
 def _furniture(tag: str, attrs: str, in_main: bool) -> int:
-    """TAGGED, NAMED or 0."""
+    """The kind of furniture that an element is, or 0."""
+    if "=" in attrs or "idden" in attrs.lower():
+        if _is_hidden(attrs):
+            return HIDDEN
+    if tag in ("form", "fieldset"):
+        return FORM
     if tag in FURNITURE_TAGS or (tag == "header" and not in_main):
-        return TAGGED
+        return 0 if in_main and tag in ("aside", "footer") and _is_note(attrs) else TAGGED
     if tag in MAIN_TAGS or tag in ("html", "body") or "=" not in attrs:
         return 0
-    return NAMED if _named(tag, attrs, in_main) else 0
+    return _named(tag, attrs, in_main)
 
 
-def _below(tag: str, attrs: str, above: tuple[str, int, int]) -> tuple[str, int, int]:
-    """tag, furniture and main of what stands in an element: main of its own lifts a name above it."""
-    _, furniture, main = above
-    if tag in MAIN_TAGS:
-        if furniture == NAMED and not main and not _named(tag, attrs, False):
-            return tag, 0, LIFTED
-        return tag, furniture, main or PLAIN
-    return tag, max(furniture, _furniture(tag, attrs, main > 0)), main
+def _below(tag: str, attrs: str, above: tuple[str, tuple[int, ...], int], kinds: list[int]) -> tuple[str, tuple[int, ...], int]:
+    """tag, furniture elements and main of what stands in an element: main of its own lifts the names above it."""
+    _, scopes, main = above
+    kind = _furniture(tag, attrs, main > 0)
+    if tag in MAIN_TAGS and kind != HIDDEN:
+        if scopes and not main and all(kinds[k] == NAMED for k in scopes) and not _named(tag, attrs, False):
+            return tag, (), LIFTED
+        return tag, scopes, main or PLAIN
+    if kind:
+        kinds.append(kind)
+        scopes = (*scopes, len(kinds) - 1)
+    return tag, scopes, main
 
 
 def read_blocks(page: str) -> list[Block]:
     """The page's non-empty blocks in order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, int]] = []  # tag, furniture below here, main below here
+    kinds: list[int] = []  # of each furniture element
+    stack: list[tuple[str, tuple[int, ...], int]] = []  # tag, furniture elements and main below here
     anchors, breaks = 0, 0
     current = Block()
 
@@ -140,8 +178,8 @@ def read_blocks(page: str) -> list[Block]:
             current.text = " ".join("".join(current.runs).split())
             if current.text:
                 out.append(current)
-        top = stack[-1] if stack else ("", 0, 0)
-        current = Block(furniture=top[1] > 0, main=top[2] > 0, lifted=top[2] == LIFTED, heading=heading)
+        top = stack[-1] if stack else ("", (), 0)
+        current = Block(scopes=top[1], main=top[2] > 0, lifted=top[2] == LIFTED, heading=heading)
 
     def say(s: str) -> None:
         nonlocal breaks
@@ -172,7 +210,7 @@ def read_blocks(page: str) -> list[Block]:
                 continue
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    if tag in BLOCK_TAGS or any(f != (stack[k - 1][1] if k else 0) for _, f, _ in stack[k:]):
+                    if tag in BLOCK_TAGS or any(f != (stack[k - 1][1] if k else ()) for _, f, _ in stack[k:]):
                         del stack[k:]
                         border()
                     else:
@@ -196,8 +234,8 @@ def read_blocks(page: str) -> list[Block]:
             continue
         if tag == "a":
             anchors += 1
-        above = stack[-1] if stack else ("", 0, 0)
-        below = _below(tag, attrs, above)
+        above = stack[-1] if stack else ("", (), 0)
+        below = _below(tag, attrs, above, kinds)
         if tag in VOID_TAGS:
             if tag in BLOCK_TAGS:
                 border()
@@ -207,7 +245,7 @@ def read_blocks(page: str) -> list[Block]:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
                         del stack[k:]
-                        below = _below(tag, attrs, stack[-1] if stack else ("", 0, 0))
+                        below = _below(tag, attrs, stack[-1] if stack else ("", (), 0), kinds)
                         break
                     if stack[k][0] in BLOCK_TAGS:
                         break
@@ -217,9 +255,27 @@ def read_blocks(page: str) -> list[Block]:
         elif tag not in ("a",):
             stack.append(below)
     border()
+    wrappers = _wrappers(out, kinds)
+    for b in out:
+        b.furniture = any(k not in wrappers for k in b.scopes)
     return out
 
 
+def _wrappers(found: list[Block], kinds: list[int]) -> set[int]:
+    """Names and forms that hold most of the text, where no article stands elsewhere."""
+    may = {k for k, kind in enumerate(kinds) if kind in (NAMED, FORM)}
+    if not may or any(b.main and not b.scopes for b in found):
+        return set()
+    held = dict.fromkeys(may, 0)
+    total = 0
+    for b in found:
+        if all(k in may for k in b.scopes):
+            total += len(b.text)
+            for k in b.scopes:
+                held[k] += len(b.text)
+    return {k for k, n in held.items() if n > WRAPPER_SHARE * total}
+
+
 def first_pass(found: list[Block]) -> list[int]:
     """Label of each block, or OPEN."""
     # an article below a furniture name counts where no other stands
@@ -242,7 +298,11 @@ def first_pass(found: list[Block]) -> list[int]:
             words = _LETTERS.findall(b.text.lower())
             dense = sum(w in STOP_WORDS for w in words) / max(1, len(words))
             sure = size >= (LONG if has_main and seen else SHORT)
-            labels.append(CONTENT if dense >= DENSE and sure else BOILERPLATE if size >= LONG and dense < SPARSE else OPEN)
+            told = size >= LONG and len(_SENTENCE_END.findall(b.text)) * SENTENCE >= size
+            if (dense >= DENSE and sure) or told:
+                labels.append(CONTENT)
+            else:
+                labels.append(BOILERPLATE if size >= LONG and dense < SPARSE else OPEN)
     return labels
 
 
@@ -266,12 +326,14 @@ def _nearest(found: list[Block], labels: list[int]) -> list[int]:
 
 def second_pass(found: list[Block], labels: list[int]) -> list[int]:
     """Open blocks take the label of the nearest decided neighbour, in an article of its text, outside of the run between articles."""
-    if all(x == OPEN for x in labels):
-        return [CONTENT] * len(labels)
     mains = [k for k, b in enumerate(found) if b.main and not b.furniture]
-    if not mains:
-        return _nearest(found, labels)
     out = labels[:]
+    if not mains:
+        # furniture says nothing about the blocks beside it
+        plain = [k for k, b in enumerate(found) if not b.furniture]
+        for k, x in zip(plain, _nearest([found[k] for k in plain], [labels[k] for k in plain])):
+            out[k] = CONTENT if x == OPEN else x
+        return out
     # headings above the first article may be its title
     whole = _nearest(found, labels[: mains[0]] + [CONTENT])
     for k in range(mains[0]):
