@@ -4,10 +4,14 @@ Each hash permutation yields two signature values, the minimum and the maximum o
 text's shingles, so half the hash evaluations give signatures whose agreement is an
 unbiased estimate of the Jaccard similarity with a lower variance. The values are
 banded (``BANDS`` bands of ``ROWS``); two texts with similarity 0.8 share no band with
-probability (1 - 0.8**6)**48 < 1e-6. Texts that share a band are candidates and
-are compared on their full shingle sets.
-
-Groups of copies never become all pairs. Texts with equal sets are one class. Within
+probability (1 - 0.8**6)**48 < 1e-6. Sets of fewer than ``PREFIX_BELOW`` shingles, where the two values
+of one permutation are far from independent, also share a bucket for each of the smallest shingles that
+two similar sets cannot all differ in (an exact prefix filter). Texts that share a bucket are candidates
+and are compared on their full shingle sets.
+
+Groups of copies never become all pairs, and no task meets all copies of a text: texts with equal sets are one
+class, gathered by partial aggregates; classes that hold over a thousandth of all rows (a thousand at
+most) are broadcast to their rows, and leaders of that many pairs are copied over several tasks. Within
 a band's bucket every class is first compared with the bucket's smallest class; after
 that, only pairs that are still in different components need comparing, first
 with a member of the bucket's largest component while there are many, at last all
@@ -16,7 +20,8 @@ of them whose sizes and parity sketches allow the similarity (an exact bound). N
 Defined results: null, empty and blank texts have n_shingles 0 and link with
 nothing; fewer words than a shingle count as one shingle; repeated rows are one class;
 a null doc_id takes part in nothing and is kept (component_id null); rows with
-equal doc_id are one document. Extra columns are ignored.
+equal doc_id are one document, which links with whatever one of its texts links with. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +37,10 @@ from .common import BLOCK_BYTES, arrow_map, blocks, mix64, text_bytes, words_of
 from .components import components
 
 ROWS, BANDS = 6, 48
+#: Sets of fewer shingles are also found by a prefix filter.
+PREFIX_BELOW = 16
+#: A key that holds more than this part of all rows is hot; there are at most as many of them.
+HOT_PART = 1000
 WORDS = 16
 PARITY = [f"q{k}" for k in range(WORDS)]
 _SMALL = BLOCK_BYTES // 4
@@ -61,8 +70,26 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, width: int) -> tuple[np.nda
     return np.concatenate(out) if out else np.zeros(0, np.uint64), np.array(first, np.int64)
 
 
+def set_keys(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 2 x 64-bit key of each whole set, of texts that have shingles (n + 1 entries in ``first``)."""
+    return np.stack([np.add.reduceat(mix64(sets + np.uint64(s)), first[:-1]) for s in (1, 2)], axis=1)
+
+
+def prefixes(sets: np.ndarray, first: np.ndarray, percent: int) -> list[np.ndarray]:
+    """Buckets of small sets: the first n - ceil(t n) + 1 shingles (sets are sorted), none for others.
+
+    Of two sets with similarity t or more, sorted alike, these prefixes share a shingle.
+    """
+    out = []
+    for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
+        n = hi - lo
+        k = n - -(-percent * n // 100) + 1 if 0 < n < PREFIX_BELOW else 0
+        out.append(mix64(sets[lo : lo + k] ^ np.uint64(0x5851F42D4C957F2D)))
+    return out
+
+
 def signatures(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band hashes (texts x BANDS) and a 2 x 64-bit key of the whole set, of texts that have shingles."""
+    """Band hashes (texts x BANDS) and the set keys, of texts that have shingles."""
     heads = first[:-1]
     half = np.empty((2 * len(_MUL), len(heads)), np.uint64)
     v = np.empty_like(sets)
@@ -77,11 +104,10 @@ def signatures(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
         for r in range(ROWS):
             acc = mix64(acc * np.uint64(0x9E3779B97F4A7C15) + half[b * ROWS + r])
         bands[:, b] = acc
-    keys = np.stack([np.add.reduceat(mix64(sets + np.uint64(s)), heads) for s in (1, 2)], axis=1)
-    return bands, keys
+    return bands, set_keys(sets, first)
 
 
-def sketch(documents: DataFrame, width: int) -> DataFrame:
+def sketch(documents: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, k1, k2, bands) of every row; bands are empty for an empty set."""
 
     def run(batches):
@@ -92,10 +118,16 @@ def sketch(documents: DataFrame, width: int) -> DataFrame:
             k = np.zeros((b.num_rows, 2), np.int64)
             flat = np.zeros(0, np.int64)
             if len(full):
-                bands, keys = signatures(sets, np.append(first[full], first[-1]))
+                starts = np.append(first[full], first[-1])
+                bands, keys = signatures(sets, starts)
                 k[full] = keys.view(np.int64)
-                flat = bands.reshape(-1).view(np.int64)
-            offs = np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))]).astype(np.int32)
+                small = prefixes(sets, starts, percent)
+                flat = np.concatenate([x for pair in zip(bands, small) for x in pair]).view(np.int64)
+                size_of = np.zeros(b.num_rows, np.int64)
+                size_of[full] = BANDS + np.array([len(x) for x in small])
+            else:
+                size_of = size
+            offs = np.concatenate([[0], np.cumsum(size_of)]).astype(np.int32)
             cols = [b.column("doc_id"), pa.array(size), pa.array(k[:, 0]), pa.array(k[:, 1]), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "k1", "k2", "bands"])
 
@@ -115,29 +147,43 @@ def parities(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(n, cells), axis=1).view(np.int64)
 
 
-def _sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, shingles, parity words) of the documents in ``ids`` (id)."""
+def _sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(id, shingles, parity words) of the classes in ``wanted`` (id, doc_id, k1, k2)."""
 
     def run(batches):
         for b in blocks(batches, "text", _SMALL):
             sets, first = shingle_sets(*text_bytes(b.column("text")), width)
+            full = np.flatnonzero(np.diff(first))
+            if not len(full):
+                continue
+            # a document may have several texts: only the class's own counts
+            keys = set_keys(sets, np.append(first[full], first[-1])).view(np.int64)
+            own = (keys[:, 0] == b.column("k1").to_numpy()[full]) & (keys[:, 1] == b.column("k2").to_numpy()[full])
             lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(sets.view(np.int64)))
             words = [pa.array(w) for w in parities(sets, first).T]
-            yield pa.RecordBatch.from_arrays([b.column("id"), lists, *words], names=["id", "shingles", *PARITY])
+            out = pa.RecordBatch.from_arrays([b.column("id"), lists, *words], names=["id", "shingles", *PARITY])
+            yield out.take(pa.array(full[own]))
 
-    # One text an id, chosen where the join has put them, before the larger sets exist.
-    src = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    src = src.dropDuplicates(["id"])
+    # Repeated rows go where the join has put them, before the larger sets exist.
+    src = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    src = src.withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "id", "h"]).drop("doc_id", "h")
     fields = ", ".join(f"{w} long" for w in PARITY)
     return arrow_map(src, run, f"id long, shingles array<bigint>, {fields}")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    part = counts.agg(F.sum("n")).scalar() / HOT_PART
+    # at most HOT_PART leaders: a proven bound; each is copied to several tasks
+    hot = F.broadcast(counts.filter(F.col("n") > part).select("a", F.ceil(F.col("n") / part).cast("int").alias("copies")))
+    copies = F.coalesce("copies", F.lit(1))
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")).join(hot, "a", "left")
+    left = left.select("a", "sa", F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt"))
+    pairs = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), copies).cast("int").alias("salt"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("s"))
+    joined = pairs.join(left, ["a", "salt"]).join(right, "b").select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("s"))
     return joined.filter(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b")
 
 
@@ -149,17 +195,43 @@ def _table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _spread_join(left: DataFrame, right: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """Left join with ``right``, one row a key with the number ``weight`` of left rows it has.
+
+    Keys of more than 1 / ``HOT_PART`` of these rows are broadcast (at most ``HOT_PART`` rows: a proven
+    bound), so their left rows stay where they are; the others are joined by key.
+    """
+    part = right.agg(F.sum(weight)).scalar() / HOT_PART
+    hot = F.broadcast(right.filter(F.col(weight) > part).drop(weight))
+    given = [c for c in right.columns if c not in [*on, weight]]
+    near = left.join(hot, on)
+    far = left.join(hot.select(*on), on, "left_anti").join(right.filter(F.col(weight) <= part).drop(weight), on, "left")
+    return near.unionByName(far).select(*left.columns, *given)
+
+
+def _same_document(live: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): the classes of documents that have texts of several classes."""
+    key = F.struct("k1", "k2")
+    several = live.groupBy("doc_id").agg(F.min(key).alias("x"), F.max(key).alias("y")).filter("x <> y").select("doc_id", "x")
+    each = live.select("doc_id", "k1", "k2").join(several, "doc_id").distinct()
+    name = classes.select("k1", "k2", "id")
+    first = name.select(F.col("k1").alias("x1"), F.col("k2").alias("x2"), F.col("id").alias("a"))
+    named = each.select("k1", "k2", F.col("x.k1").alias("x1"), F.col("x.k2").alias("x2")).join(name, ["k1", "k2"])
+    return named.join(first, ["x1", "x2"]).select("a", F.col("id").alias("b")).filter("a <> b").distinct()
+
+
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, pivots: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``documents`` (doc_id, text)."""
-    rows = _table(sketch(documents, width), "minhash-rows")
+    rows = _table(sketch(documents, width, percent), "minhash-rows")
     live = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = live.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
-    reps = live.join(classes.select("id").distinct(), live["doc_id"] == F.col("id"), "left_semi")
-    member = reps.select(F.col("doc_id").alias("id"), "n_shingles", F.explode("bands").alias("bucket")).distinct()
-    # copies that share a doc_id with another text: united by the id itself
+    # equal sets have equal bands; a class's number is fixed by its written row
+    classes = live.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    classes = _table(classes.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
+    member = classes.select("id", "n_shingles", F.explode("bands").alias("bucket"))
     counted = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min_by(F.struct("id", "n_shingles"), "id").alias("lead"))
     member = _table(member.join(counted.filter("size > 1"), "bucket"), "minhash-members")
-    sets = _table(_sets(documents, member.select("id").distinct(), width), "minhash-sets")
+    wanted = classes.select("id", "doc_id", "k1", "k2").join(member.select("id").distinct(), "id", "left_semi")
+    sets = _table(_sets(documents, wanted, width), "minhash-sets")
 
     def fits(n, m):  # sizes that allow the similarity at all
         return (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
@@ -170,7 +242,7 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, piv
         .select(lead["id"].alias("a"), F.col("id").alias("b"))
         .distinct()
     )
-    links = materialize(_confirmed(compared, sets, percent))
+    links = materialize(_confirmed(compared, sets, percent).unionByName(_same_document(live, classes)))
     label = materialize(components(links))
     wide = member.filter("size > 2").select("bucket", "id", "n_shingles")
     for turn in range(pivots + 1):
@@ -206,12 +278,17 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, piv
         if last:
             break
         wide = named.select("bucket", "id", "n_shingles")
-    same = rows.select("doc_id", "n_shingles", "k1", "k2").join(classes, (rows["k1"] == classes["k1"]) & (rows["k2"] == classes["k2"]) & (rows["n_shingles"] > 0), "left")
-    out = same.join(label, "id", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "id", "doc_id")).alias("component_id"),
-    )
+    # the smallest doc_id of each component, then of each class, then of each row
+    c = classes.select("id", "k1", "k2", "n", "doc_id").join(label, "id", "left").withColumn("c", F.coalesce("component_id", "id"))
+    c = _table(c.select("k1", "k2", "n", "doc_id", "c"), "minhash-components")
+    least = c.groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("classes"))
+    named = _spread_join(c.drop("doc_id"), least, ["c"], "classes").select("k1", "k2", "n", "component_id")
+    every = rows.select("doc_id", "n_shingles", "k1", "k2")
+    none = F.lit(None).cast("bigint").alias("component_id")
+    out = _spread_join(every.filter("n_shingles > 0"), _table(named, "minhash-named"), ["k1", "k2"], "n")
+    out = out.select("doc_id", "n_shingles", "component_id").unionByName(every.filter("n_shingles = 0").select("doc_id", "n_shingles", none))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
+    out = out.select("doc_id", "n_shingles", component)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

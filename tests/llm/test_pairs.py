@@ -160,3 +160,52 @@ def test_pivot_cells_hold_dense_groups(spark):
     rows = [r for r in _vectors() if r[0] < 700]
     pivots = vectors.choose_pivots([{"label": lab, "dim": 16, "embedding": v} for _, v, lab in rows], float(np.arccos(0.93)), 50, 6)
     assert pivots[(1, 16)].shape[0] >= 1 and np.allclose(np.linalg.norm(pivots[(1, 16)], axis=1), 1)
+
+
+def test_minhash_hot_copies_empty_texts_and_documents_with_two_texts(spark, corpus):
+    """A third of the rows equal, a third empty, ids with several texts."""
+    base = [t for _, t in corpus[:40]]
+    rows = [(i, t) for i, t in enumerate(base)]
+    rows += [(1000 + i, base[3]) for i in range(900)] + [(3000 + i, "" if i % 2 else None) for i in range(900)]
+    far = " ".join(f"z{k}" for k in range(40))
+    rows += [(5000, "only here " * 3), (5000, far), (5001, far + " more"), (5002, "not alike at all, this one"), (5000, far), (None, far), (None, base[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    # brute force over rows; rows of one document are linked
+    sets = [_sets([(0, t)], 4)[0] for _, t in rows]
+    some = {}
+    for k, s in enumerate(sets):
+        if s and rows[k][0] is not None:
+            some.setdefault(frozenset(s), k)
+    kinds = list(some.items())
+    links = [(k, some[frozenset(s)]) for k, s in enumerate(sets) if s and rows[k][0] is not None]
+    links += [(i, j) for x, (a, i) in enumerate(kinds) for b, j in kinds[x + 1 :] if 100 * len(a & b) >= 80 * len(a | b)]
+    by_id = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            links.append((k, by_id.setdefault(i, k)))
+    groups = _groups(range(len(rows)), links)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[groups[k]] = min(least.get(groups[k], i), i)
+    want = sorted(str((i, len(sets[k]), None if i is None else least[groups[k]])) for k, (i, _) in enumerate(rows))
+    got = minhash.near_duplicates(df, 4).collect()
+    assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == want
+    assert {r["component_id"] for r in got if r["doc_id"] in (5000, 5001)} == {5000}
+
+
+def test_minhash_small_sets_are_found_exactly(spark):
+    rng = np.random.default_rng(4)
+    docs = []
+    for i in range(600):
+        words = [f"v{rng.integers(8)}" for _ in range(int(rng.integers(4, 16)))]
+        docs.append((i, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    _, comp = _brute(docs, 4)
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, 4).collect()} == comp
+    for _ in range(3000):  # similar small sets share a prefix shingle
+        a = np.unique(rng.integers(0, 1 << 62, 15).astype(np.uint64)[: rng.integers(4, 16)])
+        b = np.unique(np.append(rng.permutation(a)[: max(1, int(0.9 * len(a)))], rng.integers(0, 1 << 62, 1).astype(np.uint64)))
+        if len(b) < 16 and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
+            x, y = (minhash.prefixes(s, np.array([0, len(s)]), 80)[0] for s in (a, b))
+            assert np.intersect1d(x, y).size
