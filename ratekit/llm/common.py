@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ratekit.session import scratch_path
+
 #: Bytes and rows of text that a task works on at once (a longer text is one block).
 BLOCK_BYTES = 1 << 20
 BLOCK_ROWS = 2000
@@ -219,6 +221,30 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40.0, 40.0)))
 
 
+def free_prefix(columns: list[str], prefix: str, names: tuple[str, ...]) -> str:
+    """``prefix``, after as many ``_`` as it takes for ``prefix`` + name to be no column (in any case of letters)."""
+    have = {c.lower() for c in columns}
+    while any((prefix + n).lower() in have for n in names):
+        prefix = "_" + prefix
+    return prefix
+
+
+def numbered_copy(documents: DataFrame) -> DataFrame:
+    """(doc, row): each row of ``documents`` as one struct, so that no column name clashes, with a number.
+
+    Written to the shared folder and read again, which fixes the numbers.
+    """
+    spark = documents.sparkSession
+    path = scratch_path(spark, "numbered")
+    documents.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def plain_rows(numbered: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of :func:`numbered_copy`'s input again."""
+    return numbered.select([F.col("doc").getField(c).alias(c) for c in columns])
+
+
 def with_fields(schema: StructType, ddl: str) -> StructType:
     """A new schema: the fields of ``schema``, then those of the DDL text."""
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
