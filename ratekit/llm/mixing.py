@@ -8,7 +8,7 @@ fill fixes the level for it and all after it.
 
 Within a source every complete epoch takes each document once. The fractional epoch
 orders the documents by the exponential key -ln(u) / weight (u hashed from the
-doc_id, weight the document's quality weight), so better documents come first more
+doc_id, or the text of a document without one, weight the document's quality weight), so better documents come first more
 often, and takes words from the front until the rest of the target is used up; the
 document at the border gives its first words up to that.
 
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from ratekit.session import scratch_path
 
+from .common import numbered_copy, plain_rows
+
 CAP = 3
 # The word separators of the contract, and characters that lower the quality weight.
 _BLANKS = " \t\n\x0b\f\r"
@@ -48,8 +50,9 @@ def quality_weight(text: str) -> Column:
     return F.when(n > 0, 0.1 + 0.9 * share).otherwise(F.lit(1.0))
 
 
-def sampling_key(doc_id: str, weight: Column) -> Column:
-    text = F.concat(F.lit(SEED + "|"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+def sampling_key(doc_id: str, text: str, weight: Column) -> Column:
+    own = F.concat(F.lit("#"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    text = F.concat(F.lit(SEED + "|"), F.coalesce(F.col(doc_id).cast("string"), own))
     u = (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
     return -F.ln(u) / weight
 
@@ -83,7 +86,14 @@ def _table(df: DataFrame, name: str) -> DataFrame:
 
 def mix(documents: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row of ``documents``."""
-    rows = documents.select("doc_id", "source", n_words("text").alias("size"), sampling_key("doc_id", quality_weight("text")).alias("key"))
+    return _mix(documents.select("doc_id", "source", "text")).drop("row")
+
+
+def _mix(documents: DataFrame) -> DataFrame:
+    """:func:`mix` of (doc_id, source, text), with the column ``row`` where it is given."""
+    key = sampling_key("doc_id", "text", quality_weight("text")).alias("key")
+    carried = [c for c in documents.columns if c == "row"]
+    rows = documents.select("doc_id", "source", n_words("text").alias("size"), key, *carried)
     # Narrow rows first: the range sort samples its input and would read the texts twice.
     rows = _table(rows, "mix-rows")
     ordered = ["key", "doc_id", "size"]
@@ -103,21 +113,22 @@ def mix(documents: DataFrame) -> DataFrame:
     epochs = F.floor(F.col("budget") / n)
     rest = F.col("budget") - epochs * F.col("source_size") - F.col("offset") - F.col("before")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least("size", rest))
-    return joined.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return joined.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *carried)
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
     """Rows of ``documents`` as often as the mix takes them, whole texts only.
 
-    A document comes round(taken / size) times, so the one at a source's border comes
-    once more or not at all; rows that share a doc_id come equally often. Documents
-    without words are not taken.
+    A row comes round(taken / size) times, so the one at a source's border comes
+    once more or not at all. Every row is mixed for itself, whatever its doc_id: rows are
+    numbered in a written copy, and their copies come back by that number. Documents
+    without words are not taken. Columns of any name pass through.
     """
-    copies = mix(documents).groupBy(F.col("doc_id").alias("_id")).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
-    copies = copies.select("_id", F.floor(F.try_divide("t", "s") + 0.5).cast("int").alias("_n")).filter("_n > 0")
-    joined = documents.join(copies, documents["doc_id"].eqNullSafe(F.col("_id")))
-    out = [documents[c] for c in documents.columns]
-    return joined.select(*out, F.explode(F.sequence(F.lit(1), "_n")).alias("_copy")).drop("_copy")
+    whole = numbered_copy(documents)
+    taken = _mix(whole.select("doc.doc_id", "doc.source", "doc.text", "row"))
+    copies = taken.select("row", F.floor(F.try_divide("taken", "size") + 0.5).cast("int").alias("n")).filter("n > 0")
+    joined = whole.join(copies, "row").select("doc", F.explode(F.sequence(F.lit(1), "n")).alias("copy"))
+    return plain_rows(joined, documents.columns)
 
 
 ORACLE_SQL = rf"""
@@ -125,7 +136,7 @@ WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
     CASE WHEN length(text) > 0 THEN 0.1::DOUBLE + 0.9::DOUBLE
       * (length(translate(text, '{_NOISE}', '')) / length(text)) ELSE 1.0::DOUBLE END AS w,
-    (('0x' || substr(md5('{SEED}|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT + 0.5::DOUBLE)
+    (('0x' || substr(md5('{SEED}|' || coalesce(CAST(doc_id AS VARCHAR), '#' || md5(coalesce(text, '')))), 1, 13))::BIGINT + 0.5::DOUBLE)
       / 4503599627370496::DOUBLE AS u
   FROM documents),
 k AS (SELECT doc_id, source, size, -ln(u) / w AS key FROM d),
