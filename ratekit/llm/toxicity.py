@@ -194,21 +194,36 @@ def _gathered(texts: list[str]) -> Words:
     return Words(none, none, doc, first, {k: np.concatenate([w.hashes[k] for w in got]) for k in KINDS})
 
 
-def _distinct(w, n: int) -> np.ndarray:
-    """False for texts that share the smallest or largest hashed word pair with an earlier one."""
+def _distinct(w, n: int, copies: float) -> np.ndarray:
+    """False for texts whose set of word pairs is that of an earlier kept one to a share of ``copies`` or more.
+
+    Sets that share their smallest or largest hashed pair are compared whole; every other text stays.
+    """
     keep = np.ones(n, bool)
     if len(w.doc) < 2:
         return keep
-    pair = mix64(w.hashes["word"][:-1] * np.uint64(3) + w.hashes["word"][1:])[w.doc[:-1] == w.doc[1:]]
-    doc = w.doc[:-1][w.doc[:-1] == w.doc[1:]]
-    heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))[: len(doc)]
-    if not len(doc):
-        return keep
-    for part in (np.minimum.reduceat(pair, heads), np.maximum.reduceat(pair, heads)):
-        seen: set[int] = set()
-        for d, v in zip(doc[heads].tolist(), part.tolist()):
-            keep[d] &= v not in seen
-            seen.add(v)
+    inner = w.doc[:-1] == w.doc[1:]
+    pair = mix64(w.hashes["word"][:-1] * np.uint64(3) + w.hashes["word"][1:])[inner]
+    first = np.searchsorted(w.doc[:-1][inner], np.arange(n + 1))
+    seen: dict[tuple[str, int], list[int]] = {}
+    sets: list[np.ndarray] = []
+    for d in range(n):
+        mine = np.unique(pair[first[d] : first[d + 1]])
+        sets.append(mine)
+        if not len(mine):
+            continue
+        keys = [("least", int(mine[0])), ("most", int(mine[-1]))]
+        for other in sorted({e for k in keys for e in seen.get(k, ())}):
+            theirs = sets[other]
+            if min(len(mine), len(theirs)) < copies * max(len(mine), len(theirs)):
+                continue
+            both = len(np.intersect1d(mine, theirs, assume_unique=True))
+            if both >= copies * (len(mine) + len(theirs) - both):
+                keep[d] = False
+                break
+        if keep[d]:
+            for k in keys:
+                seen.setdefault(k, []).append(d)
     return keep
 
 
@@ -276,9 +291,12 @@ def fit(
     sure: float = 11.0,
     likely: float = 6.0,
     odds: float = 12.0,
+    copies: float = 0.8,
 ) -> ToxicModel | None:
     """Model from at most ``per_class`` labelled texts a class outside the held-out fold.
 
+    Of texts whose sets of word pairs are alike to a share of ``copies`` the first is fitted
+    on: copies would count as independent evidence.
     The chain is fitted on at most ``max_segments`` segments of ``segment`` tokens of
     them: those with a toxic token first, the rest spread evenly. None without texts of
     both classes.
@@ -288,10 +306,10 @@ def fit(
     if len(y) == 0 or y.min() == y.max():
         return None
     w = _gathered([t for t, _ in rows])
-    keep = _distinct(w, len(y))
+    keep = _distinct(w, len(y), copies)
     if not len(w.doc) or y[keep].min() == y[keep].max():
         return None
-    if not keep.all():  # copies would count as independent evidence
+    if not keep.all():
         rows, y = [r for r, k in zip(rows, keep) if k], y[keep]
         w = _gathered([t for t, _ in rows])
     toxic = label_tokens(w, y, sure, likely, odds)
