@@ -20,6 +20,9 @@ BLOCK_ROWS = 2000
 #: Rows that Spark hands to Python at once, where the session keeps Spark's own default.
 BATCH_ROWS, _DEFAULT_ROWS = 2000, "10000"
 
+#: A key that holds more than this part of all rows is hot; there are at most as many of them.
+HOT_PART = 1000
+
 # Fixed value: ASCII white space 0x20 and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -221,6 +224,20 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40.0, 40.0)))
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """Left join with ``right``, one row a key with the number ``weight`` of left rows it has.
+
+    Keys of more than 1 / ``HOT_PART`` of these rows are broadcast (at most ``HOT_PART`` rows: a proven
+    bound), so their left rows stay where they are; the others are joined by key.
+    """
+    part = right.agg(F.sum(weight)).scalar() / HOT_PART
+    hot = F.broadcast(right.filter(F.col(weight) > part).drop(weight))
+    given = [c for c in right.columns if c not in [*on, weight]]
+    near = left.join(hot, on)
+    far = left.join(hot.select(*on), on, "left_anti").join(right.filter(F.col(weight) <= part).drop(weight), on, "left")
+    return near.unionByName(far).select(*left.columns, *given)
+
+
 def free_prefix(columns: list[str], prefix: str, names: tuple[str, ...]) -> str:
     """``prefix``, after as many ``_`` as it takes for ``prefix`` + name to be no column (in any case of letters)."""
     have = {c.lower() for c in columns}

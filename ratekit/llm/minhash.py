@@ -33,14 +33,12 @@ from pyspark.sql import functions as F
 
 from ratekit.session import materialize, scratch_path
 
-from .common import BLOCK_BYTES, arrow_map, blocks, mix64, text_bytes, words_of
+from .common import BLOCK_BYTES, HOT_PART, arrow_map, blocks, mix64, spread_join, text_bytes, words_of
 from .components import components
 
 ROWS, BANDS = 6, 48
 #: Sets of fewer shingles are also found by a prefix filter.
 PREFIX_BELOW = 16
-#: A key that holds more than this part of all rows is hot; there are at most as many of them.
-HOT_PART = 1000
 WORDS = 16
 PARITY = [f"q{k}" for k in range(WORDS)]
 _SMALL = BLOCK_BYTES // 4
@@ -195,20 +193,6 @@ def _table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _spread_join(left: DataFrame, right: DataFrame, on: list[str], weight: str) -> DataFrame:
-    """Left join with ``right``, one row a key with the number ``weight`` of left rows it has.
-
-    Keys of more than 1 / ``HOT_PART`` of these rows are broadcast (at most ``HOT_PART`` rows: a proven
-    bound), so their left rows stay where they are; the others are joined by key.
-    """
-    part = right.agg(F.sum(weight)).scalar() / HOT_PART
-    hot = F.broadcast(right.filter(F.col(weight) > part).drop(weight))
-    given = [c for c in right.columns if c not in [*on, weight]]
-    near = left.join(hot, on)
-    far = left.join(hot.select(*on), on, "left_anti").join(right.filter(F.col(weight) <= part).drop(weight), on, "left")
-    return near.unionByName(far).select(*left.columns, *given)
-
-
 def _same_document(live: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b): the classes of documents that have texts of several classes."""
     key = F.struct("k1", "k2")
@@ -282,10 +266,10 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, piv
     c = classes.select("id", "k1", "k2", "n", "doc_id").join(label, "id", "left").withColumn("c", F.coalesce("component_id", "id"))
     c = _table(c.select("k1", "k2", "n", "doc_id", "c"), "minhash-components")
     least = c.groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("classes"))
-    named = _spread_join(c.drop("doc_id"), least, ["c"], "classes").select("k1", "k2", "n", "component_id")
+    named = spread_join(c.drop("doc_id"), least, ["c"], "classes").select("k1", "k2", "n", "component_id")
     every = rows.select("doc_id", "n_shingles", "k1", "k2")
     none = F.lit(None).cast("bigint").alias("component_id")
-    out = _spread_join(every.filter("n_shingles > 0"), _table(named, "minhash-named"), ["k1", "k2"], "n")
+    out = spread_join(every.filter("n_shingles > 0"), _table(named, "minhash-named"), ["k1", "k2"], "n")
     out = out.select("doc_id", "n_shingles", "component_id").unionByName(every.filter("n_shingles = 0").select("doc_id", "n_shingles", none))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
     out = out.select("doc_id", "n_shingles", component)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ratekit.session import scratch_path
 
-from .common import arrow_map
+from .common import arrow_map, spread_join
 from .components import components
 
 _EPS = 1e-9
@@ -186,9 +186,12 @@ def near_vectors(
     label = components(found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     info = classes.select("k1", "k2", "id", "m").join(counts, "id", "left").join(label, "id", "left")
-    info = info.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n"), F.coalesce("component_id", "id").alias("c"))
-    keyed = rows.select("vec_id", F.when(F.col("ok"), F.col("k1")).alias("k1"), F.when(F.col("ok"), F.col("k2")).alias("k2"))
-    out = keyed.join(info, ["k1", "k2"], "left").select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
+    info = info.select("k1", "k2", "m", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n"), F.coalesce("component_id", "id").alias("c"))
+    # invalid vectors meet nothing, and a class of very many equal vectors is broadcast to them
+    found = spread_join(rows.filter("ok").select("vec_id", "k1", "k2"), _table(info, "vector-named"), ["k1", "k2"], "m")
+    alone = rows.filter("NOT ok").select("vec_id", F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("c"))
+    out = found.select("vec_id", "n", "c").unionByName(alone)
+    out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -209,3 +209,21 @@ def test_minhash_small_sets_are_found_exactly(spark):
         if len(b) < 16 and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
             x, y = (minhash.prefixes(s, np.array([0, len(s)]), 80)[0] for s in (a, b))
             assert np.intersect1d(x, y).size
+
+
+def test_vectors_with_hot_copies_and_many_invalid_ones(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(30, 8))
+    rows = [(i, base[i].tolist(), 1) for i in range(30)]
+    rows += [(100 + i, (base[2] * (1 + i % 3)).tolist(), 1) for i in range(700)]
+    rows += [(1000 + i, [0.0] * 8 if i % 2 else None, 1) for i in range(700)]
+    rows += [(2000, (base[2] + 0.01).tolist(), 1), (2001, base[2].tolist(), 2), (2002, base[2].tolist(), None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long").repartition(4)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vectors.near_vectors(df).collect()}
+    valid = [(i, np.array(e), y) for i, e, y in rows if e and any(e) and y is not None]
+    unit = np.array([e / np.linalg.norm(e) for _, e, _ in valid])
+    near = (unit @ unit.T >= 0.93) & (np.array([[a[2] == b[2] for b in valid] for a in valid]))
+    links = [(valid[x][0], valid[y][0]) for x, y in zip(*np.nonzero(near)) if x < y]
+    comp = _groups([r[0] for r in rows], links)
+    count = {v[0]: int(n) - 1 for v, n in zip(valid, near.sum(axis=1))}
+    assert got == {i: (count.get(i, 0), comp[i], comp[i] == i) for i, _, _ in rows}
