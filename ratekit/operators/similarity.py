@@ -127,7 +127,8 @@ def packed_ratings(rated: DataFrame, value_col: str, n_blocks: int, by_user: boo
     entry = F.struct(F.col("item_id").alias("item"), F.col(value_col).alias("r"))
     src = rated.select("user_id", block.alias("block"), entry.alias("_e"))
     if not by_user:
-        src = src.repartition(shuffle_partitions(rated), "user_id")
+        # No fixed number: a small table is packed by few tasks (AQE keeps the cluster's parallelism).
+        src = src.repartition("user_id")
     # Partitioned by user: packing and the join of a user's blocks need no other shuffle.
     return src.groupBy("user_id", "block").agg(F.collect_list("_e").alias("entries"))
 
@@ -139,7 +140,7 @@ def _block_pairs(packed: DataFrame) -> DataFrame:
     return left.join(right, "user_id").filter(F.col("bi") <= F.col("bj")).drop("user_id")
 
 
-def _spread_block_pairs(packed: DataFrame, n_blocks: int, n: int) -> DataFrame:
+def _spread_block_pairs(packed: DataFrame, n_blocks: int) -> DataFrame:
     """The same for users whose ratings should not meet in one task: every block is sent
     to all block pairs it belongs to, where the two sides of a user meet."""
     other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_x")
@@ -153,7 +154,7 @@ def _spread_block_pairs(packed: DataFrame, n_blocks: int, n: int) -> DataFrame:
         F.when(first, F.col("entries")).alias("vi"),
         F.when(mine >= x, F.col("entries")).alias("vj"),
     )
-    met = sides.repartition(n, "user_id", "bi", "bj").groupBy("user_id", "bi", "bj")
+    met = sides.groupBy("user_id", "bi", "bj")
     return (
         met.agg(F.first("vi", ignorenulls=True).alias("vi"), F.first("vj", ignorenulls=True).alias("vj"))
         .filter("vi IS NOT NULL AND vj IS NOT NULL")
@@ -183,7 +184,6 @@ def pair_sums(
     ``block_size`` ratings at most, are sent to their block pairs directly. ``by_user`` says that ``rated``
     is stored by user (see ``ratekit.sources.store``), so not even the first shuffle is made.
     """
-    n = shuffle_partitions(rated)
     heavy, largest = None, 0
     if max_user_ratings is None or max_user_ratings > block_size:
         if user_counts is not None:  # (user_id, n_train) computed once by the caller
@@ -203,8 +203,8 @@ def pair_sums(
         entry = F.struct(F.col("item_id").alias("item"), F.col(value_col).alias("r")).alias("_e")
         packed = rated.join(hv, "user_id", "left_semi").select("user_id", block, entry)
         packed = packed.groupBy("user_id", "block").agg(F.collect_list("_e").alias("entries"))
-        cells = _block_pairs(light).unionByName(_spread_block_pairs(packed, blocks, n))
-    met = cells.repartition(n, "bi", "bj").select("bi", "bj", F.explode("vi").alias("a"), "vj")
+        cells = _block_pairs(light).unionByName(_spread_block_pairs(packed, blocks))
+    met = cells.repartition("bi", "bj").select("bi", "bj", F.explode("vi").alias("a"), "vj")
     met = met.select("bi", "bj", "a", F.explode("vj").alias("b"))
     # Within one block every two entries meet twice and each meets itself: one order is kept.
     a, b, rising = F.col("a"), F.col("b"), F.col("a.item") < F.col("b.item")
