@@ -11,15 +11,18 @@ threshold are joined plainly; both ways keep the configured number of partitions
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratekit.session import persist_tracked
 
 DEFAULT_BLOCK_SIZE = 4096
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+#: Rows that one task sorts or groups.
+ROWS_PER_TASK = 1 << 19
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -31,6 +34,21 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def partitions_for(df: DataFrame, rows: int, per_task: int = ROWS_PER_TASK) -> int:
+    """The session's partitions, or as many as keep ``per_task`` rows a task where those are more."""
+    return max(shuffle_partitions(df), math.ceil(rows / per_task))
+
+
+def dealt(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """``df`` partitioned by ``keys`` into ``n`` partitions; the session's own number is left to AQE."""
+    return df.repartition(n, *keys) if n > shuffle_partitions(df) else df.repartition(*keys)
+
+
+def spread(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """``df`` partitioned by ``keys`` where ``n`` exceeds the session's partitions, and as it is where not."""
+    return df.repartition(n, *keys) if n > shuffle_partitions(df) else df
+
+
 def broadcast_if_small(
     df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, persist: bool = True
 ) -> DataFrame:
@@ -73,13 +91,14 @@ def blocked_join(
     right_salt: Sequence[str],
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     right_placed: bool = False,
+    partitions: int = 0,
 ) -> DataFrame:
     """Inner join on ``key`` with heavy keys split into blocks (see module doc).
 
     ``heavy`` comes from :func:`heavy_keys`; ``None`` means a plain join.
     Salt columns must identify a row within its key on each side. ``right_placed``
     says that the right side is stored by ``key``: it stays where it is, and the left
-    side is shuffled to it.
+    side is shuffled to it. ``partitions``: as many, where they are more than the session's.
     """
 
     def plain(lt: DataFrame, rt: DataFrame) -> DataFrame:
@@ -87,7 +106,7 @@ def blocked_join(
             return lt.join(rt, key, "inner")
         return lt.repartition(n, key).join(rt.repartition(n, key), key, "inner")
 
-    n = shuffle_partitions(left)
+    n = max(shuffle_partitions(left), partitions)
     if heavy is not None:
         heavy = persist_tracked(heavy)
         n_heavy = heavy.count()  # cheap when the caller already persisted it
@@ -111,3 +130,39 @@ def blocked_join(
     block = [key, "_bl", "_br"]
     blocked = l.repartition(n, *block).join(r.repartition(n, *block), block, "inner").drop("_bl", "_br")
     return light.unionByName(blocked.select(light.columns))
+
+
+def listed_join(
+    lists: DataFrame,
+    right: DataFrame,
+    key: str,
+    item: str,
+    listed: str,
+    n: int = 0,
+    marks: DataFrame | None = None,
+    marked: Column | None = None,
+) -> DataFrame:
+    """Inner equi-join on (``key``, ``item``) of the entries in the array ``listed`` of ``lists`` with ``right``.
+
+    ``listed`` holds structs with ``item`` and any values. Lists travel packed to the task of their ``key``, where the
+    rows of ``right`` lie, and are unpacked there. A join on both columns would shuffle every
+    entry; here entries and rows are one frame, and a window over (``key``, ``item``) gives an
+    entry its rows. ``marks`` (one row a ``key``) may say by ``marked`` which entries can have rows at all.
+    ``n``: partitions, where they are more than the session's.
+    """
+    entry = lists.schema[listed].dataType.elementType
+    kept = [c for c in lists.columns if c not in (key, listed)]
+    values = F.struct(*[c for c in right.columns if c not in (key, item)])
+    own = F.struct(*[F.col(f.name) if f.name == item else F.lit(None).cast(f.dataType).alias(f.name) for f in entry.fields])
+    a = lists.select(key, F.struct(*kept).alias("_row"), F.col(listed).alias("_es")).filter(F.size("_es") > 0)
+    b = right.select(key, F.array(own).alias("_es"), values.alias("_value"))
+    both = dealt(a.unionByName(b, allowMissingColumns=True).filter(F.col(key).isNotNull()), n, key)
+    if marks is not None:
+        both = both.join(dealt(marks, n, key), key)
+    both = both.select("*", F.explode("_es").alias("_e")).select("*", "_e.*").filter(F.col(item).isNotNull())
+    if marks is not None:
+        both = both.filter(F.col("_row").isNull() | marked)
+    both = both.select(key, item, "_row", "_e", "_value")
+    both = both.withColumn("_values", F.collect_list("_value").over(Window.partitionBy(key, item))).filter("_row IS NOT NULL")
+    met = both.select(key, "_row.*", "_e.*", F.explode("_values").alias("_value"))
+    return met.select(*[c for c in met.columns if c != "_value"], "_value.*")

@@ -27,7 +27,11 @@ from ratekit.operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS,
     blocked_join,
     broadcast_if_small,
+    dealt,
     heavy_keys,
+    listed_join,
+    partitions_for,
+    spread,
 )
 from ratekit.operators.ordinals import numbered_copies, row_numbers
 from ratekit.operators.similarity import TOP_K, rank_key
@@ -38,6 +42,10 @@ from ratekit.session import persist_tracked
 MIN_RATING = 0.5
 MAX_RATING = 5.0
 PREDICTION_ID = "prediction_id"
+#: Words of a partner bitmap at most: members beyond share bits.
+BITMAP_WORDS = 128
+#: Candidate pairs that one task forms.
+CANDIDATES_PER_TASK = 1 << 20
 
 
 def prediction_ids(test: DataFrame) -> DataFrame:
@@ -50,9 +58,10 @@ def prediction_ids(test: DataFrame) -> DataFrame:
     return row_numbers(numbered_copies(test, "_copy"), [*cols, "_copy"], PREDICTION_ID).select(PREDICTION_ID, *cols)
 
 
-def one_rating(ratings: DataFrame) -> DataFrame:
-    """One row per (user, item): the mean of its repeated ratings."""
-    return ratings.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
+def one_rating(ratings: DataFrame, n: int = 0) -> DataFrame:
+    """One row per (user, item): the mean of its repeated ratings. ``n``: partitions, where they
+    are more than the session's."""
+    return spread(ratings, n, "user_id", "item_id").groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
 
 
 def partner_bitmaps(table: DataFrame, key: str, member: str) -> tuple[DataFrame, DataFrame]:
@@ -60,9 +69,12 @@ def partner_bitmaps(table: DataFrame, key: str, member: str) -> tuple[DataFrame,
 
     Returns (``member``, _no), the members numbered from 0, and (``key``, _words), an array of longs
     in which bit _no % 64 of word _no / 64 is set for every related member. A key takes at
-    most members / 8 bytes, and its bits are gathered word by word with partial sums.
+    most members / 8 bytes, and its bits are gathered word by word with partial sums. Numbers start
+    again after ``BITMAP_WORDS`` words, so a bitmap stays 1 KB however many members there are; a set
+    bit then says that the member may be related.
     """
     numbers = row_numbers(table.select(member).distinct(), [member], "_no", start=0)
+    numbers = numbers.withColumn("_no", F.col("_no") % F.lit(64 * BITMAP_WORDS))
     bit = F.expr("shiftleft(1L, CAST(_no % 64 AS INT))")
     word = F.expr("CAST(_no DIV 64 AS INT)")
     bits = table.select(key, member).join(numbers, member).groupBy(key, word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
@@ -86,19 +98,29 @@ def related_pairs(
     table: DataFrame,
     heavy: DataFrame | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    n: int = 0,
+    n_pairs: int = 0,
 ) -> DataFrame:
-    """Rows of (user, target) x the user's ratings of items that ``table`` relates to the target.
+    """Rows of (user, target) x the user's ratings of items that ``table`` relates to the target, with its values.
 
-    Every test row carries its target's bitmap of partners to the user's ratings, and a pair is
-    formed only where the bit of the rated item is set. Nothing unrelated leaves
-    the join. Items without any partner, and targets without one, go before the shuffle.
-    ``heavy`` (user_id, _nl, _nr): users whose rows are split into blocks.
+    Every test row takes the user's ratings along as one list, to the task of its target. There
+    the list is unpacked, pairs whose bit is not set in the target's bitmap of partners go, and the others meet
+    the table's rows. So what is shuffled is one row a test row, not a pair. Items without any
+    partner go before. ``heavy`` (user_id, _nl, _nr): users whose rows are split into blocks, and their
+    lists with them. ``n`` and ``n_pairs``: partitions by user and by target, where they are more than the session's.
     """
     numbers, words = partner_bitmaps(table, "target_item", "rated_item")
-    t = test.join(broadcast_if_small(words, max_broadcast_rows), "target_item")
     r = rated.join(broadcast_if_small(numbers, max_broadcast_rows), "rated_item")
-    met = blocked_join(t, r, "user_id", heavy, ["target_item"], ["rated_item"])
-    return met.filter(is_partner()).drop("_no", "_words")
+    chunk = F.lit(0)
+    if heavy is not None:
+        r = r.join(heavy.select("user_id", "_nr"), "user_id", "left")
+        chunk = F.pmod(F.xxhash64("rated_item"), F.coalesce("_nr", F.lit(1))).cast("int")
+    entry = F.struct(*[c for c in rated.columns if c != "user_id"], F.col("_no").cast("int").alias("_no")).alias("_e")
+    r = spread(r.select("user_id", chunk.alias("_chunk"), entry), n, "user_id", "_chunk")
+    lists = r.groupBy("user_id", "_chunk").agg(F.collect_list("_e").alias("_rated"))
+    met = blocked_join(test, lists, "user_id", heavy, ["target_item"], ["_chunk"], partitions=n).drop("_chunk")
+    related = listed_join(met, table, "target_item", "rated_item", "_rated", n_pairs, words, is_partner())
+    return related.drop("_no")
 
 
 def neighbour_candidates(
@@ -122,8 +144,8 @@ def neighbour_candidates(
 
     * a table of at most ``max_broadcast_rows`` rows (some 40 bytes each) is broadcast
       and joined there;
-    * beyond that the test rows carry their target's partners as a bitmap (see
-      :func:`related_pairs`), and only related pairs are shuffled to the table.
+    * beyond that the test rows carry the user's ratings to their target, where its partners lie (see
+      :func:`related_pairs`).
 
     ``materialized_inputs=True`` says ``table`` is read from a checkpoint, so it is not
     persisted again. ``by_user`` says that ``rated`` is stored by user.
@@ -136,7 +158,10 @@ def neighbour_candidates(
     if small:
         met = blocked_join(test, rated, "user_id", heavy, ["target_item"], ["rated_item"], right_placed=by_user)
         return met.join(F.broadcast(table), ["target_item", "rated_item"])
-    return related_pairs(test, rated, table, heavy, max_broadcast_rows).join(table, ["target_item", "rated_item"])
+    tr, te = F.col("n_train").cast("double"), F.col("n_test")
+    n_rows, n_pairs = (int(x or 0) for x in counts.agg(F.sum(tr + te), F.sum(tr * te)).first())
+    n, n_pairs = partitions_for(rated, n_rows), partitions_for(rated, n_pairs, CANDIDATES_PER_TASK)
+    return related_pairs(test, rated, table, heavy, max_broadcast_rows, n, n_pairs)
 
 
 def listed_candidates(
@@ -145,20 +170,41 @@ def listed_candidates(
     table: DataFrame,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     materialized_inputs: bool = False,
+    block_size: int = DEFAULT_BLOCK_SIZE,
 ) -> DataFrame:
     """Rows of (user, target) x the user's ratings on the target's list of neighbours.
 
     ``table``: target_item, rated_item and any values, at most k rows a target. The list is packed into one
     row a target, so a test row meets one row and takes at most k entries, each
     looked up by (user, item). Nothing is multiplied by the user's ratings, so
-    a user of any size is neither quadratic nor one task. Packed lists are broadcast under
+    a user of any size is not quadratic. Test rows travel to the user's ratings with their lists packed; those
+    of users with more than ``block_size`` test rows are unpacked before, so that their entries are
+    spread by (user, item) and no task holds the user. Packed lists are broadcast under
     ``max_broadcast_rows`` targets; beyond that test rows are shuffled to them once.
     """
     entry = F.struct(*[c for c in table.columns if c != "target_item"])
     packed = table.groupBy("target_item").agg(F.collect_list(entry).alias("_list"))
     lists = broadcast_if_small(packed, max_broadcast_rows, persist=not materialized_inputs)
-    entries = test.join(lists, "target_item").select(*test.columns, F.explode("_list").alias("_e")).select(*test.columns, "_e.*")
-    return entries.join(rated, ["user_id", "rated_item"])
+    counts = persist_tracked(_user_counts(rated, test))
+    n_rows = counts.agg(F.sum(F.col("n_train") + F.col("n_test") * TOP_K)).first()[0] or 0
+    n = partitions_for(rated, n_rows)
+    heavy = counts.filter((F.col("n_test") > F.lit(block_size)) | (F.col("n_train") > F.lit(block_size))).select("user_id")
+
+    def unpacked(met: DataFrame) -> DataFrame:
+        return met.select(*test.columns, F.explode("_list").alias("_e")).select(*test.columns, "_e.*")
+
+    def light(rows: DataFrame) -> DataFrame:
+        return rows if n_heavy == 0 else rows.join(hv, "user_id", "left_anti")
+
+    n_heavy = heavy.count()
+    hv = F.broadcast(heavy) if n_heavy <= max_broadcast_rows else heavy
+    key = ["user_id", "rated_item"]
+    met = test.join(lists, "target_item")
+    out = listed_join(light(met), light(rated), "user_id", "rated_item", "_list", n)
+    if n_heavy:
+        hot = unpacked(met.join(hv, "user_id", "left_semi")).join(rated.join(hv, "user_id", "left_semi"), key)
+        out = out.unionByName(hot)
+    return out
 
 
 def knn_candidates(
@@ -310,14 +356,14 @@ def predict_centered(
         t.select("user_id", "target_item").distinct(),
         centered.select("user_id", F.col("item_id").alias("rated_item"), "centered_rating"),
         neighbours.select(
-            "target_item", F.col("neighbor_item").alias("rated_item"), "similarity", "abs_similarity"
+            "target_item", F.col("neighbor_item").alias("rated_item"), "similarity"
         ),
         max_broadcast_rows=max_broadcast_rows,
         materialized_inputs=materialized_inputs,
     )
     pred = cand.groupBy("user_id", "target_item").agg(
         F.sum(F.col("similarity") * F.col("centered_rating")).alias("weighted_sum"),
-        F.sum("abs_similarity").alias("denom"),
+        F.sum(F.abs("similarity")).alias("denom"),
         F.count(F.lit(1)).alias("neighbor_count"),
     )
     base = F.coalesce(F.col("user_mean"), train_mean)

@@ -8,6 +8,7 @@ both items.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,8 +19,11 @@ from ratekit.operators.joins import (
     DEFAULT_BLOCK_SIZE,
     DEFAULT_MAX_BROADCAST_ROWS,
     blocked_join,
+    dealt,
     heavy_keys,
+    partitions_for,
     shuffle_partitions,
+    spread,
 )
 from ratekit.operators.overlap import overlap_pair_sums
 
@@ -31,6 +35,8 @@ TOP_K = 30
 RANK_DECIMALS = 10
 # A similarity within this of 0 is a sum that cancelled, not a similarity.
 ZERO = 1e-12
+#: Rating pairs that one task forms and sums.
+PAIRS_PER_TASK = 1 << 20
 
 
 def user_counts(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -55,14 +61,14 @@ def user_stats(train: DataFrame) -> DataFrame:
     )
 
 
-def centered_ratings(train: DataFrame, stats: DataFrame) -> DataFrame:
+def centered_ratings(train: DataFrame, stats: DataFrame, n: int = 0) -> DataFrame:
     """Training ratings with ``centered_rating = rating - user_mean``.
 
     Keeps ``train_rating_count`` so callers can select who teaches similarity.
     A hot user is a skewed key of this join; AQE splits it (the stats side
-    has one row per user).
+    has one row per user). ``n``: partitions, where they are more than the session's.
     """
-    return train.join(stats, "user_id", "inner").select(
+    return spread(train, n, "user_id").join(spread(stats, n, "user_id"), "user_id", "inner").select(
         "user_id",
         "item_id",
         "rating",
@@ -115,20 +121,21 @@ def co_rating_pairs(
     return pairs.filter(F.col("item_i") < F.col("item_j"))
 
 
-def block_count(df: DataFrame, largest: int, block_size: int) -> int:
-    """Item blocks for :func:`pair_sums`: four times as many block pairs as partitions, and enough
-    of them that the largest user has about ``block_size`` ratings a block."""
-    return max(math.ceil(math.sqrt(8 * shuffle_partitions(df))), math.ceil(largest / block_size), 1)
+def block_count(parts: int, largest: int, block_size: int) -> int:
+    """Item blocks for :func:`pair_sums`: four times as many block pairs as its ``parts`` partitions, and
+    enough of them that the largest user has about ``block_size`` ratings a block."""
+    return max(math.ceil(math.sqrt(8 * parts)), math.ceil(largest / block_size), 1)
 
 
-def packed_ratings(rated: DataFrame, value_col: str, n_blocks: int, by_user: bool = False) -> DataFrame:
-    """(user_id, block, entries): a user's ratings of one item block as an array of (item, r)."""
+def packed_ratings(rated: DataFrame, value_col: str, n_blocks: int, by_user: bool = False, n: int = 0) -> DataFrame:
+    """(user_id, block, entries): a user's ratings of one item block as an array of (item, r).
+    ``n``: partitions, where they are more than the session's."""
     block = F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)).cast("int")
     entry = F.struct(F.col("item_id").alias("item"), F.col(value_col).alias("r"))
     src = rated.select("user_id", block.alias("block"), entry.alias("_e"))
     if not by_user:
         # No fixed number: a small table is packed by few tasks (AQE keeps the cluster's parallelism).
-        src = src.repartition("user_id")
+        src = dealt(src, n, "user_id")
     # Partitioned by user: packing and the join of a user's blocks need no other shuffle.
     return src.groupBy("user_id", "block").agg(F.collect_list("_e").alias("entries"))
 
@@ -162,6 +169,43 @@ def _spread_block_pairs(packed: DataFrame, n_blocks: int) -> DataFrame:
     )
 
 
+def listed_pairs(rated: DataFrame, value_col: str, block_size: int, heavy: DataFrame | None, by_user: bool = False, n: int = 0) -> DataFrame:
+    """(item_i, r_i, items, rs): every rating with the user's ratings of all later items, as arrays.
+
+    A pair is one array entry of 16 bytes, whatever the number of tasks. A user in ``heavy`` (user_id, _k) is
+    cut into _k chunks by item; every two chunks are one list, so no task meets the whole user. A
+    boolean ``in_prefix`` of ``rated`` comes along as p_i and ps. ``n`` as in :func:`packed_ratings`.
+    """
+    values = {"item": "items", "r": "rs"} | ({"p": "ps"} if "in_prefix" in rated.columns else {})
+    flag = [F.col("in_prefix").alias("p")] if "p" in values else []
+    src = rated.select("user_id", F.col("item_id").alias("item"), F.col(value_col).alias("r"), *flag)
+    src = src.filter("user_id IS NOT NULL AND item IS NOT NULL")
+    entry = F.struct(*values)
+
+    def listed(lists: DataFrame, later) -> DataFrame:
+        at = lists.select("*", F.posexplode("v").alias("_at", "e"))
+        at = at.withColumn("later", later(F.slice("v", F.col("_at") + 2, F.size("v")))).filter(F.size("later") > 0)
+        return at.select(*[F.col(f"e.{v}").alias(f"{v}_i") for v in values], *[F.col(f"later.{v}").alias(m) for v, m in values.items()])
+
+    light = src if heavy is None else src.join(heavy, "user_id", "left_anti")
+    light = light if by_user else dealt(light, n, "user_id")
+    rows = listed(light.groupBy("user_id").agg(F.sort_array(F.collect_list(entry)).alias("v")), lambda later: later)
+    if heavy is not None:
+        mine, x = F.col("_c"), F.col("_x")
+        cut = src.join(heavy, "user_id").withColumn("_c", F.pmod(F.xxhash64("item"), F.col("_k")).cast("int"))
+        entry = F.struct(*values, "_c")
+        cut = dealt(cut.select("user_id", "_k", "_c", entry.alias("e")), n, "user_id", "_c")
+        chunks = cut.groupBy("user_id", "_c", "_k").agg(F.collect_list("e").alias("es"))
+        sent = chunks.withColumn("_x", F.explode(F.sequence(F.lit(0), (F.col("_k") - 1).cast("int"))))
+        sent = sent.select("user_id", F.least(mine, x).alias("_a"), F.greatest(mine, x).alias("_b"), "es")
+        met = dealt(sent, n, "user_id", "_a", "_b").groupBy("user_id", "_a", "_b")
+        unit = met.agg(F.sort_array(F.flatten(F.collect_list("es"))).alias("v"))
+        # Within one chunk all pairs, of two chunks those between them.
+        between = lambda later: F.filter(later, lambda y: y["_c"] != F.col("e._c"))
+        rows = rows.unionByName(listed(unit, lambda later: F.when(F.col("_a") == F.col("_b"), later).otherwise(between(later))))
+    return rows
+
+
 def pair_sums(
     rated: DataFrame,
     value_col: str = "rating",
@@ -170,6 +214,7 @@ def pair_sums(
     user_counts: DataFrame | None = None,
     by_user: bool = False,
     n_blocks: int | None = None,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """(item_i, item_j, common_users, dot, sq_i, sq_j) of all pairs item_i < item_j with a common user.
 
@@ -183,28 +228,36 @@ def pair_sums(
     Users with more than ``block_size`` ratings do not meet in one task: their blocks, of about
     ``block_size`` ratings at most, are sent to their block pairs directly. ``by_user`` says that ``rated``
     is stored by user (see ``ratekit.sources.store``), so not even the first shuffle is made.
+
+    A task forms ``pairs_per_task`` pairs. Where the session has too few partitions for that, more are made; so
+    many blocks would cut users of few ratings into single ratings, so these
+    then travel as :func:`listed_pairs`.
     """
-    heavy, largest = None, 0
-    if max_user_ratings is None or max_user_ratings > block_size:
-        if user_counts is not None:  # (user_id, n_train) computed once by the caller
-            counts = user_counts.select("user_id", F.col("n_train").alias("_n"))
-        else:
-            counts = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-        heavy = persist_tracked(counts.filter(F.col("_n") > F.lit(block_size)))
-        n_heavy, largest = heavy.agg(F.count(F.lit(1)), F.coalesce(F.max("_n"), F.lit(0))).first()
-        heavy = None if n_heavy == 0 else heavy.select("user_id")
-    blocks = n_blocks or block_count(rated, largest, block_size)
+    if user_counts is not None:  # (user_id, n_train) computed once by the caller
+        counts = user_counts.select("user_id", F.col("n_train").alias("_n"))
+    else:
+        counts = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    if max_user_ratings is not None:
+        counts = counts.filter(F.col("_n") <= F.lit(max_user_ratings))
+    n_heavy, largest, n_ratings, n_pairs = sizes(counts, block_size)
+    heavy = persist_tracked(counts.filter(F.col("_n") > F.lit(block_size))) if n_heavy else None
+    hinted = F.broadcast if n_heavy <= DEFAULT_MAX_BROADCAST_ROWS else lambda df: df
+    parts, n = partitions_for(rated, n_pairs, pairs_per_task), partitions_for(rated, n_ratings)
+    blocks = n_blocks or block_count(parts, largest, block_size)
+    if n_blocks is None and parts > shuffle_partitions(rated) and n_pairs <= 2 * blocks * n_ratings:
+        chunks = None if heavy is None else hinted(heavy.select("user_id", F.ceil(F.col("_n") / F.lit(block_size)).alias("_k")))
+        return listed_sums(listed_pairs(rated, value_col, block_size, chunks, by_user, n), parts)
     if heavy is None:
-        cells = _block_pairs(packed_ratings(rated, value_col, blocks, by_user))
+        cells = _block_pairs(packed_ratings(rated, value_col, blocks, by_user, n))
     else:
-        hv = F.broadcast(heavy) if n_heavy <= DEFAULT_MAX_BROADCAST_ROWS else heavy
-        light = packed_ratings(rated.join(hv, "user_id", "left_anti"), value_col, blocks, by_user)
+        hv = hinted(heavy.select("user_id"))
+        light = packed_ratings(rated.join(hv, "user_id", "left_anti"), value_col, blocks, by_user, n)
         block = F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("block")
         entry = F.struct(F.col("item_id").alias("item"), F.col(value_col).alias("r")).alias("_e")
         packed = rated.join(hv, "user_id", "left_semi").select("user_id", block, entry)
         packed = packed.groupBy("user_id", "block").agg(F.collect_list("_e").alias("entries"))
         cells = _block_pairs(light).unionByName(_spread_block_pairs(packed, blocks))
-    met = cells.repartition("bi", "bj").select("bi", "bj", F.explode("vi").alias("a"), "vj")
+    met = dealt(cells, parts, "bi", "bj").select("bi", "bj", F.explode("vi").alias("a"), "vj")
     met = met.select("bi", "bj", "a", F.explode("vj").alias("b"))
     # Within one block every two entries meet twice and each meets itself: one order is kept.
     a, b, rising = F.col("a"), F.col("b"), F.col("a.item") < F.col("b.item")
@@ -220,12 +273,29 @@ def pair_sums(
     return _sums(met, "bi", "bj").drop("bi", "bj")
 
 
-def _sums(pairs: DataFrame, *within: str) -> DataFrame:
+def sizes(counts: DataFrame, block_size: int) -> tuple[int, int, int, int]:
+    """Users above ``block_size``, the largest user, ratings and rating pairs, of (user_id, _n)."""
+    size = F.col("_n").cast("double")
+    largest, total, pairs = F.max("_n"), F.sum("_n"), F.sum(size * (size - 1) / 2)
+    found = counts.agg(F.count_if(F.col("_n") > F.lit(block_size)), largest, total, pairs).first()
+    return tuple(int(x or 0) for x in found)
+
+
+def listed_sums(rows: DataFrame, parts: int, *more: Column) -> DataFrame:
+    """The sums of :func:`listed_pairs`, each formed in the task of its first item."""
+    values = {"items": "item_j", "rs": "r_j"} | ({"ps": "p_j"} if "ps" in rows.columns else {})
+    met = dealt(rows, parts, "item_i").select(*[c for c in rows.columns if c not in values], F.explode(F.arrays_zip(*values)).alias("b"))
+    met = met.select(*[c for c in rows.columns if c not in values], *[F.col(f"b.{m}").alias(c) for m, c in values.items()])
+    return _sums(met.filter(F.col("item_i") < F.col("item_j")), more=more)
+
+
+def _sums(pairs: DataFrame, *within: str, more: Sequence[Column] = ()) -> DataFrame:
     return pairs.groupBy(*within, "item_i", "item_j").agg(
         F.count(F.lit(1)).alias("common_users"),
         F.sum(F.col("r_i") * F.col("r_j")).alias("dot"),
         F.sum(F.col("r_i") * F.col("r_i")).alias("sq_i"),
         F.sum(F.col("r_j") * F.col("r_j")).alias("sq_j"),
+        *more,
     )
 
 

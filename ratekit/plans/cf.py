@@ -32,9 +32,10 @@ from dataclasses import dataclass, field
 from functools import wraps
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ratekit.operators.evaluate import evaluate
-from ratekit.operators.joins import DEFAULT_BLOCK_SIZE
+from ratekit.operators.joins import DEFAULT_BLOCK_SIZE, partitions_for
 from ratekit.operators.predict import MAX_RATING, MIN_RATING, one_rating, predict_centered, predict_knn
 from ratekit.operators.similarity import (
     MIN_COMMON_USERS,
@@ -155,11 +156,12 @@ def centered_knn(
 ) -> CFResult:
     train, test = _sides(ratings, frac, split, seed, cache_inputs, repeated, stored)
     stats = user_stats(train)
+    counts = persist_tracked(user_counts(train, test))
+    n = partitions_for(train, counts.agg(F.sum("n_train")).first()[0] or 0)
     # Read by the self-join and by the prediction.
-    centered = centered_ratings(train, stats)
+    centered = centered_ratings(train, stats, 0 if stored else n)
     if cache_inputs and not stored:
         stats, centered = persist_tracked(stats), persist_tracked(centered)
-    counts = persist_tracked(user_counts(train, test))
     sim = adjusted_cosine_similarity(
         centered,
         min_common=min_common,

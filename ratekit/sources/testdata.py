@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratekit.functions.columns import half_star_rating
+from ratekit.operators.joins import partitions_for, spread
 
 
 # Columns (and types) read from each generated table. A declared schema
@@ -51,24 +52,32 @@ def item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _order_lines(spark: SparkSession, sf_dir: str, item: str) -> tuple[DataFrame, int]:
+    """(user_id, item_id, l_quantity) of every order line, and how many partitions its rows take.
+
+    The lines are counted (file footers only). Where they are too many for the session's
+    partitions, join and grouping get more."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", item, "l_quantity")
+    n = partitions_for(li, li.count())
+    j = spread(li, n, "l_orderkey").join(spread(o, n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    return j.select(F.col("o_custkey").alias("user_id"), F.col(item).alias("item_id"), "l_quantity"), n
+
+
 def repeated_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, item_id, rating) of every order line: a customer may rate a supplier often."""
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
-        F.col("o_custkey").alias("user_id"),
-        F.col("l_suppkey").alias("item_id"),
-        half_star_rating("l_quantity").alias("rating"),
-    )
+    j, _ = _order_lines(spark, sf_dir, "l_suppkey")
+    return j.select("user_id", "item_id", half_star_rating("l_quantity").alias("rating"))
 
 
 def tail_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, item_id, rating), one row per key, of customers and parts: most parts have few ratings."""
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    key = (F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
-    return j.groupBy(*key).agg(half_star_rating(F.max("l_quantity")).alias("rating"))
+    return _best_rating(*_order_lines(spark, sf_dir, "l_partkey"))
+
+
+def _best_rating(j: DataFrame, n: int) -> DataFrame:
+    grouped = spread(j, n, "user_id", "item_id").groupBy("user_id", "item_id")
+    return grouped.agg(half_star_rating(F.max("l_quantity")).alias("rating"))
 
 
 def cf_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,9 +87,4 @@ def cf_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     first (the mapping is monotone); the max is partially aggregated on the
     map side, so a hot customer or supplier is collapsed before the shuffle.
     """
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    return j.groupBy(
-        F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("item_id")
-    ).agg(half_star_rating(F.max("l_quantity")).alias("rating"))
+    return _best_rating(*_order_lines(spark, sf_dir, "l_suppkey"))

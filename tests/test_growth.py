@@ -1,0 +1,113 @@
+"""What a task holds and what is shuffled follow the rows, not the session's number of partitions."""
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from conftest import SF0001
+from ratekit.operators import centered_ratings, co_rating_pairs, pair_sums, user_stats
+from ratekit.operators.overlap import overlap_pair_sums
+from ratekit.operators.predict import BITMAP_WORDS, listed_candidates, partner_bitmaps, related_pairs
+from ratekit.session import release_cached
+from ratekit.sources import cf_ratings, repeated_ratings, tail_ratings, testdata
+
+
+@pytest.fixture
+def few_partitions(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "2"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    release_cached(spark)
+
+
+def _ratings(spark):
+    """90 users of 3 to 40 items, one item rated twice, and rows without a user or an item."""
+    rows = [(u, (u * 7 + k * k * 3) % 50, float(k % 9 + 1)) for u in range(90) for k in range(3 + u % 38)]
+    rows = [*{(u, i): (u, i, r) for u, i, r in rows}.values()] + [(1, 7, 2.5), (1, 7, 3.0), (None, 3, 1.0), (None, 4, 1.0), (5, None, 2.0)]
+    return spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+
+def _sums(df):
+    cols = ["item_i", "item_j", "common_users", "dot", "sq_i", "sq_j"]
+    return sorted(tuple(round(x, 6) for x in r) for r in df.select(*cols).collect())
+
+
+def test_listed_pairs_equal_the_self_join(spark, few_partitions):
+    r = _ratings(spark)
+    want = co_rating_pairs(r.filter("user_id IS NOT NULL AND item_id IS NOT NULL")).groupBy("item_i", "item_j").agg(
+        F.count("*").alias("common_users"), F.sum(F.col("r_i") * F.col("r_j")).alias("dot"),
+        F.sum(F.col("r_i") * F.col("r_i")).alias("sq_i"), F.sum(F.col("r_j") * F.col("r_j")).alias("sq_j"),
+    )
+    want = _sums(want)
+    for block in (4096, 20, 7):
+        assert _sums(pair_sums(r, block_size=block, pairs_per_task=1000)) == want
+        assert _sums(overlap_pair_sums(r, min_common=4, block_size=block)) == [w for w in want if w[2] >= 4]
+
+
+def test_tasks_of_pair_sums_follow_the_pairs(spark, few_partitions):
+    sums = pair_sums(_ratings(spark), pairs_per_task=1000)
+    n = sums.rdd.getNumPartitions()
+    assert n > 10  # two before
+    # no sum is shuffled, and no pair: arrays are unpacked above the last exchange
+    plan = _plan(sums)
+    above = plan[: next(k for k, ln in enumerate(plan) if "Exchange" in ln)]
+    assert sum("HashAggregate" in ln for ln in above) == 2 and any("Generate" in ln for ln in above)
+
+
+def test_overlap_stores_and_shuffles_no_sums(spark, few_partitions):
+    plan = _plan(overlap_pair_sums(_ratings(spark), min_common=4))
+    above = plan[: next(k for k, ln in enumerate(plan) if "Exchange" in ln)]
+    assert any("Generate" in ln for ln in above) and not any("Join" in ln for ln in above)
+    assert not any("Scan ExistingRDD[item_i" in ln for ln in plan)
+
+
+def test_partner_bitmaps_stay_small(spark):
+    table = spark.range(20_000).select((F.col("id") % 2).alias("t"), F.col("id").alias("r"))
+    _, words = partner_bitmaps(table, "t", "r")
+    assert words.agg(F.max(F.size("_words"))).first()[0] <= BITMAP_WORDS
+
+
+def test_members_that_share_a_bit_are_told_apart(spark):
+    n = 64 * BITMAP_WORDS
+    table = spark.range(2 * n + 5).select((F.col("id") % 3).alias("target_item"), F.col("id").alias("rated_item"), F.lit(1).alias("s"))
+    ids = [0, 1, 5, n, n + 1, n + 5, 2 * n + 1]
+    test = spark.createDataFrame([(u, t) for u in (1, 2) for t in range(4)], "user_id long, target_item long")
+    rated = spark.createDataFrame([(1, i, float(i)) for i in ids] + [(2, 3, 9.0), (2, None, 9.0)], "user_id long, rated_item long, r double")
+    got = related_pairs(test, rated, table).select("user_id", "target_item", "rated_item", "r", "s").collect()
+    assert sorted(map(tuple, got)) == sorted([(1, i % 3, i, float(i), 1) for i in ids] + [(2, 0, 3, 9.0, 1)])
+    release_cached(spark)
+
+
+def test_entries_of_lists_are_not_shuffled(spark, few_partitions):
+    r = _ratings(spark).filter("user_id IS NOT NULL AND item_id IS NOT NULL")
+    table = co_rating_pairs(r).select(F.col("item_i").alias("target_item"), F.col("item_j").alias("rated_item")).distinct().withColumn("s", F.lit(0.5))
+    test = r.select("user_id", F.col("item_id").alias("target_item")).distinct()
+    rated = r.select("user_id", F.col("item_id").alias("rated_item"), "rating")
+    want = sorted(map(tuple, test.join(table, "target_item").join(rated, ["user_id", "rated_item"]).select("user_id", "target_item", "rated_item", "s", "rating").collect()))
+    for kw in ({}, {"max_broadcast_rows": 0}, {"block_size": 20}):
+        met = listed_candidates(test, rated, table, **kw)
+        assert sorted(map(tuple, met.select("user_id", "target_item", "rated_item", "s", "rating").collect())) == want
+    plan = _plan(listed_candidates(test, rated, table))
+    assert any("Generate" in ln for ln in plan[: next(k for k, ln in enumerate(plan) if "Exchange" in ln)])
+    plan = _plan(related_pairs(test, rated, table))
+    assert any("Generate" in ln for ln in plan[: next(k for k, ln in enumerate(plan) if "Exchange" in ln)])
+
+
+def test_large_inputs_get_more_partitions(spark, few_partitions, monkeypatch):
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    read = (cf_ratings, tail_ratings, repeated_ratings)
+    want = [rows(f(spark, SF0001)) for f in read]
+    monkeypatch.setattr(testdata, "partitions_for", lambda df, n: 11)
+    for f, w in zip(read, want, strict=True):
+        df = f(spark, SF0001)
+        assert df.rdd.getNumPartitions() == 11 and rows(df) == w
+    train = cf_ratings(spark, SF0001)
+    assert centered_ratings(train, user_stats(train), 9).rdd.getNumPartitions() == 9
