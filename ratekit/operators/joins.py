@@ -23,6 +23,8 @@ DEFAULT_BLOCK_SIZE = 4096
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 #: Rows that one task sorts or groups.
 ROWS_PER_TASK = 1 << 19
+#: Tasks that share ``ROWS_PER_TASK`` rows where the session has partitions for them.
+SHARES = 8
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -35,18 +37,23 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def partitions_for(df: DataFrame, rows: int, per_task: int = ROWS_PER_TASK) -> int:
-    """The session's partitions, or as many as keep ``per_task`` rows a task where those are more."""
-    return max(shuffle_partitions(df), math.ceil(rows / per_task))
+    """Partitions for ``rows``: at most ``per_task`` rows a task, and as many as the session has while a task
+    keeps an eighth of that. 1 says that the rows are few, and that AQE may choose.
+
+    AQE chooses by the cores and by the packed size of the rows it reads, up to 64 MB a task: so what a task sorts,
+    groups or unpacks would grow with the input, whatever the session's partitions.
+    """
+    return max(math.ceil(rows / per_task), min(shuffle_partitions(df), math.ceil(SHARES * rows / per_task)), 1)
 
 
 def dealt(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    """``df`` partitioned by ``keys`` into ``n`` partitions; the session's own number is left to AQE."""
-    return df.repartition(n, *keys) if n > shuffle_partitions(df) else df.repartition(*keys)
+    """``df`` partitioned by ``keys`` into ``n`` partitions, which AQE leaves as they are; below 2 into the session's, which it merges."""
+    return df.repartition(n, *keys) if n > 1 else df.repartition(*keys)
 
 
 def spread(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    """``df`` partitioned by ``keys`` where ``n`` exceeds the session's partitions, and as it is where not."""
-    return df.repartition(n, *keys) if n > shuffle_partitions(df) else df
+    """``df`` partitioned by ``keys`` into ``n`` partitions, and as it is where ``n`` is below 2."""
+    return df.repartition(n, *keys) if n > 1 else df
 
 
 def broadcast_if_small(
@@ -148,7 +155,7 @@ def listed_join(
     rows of ``right`` lie, and are unpacked there. A join on both columns would shuffle every
     entry; here entries and rows are one frame, and a window over (``key``, ``item``) gives an
     entry its rows. ``marks`` (one row a ``key``) may say by ``marked`` which entries can have rows at all.
-    ``n``: partitions, where they are more than the session's.
+    ``n``: partitions (:func:`partitions_for`).
     """
     entry = lists.schema[listed].dataType.elementType
     kept = [c for c in lists.columns if c not in (key, listed)]

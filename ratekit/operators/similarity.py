@@ -37,6 +37,8 @@ RANK_DECIMALS = 10
 ZERO = 1e-12
 #: Rating pairs that one task forms and sums.
 PAIRS_PER_TASK = 1 << 20
+#: Rating pairs that one task writes as lists: 64 MB before compression, which its sorter holds without a spill.
+PAIRS_PER_LIST_TASK = 1 << 22
 
 
 def user_counts(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -66,7 +68,7 @@ def centered_ratings(train: DataFrame, stats: DataFrame, n: int = 0) -> DataFram
 
     Keeps ``train_rating_count`` so callers can select who teaches similarity.
     A hot user is a skewed key of this join; AQE splits it (the stats side
-    has one row per user). ``n``: partitions, where they are more than the session's.
+    has one row per user). ``n``: partitions (:func:`partitions_for`).
     """
     return spread(train, n, "user_id").join(spread(stats, n, "user_id"), "user_id", "inner").select(
         "user_id",
@@ -129,7 +131,7 @@ def block_count(parts: int, largest: int, block_size: int) -> int:
 
 def packed_ratings(rated: DataFrame, value_col: str, n_blocks: int, by_user: bool = False, n: int = 0) -> DataFrame:
     """(user_id, block, entries): a user's ratings of one item block as an array of (item, r).
-    ``n``: partitions, where they are more than the session's."""
+    ``n``: partitions (:func:`partitions_for`)."""
     block = F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)).cast("int")
     entry = F.struct(F.col("item_id").alias("item"), F.col(value_col).alias("r"))
     src = rated.select("user_id", block.alias("block"), entry.alias("_e"))
@@ -229,9 +231,9 @@ def pair_sums(
     ``block_size`` ratings at most, are sent to their block pairs directly. ``by_user`` says that ``rated``
     is stored by user (see ``ratekit.sources.store``), so not even the first shuffle is made.
 
-    A task forms ``pairs_per_task`` pairs. Where the session has too few partitions for that, more are made; so
-    many blocks would cut users of few ratings into single ratings, so these
-    then travel as :func:`listed_pairs`.
+    A task forms ``pairs_per_task`` pairs at most, in more partitions than the session's if need be. Beyond one such
+    task, where blocks would cut users of few ratings into single ratings, these
+    travel as :func:`listed_pairs`.
     """
     if user_counts is not None:  # (user_id, n_train) computed once by the caller
         counts = user_counts.select("user_id", F.col("n_train").alias("_n"))
@@ -243,8 +245,9 @@ def pair_sums(
     heavy = persist_tracked(counts.filter(F.col("_n") > F.lit(block_size))) if n_heavy else None
     hinted = F.broadcast if n_heavy <= DEFAULT_MAX_BROADCAST_ROWS else lambda df: df
     parts, n = partitions_for(rated, n_pairs, pairs_per_task), partitions_for(rated, n_ratings)
-    blocks = n_blocks or block_count(parts, largest, block_size)
-    if n_blocks is None and parts > shuffle_partitions(rated) and n_pairs <= 2 * blocks * n_ratings:
+    blocks = n_blocks or block_count(max(parts, shuffle_partitions(rated)), largest, block_size)
+    if n_blocks is None and n_pairs > pairs_per_task and n_pairs <= 2 * blocks * n_ratings:
+        n = max(n, partitions_for(rated, n_pairs, PAIRS_PER_LIST_TASK))
         chunks = None if heavy is None else hinted(heavy.select("user_id", F.ceil(F.col("_n") / F.lit(block_size)).alias("_k")))
         return listed_sums(listed_pairs(rated, value_col, block_size, chunks, by_user, n), parts)
     if heavy is None:

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from ratekit.operators import centered_ratings, co_rating_pairs, pair_sums, user_stats
+from ratekit.operators import centered_ratings, co_rating_pairs, joins, pair_sums, similarity, user_stats
+from ratekit.operators.joins import dealt, partitions_for, spread
 from ratekit.operators.overlap import overlap_pair_sums
 from ratekit.operators.predict import BITMAP_WORDS, listed_candidates, partner_bitmaps, related_pairs
 from ratekit.session import release_cached
@@ -111,3 +112,33 @@ def test_large_inputs_get_more_partitions(spark, few_partitions, monkeypatch):
         assert df.rdd.getNumPartitions() == 11 and rows(df) == w
     train = cf_ratings(spark, SF0001)
     assert centered_ratings(train, user_stats(train), 9).rdd.getNumPartitions() == 9
+
+
+def test_tasks_follow_the_rows_at_any_number_of_session_partitions(spark, monkeypatch):
+    """AQE merges by cores and by packed size, so the rows of a task grew with the input while the session had partitions enough."""
+    df, rows = spark.range(1), joins.ROWS_PER_TASK
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for session in (12, 600):
+            spark.conf.set("spark.sql.shuffle.partitions", str(session))
+            assert partitions_for(df, 1000) == 1
+            for k in (1, 7, 69, 412, 5000):
+                n = partitions_for(df, k * rows)
+                assert k <= n <= max(k, session, 2) and k * rows / n >= rows / joins.SHARES - 1
+        # Few cores and small packed rows: AQE would make one task of these.
+        spark.conf.set("spark.sql.shuffle.partitions", "50")
+        keyed = spark.range(0, 20_000, 1, 4).select((F.col("id") % 997).alias("user_id"), (F.col("id") % 401).alias("item_id"), F.lit(1.0).alias("rating"))
+        for n in (2, 30):
+            assert dealt(keyed, n, "user_id").rdd.getNumPartitions() == n
+            assert spread(keyed, n, "user_id").rdd.getNumPartitions() == n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_lists_are_written_by_tasks_of_bounded_pairs(spark, few_partitions, monkeypatch):
+    monkeypatch.setattr(similarity, "PAIRS_PER_LIST_TASK", 1000)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    r = _ratings(spark)
+    for sums in (pair_sums(r, pairs_per_task=1000), overlap_pair_sums(r, min_common=4)):
+        dealt_by_user = [ln for ln in _plan(sums) if "Exchange hashpartitioning(user_id" in ln and "REPARTITION_BY_NUM" in ln]
+        assert dealt_by_user  # left to AQE before
