@@ -59,8 +59,7 @@ def prediction_ids(test: DataFrame) -> DataFrame:
 
 
 def one_rating(ratings: DataFrame, n: int = 0) -> DataFrame:
-    """One row per (user, item): the mean of its repeated ratings. ``n``: partitions, where they
-    are more than the session's."""
+    """One row per (user, item): the mean of its repeated ratings. ``n``: partitions (:func:`partitions_for`)."""
     return spread(ratings, n, "user_id", "item_id").groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
 
 
@@ -107,7 +106,7 @@ def related_pairs(
     the list is unpacked, pairs whose bit is not set in the target's bitmap of partners go, and the others meet
     the table's rows. So what is shuffled is one row a test row, not a pair. Items without any
     partner go before. ``heavy`` (user_id, _nl, _nr): users whose rows are split into blocks, and their
-    lists with them. ``n`` and ``n_pairs``: partitions by user and by target, where they are more than the session's.
+    lists with them. ``n`` and ``n_pairs``: partitions by user and by target (:func:`partitions_for`).
     """
     numbers, words = partner_bitmaps(table, "target_item", "rated_item")
     r = rated.join(broadcast_if_small(numbers, max_broadcast_rows), "rated_item")
@@ -152,7 +151,7 @@ def neighbour_candidates(
     """
     table = table if materialized_inputs else persist_tracked(table)
     small = table.count() <= max_broadcast_rows
-    counts = user_counts if user_counts is not None else _user_counts(rated, test)
+    counts = user_counts if user_counts is not None else persist_tracked(_user_counts(rated, test))
     heavy = persist_tracked(heavy_keys(counts, "user_id", "n_test", "n_train", block_size))
     heavy = heavy if heavy.count() else None
     if small:
