@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NumericType
 
 from ratekit.functions.columns import safe_ratio
 from ratekit.session import persist_tracked
@@ -39,6 +41,11 @@ ZERO = 1e-12
 PAIRS_PER_TASK = 1 << 20
 #: Rating pairs that one task writes as lists: 64 MB before compression, which its sorter holds without a spill.
 PAIRS_PER_LIST_TASK = 1 << 22
+#: Different ratings, at most, that travel as numbers.
+MAX_VALUES = 1 << 6
+# Item numbers are mixed by this odd factor, and hold so many bits at most.
+_MIX = 0x9E3779B1
+_ITEM_BITS = 31
 
 
 def user_counts(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -208,6 +215,120 @@ def listed_pairs(rated: DataFrame, value_col: str, block_size: int, heavy: DataF
     return rows
 
 
+@dataclass(frozen=True)
+class Packing:
+    """(item, value) as one whole number, which takes 4 or 8 bytes of an array.
+
+    Items are numbered from ``low`` and the numbers mixed: multiplied modulo 2 ** ``bits``, which the inverse
+    undoes. So equal cuts of their range hold about equally many items however the ids are spread.
+    Below the item's number stands the place of the value among ``values``; one place more is null.
+    """
+
+    low: int
+    bits: int
+    values: tuple
+    item_type: str
+    value_type: str
+
+    @property
+    def places(self) -> int:
+        return len(self.values).bit_length()
+
+    def _values(self) -> Column:
+        return F.array(*[F.lit(v).cast(self.value_type) for v in self.values])
+
+    def entry(self, item: str, value: str) -> Column:
+        number = ((F.col(item).cast("bigint") - F.lit(self.low)) * F.lit(_MIX)).bitwiseAND(F.lit((1 << self.bits) - 1))
+        place = F.coalesce(F.array_position(self._values(), F.col(value)) - 1, F.lit(len(self.values)).cast("bigint"))
+        return (F.shiftleft(number, self.places) + place).cast("int" if self.bits + self.places <= 31 else "bigint")
+
+    def number(self, entry: str) -> Column:
+        return F.shiftright(entry, self.places)
+
+    def value(self, entry: str) -> Column:
+        return F.get(self._values(), F.col(entry).bitwiseAND(F.lit((1 << self.places) - 1)).cast("int"))
+
+    def item(self, number: str) -> Column:
+        mask = (1 << self.bits) - 1
+        back = (F.col(number).cast("bigint") * F.lit(pow(_MIX, -1, 1 << self.bits))).bitwiseAND(F.lit(mask))
+        return (back + F.lit(self.low)).cast(self.item_type)
+
+
+def packing_of(rated: DataFrame, value_col: str) -> Packing | None:
+    """The packing of ``rated``; None if its items are no whole numbers within 2 ** 31 of each other or
+    its values are more than ``MAX_VALUES`` (continuous ones)."""
+    item_type, value_type = rated.schema["item_id"].dataType, rated.schema[value_col].dataType
+    if not isinstance(item_type, IntegralType) or not isinstance(value_type, NumericType):
+        return None
+    ends = rated.filter("item_id IS NOT NULL").groupBy(F.col(value_col).alias("v"))
+    found = ends.agg(F.min("item_id").alias("low"), F.max("item_id").alias("high")).limit(MAX_VALUES + 2).collect()
+    values = tuple(sorted(r.v for r in found if r.v is not None))
+    if not 0 < len(values) <= MAX_VALUES:
+        return None
+    low = min(r.low for r in found)
+    bits = max((max(r.high for r in found) - low).bit_length(), 1)
+    return Packing(low, bits, values, item_type.simpleString(), value_type.simpleString()) if bits <= _ITEM_BITS else None
+
+
+def packed_pairs(
+    rated: DataFrame, value_col: str, shift: str | None, packing: Packing, heavy: DataFrame | None, by_user: bool = False, n: int = 0
+) -> DataFrame:
+    """(e, later): every rating with the user's ratings of all later items, as entries of ``packing``.
+
+    As :func:`listed_pairs`, in 4 bytes a pair where the items allow; later is by mixed number. ``shift``, a column that is
+    one value a user, comes along once a list. The chunks of a ``heavy`` user are ranges of mixed numbers, so of two
+    chunks every item of the first meets the whole second as one list.
+    """
+    more = [F.col(shift).alias("shift")] if shift else []
+    kept = [F.first("shift").alias("shift")] if shift else []
+    src = rated.filter("user_id IS NOT NULL AND item_id IS NOT NULL")
+    src = src.select("user_id", packing.entry("item_id", value_col).alias("e"), *more)
+
+    def listed(lists: DataFrame, other: Column) -> DataFrame:
+        names = ["shift"] if shift else []
+        at = lists.select(*names, "v", other.alias("w"), F.posexplode("v").alias("_at", "e"))
+        at = at.withColumn("later", F.coalesce("w", F.slice("v", F.col("_at") + 2, F.size("v"))))
+        return at.filter(F.size("later") > 0).select("e", *names, "later")
+
+    light = src if heavy is None else src.join(heavy, "user_id", "left_anti")
+    light = light if by_user else dealt(light, n, "user_id")
+    light = light.groupBy("user_id").agg(F.sort_array(F.collect_list("e")).alias("v"), *kept)
+    rows = listed(light, F.lit(None).cast(light.schema["v"].dataType))
+    if heavy is not None:
+        names = ["shift"] if shift else []
+        mine, x = F.col("_c"), F.col("_x")
+        chunk = F.shiftright(packing.number("e").cast("bigint") * F.col("_k"), packing.bits).cast("int").alias("_c")
+        cut = dealt(src.join(heavy, "user_id").select("user_id", "_k", chunk, "e", *names), n, "user_id", "_c")
+        chunks = cut.groupBy("user_id", "_c", "_k").agg(F.sort_array(F.collect_list("e")).alias("es"), *kept)
+        sent = chunks.withColumn("_x", F.explode(F.sequence(F.lit(0), (F.col("_k") - 1).cast("int"))))
+        sent = sent.select("user_id", F.least(mine, x).alias("_a"), F.greatest(mine, x).alias("_b"), F.struct("_c", "es").alias("_s"), *names)
+        met = dealt(sent, n, "user_id", "_a", "_b").groupBy("user_id", "_a", "_b")
+        unit = met.agg(F.sort_array(F.collect_list("_s")).alias("s"), *kept).filter((F.col("_a") == F.col("_b")) | (F.size("s") == 2))
+        # Within one chunk all pairs, of two chunks those between them.
+        unit = unit.withColumn("v", F.get("s", F.lit(0))["es"])
+        rows = rows.unionByName(listed(unit, F.get("s", F.lit(1))["es"]))
+    return rows
+
+
+def packed_sums(rows: DataFrame, parts: int, packing: Packing) -> DataFrame:
+    """The sums of :func:`packed_pairs`, each formed in the task of its first item."""
+    shifts = [c for c in rows.columns if c == "shift"]
+    met = dealt(rows, parts, packing.number("e")).select("e", *shifts, F.explode("later").alias("f"))
+    value = lambda e: packing.value(e) - F.col("shift") if shifts else packing.value(e)
+    met = met.select(packing.number("e").alias("item_i"), packing.number("f").alias("item_j"), value("e").alias("r_i"), value("f").alias("r_j"))
+    sums = _sums(met.filter(F.col("item_i") < F.col("item_j")))
+    a, b = packing.item("item_i"), packing.item("item_j")
+    sq_i, sq_j = F.col("sq_i"), F.col("sq_j")
+    return sums.select(
+        F.least(a, b).alias("item_i"),
+        F.greatest(a, b).alias("item_j"),
+        "common_users",
+        "dot",
+        F.when(a < b, sq_i).otherwise(sq_j).alias("sq_i"),
+        F.when(a < b, sq_j).otherwise(sq_i).alias("sq_j"),
+    )
+
+
 def pair_sums(
     rated: DataFrame,
     value_col: str = "rating",
@@ -217,6 +338,7 @@ def pair_sums(
     by_user: bool = False,
     n_blocks: int | None = None,
     pairs_per_task: int = PAIRS_PER_TASK,
+    difference: tuple[str, str] | None = None,
 ) -> DataFrame:
     """(item_i, item_j, common_users, dot, sq_i, sq_j) of all pairs item_i < item_j with a common user.
 
@@ -233,7 +355,8 @@ def pair_sums(
 
     A task forms ``pairs_per_task`` pairs at most, in more partitions than the session's if need be. Beyond one such
     task, where blocks would cut users of few ratings into single ratings, these
-    travel as :func:`listed_pairs`.
+    travel as :func:`packed_pairs`, or as :func:`listed_pairs` where nothing can be packed. ``difference`` says
+    that the value is one column less another that is one value a user: these two travel instead.
     """
     if user_counts is not None:  # (user_id, n_train) computed once by the caller
         counts = user_counts.select("user_id", F.col("n_train").alias("_n"))
@@ -249,6 +372,10 @@ def pair_sums(
     if n_blocks is None and n_pairs > pairs_per_task and n_pairs <= 2 * blocks * n_ratings:
         n = max(n, partitions_for(rated, n_pairs, PAIRS_PER_LIST_TASK))
         chunks = None if heavy is None else hinted(heavy.select("user_id", F.ceil(F.col("_n") / F.lit(block_size)).alias("_k")))
+        value, shift = difference or (value_col, None)
+        packing = packing_of(rated, value)
+        if packing is not None:
+            return packed_sums(packed_pairs(rated, value, shift, packing, chunks, by_user, n), parts, packing)
         return listed_sums(listed_pairs(rated, value_col, block_size, chunks, by_user, n), parts)
     if heavy is None:
         cells = _block_pairs(packed_ratings(rated, value_col, blocks, by_user, n))
@@ -369,6 +496,7 @@ def adjusted_cosine_similarity(
             max_user_ratings=max_user_ratings,
             user_counts=user_counts,
             by_user=by_user,
+            difference=("rating", "user_mean") if {"rating", "user_mean"} <= set(teach.columns) else None,
         )
     else:
         raise ValueError(f"unknown method {method!r}")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001
 from ratekit.operators import centered_ratings, co_rating_pairs, joins, pair_sums, similarity, user_stats
+from ratekit.operators.similarity import packed_pairs, packing_of
 from ratekit.operators.joins import dealt, partitions_for, spread
 from ratekit.operators.overlap import overlap_pair_sums
 from ratekit.operators.predict import BITMAP_WORDS, listed_candidates, partner_bitmaps, related_pairs
@@ -142,3 +143,50 @@ def test_lists_are_written_by_tasks_of_bounded_pairs(spark, few_partitions, monk
     for sums in (pair_sums(r, pairs_per_task=1000), overlap_pair_sums(r, min_common=4)):
         dealt_by_user = [ln for ln in _plan(sums) if "Exchange hashpartitioning(user_id" in ln and "REPARTITION_BY_NUM" in ln]
         assert dealt_by_user  # left to AQE before
+
+
+def _self_join(r, value):
+    return co_rating_pairs(r.filter("user_id IS NOT NULL AND item_id IS NOT NULL"), value).groupBy("item_i", "item_j").agg(
+        F.count("*").alias("common_users"), F.sum(F.col("r_i") * F.col("r_j")).alias("dot"),
+        F.sum(F.col("r_i") * F.col("r_i")).alias("sq_i"), F.sum(F.col("r_j") * F.col("r_j")).alias("sq_j"),
+    )
+
+
+def test_packed_lists_give_the_sums_of_the_self_join(spark, few_partitions):
+    r = _ratings(spark)
+    half = F.when(F.col("rating") > 8, -0.0).otherwise(F.col("rating"))
+    kinds = {
+        "centred": (centered_ratings(r, user_stats(r)), "centered_rating", ("rating", "user_mean"), True),
+        "negative ids far apart": (r.withColumn("item_id", (F.col("item_id") - 25) * 40_000_000), "rating", None, True),
+        "int ids and a zero": (r.withColumn("item_id", F.col("item_id").cast("int")).withColumn("rating", half), "rating", None, True),
+        "ids too far apart": (r.withColumn("item_id", (F.col("item_id") - 25) * 400_000_000), "rating", None, False),
+        "many values": (r.withColumn("rating", F.col("rating") + F.col("user_id") / 7 + F.col("item_id") / 11), "rating", None, False),
+    }
+    for name, (rated, value, difference, packs) in kinds.items():
+        assert (packing_of(rated, difference[0] if difference else value) is not None) == packs, name
+        want = _sums(_self_join(rated, value))
+        for block in (4096, 7):
+            got = pair_sums(rated, value, block_size=block, pairs_per_task=1000, difference=difference)
+            assert got.schema["item_i"].dataType == rated.schema["item_id"].dataType
+            assert _sums(got) == want, (name, block)
+
+
+def test_null_ratings_count_as_common_users(spark, few_partitions):
+    r = _ratings(spark).withColumn("rating", F.when(F.col("item_id") % 10 > 0, F.col("rating")))
+    key = lambda df: sorted((x.item_i, x.item_j, x.common_users, *(v if v is None else round(v, 6) for v in x[3:])) for x in df.select("item_i", "item_j", "common_users", "dot", "sq_i", "sq_j").collect())
+    order = lambda rows: sorted(rows, key=str)
+    assert order(key(pair_sums(r, pairs_per_task=1000))) == order(key(_self_join(r, "rating")))
+
+
+def test_a_pair_travels_as_four_bytes_in_long_lists(spark, few_partitions):
+    """A heavy user's chunks met item by item, in lists half as long of 16 bytes an entry."""
+    r = _ratings(spark)
+    packing = packing_of(r, "rating")
+    heavy = r.groupBy("user_id").count().filter("count > 8").select("user_id", F.ceil(F.col("count") / 8).alias("_k"))
+    rows = packed_pairs(r.filter("user_id IS NOT NULL AND item_id IS NOT NULL"), "rating", None, packing, heavy)
+    assert rows.schema["e"].dataType.simpleString() == "int" and rows.schema["later"].dataType.simpleString() == "array<int>"
+    n, entries = rows.agg(F.count("*"), F.sum(F.size("later"))).first()
+    whole = r.filter("user_id IS NOT NULL AND item_id IS NOT NULL").groupBy("user_id").count()
+    assert entries == whole.agg(F.sum(F.expr("count * (count - 1) DIV 2"))).first()[0]
+    lists = similarity.listed_pairs(r, "rating", 8, heavy)
+    assert n < 0.75 * lists.count()
