@@ -370,7 +370,9 @@ def pair_sums(
     parts, n = partitions_for(rated, n_pairs, pairs_per_task), partitions_for(rated, n_ratings)
     blocks = n_blocks or block_count(max(parts, shuffle_partitions(rated)), largest, block_size)
     if n_blocks is None and n_pairs > pairs_per_task and n_pairs <= 2 * blocks * n_ratings:
-        n = max(n, partitions_for(rated, n_pairs, PAIRS_PER_LIST_TASK))
+        # The buckets that ratings are stored in follow the rows; where their lists are too long, they are dealt again.
+        buckets, n = max(n, shuffle_partitions(rated)), max(n, partitions_for(rated, n_pairs, PAIRS_PER_LIST_TASK))
+        by_user = by_user and n <= buckets
         chunks = None if heavy is None else hinted(heavy.select("user_id", F.ceil(F.col("_n") / F.lit(block_size)).alias("_k")))
         value, shift = difference or (value_col, None)
         packing = packing_of(rated, value)

@@ -50,7 +50,7 @@ from ratekit.operators.similarity import (
 )
 from ratekit.operators.split import holdout, train_summary
 from ratekit.session import Kept, keeping, materialize, persist_tracked
-from ratekit.sources.store import store_by_user
+from ratekit.sources.store import store_by_user, user_buckets
 
 
 @dataclass
@@ -89,9 +89,15 @@ def _sides(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test), stored by user or cached."""
     if stored:
-        train, test = holdout(ratings, frac=frac, method=split, seed=seed)
-        train = one_rating(train) if repeated else train
-        return store_by_user(train), store_by_user(test)
+        # Read for the number of buckets and for both tables, which have the same: kept until they are written.
+        with keeping(ratings.sparkSession) as kept:
+            train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=True)
+            rows = train.count() + test.count()
+        n = user_buckets(ratings, rows)
+        train = one_rating(train, partitions_for(ratings, rows)) if repeated else train
+        sides = store_by_user(train, n_buckets=n), store_by_user(test, n_buckets=n)
+        kept.release()
+        return sides
     train, test = holdout(ratings, frac=frac, method=split, seed=seed, persist=cache)
     if repeated:
         train = one_rating(train)

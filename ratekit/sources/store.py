@@ -11,10 +11,15 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from ratekit.operators.joins import shuffle_partitions
+from ratekit.operators.joins import partitions_for, shuffle_partitions
 from ratekit.session import keep_table, scratch_path
 
 
+def user_buckets(ratings: DataFrame, rows: int) -> int:
+    """Buckets for ``rows`` ratings: the session's shuffle partitions, and more where a bucket would exceed a task's rows."""
+    return max(shuffle_partitions(ratings), partitions_for(ratings, rows))
+
+
 def store_by_user(ratings: DataFrame, key: str = "user_id", n_buckets: int | None = None) -> DataFrame:
     """``ratings`` as a table of ``n_buckets`` buckets by ``key`` (default: the shuffle partitions), sorted in each.
 

@@ -10,6 +10,7 @@ from ratekit.operators.similarity import packed_pairs, packing_of
 from ratekit.operators.joins import dealt, partitions_for, spread
 from ratekit.operators.overlap import overlap_pair_sums
 from ratekit.operators.predict import BITMAP_WORDS, listed_candidates, partner_bitmaps, related_pairs
+from ratekit.plans import cosine_knn
 from ratekit.session import release_cached
 from ratekit.sources import cf_ratings, repeated_ratings, tail_ratings, testdata
 
@@ -190,3 +191,20 @@ def test_a_pair_travels_as_four_bytes_in_long_lists(spark, few_partitions):
     assert entries == whole.agg(F.sum(F.expr("count * (count - 1) DIV 2"))).first()[0]
     lists = similarity.listed_pairs(r, "rating", 8, heavy)
     assert n < 0.75 * lists.count()
+
+
+def test_buckets_of_stored_ratings_follow_the_rows(spark, few_partitions, monkeypatch):
+    """As many as the session has partitions before, whatever the rows."""
+    r = _ratings(spark).filter("user_id IS NOT NULL AND item_id IS NOT NULL").groupBy("user_id", "item_id").agg(F.max("rating").alias("rating"))
+    want = cosine_knn(r, min_common=2).metrics.first()
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(joins.partitions_for, "__defaults__", (100,))
+    result = cosine_knn(r, min_common=2, stored=True)
+    n = r.count()
+    for side in (result.train, result.test):
+        buckets = spark.sql(f"DESCRIBE EXTENDED {result.kept.tables[0]}").filter("col_name = 'Num Buckets'").first().data_type
+        assert int(buckets) >= n / 100 > 2 and result.kept.tables
+        assert side.count() > 0
+    got = result.metrics.first()
+    assert [round(x, 9) for x in got] == [round(x, 9) for x in want]
+    result.release()
