@@ -14,9 +14,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
+from ratekit.operators.lookup import LISTS, MARKS, ROWS, lookup
 from ratekit.session import persist_tracked
 
 DEFAULT_BLOCK_SIZE = 4096
@@ -147,29 +149,43 @@ def listed_join(
     listed: str,
     n: int = 0,
     marks: DataFrame | None = None,
-    marked: Column | None = None,
+    bit: str | None = None,
+    order: Sequence[Column] = (),
+    k: int | None = None,
+    rank: str = "rank",
 ) -> DataFrame:
     """Inner equi-join on (``key``, ``item``) of the entries in the array ``listed`` of ``lists`` with ``right``.
 
     ``listed`` holds structs with ``item`` and any values. Lists travel packed to the task of their ``key``, where the
-    rows of ``right`` lie, and are unpacked there. A join on both columns would shuffle every
-    entry; here entries and rows are one frame, and a window over (``key``, ``item``) gives an
-    entry its rows. ``marks`` (one row a ``key``) may say by ``marked`` which entries can have rows at all.
-    ``n``: partitions (:func:`partitions_for`).
+    rows of ``right`` lie, and are looked up and unpacked there (:mod:`ratekit.operators.lookup`). A join on both columns would
+    shuffle and sort every entry. ``marks`` (one row a ``key``: _words) says which entries can have rows at
+    all: those whose bit, number ``bit`` of the entry, is set. With ``k`` only the ``k`` entries of a list go on whose rows of
+    ``right`` come first by ``order`` (ascending, nulls last), numbered from 1 in ``rank``. ``n``: partitions (:func:`partitions_for`).
     """
     entry = lists.schema[listed].dataType.elementType
     kept = [c for c in lists.columns if c not in (key, listed)]
-    values = F.struct(*[c for c in right.columns if c not in (key, item)])
-    own = F.struct(*[F.col(f.name) if f.name == item else F.lit(None).cast(f.dataType).alias(f.name) for f in entry.fields])
-    a = lists.select(key, F.struct(*kept).alias("_row"), F.col(listed).alias("_es")).filter(F.size("_es") > 0)
-    b = right.select(key, F.array(own).alias("_es"), values.alias("_value"))
-    both = dealt(a.unionByName(b, allowMissingColumns=True).filter(F.col(key).isNotNull()), n, key)
+    values = [c for c in right.columns if c not in (key, item)]
+    kind = lambda x: F.lit(x).alias("_kind")
+    named = lambda cols, name: [F.col(c).alias(f"_{name}_{c}") for c in cols]
+    entries = [F.col(listed)[f].alias(f"_list_{f}") for f in entry.names]
+    both = lists.filter(F.size(listed) > 0).select(key, kind(LISTS), *named(kept, "row"), *entries)
+    rows = right.filter(F.col(item).isNotNull()).select(key, kind(ROWS), F.col(item).alias("_item"), *named(values, "value"))
+    both = both.unionByName(rows, allowMissingColumns=True)
     if marks is not None:
-        both = both.join(dealt(marks, n, key), key)
-    both = both.select("*", F.explode("_es").alias("_e")).select("*", "_e.*").filter(F.col(item).isNotNull())
-    if marks is not None:
-        both = both.filter(F.col("_row").isNull() | marked)
-    both = both.select(key, item, "_row", "_e", "_value")
-    both = both.withColumn("_values", F.collect_list("_value").over(Window.partitionBy(key, item))).filter("_row IS NOT NULL")
-    met = both.select(key, "_row.*", "_e.*", F.explode("_values").alias("_value"))
-    return met.select(*[c for c in met.columns if c != "_value"], "_value.*")
+        both = both.unionByName(marks.select(key, kind(MARKS), "_words"), allowMissingColumns=True)
+    both = dealt(both.filter(F.col(key).isNotNull()), n, key)
+    names = both.columns
+    # By the names that ``order`` uses, and worked out once a row, not at every comparison.
+    both = both.withColumns({item: F.col("_item"), **{v: F.col(f"_value_{v}") for v in values}})
+    both = both.select(*names, *[o.alias(f"_order_{i}") for i, o in enumerate(order)])
+    both = both.sortWithinPartitions(key, "_kind", *[F.col(f"_order_{i}").asc_nulls_last() for i in range(len(order))]).select(*names)
+    # Empty lists, not nulls: at every row Spark's Arrow writer goes over all nulls since the last list.
+    plain = [F.coalesce(c.name, F.array().cast(c.dataType)).alias(c.name) if isinstance(c.dataType, ArrayType) else c.name for c in both.schema]
+    both = both.select(*plain)
+    found = [*entry.fields, *[right.schema[v] for v in values]]
+    met = [StructField(f"_met_{f.name}", ArrayType(f.dataType)) for f in found]
+    schema = StructType([both.schema[key], *[both.schema[f"_row_{c}"] for c in kept], *met])
+    at = both.mapInArrow(lookup(key, kept, item, entry.names, values, bit, k), schema).select("*", F.posexplode(f"_met_{item}").alias("_at", "_it"))
+    rest = [F.col("_it").alias(item) if f.name == item else F.get(f"_met_{f.name}", "_at").alias(f.name) for f in found]
+    ranked = [] if k is None else [(F.col("_at") + 1).cast("bigint").alias(rank)]
+    return at.select(key, *[F.col(f"_row_{c}").alias(c) for c in kept], *rest, *ranked)

@@ -18,6 +18,8 @@ rows, so repeated test rows stay as they are. Training ratings are expected once
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ from ratekit.session import persist_tracked
 # The rating range used for clipping.
 MIN_RATING = 0.5
 MAX_RATING = 5.0
-PREDICTION_ID = "prediction_id"
+PREDICTION_ID, RANK = "prediction_id", "neighbor_rank"
 #: Words of a partner bitmap at most: members beyond share bits.
 BITMAP_WORDS = 128
 #: Candidate pairs that one task forms.
@@ -85,12 +87,6 @@ def partner_bitmaps(table: DataFrame, key: str, member: str) -> tuple[DataFrame,
     return numbers, whole.groupBy(key).agg(F.transform(listed, lambda x: x["_bits"]).alias("_words"))
 
 
-def is_partner() -> Column:
-    """Whether bit _no of _words is set."""
-    word = F.get("_words", F.expr("CAST(_no DIV 64 AS INT)"))
-    return F.coalesce(F.getbit(word, F.expr("CAST(_no % 64 AS INT)")) == F.lit(1), F.lit(False))
-
-
 def related_pairs(
     test: DataFrame,
     rated: DataFrame,
@@ -99,14 +95,18 @@ def related_pairs(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     n: int = 0,
     n_pairs: int = 0,
+    order: Sequence[Column] = (),
+    k: int | None = None,
 ) -> DataFrame:
     """Rows of (user, target) x the user's ratings of items that ``table`` relates to the target, with its values.
 
     Every test row takes the user's ratings along as one list, to the task of its target. There
-    the list is unpacked, pairs whose bit is not set in the target's bitmap of partners go, and the others meet
-    the table's rows. So what is shuffled is one row a test row, not a pair. Items without any
+    pairs whose bit is not set in the target's bitmap of partners go, and the others are looked up among
+    the table's rows. So what is shuffled is one row a test row, not a pair, and no pair is sorted. Items without any
     partner go before. ``heavy`` (user_id, _nl, _nr): users whose rows are split into blocks, and their
-    lists with them. ``n`` and ``n_pairs``: partitions by user and by target (:func:`partitions_for`).
+    lists with them. ``n`` and ``n_pairs``: partitions by user and by target (:func:`partitions_for`). ``order`` and
+    ``k`` as in :func:`neighbour_candidates`: a whole list is ranked where it is looked up, and only the k best leave; the
+    best of the lists of a user in blocks are ranked together afterwards.
     """
     numbers, words = partner_bitmaps(table, "target_item", "rated_item")
     r = rated.join(broadcast_if_small(numbers, max_broadcast_rows), "rated_item")
@@ -117,9 +117,23 @@ def related_pairs(
     entry = F.struct(*[c for c in rated.columns if c != "user_id"], F.col("_no").cast("int").alias("_no")).alias("_e")
     r = spread(r.select("user_id", chunk.alias("_chunk"), entry), n, "user_id", "_chunk")
     lists = r.groupBy("user_id", "_chunk").agg(F.collect_list("_e").alias("_rated"))
-    met = blocked_join(test, lists, "user_id", heavy, ["target_item"], ["_chunk"], partitions=n).drop("_chunk")
-    related = listed_join(met, table, "target_item", "rated_item", "_rated", n_pairs, words, is_partner())
-    return related.drop("_no")
+
+    def related(tests: DataFrame, chunks: DataFrame, blocks: DataFrame | None) -> DataFrame:
+        met = blocked_join(tests, chunks, "user_id", blocks, ["target_item"], ["_chunk"], partitions=n).drop("_chunk")
+        return listed_join(met, table, "target_item", "rated_item", "_rated", n_pairs, words, "_no", order, k, RANK).drop("_no")
+
+    if heavy is None or k is None:
+        return related(test, lists, heavy)
+    side = lambda how: [df.join(heavy.select("user_id"), "user_id", how) for df in (test, lists)]
+    blocks = best(related(*side("left_semi"), heavy).drop(RANK), order, k)
+    return related(*side("left_anti"), None).unionByName(blocks)
+
+
+def best(candidates: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
+    """The ``k`` first candidates of every (user, target) by ``order`` (ascending, nulls last), with ``neighbor_rank`` 1..k."""
+    w = Window.partitionBy("user_id", "target_item").orderBy(*[o.asc_nulls_last() for o in order])
+    first = candidates.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= F.lit(k))
+    return first.withColumn(RANK, F.col("_rank").cast("bigint")).drop("_rank")
 
 
 def neighbour_candidates(
@@ -131,6 +145,8 @@ def neighbour_candidates(
     user_counts: DataFrame | None = None,
     materialized_inputs: bool = False,
     by_user: bool = False,
+    order: Sequence[Column] = (),
+    k: int | None = None,
 ) -> DataFrame:
     """Rows of (user, target) x the user's ratings that ``table`` relates to the target.
 
@@ -147,7 +163,8 @@ def neighbour_candidates(
       :func:`related_pairs`).
 
     ``materialized_inputs=True`` says ``table`` is read from a checkpoint, so it is not
-    persisted again. ``by_user`` says that ``rated`` is stored by user.
+    persisted again. ``by_user`` says that ``rated`` is stored by user. With ``k`` only the k first rows of a (user, target) by
+    ``order``, values of ``table`` (ascending, nulls last), are kept, with ``neighbor_rank``.
     """
     table = table if materialized_inputs else persist_tracked(table)
     small = table.count() <= max_broadcast_rows
@@ -156,11 +173,12 @@ def neighbour_candidates(
     heavy = heavy if heavy.count() else None
     if small:
         met = blocked_join(test, rated, "user_id", heavy, ["target_item"], ["rated_item"], right_placed=by_user)
-        return met.join(F.broadcast(table), ["target_item", "rated_item"])
+        met = met.join(F.broadcast(table), ["target_item", "rated_item"])
+        return met if k is None else best(met, order, k)
     tr, te = F.col("n_train").cast("double"), F.col("n_test")
     n_rows, n_pairs = (int(x or 0) for x in counts.agg(F.sum(tr + te), F.sum(tr * te)).first())
     n, n_pairs = partitions_for(rated, n_rows), partitions_for(rated, n_pairs, CANDIDATES_PER_TASK)
-    return related_pairs(test, rated, table, heavy, max_broadcast_rows, n, n_pairs)
+    return related_pairs(test, rated, table, heavy, max_broadcast_rows, n, n_pairs, order, k)
 
 
 def listed_candidates(
@@ -215,11 +233,13 @@ def knn_candidates(
     user_counts: DataFrame | None = None,
     materialized_inputs: bool = False,
     by_user: bool = False,
+    k: int | None = None,
 ) -> DataFrame:
     """(user_id, target_item, rated_item, neighbor_rating, similarity,
     abs_similarity, common_users) for every usable neighbour rating: an item
     the user rated in train that has a similarity to the test target. Repeated test
-    rows count once; ``train`` holds one rating per (user, item)."""
+    rows count once; ``train`` holds one rating per (user, item). With ``k`` the k best of a test
+    row, with ``neighbor_rank``: |similarity| (rounded, see ``rank_key``) desc, common users desc, rated item asc."""
     return neighbour_candidates(
         test.select("user_id", F.col("item_id").alias("target_item")).distinct(),
         train.select(
@@ -237,6 +257,8 @@ def knn_candidates(
         user_counts=user_counts,
         materialized_inputs=materialized_inputs,
         by_user=by_user,
+        order=[-rank_key(), -F.col("common_users"), F.col("rated_item")],
+        k=k,
     )
 
 
@@ -255,7 +277,7 @@ def knn_neighbours(
 
     Order: |similarity| (rounded, see ``rank_key``) desc, common users desc, rated item asc.
     """
-    cand = knn_candidates(
+    return knn_candidates(
         test,
         train,
         sim_all,
@@ -264,15 +286,7 @@ def knn_neighbours(
         user_counts=user_counts,
         materialized_inputs=materialized_inputs,
         by_user=by_user,
-    )
-    w = Window.partitionBy("user_id", "target_item").orderBy(
-        rank_key().desc(), F.col("common_users").desc(), F.col("rated_item").asc()
-    )
-    return (
-        cand.withColumn("_rank", F.row_number().over(w))
-        .filter(F.col("_rank") <= F.lit(k))
-        .withColumn("neighbor_rank", F.col("_rank").cast("bigint"))
-        .drop("_rank")
+        k=k,
     )
 
 
@@ -304,7 +318,6 @@ def predict_knn(
         materialized_inputs=materialized_inputs,
         by_user=by_user,
     )
-    # Same partitioning as the window: no extra shuffle for the aggregate.
     pred = top.groupBy("user_id", "target_item").agg(
         F.sum(F.col("similarity") * F.col("neighbor_rating")).alias("weighted_sum"),
         F.sum("abs_similarity").alias("denom"),

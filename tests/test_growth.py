@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from ratekit.operators import centered_ratings, co_rating_pairs, joins, pair_sums, similarity, user_stats
+from ratekit.operators import centered_ratings, co_rating_pairs, cosine_similarity, joins, knn_neighbours, mirror, pair_sums, similarity, user_stats
 from ratekit.operators.similarity import packed_pairs, packing_of
 from ratekit.operators.joins import dealt, partitions_for, spread
 from ratekit.operators.overlap import overlap_pair_sums
@@ -208,3 +208,27 @@ def test_buckets_of_stored_ratings_follow_the_rows(spark, few_partitions, monkey
     got = result.metrics.first()
     assert [round(x, 9) for x in got] == [round(x, 9) for x in want]
     result.release()
+
+
+def test_the_best_of_a_list_are_ranked_where_it_is_looked_up(spark, few_partitions, monkeypatch):
+    """Every candidate was sorted twice before, by (target, item) and by (user, target)."""
+    train = _ratings(spark).filter("user_id IS NOT NULL AND item_id IS NOT NULL").groupBy("user_id", "item_id").agg(F.max("rating").alias("rating"))
+    test = train.filter("(user_id + item_id) % 5 = 0").union(spark.createDataFrame([(1, 999, 1.0), (None, 3, 1.0), (777, 3, 1.0)], train.schema))
+    sim = mirror(cosine_similarity(train, 1)).filter("(item_i * item_j) % 7 > 0")
+    cols = ["user_id", "target_item", "rated_item", "neighbor_rating", "similarity", "common_users", "neighbor_rank"]
+    rows = lambda df: sorted(tuple(round(x, 9) for x in r) for r in df.select(*cols).collect())
+    want = rows(knn_neighbours(test, train, sim, k=4))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for block in (4096, 8):
+            assert rows(knn_neighbours(test, train, sim, k=4, block_size=block, max_broadcast_rows=0)) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert not any("Window" in ln for ln in _plan(knn_neighbours(test, train, sim, k=4, max_broadcast_rows=0)))
+
+
+def test_rows_that_share_an_item_are_all_met(spark, few_partitions):
+    lists = spark.createDataFrame([(1, "a", [("x", 1), ("y", 2), (None, 3), ("x", 4)]), (2, "b", [("x", 5)]), (None, "c", [("x", 6)]), (1, "d", [])], "g long, t string, es array<struct<i:string,v:int>>")
+    right = spark.createDataFrame([(1, "x", 0.5), (1, "x", 0.25), (1, None, 1.0), (None, "x", 2.0), (2, "y", 3.0), (3, "x", 4.0)], "g long, i string, w double")
+    got = joins.listed_join(lists, right, "g", "i", "es").select("g", "t", "i", "v", "w").collect()
+    assert sorted(map(tuple, got)) == sorted([(1, "a", "x", v, w) for v in (1, 4) for w in (0.25, 0.5)])
