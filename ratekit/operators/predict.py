@@ -193,14 +193,16 @@ def listed_candidates(
 
     ``table``: target_item, rated_item and any values, at most k rows a target. The list is packed into one
     row a target, so a test row meets one row and takes at most k entries, each
-    looked up by (user, item). Nothing is multiplied by the user's ratings, so
+    looked up by (user, item). Of the entries only items and places travel; those that meet a rating, mostly few, take
+    their values from the list afterwards. Nothing is multiplied by the user's ratings, so
     a user of any size is not quadratic. Test rows travel to the user's ratings with their lists packed; those
     of users with more than ``block_size`` test rows are unpacked before, so that their entries are
     spread by (user, item) and no task holds the user. Packed lists are broadcast under
     ``max_broadcast_rows`` targets; beyond that test rows are shuffled to them once.
     """
     entry = F.struct(*[c for c in table.columns if c != "target_item"])
-    packed = table.groupBy("target_item").agg(F.collect_list(entry).alias("_list"))
+    # Sorted: read twice, and an entry has the same place both times.
+    packed = table.groupBy("target_item").agg(F.sort_array(F.collect_list(entry)).alias("_list"))
     lists = broadcast_if_small(packed, max_broadcast_rows, persist=not materialized_inputs)
     counts = persist_tracked(_user_counts(rated, test))
     n_rows = counts.agg(F.sum(F.col("n_train") + F.col("n_test") * TOP_K)).first()[0] or 0
@@ -217,7 +219,11 @@ def listed_candidates(
     hv = F.broadcast(heavy) if n_heavy <= max_broadcast_rows else heavy
     key = ["user_id", "rated_item"]
     met = test.join(lists, "target_item")
-    out = listed_join(light(met), light(rated), "user_id", "rated_item", "_list", n)
+    places = F.transform("_list", lambda x, i: F.struct(x["rated_item"].alias("rated_item"), i.alias("_place")))
+    out = listed_join(light(met).withColumn("_list", places), light(rated), "user_id", "rated_item", "_list", n)
+    values = [c for c in table.columns if c not in ("target_item", "rated_item")]
+    found = out.join(lists, "target_item").withColumn("_e", F.get("_list", "_place"))
+    out = found.select(*test.columns, "rated_item", *[f"_e.{c}" for c in values], *[c for c in rated.columns if c not in ("user_id", "rated_item")])
     if n_heavy:
         hot = unpacked(met.join(hv, "user_id", "left_semi")).join(rated.join(hv, "user_id", "left_semi"), key)
         out = out.unionByName(hot)

@@ -232,3 +232,12 @@ def test_rows_that_share_an_item_are_all_met(spark, few_partitions):
     right = spark.createDataFrame([(1, "x", 0.5), (1, "x", 0.25), (1, None, 1.0), (None, "x", 2.0), (2, "y", 3.0), (3, "x", 4.0)], "g long, i string, w double")
     got = joins.listed_join(lists, right, "g", "i", "es").select("g", "t", "i", "v", "w").collect()
     assert sorted(map(tuple, got)) == sorted([(1, "a", "x", v, w) for v in (1, 4) for w in (0.25, 0.5)])
+
+
+def test_lists_travel_without_their_values(spark, few_partitions):
+    """Items and places alone go to the user's ratings; most entries meet none."""
+    r = _ratings(spark).filter("user_id IS NOT NULL AND item_id IS NOT NULL")
+    table = co_rating_pairs(r).select(F.col("item_i").alias("target_item"), F.col("item_j").alias("rated_item")).distinct().withColumn("s", F.lit(0.5))
+    met = listed_candidates(r.select("user_id", F.col("item_id").alias("target_item")).distinct(), r.select("user_id", F.col("item_id").alias("rated_item")), table)
+    looked_up = next(ln for ln in _plan(met) if "MapInArrow" in ln)
+    assert "_met_rated_item" in looked_up and "_met_s" not in looked_up
