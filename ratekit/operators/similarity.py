@@ -221,7 +221,8 @@ class Packing:
 
     Items are numbered from ``low`` and the numbers mixed: multiplied modulo 2 ** ``bits``, which the inverse
     undoes. So equal cuts of their range hold about equally many items however the ids are spread.
-    Below the item's number stands the place of the value among ``values``; one place more is null.
+    Below the item's number stands the place of the value among ``values``; one place more is null. With
+    ``flag``, a boolean column, the lowest bit is that.
     """
 
     low: int
@@ -229,10 +230,15 @@ class Packing:
     values: tuple
     item_type: str
     value_type: str
+    flag: str | None = None
+
+    @property
+    def flags(self) -> int:
+        return 0 if self.flag is None else 1
 
     @property
     def places(self) -> int:
-        return len(self.values).bit_length()
+        return len(self.values).bit_length() + self.flags
 
     def _values(self) -> Column:
         return F.array(*[F.lit(v).cast(self.value_type) for v in self.values])
@@ -240,13 +246,19 @@ class Packing:
     def entry(self, item: str, value: str) -> Column:
         number = ((F.col(item).cast("bigint") - F.lit(self.low)) * F.lit(_MIX)).bitwiseAND(F.lit((1 << self.bits) - 1))
         place = F.coalesce(F.array_position(self._values(), F.col(value)) - 1, F.lit(len(self.values)).cast("bigint"))
+        if self.flag is not None:
+            place = F.shiftleft(place, 1) + F.col(self.flag).cast("bigint")
         return (F.shiftleft(number, self.places) + place).cast("int" if self.bits + self.places <= 31 else "bigint")
 
     def number(self, entry: str) -> Column:
         return F.shiftright(entry, self.places)
 
     def value(self, entry: str) -> Column:
-        return F.get(self._values(), F.col(entry).bitwiseAND(F.lit((1 << self.places) - 1)).cast("int"))
+        place = F.shiftright(F.col(entry).bitwiseAND(F.lit((1 << self.places) - 1)), self.flags)
+        return F.get(self._values(), place.cast("int"))
+
+    def flagged(self, entry: str) -> Column:
+        return F.col(entry).bitwiseAND(F.lit(1)) == 1
 
     def item(self, number: str) -> Column:
         mask = (1 << self.bits) - 1
@@ -254,9 +266,9 @@ class Packing:
         return (back + F.lit(self.low)).cast(self.item_type)
 
 
-def packing_of(rated: DataFrame, value_col: str) -> Packing | None:
+def packing_of(rated: DataFrame, value_col: str, flag: str | None = None) -> Packing | None:
     """The packing of ``rated``; None if its items are no whole numbers within 2 ** 31 of each other or
-    its values are more than ``MAX_VALUES`` (continuous ones)."""
+    its values are more than ``MAX_VALUES`` (continuous ones). ``flag`` names a boolean that is to come along."""
     item_type, value_type = rated.schema["item_id"].dataType, rated.schema[value_col].dataType
     if not isinstance(item_type, IntegralType) or not isinstance(value_type, NumericType):
         return None
@@ -267,7 +279,7 @@ def packing_of(rated: DataFrame, value_col: str) -> Packing | None:
         return None
     low = min(r.low for r in found)
     bits = max((max(r.high for r in found) - low).bit_length(), 1)
-    return Packing(low, bits, values, item_type.simpleString(), value_type.simpleString()) if bits <= _ITEM_BITS else None
+    return Packing(low, bits, values, item_type.simpleString(), value_type.simpleString(), flag) if bits <= _ITEM_BITS else None
 
 
 def packed_pairs(
@@ -310,13 +322,15 @@ def packed_pairs(
     return rows
 
 
-def packed_sums(rows: DataFrame, parts: int, packing: Packing) -> DataFrame:
-    """The sums of :func:`packed_pairs`, each formed in the task of its first item."""
+def packed_sums(rows: DataFrame, parts: int, packing: Packing, *more: Column) -> DataFrame:
+    """The sums of :func:`packed_pairs`, each formed in the task of its first item. ``more``: sums besides, of
+    the flags p_i and p_j too; they should not depend on which of two items is the first."""
     shifts = [c for c in rows.columns if c == "shift"]
     met = dealt(rows, parts, packing.number("e")).select("e", *shifts, F.explode("later").alias("f"))
     value = lambda e: packing.value(e) - F.col("shift") if shifts else packing.value(e)
-    met = met.select(packing.number("e").alias("item_i"), packing.number("f").alias("item_j"), value("e").alias("r_i"), value("f").alias("r_j"))
-    sums = _sums(met.filter(F.col("item_i") < F.col("item_j")))
+    flags = [] if packing.flag is None else [packing.flagged("e").alias("p_i"), packing.flagged("f").alias("p_j")]
+    met = met.select(packing.number("e").alias("item_i"), packing.number("f").alias("item_j"), value("e").alias("r_i"), value("f").alias("r_j"), *flags)
+    sums = _sums(met.filter(F.col("item_i") < F.col("item_j")), more=more)
     a, b = packing.item("item_i"), packing.item("item_j")
     sq_i, sq_j = F.col("sq_i"), F.col("sq_j")
     return sums.select(
@@ -326,6 +340,7 @@ def packed_sums(rows: DataFrame, parts: int, packing: Packing) -> DataFrame:
         "dot",
         F.when(a < b, sq_i).otherwise(sq_j).alias("sq_i"),
         F.when(a < b, sq_j).otherwise(sq_i).alias("sq_j"),
+        *sums.columns[6:],
     )
 
 
@@ -488,8 +503,9 @@ def adjusted_cosine_similarity(
     teach = centered.filter(F.col("train_rating_count") >= F.lit(min_user_ratings))
     if max_user_ratings is not None:
         teach = teach.filter(F.col("train_rating_count") <= F.lit(max_user_ratings))
+    difference = ("rating", "user_mean") if {"rating", "user_mean"} <= set(teach.columns) else None
     if method == "overlap":
-        sums = overlap_pair_sums(teach, "centered_rating", min_common, block_size=block_size)
+        sums = overlap_pair_sums(teach, "centered_rating", min_common, block_size=block_size, difference=difference)
     elif method == "gram":
         sums = pair_sums(
             teach,
@@ -498,7 +514,7 @@ def adjusted_cosine_similarity(
             max_user_ratings=max_user_ratings,
             user_counts=user_counts,
             by_user=by_user,
-            difference=("rating", "user_mean") if {"rating", "user_mean"} <= set(teach.columns) else None,
+            difference=difference,
         )
     else:
         raise ValueError(f"unknown method {method!r}")

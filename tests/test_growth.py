@@ -8,7 +8,7 @@ from conftest import SF0001
 from ratekit.operators import centered_ratings, co_rating_pairs, cosine_similarity, joins, knn_neighbours, mirror, pair_sums, similarity, user_stats
 from ratekit.operators.similarity import packed_pairs, packing_of
 from ratekit.operators.joins import dealt, partitions_for, spread
-from ratekit.operators.overlap import overlap_pair_sums
+from ratekit.operators.overlap import overlap_pair_sums, prefix_flags
 from ratekit.operators.predict import BITMAP_WORDS, listed_candidates, partner_bitmaps, related_pairs
 from ratekit.plans import cosine_knn
 from ratekit.session import release_cached
@@ -172,6 +172,54 @@ def test_packed_lists_give_the_sums_of_the_self_join(spark, few_partitions):
             assert _sums(got) == want, (name, block)
 
 
+def test_overlap_sends_a_pair_as_one_number_and_ratings_to_their_item_once(spark, few_partitions):
+    """Two arrays of 8 bytes and one of flags a pair before, and another round by user and by item for the borders."""
+    exchanges = [ln for ln in _plan(overlap_pair_sums(_ratings(spark), min_common=4)) if "Exchange hashpartitioning(" in ln]
+    assert "shiftright(e" in exchanges[0]
+    assert sum("hashpartitioning(item_id" in ln for ln in exchanges) == 1
+    r = _ratings(spark).filter("user_id IS NOT NULL AND item_id IS NOT NULL")
+    packing = packing_of(r, "rating", "in_prefix")
+    rows = packed_pairs(prefix_flags(r, "rating", 4), "r", None, packing, None)
+    assert rows.schema["later"].dataType.simpleString() == "array<int>"
+    back = r.withColumn("in_prefix", F.col("user_id") % 3 == 0).withColumn("e", packing.entry("item_id", "rating")).withColumn("number", packing.number("e"))
+    back = back.select("item_id", "rating", "in_prefix", packing.item("number"), packing.value("e"), packing.flagged("e"))
+    assert all(x[:3] == x[3:] for x in back.collect())
+
+
+def test_packed_overlap_gives_the_sums_of_the_self_join(spark, few_partitions):
+    r = _ratings(spark)
+    null = F.when(F.col("item_id") % 10 > 0, F.col("rating"))
+    kinds = {
+        "ratings": (r, "rating", None),
+        "centred": (centered_ratings(r, user_stats(r)), "centered_rating", ("rating", "user_mean")),
+        "centred, too many ratings": (centered_ratings(r.withColumn("rating", F.col("rating") + F.col("item_id") / 97 + F.col("user_id") / 7), user_stats(r)), "centered_rating", ("rating", "user_mean")),
+        "negative ids far apart": (r.withColumn("item_id", (F.col("item_id") - 25) * 40_000_000), "rating", None),
+        "ids too far apart": (r.withColumn("item_id", (F.col("item_id") - 25) * 400_000_000), "rating", None),
+        "null ratings": (r.withColumn("rating", null), "rating", None),
+    }
+    rows = lambda df: sorted(((x.item_i, x.item_j, x.common_users, *(v if v is None else round(v, 6) for v in x[3:])) for x in df.select("item_i", "item_j", "common_users", "dot", "sq_i", "sq_j").collect()), key=str)
+    for name, (rated, value, difference) in kinds.items():
+        every = rows(_self_join(rated, value))
+        for least, block in ((1, 4096), (4, 4096), (17, 7)):
+            got = overlap_pair_sums(rated, value, least, block_size=block, difference=difference)
+            assert got.columns == ["item_i", "item_j", "common_users", "dot", "sq_i", "sq_j"]
+            assert rows(got) == [w for w in every if w[2] >= least], (name, least)
+
+
+def test_prefixes_leave_out_the_heaviest_users(spark, few_partitions):
+    """Also where a user's rows tie at the border, and with items of fewer rows than that."""
+    r = [(u, i, 1.0) for u in range(9) for i in range(u + 1)] + [(8, 8, 2.0), (8, 7, 2.0), (8, 7, 3.0), (None, 1, 1.0), (3, None, 1.0)]
+    df = spark.createDataFrame(r, "user_id long, item_id long, rating double")
+    size = {u: sum(x[0] == u for x in r) for u in range(9)}
+    for least in (1, 2, 3, 5):
+        want = []
+        for i in range(9):
+            places = sorted((size[u], u) for u, j, _ in r if j == i and u is not None)
+            want += [(u, i, (n, u) <= places[-least]) for n, u in places] if len(places) >= least else []
+        got = prefix_flags(df, "rating", least).select("user_id", "item_id", "in_prefix").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_null_ratings_count_as_common_users(spark, few_partitions):
     r = _ratings(spark).withColumn("rating", F.when(F.col("item_id") % 10 > 0, F.col("rating")))
     key = lambda df: sorted((x.item_i, x.item_j, x.common_users, *(v if v is None else round(v, 6) for v in x[3:])) for x in df.select("item_i", "item_j", "common_users", "dot", "sq_i", "sq_j").collect())
