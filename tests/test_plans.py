@@ -24,7 +24,7 @@ from ratekit.operators.joins import blocked_join
 from ratekit.operators.predict import listed_candidates, related_pairs
 from ratekit.operators.similarity import _block_pairs, packed_ratings
 from ratekit.plans import centered_knn, cf_report_lines, cosine_knn
-from ratekit.session import release_cached
+from ratekit.session import keeping, persist_tracked, release_cached
 from ratekit.sources import cf_ratings, store_by_user
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
@@ -249,3 +249,28 @@ def test_release_drops_only_its_own(spark):
     assert held() == mine and len(spark.catalog.listTables()) == tables - 2
     a.release()
     assert not held()
+
+
+def test_release_keeps_what_an_equal_plan_persisted(spark):
+    """Equal plans share one cached copy, which the first release dropped for all."""
+    release_cached(spark)
+    held = lambda df: df.storageLevel.useMemory
+    made = lambda: spark.range(100).withColumn("x", F.col("id") % 7)
+    with keeping(spark) as first:
+        a = persist_tracked(made())
+    with keeping(spark) as second:
+        b, c = persist_tracked(made()), persist_tracked(made().filter("x > 2"))
+        persist_tracked(c)
+    assert a.count() == 100 and c.count() and held(b)
+    second.release()
+    assert held(a) and not held(c)
+    first.release()
+    assert not held(a) and not held(b)
+    with keeping(spark) as third:
+        persist_tracked(a)
+    with keeping(spark) as fourth:
+        persist_tracked(a)
+    fourth.release()
+    assert held(a)
+    third.release()
+    assert not held(a)
